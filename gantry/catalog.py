@@ -37,7 +37,7 @@ from gantry.schema import (
 )
 from gantry.sources import sample
 from gantry.sources.landing import read_landing, write_landing
-from gantry.sources.scratch import scratch_path, staged
+from gantry.sources.scratch import scratch_path, stored
 from gantry.sources.tables import read_table, upsert
 from gantry.streaming.ingest import stream_ingest as run_stream
 
@@ -158,7 +158,7 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dimension as a stored table, as report queries find it."""
-    return staged(to_dim(_silver(spark, sf_dir)))
+    return stored(to_dim(_silver(spark, sf_dir)))
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,17 +167,13 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample.readings(spark, sf_dir).filter(
-        F.col(TIMESTAMP).cast("timestamp_ntz") < F.lit(FIRST_LOAD_ENDS).cast("timestamp_ntz")
-    )
+    return sample.readings(spark, sf_dir, F.col("ts") < F.lit(FIRST_LOAD_ENDS).cast("timestamp_ntz"))
 
 
-def _second_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        sample.readings(spark, sf_dir)
-        .filter(F.col(TIMESTAMP).cast("timestamp_ntz") >= F.lit(SECOND_LOAD_STARTS).cast("timestamp_ntz"))
-        .withColumn(LOAD, F.col(LOAD) + F.lit(LOAD_CORRECTION))
-    )
+def _second_load(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    since = F.col("ts") >= F.lit(SECOND_LOAD_STARTS).cast("timestamp_ntz")
+    resent = sample.readings(spark, sf_dir, since, *extra)
+    return resent.withColumn(LOAD, F.col(LOAD) + F.lit(LOAD_CORRECTION))
 
 
 def _plain_time(df: DataFrame, column: str = EVENT_TIME) -> DataFrame:
@@ -333,16 +329,7 @@ def merge_ambiguous_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second batch has lost the vibration column and gained the event type."""
     target = _first_load(spark, sf_dir).select(MESSAGE_ID, LOAD, VIBRATION)
-    starts = F.lit(SECOND_LOAD_STARTS).cast("timestamp_ntz")
-    source = (
-        sample.table(spark, sf_dir, "events")
-        .filter(F.col("ts") >= starts)
-        .select(
-            F.col("event_id").cast("string").alias(MESSAGE_ID),
-            (F.col("value") * F.lit(200.0) + F.lit(LOAD_CORRECTION)).alias(LOAD),
-            "event_type",
-        )
-    )
+    source = _second_load(spark, sf_dir, "event_type").select(MESSAGE_ID, LOAD, "event_type")
     return merge_upsert(target, source, MESSAGE_ID, schema_mode="evolve")
 
 
@@ -387,13 +374,7 @@ def dim_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 'dim', count(*) FROM dim"""
 )
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landing, silver = sample.telemetry(spark, sf_dir), _silver(spark, sf_dir)
-    layers = {"bronze": landing, "silver": silver, "fact": to_fact(silver), "dim": to_dim(silver)}
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("layer"), "row_count")
-        for name, df in layers.items()
-    ]
-    return counts[0].union(counts[1]).union(counts[2]).union(counts[3])
+    return marts.layer_counts(sample.telemetry(spark, sf_dir))
 
 
 @_query(

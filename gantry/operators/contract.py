@@ -112,10 +112,15 @@ def _declared(df: DataFrame, contract: Contract, column: str) -> Column:
     return F.col(column).try_cast(wanted)
 
 
+def is_valid(df: DataFrame, contract: Contract = TELEMETRY_CONTRACT) -> Column:
+    """Whether a row of ``df`` passes every filtering rule of the contract."""
+    rules = [c.passed(_declared(df, contract, c.column)) for c in contract.checks if c.filtered]
+    return reduce(and_, rules)
+
+
 def keep_valid(df: DataFrame, contract: Contract = TELEMETRY_CONTRACT) -> DataFrame:
     """Rows that pass every filtering rule of the contract."""
-    rules = [c.passed(_declared(df, contract, c.column)) for c in contract.checks if c.filtered]
-    return df.filter(reduce(and_, rules))
+    return df.filter(is_valid(df, contract))
 
 
 def schema_violations(df: DataFrame, contract: Contract = TELEMETRY_CONTRACT) -> list[Violation]:

@@ -5,7 +5,7 @@ whose key is not in the target is inserted; target rows without a partner stay.
 Keys are compared with ``=``, so a NULL key never matches: such source rows are
 always inserted and such target rows always stay. Equal source keys that match
 nothing are all inserted; equal source keys that match are an error
-(:func:`refuse_ambiguous`).
+(:func:`checked_merge`).
 
 How it is planned, and why not as one full outer join:
 
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_MATCHED = "__matched"
+HOT_SHARE = 1000
 
 
 class AmbiguousMergeError(Exception):
@@ -82,8 +82,8 @@ def merge_upsert(
 
     ``update`` and ``insert`` switch the two clauses off one by one.
 
-    Matching source keys must be unique; run :func:`refuse_ambiguous` first where
-    that is not known.
+    Matching source keys must be unique; use :func:`checked_merge` where that is
+    not known.
     """
     source = _conform(source, target, schema_mode)
     columns = target.columns + [c for c in source.columns if c not in target.columns]
@@ -91,7 +91,10 @@ def merge_upsert(
 
     if update:
         t = target.filter(F.col(key).isNotNull()).alias("t")
-        s = with_key.withColumn(_MATCHED, F.lit(True)).alias("s")
+        # The same rows and columns as the insert test reads, so that one shuffle
+        # of the source serves both joins.
+        s = with_key.alias("s")
+        matched = F.col(f"s.{key}").isNotNull()
         picked = []
         for c in columns:
             if c not in source.columns:
@@ -99,9 +102,9 @@ def merge_upsert(
             elif c not in target.columns:
                 value = F.col(f"s.{c}")
             else:
-                # By the marker and not by coalesce: a NULL in the source
-                # overwrites a value in the target.
-                value = F.when(F.col(f"s.{_MATCHED}"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
+                # By match and not by coalesce: a NULL in the source overwrites
+                # a value in the target.
+                value = F.when(matched, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
             picked.append(value.alias(c))
         joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "left").select(picked)
         merged = joined.union(_padded(target.filter(F.col(key).isNull()), source, columns))
@@ -131,17 +134,40 @@ def ambiguous_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     return repeated_keys(source, key).join(present, key, "left_semi")
 
 
-def refuse_ambiguous(target: DataFrame, source: DataFrame, key: str) -> None:
-    """Raise :class:`AmbiguousMergeError` if the merge would be ambiguous.
+def split_hot(source: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """The source without its hot keys, and the rows of those keys.
 
-    The target is only read when the source does repeat a key.
+    A key is hot if it holds more than one in ``HOT_SHARE`` of the rows, so there
+    are fewer than ``HOT_SHARE`` of them whatever the size of the source, and the
+    list can be broadcast. None if there is no hot key.
+    """
+    copies = repeated_keys(source, key)
+    rows = source.count()
+    hot = [r[key] for r in copies.filter(F.col("copies") * HOT_SHARE > rows).collect()]
+    if not hot:
+        return source, None
+    keys = F.broadcast(source.sparkSession.createDataFrame([(k,) for k in hot], source.select(key).schema))
+    return source.join(keys, key, "left_anti"), source.join(keys, key, "left_semi")
+
+
+def checked_merge(target: DataFrame, source: DataFrame, key: str, schema_mode: str = "strict") -> DataFrame:
+    """:func:`merge_upsert` for a source whose keys may repeat.
+
+    Ambiguous keys are refused, against the whole target given. What repeats and
+    is not refused matches nothing: the rows of a hot key are then inserted
+    straight away instead of being gathered in one task of a join.
     """
     if repeated_keys(source, key).isEmpty():
-        return
+        return merge_upsert(target, source, key, schema_mode)
     examples = ambiguous_keys(target, source, key).limit(5).collect()
     if examples:
         shown = ", ".join(f"{r[key]} ({r['copies']} rows)" for r in examples)
         raise AmbiguousMergeError(f"several source rows for one {key}: {shown}")
+    rest, hot_rows = split_hot(source, key)
+    merged = merge_upsert(target, rest, key, schema_mode)
+    if hot_rows is None:
+        return merged
+    return merged.union(_padded(_conform(hot_rows, target, schema_mode), target, merged.columns))
 
 
 def latest_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:

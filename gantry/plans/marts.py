@@ -16,8 +16,27 @@ from gantry.functions.telemetry import (
     operating_hours,
     vibration_critical,
 )
+from gantry.operators.contract import is_valid
 from gantry.operators.star import star_join
-from gantry.schema import CRANE_ID, EVENT_TIME, LOAD, VIBRATION
+from gantry.schema import CRANE_ID, DIM_COLUMNS, EVENT_TIME, LOAD, VIBRATION
+
+
+def layer_counts(landing: DataFrame) -> DataFrame:
+    """Rows each layer has after loading these landing rows: (layer, row_count).
+
+    One pass: counting per crane attributes gives the dimension rows as well.
+    """
+    per_crane = landing.groupBy(DIM_COLUMNS).agg(
+        F.count(F.lit(1)).alias("raw"), F.count_if(is_valid(landing)).alias("valid")
+    )
+    totals = per_crane.agg(
+        F.coalesce(F.sum("raw"), F.lit(0)).alias("bronze"),
+        F.coalesce(F.sum("valid"), F.lit(0)).alias("silver"),
+        F.count_if(F.col("valid") > 0).alias("dim"),
+    )
+    layers = {"bronze": "bronze", "silver": "silver", "fact": "silver", "dim": "dim"}
+    rows = [F.struct(F.lit(n).alias("layer"), F.col(c).alias("row_count")) for n, c in layers.items()]
+    return totals.select(F.inline(F.array(*rows)))
 
 
 def anomaly_flags(readings: DataFrame) -> DataFrame:

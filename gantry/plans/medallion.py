@@ -10,7 +10,7 @@ from gantry.operators.contract import Violation, enforce
 from gantry.plans.stages import to_bronze, to_dim, to_dim_latest, to_fact, to_silver
 from gantry.schema import CRANE_ID, EVENT_TIME, MESSAGE_ID, LakePaths
 from gantry.sources.landing import read_landing
-from gantry.sources.scratch import release, staged
+from gantry.sources.scratch import staged
 from gantry.sources.tables import latest_snapshot, read_changes, read_table, table_exists, upsert
 
 
@@ -24,9 +24,8 @@ def ingest_bronze(spark: SparkSession, raw_data_path: str, target_path: str, inf
     if not table_exists(spark, target_path):
         upsert(batch, target_path, MESSAGE_ID, event_date())
         return
-    batch = staged(batch)
-    upsert(batch, target_path, MESSAGE_ID, event_date())
-    release(batch)
+    with staged(batch) as rows:
+        upsert(rows, target_path, MESSAGE_ID, event_date())
 
 
 def _unseen(spark: SparkSession, source_path: str, target_path: str, incremental: bool):
@@ -68,9 +67,8 @@ def build_gold(
     silver = read_table(spark, source_path)
     dim = to_dim_latest(silver) if latest_wins else to_dim(silver)
     if table_exists(spark, dim_path):
-        dim = staged(dim)
-        upsert(dim, dim_path, CRANE_ID)
-        release(dim)
+        with staged(dim) as rows:
+            upsert(rows, dim_path, CRANE_ID)
     else:
         upsert(dim, dim_path, CRANE_ID)
 

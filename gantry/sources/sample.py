@@ -6,7 +6,7 @@ gives model and region.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gantry.schema import CRANE_ID, LOAD, MESSAGE_ID, MODEL, REGION, TELEMETRY, TIMESTAMP, VIBRATION
@@ -30,9 +30,16 @@ def _measurements() -> dict:
     }
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages with ids and measures only; no join."""
-    return table(spark, sf_dir, "events").select(*(c.alias(n) for n, c in _measurements().items()))
+def readings(spark: SparkSession, sf_dir: str, when: Column | None = None, *extra: str) -> DataFrame:
+    """Messages with ids and measures only, no join.
+
+    ``when`` restricts the events by their own columns, ``extra`` names further
+    event columns to keep.
+    """
+    events = table(spark, sf_dir, "events")
+    if when is not None:
+        events = events.filter(when)
+    return events.select(*(c.alias(n) for n, c in _measurements().items()), *extra)
 
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:

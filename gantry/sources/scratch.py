@@ -1,7 +1,8 @@
 """Intermediate data in the folder all executors share.
 
 Written tables are used instead of executor-local persistence, so a lost
-executor costs at most the tasks it was running.
+executor costs at most the tasks it was running. Scratch folders live as long as
+the Python process that asked for them.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +20,7 @@ from gantry.sources.files import remove_folder
 
 _SETTING = "spark.checkpoint.dir"
 _local_folder: str | None = None
+_in_use: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,25 +41,45 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
+def _tidy(spark: SparkSession) -> None:
+    """Drop what is left at exit, if the session's JVM is still there to do it."""
+    for path in _in_use:
+        try:
+            remove_folder(spark, path)
+        except Exception:
+            return
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A new path in the shared folder, used by nothing else."""
-    return f"{shared_folder(spark)}/gantry-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/gantry-{uuid.uuid4().hex}"
+    if not _in_use:
+        atexit.register(_tidy, spark)
+    _in_use.add(path)
+    return path
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def staged(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame) -> DataFrame:
     """The same rows, computed once and read back from a written table.
 
     Cuts the lineage, fixes values such as the ingestion instant, and gives
     Spark the real size, so that a small result is broadcast without a hint and
     a large one is not.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release(df: DataFrame) -> None:
-    """Drop the files behind a :func:`staged` DataFrame."""
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        remove_folder(df.sparkSession, folder)
+    return _written(df, scratch_path(df.sparkSession))
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """:func:`stored` for the length of a ``with`` block."""
+    path = scratch_path(df.sparkSession)
+    try:
+        yield _written(df, path)
+    finally:
+        remove_folder(df.sparkSession, path)
+        _in_use.discard(path)

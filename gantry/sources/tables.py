@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gantry.operators.merge import merge_upsert, refuse_ambiguous
+from gantry.operators.merge import checked_merge
 from gantry.sources.files import folder_names, read_text, write_text_once
 
 EVENT_DATE = "event_date"
@@ -190,19 +190,19 @@ def upsert(
 
     if event_date is None:
         target = _scan(spark, path, old, old.folders)
-        refuse_ambiguous(target, df, key)
-        merged = merge_upsert(target, df, key, schema_mode)
+        merged = checked_merge(target, df, key, schema_mode)
         number, folders = _write(merged, path)
         _announce(spark, path, Snapshot(number, merged.schema, False, folders, consumed))
         return
 
     dated = df.withColumn(EVENT_DATE, event_date)
     whole = _scan(spark, path, old, old.folders)
-    refuse_ambiguous(whole, dated, key)
     touched = _touched_days(whole, dated, key)
     kept = [f for f in old.folders if f.rsplit("/", 1)[1] not in touched]
     target = _scan(spark, path, old, [f for f in old.folders if f not in set(kept)])
-    merged = merge_upsert(target, dated, key, schema_mode)
+    # Every target row a source key matches is on a touched day, so the check for
+    # ambiguous keys misses nothing here.
+    merged = checked_merge(target, dated, key, schema_mode)
     number, folders = _write(merged, path)
     schema = T.StructType([f for f in merged.schema.fields if f.name != EVENT_DATE])
     _announce(spark, path, Snapshot(number, schema, True, kept + folders, consumed))

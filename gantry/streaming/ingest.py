@@ -10,7 +10,7 @@ from gantry.functions.telemetry import event_date, parse_event_time
 from gantry.operators.merge import latest_per_key
 from gantry.plans.stages import to_bronze
 from gantry.schema import EVENT_TIME, INGESTED_AT, LANDING, MESSAGE_ID, TIMESTAMP
-from gantry.sources.scratch import release, staged
+from gantry.sources.scratch import staged
 from gantry.sources.tables import upsert
 
 
@@ -50,9 +50,8 @@ def merge_appended(spark: SparkSession, appended_path: str, target_path: str) ->
     Appending may repeat a message id, which a merge would refuse.
     """
     appended = spark.read.parquet(appended_path)
-    latest = staged(latest_per_key(appended, MESSAGE_ID, INGESTED_AT, TIMESTAMP))
-    upsert(latest, target_path, MESSAGE_ID, event_date())
-    release(latest)
+    with staged(latest_per_key(appended, MESSAGE_ID, INGESTED_AT, TIMESTAMP)) as latest:
+        upsert(latest, target_path, MESSAGE_ID, event_date())
 
 
 def drop_repeats(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
