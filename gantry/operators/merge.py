@@ -21,7 +21,7 @@ How it is planned, and why not as one full outer join:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 1000
@@ -170,18 +170,18 @@ def checked_merge(target: DataFrame, source: DataFrame, key: str, schema_mode: s
     return merged.union(_padded(_conform(hot_rows, target, schema_mode), target, merged.columns))
 
 
-def latest_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
+def latest_per_key(df: DataFrame, key: str, *order: str | Column) -> DataFrame:
     """The last row of each key by ``order``; rows without a key are all kept.
 
-    ``max_by`` combines before the shuffle, so one row per key and task moves and
-    a hot key is never gathered in one place.
+    Ties are settled by the other columns, so the outcome does not depend on how
+    rows are distributed. The maximum combines before the shuffle: one row per key
+    and task moves, and a hot key is never gathered in one place.
     """
-    row = F.struct(*(F.col(c) for c in df.columns))
-    rank = F.struct(*(F.col(c) for c in order))
+    ranked = F.struct(*order, F.struct(*df.columns).alias("row"))
     last = (
         df.filter(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("__key"))
-        .agg(F.max_by(row, rank).alias("__row"))
-        .select("__row.*")
+        .agg(F.max(ranked).alias("__last"))
+        .select("__last.row.*")
     )
     return last.unionByName(df.filter(F.col(key).isNull()))

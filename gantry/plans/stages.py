@@ -39,13 +39,9 @@ def to_dim(silver: DataFrame) -> DataFrame:
 
 def to_dim_latest(silver: DataFrame) -> DataFrame:
     """One row per crane, attributes of its latest reading (ties: largest id)."""
-    attributes = [c for c in DIM_COLUMNS if c != CRANE_ID]
-    rank = F.struct(parse_event_time(), F.col(MESSAGE_ID))
-    return (
-        silver.groupBy(CRANE_ID)
-        .agg(F.max_by(F.struct(*attributes), rank).alias("last"))
-        .select(CRANE_ID, "last.*")
-    )
+    attributes = F.struct(*(c for c in DIM_COLUMNS if c != CRANE_ID)).alias("attributes")
+    last = F.max(F.struct(parse_event_time(), F.col(MESSAGE_ID), attributes)).alias("last")
+    return silver.groupBy(CRANE_ID).agg(last).select(CRANE_ID, "last.attributes.*")
 
 
 def to_fact(silver: DataFrame) -> DataFrame:

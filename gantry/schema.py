@@ -36,6 +36,14 @@ TELEMETRY = T.StructType(
 # raw text next to whatever fields could be read.
 LANDING = T.StructType([*TELEMETRY.fields, T.StructField(CORRUPT_RECORD, T.StringType())])
 
+BRONZE = T.StructType(
+    [
+        *LANDING.fields,
+        T.StructField(INGESTED_AT, T.TimestampType()),
+        T.StructField("source_system", T.StringType()),
+    ]
+)
+
 DIM_COLUMNS = [CRANE_ID, MODEL, REGION]
 FACT_COLUMNS = [MESSAGE_ID, CRANE_ID, EVENT_TIME, LOAD, VIBRATION]
 

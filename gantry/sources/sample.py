@@ -50,14 +50,17 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing rows. A message of an unknown crane keeps NULL attributes."""
-    owner = (
-        table(spark, sf_dir, "customer")
-        .join(regions(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select("c_custkey", F.col("c_mktsegment").alias(MODEL), F.col("r_name").alias(REGION))
+    events, customer = table(spark, sf_dir, "events"), table(spark, sf_dir, "customer")
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    # Each table joins as a plain scan, whose size Spark knows: small ones are
+    # broadcast, and the events move at most once, for the customers.
+    joined = (
+        events.join(customer, events.user_id == customer.c_custkey, "left")
+        .join(nation, customer.c_nationkey == nation.n_nationkey, "left")
+        .join(region, nation.n_regionkey == region.r_regionkey, "left")
     )
-    events = table(spark, sf_dir, "events")
-    joined = events.join(owner, events.user_id == owner.c_custkey, "left")
-    return joined.withColumns(_measurements()).select(TELEMETRY.fieldNames())
+    attributes = {MODEL: F.col("c_mktsegment"), REGION: F.col("r_name")}
+    return joined.withColumns({**_measurements(), **attributes}).select(TELEMETRY.fieldNames())
 
 
 def telemetry_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:

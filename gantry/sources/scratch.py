@@ -29,10 +29,11 @@ def shared_folder(spark: SparkSession) -> str:
     Where the setting is missing, a local session gets a folder of its own; on a
     cluster that is an error, because executors could not see it.
     """
-    named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
+    context = spark.sparkContext
+    named = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
     global _local_folder
     if _local_folder is None:
@@ -59,9 +60,9 @@ def scratch_path(spark: SparkSession) -> str:
     return path
 
 
-def _written(df: DataFrame, path: str) -> DataFrame:
+def _written(df: DataFrame, path: str, reader: SparkSession) -> DataFrame:
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return reader.read.schema(df.schema).parquet(path)
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -71,15 +72,19 @@ def stored(df: DataFrame) -> DataFrame:
     Spark the real size, so that a small result is broadcast without a hint and
     a large one is not.
     """
-    return _written(df, scratch_path(df.sparkSession))
+    return _written(df, scratch_path(df.sparkSession), df.sparkSession)
 
 
 @contextmanager
-def staged(df: DataFrame) -> Iterator[DataFrame]:
-    """:func:`stored` for the length of a ``with`` block."""
-    path = scratch_path(df.sparkSession)
+def staged(df: DataFrame, reader: SparkSession | None = None) -> Iterator[DataFrame]:
+    """:func:`stored` for the length of a ``with`` block.
+
+    ``reader`` reads the rows in another session than the one that computes them.
+    """
+    reader = reader or df.sparkSession
+    path = scratch_path(reader)
     try:
-        yield _written(df, path)
+        yield _written(df, path, reader)
     finally:
-        remove_folder(df.sparkSession, path)
+        remove_folder(reader, path)
         _in_use.discard(path)

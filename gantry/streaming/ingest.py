@@ -9,9 +9,9 @@ from pyspark.sql.streaming.query import StreamingQuery
 from gantry.functions.telemetry import event_date, parse_event_time
 from gantry.operators.merge import latest_per_key
 from gantry.plans.stages import to_bronze
-from gantry.schema import EVENT_TIME, INGESTED_AT, LANDING, MESSAGE_ID, TIMESTAMP
+from gantry.schema import BRONZE, EVENT_TIME, INGESTED_AT, LANDING, MESSAGE_ID
 from gantry.sources.scratch import staged
-from gantry.sources.tables import upsert
+from gantry.sources.tables import latest_snapshot, upsert
 
 
 def landing_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -44,14 +44,33 @@ def stream_ingest(
     )
 
 
-def merge_appended(spark: SparkSession, appended_path: str, target_path: str) -> None:
-    """Merge the appended rows into a keyed table, the latest row per message.
+def merge_appended(
+    spark: SparkSession, appended_path: str, target_path: str, checkpoint_path: str
+) -> StreamingQuery:
+    """Merge what :func:`stream_ingest` appended since the last call, then stop.
 
-    Appending may repeat a message id, which a merge would refuse.
+    Appending may repeat a message id, which a merge would refuse, so the latest
+    row of each message in the batch is merged. The table remembers the last batch
+    it holds: one that is replayed after a crash is not merged twice, which matters
+    for rows without an id. The merge runs in the caller's session, because a
+    streaming query's own session plans without adaptive execution.
     """
-    appended = spark.read.parquet(appended_path)
-    with staged(latest_per_key(appended, MESSAGE_ID, INGESTED_AT, TIMESTAMP)) as latest:
-        upsert(latest, target_path, MESSAGE_ID, event_date())
+
+    def merge(batch: DataFrame, number: int) -> None:
+        table = latest_snapshot(spark, target_path)
+        if table and table.consumed.get(checkpoint_path, -1) >= number:
+            return
+        with staged(latest_per_key(batch, MESSAGE_ID, INGESTED_AT, parse_event_time()), spark) as latest:
+            upsert(latest, target_path, MESSAGE_ID, event_date(), consumed={checkpoint_path: number})
+
+    return (
+        spark.readStream.schema(BRONZE)
+        .parquet(appended_path)
+        .writeStream.foreachBatch(merge)
+        .option("checkpointLocation", checkpoint_path)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def drop_repeats(stream: DataFrame, delay: str = "1 hour") -> DataFrame:

@@ -22,11 +22,36 @@ def test_every_file_is_taken_once(spark, tmp_path):
     assert bag(appended, "message_id") == Counter({("m1",): 1, ("m2",): 2, (None,): 1})
     assert appended.filter("_corrupt_record = '{bad json'").count() == 1
 
-    table = str(tmp_path / "table")
-    for _ in range(2):
-        merge_appended(spark, str(tmp_path / "appended"), table)
-    loads = {r.message_id: r.hoist_load_kg for r in read_table(spark, table).collect()}
-    assert loads["m1"] == 100.0 and loads["m2"] == 7.0
+
+
+def merge(spark, tmp_path, checkpoint="merged"):
+    args = (str(tmp_path / "appended"), str(tmp_path / "table"), str(tmp_path / checkpoint))
+    merge_appended(spark, *args).awaitTermination()
+    rows = read_table(spark, str(tmp_path / "table")).collect()
+    return Counter((r.message_id, r.hoist_load_kg) for r in rows)
+
+
+def test_appended_rows_are_merged_once(spark, tmp_path):
+    rows = [message("m1"), message("m2"), message("m2", when="2030-05-01T09:00:00Z", load=5.0)]
+    landing = land(tmp_path / "in", rows, ["{bad json"], name="a.json")
+    run(spark, landing, tmp_path)
+    expected = Counter([("m1", 100.0), ("m2", 5.0), (None, None)])
+    assert merge(spark, tmp_path) == expected
+    assert merge(spark, tmp_path) == expected
+
+    land(tmp_path / "in", [message("m1", load=7.0), message("m3")], ["{bad json"], name="b.json")
+    run(spark, landing, tmp_path)
+    expected = Counter({("m1", 7.0): 1, ("m2", 5.0): 1, ("m3", 100.0): 1, (None, None): 2})
+    assert merge(spark, tmp_path) == expected
+
+
+def test_replayed_batch_is_not_merged_again(spark, tmp_path):
+    """The batch was merged, but the crash came before the stream noted it."""
+    run(spark, land(tmp_path / "in", [message("m1")], ["{bad json"]), tmp_path)
+    before = merge(spark, tmp_path)
+    for note in (tmp_path / "merged" / "commits").glob("*0*"):
+        note.unlink()
+    assert merge(spark, tmp_path) == before
 
 
 def test_repeats_within_the_delay(spark, tmp_path):
