@@ -280,7 +280,9 @@ def parse_event_time_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(_MERGED_SQL, name="merge_upsert")
 def merge_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_upsert(_first_load(spark, sf_dir), _second_load(spark, sf_dir), MESSAGE_ID)
+    """Event ids are unique in both batches."""
+    first, second = _first_load(spark, sf_dir), _second_load(spark, sf_dir)
+    return merge_upsert(first, second, MESSAGE_ID, unique_keys=True)
 
 
 @_query(f"WITH {_BATCHES_SQL} {_UPDATED_SQL}")
@@ -330,7 +332,7 @@ def merge_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second batch has lost the vibration column and gained the event type."""
     target = _first_load(spark, sf_dir).select(MESSAGE_ID, LOAD, VIBRATION)
     source = _second_load(spark, sf_dir, "event_type").select(MESSAGE_ID, LOAD, "event_type")
-    return merge_upsert(target, source, MESSAGE_ID, schema_mode="evolve")
+    return merge_upsert(target, source, MESSAGE_ID, schema_mode="evolve", unique_keys=True)
 
 
 # ---- layers --------------------------------------------------------------

@@ -7,16 +7,18 @@ always inserted and such target rows always stay. Equal source keys that match
 nothing are all inserted; equal source keys that match are an error
 (:func:`checked_merge`).
 
-How it is planned, and why not as one full outer join:
-
-* A full outer join can neither broadcast the batch nor split a hot key. Here
-  the target is the left side of a left join and the batch the right, so a batch
-  under Spark's broadcast threshold never causes a shuffle of the target, and a
-  key repeated in the target can be split by AQE's skew join.
-* Keys reach the insert test de-duplicated (``distinct`` combines before the
-  shuffle), so a key that fills a third of the target is one row there.
-* NULL keys cannot match and go around the joins, instead of all hashing to one
-  task.
+Two plans give the same rows:
+
+* **Left join and anti join**, the general one. The target is the left side and
+  the batch the right, so a batch under Spark's broadcast threshold causes no
+  shuffle of the target, and a key repeated in the target can be split by AQE's
+  skew join. Keys reach the insert test de-duplicated (``distinct`` combines
+  before the shuffle): a key that fills a third of the target is one row there.
+* **One full outer join**, about twice as fast when both sides must be shuffled
+  anyway. It can neither broadcast nor split a hot key, and is used only where the
+  keys of both sides are known to be unique.
+
+NULL keys go around the joins in both, instead of all hashing to one task.
 """
 
 from __future__ import annotations
@@ -35,6 +37,15 @@ class MergeSchemaError(Exception):
     """The source lacks a column the target has."""
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold dots, as Spark reads it back."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _column(name: str, side: str | None = None) -> Column:
+    return F.col(f"{side}.{quoted(name)}" if side else quoted(name))
+
+
 def _conform(source: DataFrame, target: DataFrame, schema_mode: str) -> DataFrame:
     """The source restricted to the merged columns, cast to the target's types."""
     if schema_mode not in ("strict", "evolve"):
@@ -48,21 +59,54 @@ def _conform(source: DataFrame, target: DataFrame, schema_mode: str) -> DataFram
     columns = []
     for c in kept:
         same = c not in target.columns or source.schema[c].dataType == target.schema[c].dataType
-        columns.append(F.col(c) if same else F.col(c).cast(target.schema[c].dataType).alias(c))
+        columns.append(_column(c) if same else _column(c).cast(target.schema[c].dataType).alias(c))
     return source.select(columns)
 
 
 def _padded(df: DataFrame, other: DataFrame, columns: list[str]) -> DataFrame:
     """The given columns, NULL where only the other side has one."""
     return df.select(
-        [F.col(c) if c in df.columns else F.lit(None).cast(other.schema[c].dataType).alias(c) for c in columns]
+        [_column(c) if c in df.columns else F.lit(None).cast(other.schema[c].dataType).alias(c) for c in columns]
     )
 
 
+def _keyed(df: DataFrame, key: str) -> DataFrame:
+    return df.filter(_column(key).isNotNull())
+
+
+def _keyless(df: DataFrame, key: str) -> DataFrame:
+    return df.filter(_column(key).isNull())
+
+
+def _joined(target: DataFrame, source: DataFrame, key: str, columns: list[str], how: str) -> DataFrame:
+    """Target joined to source, each row with its merged values."""
+    matched = _column(key, "s").isNotNull()
+    picked = []
+    for c in columns:
+        if c not in source.columns:
+            value = _column(c, "t")
+        elif c not in target.columns:
+            value = _column(c, "s")
+        else:
+            # By match and not by coalesce: a NULL in the source overwrites a
+            # value in the target.
+            value = F.when(matched, _column(c, "s")).otherwise(_column(c, "t"))
+        picked.append(value.alias(c))
+    equal = _column(key, "t") == _column(key, "s")
+    return target.alias("t").join(source.alias("s"), equal, how).select(picked)
+
+
+def _broadcastable(df: DataFrame) -> bool:
+    """Whether Spark's own size estimate lets it broadcast these rows."""
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return estimate <= limit
+
+
 def known_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """The distinct keys present on both sides; at most as many as source rows."""
-    wanted = source.select(key).filter(F.col(key).isNotNull())
-    return target.select(key).filter(F.col(key).isNotNull()).distinct().join(wanted, key, "left_semi")
+    present = _keyed(target.select(_column(key)), key).distinct()
+    return present.join(_keyed(source.select(_column(key)), key), key, "left_semi")
 
 
 def merge_upsert(
@@ -72,6 +116,7 @@ def merge_upsert(
     schema_mode: str = "strict",
     update: bool = True,
     insert: bool = True,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """The target after merging the source into it.
 
@@ -83,54 +128,46 @@ def merge_upsert(
     ``update`` and ``insert`` switch the two clauses off one by one.
 
     Matching source keys must be unique; use :func:`checked_merge` where that is
-    not known.
+    not known. ``unique_keys`` says that neither side repeats a key, which allows
+    the faster plan; if it is not so, the rows are the same but hot keys are slow.
     """
     source = _conform(source, target, schema_mode)
     columns = target.columns + [c for c in source.columns if c not in target.columns]
-    with_key = source.filter(F.col(key).isNotNull())
+    keyed = _keyed(source, key)
+
+    if update and insert and unique_keys and not _broadcastable(source):
+        merged = _joined(_keyed(target, key), keyed, key, columns, "full_outer")
+        merged = merged.union(_padded(_keyless(target, key), source, columns))
+        return merged.union(_padded(_keyless(source, key), target, columns))
 
     if update:
-        t = target.filter(F.col(key).isNotNull()).alias("t")
-        # The same rows and columns as the insert test reads, so that one shuffle
-        # of the source serves both joins.
-        s = with_key.alias("s")
-        matched = F.col(f"s.{key}").isNotNull()
-        picked = []
-        for c in columns:
-            if c not in source.columns:
-                value = F.col(f"t.{c}")
-            elif c not in target.columns:
-                value = F.col(f"s.{c}")
-            else:
-                # By match and not by coalesce: a NULL in the source overwrites
-                # a value in the target.
-                value = F.when(matched, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
-            picked.append(value.alias(c))
-        joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "left").select(picked)
-        merged = joined.union(_padded(target.filter(F.col(key).isNull()), source, columns))
+        merged = _joined(_keyed(target, key), keyed, key, columns, "left")
+        merged = merged.union(_padded(_keyless(target, key), source, columns))
     else:
         merged = _padded(target, source, columns)
-
     if insert:
-        new = with_key.join(known_keys(target, with_key, key), key, "left_anti")
-        added = new.unionByName(source.filter(F.col(key).isNull()))
-        merged = merged.union(_padded(added, target, columns))
+        # Reads the same rows and columns as the join above, so that one shuffle
+        # of the source serves both.
+        new = keyed.join(known_keys(target, keyed, key), key, "left_anti")
+        merged = merged.union(_padded(new, target, columns))
+        merged = merged.union(_padded(_keyless(source, key), target, columns))
     return merged
 
 
-def repeated_keys(source: DataFrame, key: str) -> DataFrame:
-    """Non-null keys held by more than one source row: (key, copies)."""
-    return (
-        source.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .filter(F.col("copies") > 1)
-    )
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """Non-null keys held by more than one row: (key, copies)."""
+    counted = _keyed(df, key).groupBy(_column(key)).agg(F.count(F.lit(1)).alias("copies"))
+    return counted.filter(F.col("copies") > 1)
+
+
+def has_unique_keys(df: DataFrame, key: str) -> bool:
+    """Whether no two rows share a non-null key."""
+    return repeated_keys(df, key).isEmpty()
 
 
 def ambiguous_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Target keys matched by more than one source row: (key, copies)."""
-    present = target.select(key).filter(F.col(key).isNotNull()).distinct()
+    present = _keyed(target.select(_column(key)), key).distinct()
     return repeated_keys(source, key).join(present, key, "left_semi")
 
 
@@ -146,28 +183,36 @@ def split_hot(source: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]
     hot = [r[key] for r in copies.filter(F.col("copies") * HOT_SHARE > rows).collect()]
     if not hot:
         return source, None
-    keys = F.broadcast(source.sparkSession.createDataFrame([(k,) for k in hot], source.select(key).schema))
+    schema = source.select(_column(key)).schema
+    keys = F.broadcast(source.sparkSession.createDataFrame([(k,) for k in hot], schema))
     return source.join(keys, key, "left_anti"), source.join(keys, key, "left_semi")
 
 
-def checked_merge(target: DataFrame, source: DataFrame, key: str, schema_mode: str = "strict") -> DataFrame:
+def checked_merge(
+    target: DataFrame,
+    source: DataFrame,
+    key: str,
+    schema_mode: str = "strict",
+    target_unique: bool = False,
+) -> tuple[DataFrame, bool]:
     """:func:`merge_upsert` for a source whose keys may repeat.
 
-    Ambiguous keys are refused, against the whole target given. What repeats and
-    is not refused matches nothing: the rows of a hot key are then inserted
-    straight away instead of being gathered in one task of a join.
+    Returns the merged rows and whether their keys are known to be unique, given
+    ``target_unique``. Ambiguous keys are refused. What repeats and is not refused
+    matches nothing: the rows of a hot key are then inserted straight away instead
+    of being gathered in one task of a join.
     """
-    if repeated_keys(source, key).isEmpty():
-        return merge_upsert(target, source, key, schema_mode)
+    if has_unique_keys(source, key):
+        return merge_upsert(target, source, key, schema_mode, unique_keys=target_unique), target_unique
     examples = ambiguous_keys(target, source, key).limit(5).collect()
     if examples:
         shown = ", ".join(f"{r[key]} ({r['copies']} rows)" for r in examples)
         raise AmbiguousMergeError(f"several source rows for one {key}: {shown}")
     rest, hot_rows = split_hot(source, key)
     merged = merge_upsert(target, rest, key, schema_mode)
-    if hot_rows is None:
-        return merged
-    return merged.union(_padded(_conform(hot_rows, target, schema_mode), target, merged.columns))
+    if hot_rows is not None:
+        merged = merged.union(_padded(_conform(hot_rows, target, schema_mode), target, merged.columns))
+    return merged, False
 
 
 def latest_per_key(df: DataFrame, key: str, *order: str | Column) -> DataFrame:
@@ -177,11 +222,11 @@ def latest_per_key(df: DataFrame, key: str, *order: str | Column) -> DataFrame:
     rows are distributed. The maximum combines before the shuffle: one row per key
     and task moves, and a hot key is never gathered in one place.
     """
-    ranked = F.struct(*order, F.struct(*df.columns).alias("row"))
+    row = F.struct(*(_column(c) for c in df.columns)).alias("row")
     last = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("__key"))
-        .agg(F.max(ranked).alias("__last"))
+        _keyed(df, key)
+        .groupBy(_column(key).alias("__key"))
+        .agg(F.max(F.struct(*order, row)).alias("__last"))
         .select("__last.row.*")
     )
-    return last.unionByName(df.filter(F.col(key).isNull()))
+    return last.unionByName(_keyless(df, key))

@@ -1,14 +1,14 @@
 """Tables as Parquet folders that are only ever added to.
 
-``<path>/snapshot=<n>/[event_date=<d>/]part-*``   data, written once
-``<path>/_snapshots/<n>.json``                    folders that make up version n
+``<path>/snapshot=<n>/[_event_date=<d>/]part-*``   data, written once
+``<path>/_snapshots/<n>.json``                     folders that make up version n
 
 A version becomes visible when its small file appears, after Spark has committed
 the data; a write that dies before that leaves a folder nobody reads, and the
 next write takes a new number. Nothing is overwritten in place, so a table may be
 an input of the plan that produces its next version. One writer per table.
 
-A table split by ``event_date`` lets a merge rewrite only the days it touches:
+A table split by event day lets a merge rewrite only the days it touches:
 the new version names the rewritten folders and, for every other day, the old
 ones. An unsplit table is rewritten whole.
 """
@@ -16,16 +16,17 @@ ones. An unsplit table is rewritten whole.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gantry.operators.merge import checked_merge
+from gantry.operators.merge import checked_merge, has_unique_keys, quoted
 from gantry.sources.files import folder_names, read_text, write_text_once
 
-EVENT_DATE = "event_date"
+# Not a name a telemetry field is likely to have.
+EVENT_DATE = "_event_date"
 _SNAPSHOT = "snapshot"
 _NULL_DATE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -38,13 +39,14 @@ class Snapshot:
     folders: list[str]
     # Versions of upstream tables this one already contains, by path.
     consumed: dict[str, int]
+    # The key no two rows share, where that is known.
+    unique_key: str | None
 
 
 def _load(spark: SparkSession, path: str, number: int) -> Snapshot:
     raw = json.loads(read_text(spark, f"{path}/_snapshots/{number}.json"))
-    return Snapshot(
-        number, T.StructType.fromJson(raw["schema"]), raw["by_date"], raw["folders"], raw["consumed"]
-    )
+    schema = T.StructType.fromJson(raw.pop("schema"))
+    return Snapshot(number=number, schema=schema, **raw)
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> Snapshot | None:
@@ -62,14 +64,15 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _scan(spark: SparkSession, path: str, snapshot: Snapshot, folders: list[str]) -> DataFrame:
-    """The named folders of a version, with ``event_date`` if it is split by day."""
+    """The named folders of a version, with the event day if it is split by it."""
     extra = [T.StructField(EVENT_DATE, T.DateType())] if snapshot.by_date else []
     schema = T.StructType([*snapshot.schema.fields, *extra])
     if not folders:
         return spark.createDataFrame([], schema)
     files = T.StructType([*schema.fields, T.StructField(_SNAPSHOT, T.IntegerType())])
     reader = spark.read.schema(files).option("basePath", path)
-    return reader.parquet(*(f"{path}/{f}" for f in folders)).select(schema.fieldNames())
+    rows = reader.parquet(*(f"{path}/{f}" for f in folders))
+    return rows.select([quoted(name) for name in schema.fieldNames()])
 
 
 def _existing(spark: SparkSession, path: str) -> Snapshot:
@@ -82,8 +85,8 @@ def _existing(spark: SparkSession, path: str) -> Snapshot:
 def read_table(spark: SparkSession, path: str, with_event_date: bool = False) -> DataFrame:
     """The newest version of a table.
 
-    ``with_event_date`` adds the day a split table is divided by, so that a
-    filter on it prunes folders.
+    ``with_event_date`` adds the day a split table is divided by (``EVENT_DATE``),
+    so that a filter on it prunes folders.
     """
     snapshot = _existing(spark, path)
     df = _scan(spark, path, snapshot, snapshot.folders)
@@ -128,27 +131,32 @@ def _announce(spark: SparkSession, path: str, snapshot: Snapshot) -> None:
             "by_date": snapshot.by_date,
             "folders": snapshot.folders,
             "consumed": snapshot.consumed,
+            "unique_key": snapshot.unique_key,
         }
     )
     write_text_once(spark, f"{path}/_snapshots/{snapshot.number}.json", text)
 
 
 def publish(
-    df: DataFrame, path: str, event_date: Column | None = None, consumed: dict[str, int] | None = None
+    df: DataFrame,
+    path: str,
+    event_date: Column | None = None,
+    consumed: dict[str, int] | None = None,
+    key: str | None = None,
 ) -> None:
     """Make ``df`` the next version of the table, whole.
 
-    ``event_date`` splits the table by that day.
+    ``event_date`` splits the table by that day. Given a ``key``, the written rows
+    are checked for repeats of it, reading nothing else; later merges are faster
+    on a table that has none.
     """
+    spark = df.sparkSession
     dated = df if event_date is None else df.withColumn(EVENT_DATE, event_date)
     number, folders = _write(dated, path)
-    _announce(
-        df.sparkSession, path, Snapshot(number, df.schema, event_date is not None, folders, consumed or {})
-    )
-
-
-def _day_folder(day) -> str:
-    return f"{EVENT_DATE}={_NULL_DATE if day is None else day.isoformat()}"
+    snapshot = Snapshot(number, df.schema, event_date is not None, folders, consumed or {}, None)
+    if key is not None and has_unique_keys(_scan(spark, path, snapshot, folders), key):
+        snapshot = replace(snapshot, unique_key=key)
+    _announce(spark, path, snapshot)
 
 
 def _touched_days(target: DataFrame, source: DataFrame, key: str) -> set[str]:
@@ -157,11 +165,13 @@ def _touched_days(target: DataFrame, source: DataFrame, key: str) -> set[str]:
     The days of the source rows, and the days of the target rows they match: a
     corrected timestamp moves a row, and its old day must be rewritten as well.
     Only the key and the day are read from the target. What comes to the driver
-    is one value per day.
+    is one value per day, as text, since Python has no dates before year 1.
     """
-    matched = target.select(key, EVENT_DATE).join(source.select(key).distinct(), key, "left_semi")
-    days = source.select(EVENT_DATE).union(matched.select(EVENT_DATE)).distinct().collect()
-    return {_day_folder(r[EVENT_DATE]) for r in days}
+    keys = source.select(quoted(key)).distinct()
+    matched = target.select(quoted(key), EVENT_DATE).join(keys, key, "left_semi")
+    days = source.select(EVENT_DATE).union(matched.select(EVENT_DATE)).distinct()
+    found = days.select(F.col(EVENT_DATE).cast("string").alias("day")).collect()
+    return {f"{EVENT_DATE}={_NULL_DATE if r.day is None else r.day}" for r in found}
 
 
 def upsert(
@@ -182,27 +192,31 @@ def upsert(
     spark = df.sparkSession
     old = latest_snapshot(spark, path)
     if old is None:
-        publish(df, path, event_date, consumed)
+        publish(df, path, event_date, consumed, key)
         return
     if old.by_date != (event_date is not None):
         raise ValueError(f"{path} was created with a different split")
-    consumed = {**old.consumed, **(consumed or {})}
 
-    if event_date is None:
-        target = _scan(spark, path, old, old.folders)
-        merged = checked_merge(target, df, key, schema_mode)
-        number, folders = _write(merged, path)
-        _announce(spark, path, Snapshot(number, merged.schema, False, folders, consumed))
-        return
-
-    dated = df.withColumn(EVENT_DATE, event_date)
-    whole = _scan(spark, path, old, old.folders)
-    touched = _touched_days(whole, dated, key)
-    kept = [f for f in old.folders if f.rsplit("/", 1)[1] not in touched]
-    target = _scan(spark, path, old, [f for f in old.folders if f not in set(kept)])
-    # Every target row a source key matches is on a touched day, so the check for
-    # ambiguous keys misses nothing here.
-    merged = checked_merge(target, dated, key, schema_mode)
+    batch, kept, replaced = df, [], old.folders
+    if old.by_date:
+        batch = df.withColumn(EVENT_DATE, event_date)
+        touched = _touched_days(_scan(spark, path, old, old.folders), batch, key)
+        kept = [f for f in old.folders if f.rsplit("/", 1)[1] not in touched]
+        replaced = [f for f in old.folders if f.rsplit("/", 1)[1] in touched]
+    # Every target row a source key matches is in the folders to be replaced, so
+    # the check for ambiguous keys misses nothing by looking only there.
+    target = _scan(spark, path, old, replaced)
+    merged, unique = checked_merge(target, batch, key, schema_mode, old.unique_key == key)
     number, folders = _write(merged, path)
-    schema = T.StructType([f for f in merged.schema.fields if f.name != EVENT_DATE])
-    _announce(spark, path, Snapshot(number, schema, True, kept + folders, consumed))
+    _announce(
+        spark,
+        path,
+        Snapshot(
+            number,
+            T.StructType([f for f in merged.schema.fields if f.name != EVENT_DATE]),
+            old.by_date,
+            kept + folders,
+            {**old.consumed, **(consumed or {})},
+            key if unique else None,
+        ),
+    )

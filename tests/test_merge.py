@@ -17,6 +17,7 @@ from gantry.operators.merge import (
     merge_upsert,
     split_hot,
 )
+from gantry.sources.scratch import stored
 from tests.helpers import bag
 
 
@@ -38,12 +39,32 @@ def test_null_and_duplicate_keys(spark):
     source = frame(spark, [("b", 20), ("n", 30), ("n", 31), (None, 40)])
     expected = [("a", 1), ("b", 20), ("b", 20), ("n", 30), ("n", 31), ("z", 5), (None, 4), (None, 40)]
     assert bag(merge_upsert(target, source, "k")) == Counter(expected)
-    assert bag(checked_merge(target, source, "k")) == Counter(expected)
+    assert bag(checked_merge(target, source, "k")[0]) == Counter(expected)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@pytest.fixture(params=["broadcast", "shuffle"])
+def join_kind(request, spark):
+    """Both ways Spark may join, whatever the size of the rows."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    if request.param == "shuffle":
+        for name in names:
+            spark.conf.set(name, "-1")
+    yield request.param
+    for name in names:
+        spark.conf.unset(name)
+
+
+def outer_merge(target, source, key):
+    return merge_upsert(target, source, key, unique_keys=True)
+
+
+def only_rows(target, source, key):
+    return checked_merge(target, source, key)[0]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(data=st.data())
-def test_against_model(spark, data):
+def test_against_model(spark, join_kind, data):
     key = st.one_of(st.none(), st.sampled_from("abcdefgh"))
     value = st.one_of(st.none(), st.integers(0, 9))
     target = data.draw(st.lists(st.tuples(key, value), max_size=12))
@@ -55,7 +76,7 @@ def test_against_model(spark, data):
         if k is None or k not in present or k not in seen:
             source.append((k, v))
         seen.add(k)
-    for merge in (merge_upsert, checked_merge):
+    for merge in (merge_upsert, outer_merge, only_rows):
         merged = merge(frame(spark, target), frame(spark, source), "k")
         assert bag(merged) == model(target, source)
 
@@ -101,11 +122,11 @@ def test_source_takes_target_types(spark):
     assert dict(merged.dtypes)["v"] == "double"
 
 
-@pytest.mark.parametrize("update", [True, False])
-def test_evolving_schema(spark, update):
+@pytest.mark.parametrize(("update", "unique"), [(True, False), (True, True), (False, False)])
+def test_evolving_schema(spark, join_kind, update, unique):
     target = frame(spark, [("a", 1, "t"), ("b", 2, "t"), (None, 3, "t")], "k string, v int, old string")
     source = frame(spark, [("b", None, "s"), ("c", 4, "s")], "k string, v int, new string")
-    merged = merge_upsert(target, source, "k", schema_mode="evolve", update=update)
+    merged = merge_upsert(target, source, "k", schema_mode="evolve", update=update, unique_keys=unique)
     assert merged.columns == ["k", "v", "old", "new"]
     b = ("b", None, "t", "s") if update else ("b", 2, "t", None)
     expected = [("a", 1, "t", None), b, (None, 3, "t", None), ("c", 4, None, "s")]
@@ -136,7 +157,21 @@ def test_hot_keys_take_the_short_way(spark):
         + Counter((f"t{i}", -i) for i in range(300, 900))
         + Counter(("new", i) for i in range(300))
     )
-    assert bag(checked_merge(target, source, "k")) == expected
+    merged, unique = checked_merge(target, source, "k", target_unique=False)
+    assert bag(merged) == expected
+    assert not unique
+
+
+def test_unique_keys_and_large_batch_take_one_join(spark, join_kind):
+    target, source = frame(spark, [("a", 1), ("b", 2)]), stored(frame(spark, [("b", 3), ("c", 4)]))
+    merged, unique = checked_merge(target, source, "k", target_unique=True)
+    assert unique
+    text = merged._jdf.queryExecution().executedPlan().toString()
+    assert ("FullOuter" in text) == (join_kind == "shuffle")
+    assert bag(merged) == Counter([("a", 1), ("b", 3), ("c", 4)])
+    merged, unique = checked_merge(target, source, "k")
+    assert not unique
+    assert "FullOuter" not in merged._jdf.queryExecution().executedPlan().toString()
 
 
 def test_latest_per_key(spark):

@@ -20,7 +20,7 @@ def frame(spark, rows, schema="k string, t string, v int"):
 
 def days(spark, path):
     """The folders of the newest version, by day."""
-    return {f.split("event_date=")[1]: f for f in latest_snapshot(spark, path).folders}
+    return {f.split("_event_date=")[1]: f for f in latest_snapshot(spark, path).folders}
 
 
 def test_missing_table(spark, tmp_path):
@@ -93,7 +93,7 @@ def test_table_may_feed_its_own_next_version(spark, tmp_path):
 def test_unfinished_write_is_ignored(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert(frame(spark, [("a", "2030-01-01", 1)]), path, "k", day())
-    stray = Path(path) / "snapshot=2" / "event_date=2030-01-01"
+    stray = Path(path) / "snapshot=2" / "_event_date=2030-01-01"
     stray.mkdir(parents=True)
     (stray / "part-0.parquet").write_bytes(b"half a file")
     assert bag(read_table(spark, path)) == Counter([("a", "2030-01-01", 1)])
@@ -132,7 +132,43 @@ def test_split_must_stay_the_same(spark, tmp_path):
 def test_filter_on_day_prunes_folders(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert(frame(spark, [("a", "2030-01-01", 1), ("b", "2030-01-02", 2)]), path, "k", day())
-    one_day = read_table(spark, path, with_event_date=True).filter("event_date = date'2030-01-02'")
+    one_day = read_table(spark, path, with_event_date=True).filter("_event_date = date'2030-01-02'")
     plan = one_day._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert "PartitionFilters: [isnotnull(_event_date" in plan
     assert [r.k for r in one_day.collect()] == ["b"]
+
+
+def test_known_unique_keys(spark, tmp_path):
+    def known(path):
+        return latest_snapshot(spark, path).unique_key
+
+    path = str(tmp_path / "t")
+    rows = [("a", "2030-01-01", 1), (None, None, 2), (None, None, 2)]
+    upsert(frame(spark, rows), path, "k", day())
+    assert known(path) == "k"
+    upsert(frame(spark, [("a", "2030-01-02", 3), ("b", "2030-01-01", 4)]), path, "k", day())
+    assert known(path) == "k"
+    upsert(frame(spark, [("n", "2030-01-01", 5), ("n", "2030-01-02", 6)]), path, "k", day())
+    assert known(path) is None
+    upsert(frame(spark, [("n", "2030-01-03", 7)]), path, "k", day())
+    assert known(path) is None
+    expected = [("a", "2030-01-02", 3), ("b", "2030-01-01", 4), ("n", "2030-01-03", 7), ("n", "2030-01-03", 7)]
+    assert bag(read_table(spark, path).filter("k is not null")) == Counter(expected)
+
+
+def test_days_beyond_the_calendar(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [("a", "0000-12-31", 1), ("b", "9999-12-31", 2), ("c", "+12030-01-01", 3), ("d", "-0044-03-15", 4)]
+    upsert(frame(spark, rows), path, "k", day())
+    upsert(frame(spark, [(k, t, v * 10) for k, t, v in rows]), path, "k", day())
+    assert bag(read_table(spark, path)) == Counter((k, t, v * 10) for k, t, v in rows)
+
+
+def test_odd_column_names(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "k string, t string, `a.b` int, event_date string, `x``y` string"
+    for value in (1, 2):
+        upsert(frame(spark, [("a", "2030-01-01", value, "mine", "z")], schema), path, "k", day())
+    assert read_table(spark, path).collect()[0].asDict() == {
+        "k": "a", "t": "2030-01-01", "a.b": 2, "event_date": "mine", "x`y": "z",
+    }
