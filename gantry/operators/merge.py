@@ -194,15 +194,17 @@ def checked_merge(
     key: str,
     schema_mode: str = "strict",
     target_unique: bool = False,
+    source_unique: bool = False,
 ) -> tuple[DataFrame, bool]:
     """:func:`merge_upsert` for a source whose keys may repeat.
 
-    Returns the merged rows and whether their keys are known to be unique, given
-    ``target_unique``. Ambiguous keys are refused. What repeats and is not refused
+    Returns the merged rows and whether their keys are known to be unique.
+    ``target_unique`` and ``source_unique`` say that of one side; a source not
+    known to be unique is checked. Ambiguous keys are refused. What repeats and is not refused
     matches nothing: the rows of a hot key are then inserted straight away instead
     of being gathered in one task of a join.
     """
-    if has_unique_keys(source, key):
+    if source_unique or has_unique_keys(source, key):
         return merge_upsert(target, source, key, schema_mode, unique_keys=target_unique), target_unique
     examples = ambiguous_keys(target, source, key).limit(5).collect()
     if examples:

@@ -29,10 +29,16 @@ def ingest_bronze(spark: SparkSession, raw_data_path: str, target_path: str, inf
 
 
 def _unseen(spark: SparkSession, source_path: str, target_path: str, incremental: bool):
-    """The part of the source to merge, and the version it brings the target to."""
-    target = latest_snapshot(spark, target_path)
+    """The part of the source to merge, and what to tell the target about it.
+
+    Rows that are only filtered or projected on their way keep the uniqueness of
+    their message ids, so that is not checked again.
+    """
+    target, source = latest_snapshot(spark, target_path), latest_snapshot(spark, source_path)
     since = target.consumed.get(source_path) if target and incremental else None
-    return read_changes(spark, source_path, since), {source_path: latest_snapshot(spark, source_path).number}
+    rows = read_changes(spark, source_path, since)
+    known = {"consumed": {source_path: source.number}, "unique": source.unique_key == MESSAGE_ID}
+    return rows, known
 
 
 def cleanse_silver(
@@ -44,9 +50,9 @@ def cleanse_silver(
     contract, ``"report"`` goes on. ``incremental`` merges only the days of Bronze
     that changed since the last merge; rows of other days are in Silver already.
     """
-    bronze, consumed = _unseen(spark, source_path, target_path, incremental)
+    bronze, known = _unseen(spark, source_path, target_path, incremental)
     silver, violations = enforce(to_silver(bronze), mode)
-    upsert(silver, target_path, MESSAGE_ID, event_date(), consumed=consumed)
+    upsert(silver, target_path, MESSAGE_ID, event_date(), **known)
     return violations
 
 
@@ -72,8 +78,8 @@ def build_gold(
     else:
         upsert(dim, dim_path, CRANE_ID)
 
-    changed, consumed = _unseen(spark, source_path, fact_path, incremental)
-    upsert(to_fact(changed), fact_path, MESSAGE_ID, F.to_date(EVENT_TIME), consumed=consumed)
+    changed, known = _unseen(spark, source_path, fact_path, incremental)
+    upsert(to_fact(changed), fact_path, MESSAGE_ID, F.to_date(EVENT_TIME), **known)
 
 
 def run_pipeline(

@@ -143,37 +143,51 @@ def publish(
     event_date: Column | None = None,
     consumed: dict[str, int] | None = None,
     key: str | None = None,
+    unique: bool = False,
 ) -> None:
     """Make ``df`` the next version of the table, whole.
 
-    ``event_date`` splits the table by that day. Given a ``key``, the written rows
-    are checked for repeats of it, reading nothing else; later merges are faster
-    on a table that has none.
+    ``event_date`` splits the table by that day. Merges are faster on a table known
+    to have no repeats of its ``key``; unless ``unique`` says so, the written rows
+    are checked for that, reading nothing but the key.
     """
     spark = df.sparkSession
     dated = df if event_date is None else df.withColumn(EVENT_DATE, event_date)
     number, folders = _write(dated, path)
     snapshot = Snapshot(number, df.schema, event_date is not None, folders, consumed or {}, None)
-    if key is not None and has_unique_keys(_scan(spark, path, snapshot, folders), key):
+    if key is not None and (unique or has_unique_keys(_scan(spark, path, snapshot, folders), key)):
         snapshot = replace(snapshot, unique_key=key)
     _announce(spark, path, snapshot)
 
 
-def _touched_days(target: DataFrame, source: DataFrame, key: str) -> set[str]:
-    """Day folders a merge has to rewrite.
+def _days(rows: DataFrame) -> set[str]:
+    """The day folders rows belong in.
 
-    The days of the source rows, and the days of the target rows they match: a
-    corrected timestamp moves a row, and its old day must be rewritten as well.
-    Only the key and the day are read from the target. What comes to the driver
-    is one value per day, as text, since Python has no dates before year 1.
+    One value per day comes to the driver, as text, since Python has no dates
+    before year 1.
     """
-    keys = source.select(quoted(key)).distinct()
-    matched = target.select(quoted(key), EVENT_DATE).join(keys, key, "left_semi")
-    days = source.select(EVENT_DATE).union(matched.select(EVENT_DATE)).distinct()
-    found = days.select(F.col(EVENT_DATE).cast("string").alias("day")).collect()
+    found = rows.select(F.col(EVENT_DATE).cast("string").alias("day")).distinct().collect()
     return {f"{EVENT_DATE}={_NULL_DATE if r.day is None else r.day}" for r in found}
 
 
+def _touched(spark: SparkSession, path: str, old: Snapshot, source: DataFrame, key: str) -> set[str]:
+    """The folders a merge has to rewrite.
+
+    Those of the source's days, and those of target rows the source matches on
+    other days: a corrected timestamp moves a row, and its old day must be
+    rewritten too. For the latter only the key and the day are read.
+    """
+    days = _days(source)
+    touched = {f for f in old.folders if f.rsplit("/", 1)[1] in days}
+    others = [f for f in old.folders if f not in touched]
+    if others:
+        keys = source.select(quoted(key)).distinct()
+        elsewhere = _scan(spark, path, old, others).select(quoted(key), EVENT_DATE)
+        days = _days(elsewhere.join(keys, key, "left_semi"))
+        touched |= {f for f in others if f.rsplit("/", 1)[1] in days}
+    return touched
+
+
 def upsert(
     df: DataFrame,
     path: str,
@@ -181,32 +195,32 @@ def upsert(
     event_date: Column | None = None,
     schema_mode: str = "strict",
     consumed: dict[str, int] | None = None,
+    unique: bool = False,
 ) -> None:
     """Merge a batch into the table at ``path``, or create it from the batch.
 
     Creating does not de-duplicate. ``event_date`` is the day expression of a
-    table split by day, and must be given on every call for such a table. The
-    batch is read several times; give a :func:`~gantry.sources.scratch.staged`
+    table split by day, and must be given on every call for such a table. ``unique``
+    says that the batch repeats no key, which saves checking it. The batch is read
+    several times; give a :func:`~gantry.sources.scratch.staged`
     one if computing it is expensive or not repeatable.
     """
     spark = df.sparkSession
     old = latest_snapshot(spark, path)
     if old is None:
-        publish(df, path, event_date, consumed, key)
+        publish(df, path, event_date, consumed, key, unique)
         return
     if old.by_date != (event_date is not None):
         raise ValueError(f"{path} was created with a different split")
 
-    batch, kept, replaced = df, [], old.folders
+    batch, touched = df, set(old.folders)
     if old.by_date:
         batch = df.withColumn(EVENT_DATE, event_date)
-        touched = _touched_days(_scan(spark, path, old, old.folders), batch, key)
-        kept = [f for f in old.folders if f.rsplit("/", 1)[1] not in touched]
-        replaced = [f for f in old.folders if f.rsplit("/", 1)[1] in touched]
-    # Every target row a source key matches is in the folders to be replaced, so
-    # the check for ambiguous keys misses nothing by looking only there.
-    target = _scan(spark, path, old, replaced)
-    merged, unique = checked_merge(target, batch, key, schema_mode, old.unique_key == key)
+        touched = _touched(spark, path, old, batch, key)
+    # Every target row a source key matches is in the touched folders, so the check
+    # for ambiguous keys misses nothing by looking only there.
+    target = _scan(spark, path, old, sorted(touched))
+    merged, still_unique = checked_merge(target, batch, key, schema_mode, old.unique_key == key, unique)
     number, folders = _write(merged, path)
     _announce(
         spark,
@@ -215,8 +229,8 @@ def upsert(
             number,
             T.StructType([f for f in merged.schema.fields if f.name != EVENT_DATE]),
             old.by_date,
-            kept + folders,
+            [f for f in old.folders if f not in touched] + folders,
             {**old.consumed, **(consumed or {})},
-            key if unique else None,
+            key if still_unique else None,
         ),
     )

@@ -18,6 +18,7 @@ from gantry import (
 )
 from gantry.schema import FACT_COLUMNS
 from gantry.sources.landing import read_landing, write_landing
+from gantry.sources.tables import latest_snapshot
 from tests.helpers import FIELDS, FIVE, bag, land, message
 
 LINEAGE = ["ingestion_timestamp", "source_system"]
@@ -163,3 +164,22 @@ def test_nan_literal(spark, tmp_path):
     line = json.dumps(message("m1")).replace("100.0", "NaN")
     landing = land(tmp_path / "in", [], [line])
     assert read_landing(spark, landing).filter(F.isnan("hoist_load_kg")).count() == 1
+
+
+def test_repeated_message_ids(spark, paths, tmp_path):
+    """The first load keeps repeats, in every layer; merging them again is refused."""
+    landing = land(tmp_path / "in", [message("m1", load=1.0), message("m1", load=2.0), message("m2")])
+    run_pipeline(spark, landing, paths)
+    for path in (paths.bronze, paths.silver, paths.fact):
+        assert read_table(spark, path).count() == 3
+        assert latest_snapshot(spark, path).unique_key is None
+    with pytest.raises(AmbiguousMergeError):
+        run_pipeline(spark, landing, paths)
+
+
+def test_uniqueness_is_handed_down(spark, paths, tmp_path):
+    landing = land(tmp_path / "in", FIVE)
+    for _ in range(2):
+        run_pipeline(spark, landing, paths)
+        keys = [latest_snapshot(spark, p).unique_key for p in (paths.bronze, paths.silver, paths.fact, paths.dim)]
+        assert keys == ["message_id", "message_id", "message_id", "crane_id"]
