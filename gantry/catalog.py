@@ -229,7 +229,7 @@ def bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE message_id IS NOT NULL AND crane_id IS NOT NULL"""
 )
 def filter_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sample.readings(spark, sf_dir).select(MESSAGE_ID, CRANE_ID)
+    rows = sample.message_ids(spark, sf_dir)
     return rows.filter(F.col(MESSAGE_ID).isNotNull() & F.col(CRANE_ID).isNotNull())
 
 
