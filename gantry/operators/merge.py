@@ -103,9 +103,15 @@ def _broadcastable(df: DataFrame) -> bool:
     return estimate <= limit
 
 
-def known_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """The distinct keys present on both sides; at most as many as source rows."""
+def _taken_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """Distinct target keys, enough of them to tell which source rows are new.
+
+    With a source small enough to broadcast, only those it holds as well: that
+    test runs before the shuffle, which then has no more keys than source rows.
+    """
     present = _keyed(target.select(_column(key)), key).distinct()
+    if not _broadcastable(source):
+        return present
     return present.join(_keyed(source.select(_column(key)), key), key, "left_semi")
 
 
@@ -148,7 +154,7 @@ def merge_upsert(
     if insert:
         # Reads the same rows and columns as the join above, so that one shuffle
         # of the source serves both.
-        new = keyed.join(known_keys(target, keyed, key), key, "left_anti")
+        new = keyed.join(_taken_keys(target, keyed, key), key, "left_anti")
         merged = merged.union(_padded(new, target, columns))
         merged = merged.union(_padded(_keyless(source, key), target, columns))
     return merged

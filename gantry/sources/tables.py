@@ -94,13 +94,14 @@ def read_table(spark: SparkSession, path: str, with_event_date: bool = False) ->
 
 
 def read_changes(spark: SparkSession, path: str, since: int | None) -> DataFrame:
-    """Rows of the folders written after version ``since``; all rows if None.
+    """Rows of the folders written after version ``since``.
 
     Every row that differs from version ``since`` is among them, along with
-    unchanged rows of the same days.
+    unchanged rows of the same days. All rows, if there is no such version.
     """
     snapshot = _existing(spark, path)
-    seen = set() if since is None else set(_load(spark, path, since).folders)
+    listed = f"{since}.json" in folder_names(spark, f"{path}/_snapshots")
+    seen = set(_load(spark, path, since).folders) if listed else set()
     df = _scan(spark, path, snapshot, [f for f in snapshot.folders if f not in seen])
     return df.drop(EVENT_DATE) if snapshot.by_date else df
 

@@ -120,6 +120,7 @@ def test_changes_since(spark, tmp_path):
     upsert(frame(spark, [("c", "2030-01-02", 3)]), path, "k", day())
     assert bag(read_changes(spark, path, first), "k") == Counter([("b",), ("c",)])
     assert read_changes(spark, path, None).count() == 3
+    assert read_changes(spark, path, 99).count() == 3
 
 
 def test_split_must_stay_the_same(spark, tmp_path):
