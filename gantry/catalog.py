@@ -125,7 +125,8 @@ WHERE NOT EXISTS (SELECT 1 FROM first_load t WHERE t.message_id = s.message_id)"
 _MERGED_SQL = f"WITH {_BATCHES_SQL} {_UPDATED_SQL} UNION ALL {_INSERTED_SQL}"
 
 _HEALTH_SQL = """count(*) AS readings, max(hoist_load_kg) AS max_load_kg,
-  round(avg(vibration_mm_s), 6) AS avg_vibration_mm_s,
+  CAST(sum(CAST(vibration_mm_s AS DECIMAL(18, 6))) AS DOUBLE) / count(vibration_mm_s)
+    AS avg_vibration_mm_s,
   count(*) FILTER (WHERE vibration_mm_s > 45 OR hoist_load_kg > 45000) AS anomalies"""
 
 
@@ -181,11 +182,6 @@ def _plain_time(df: DataFrame, column: str = EVENT_TIME) -> DataFrame:
     return df.withColumn(column, F.col(column).cast("timestamp_ntz"))
 
 
-def _rounded(df: DataFrame) -> DataFrame:
-    """Averages of doubles depend on summing order in the last digits."""
-    return df.withColumn("avg_vibration_mm_s", F.round("avg_vibration_mm_s", 6))
-
-
 # ---- scans and sinks -----------------------------------------------------
 
 
@@ -390,7 +386,7 @@ def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_landing(sample.telemetry(spark, sf_dir), paths.landing)
     run_pipeline(spark, paths.landing, paths)
     fact, dim = read_table(spark, paths.fact), read_table(spark, paths.dim)
-    return _rounded(marts.star_rollup(fact, dim, REGION, MODEL))
+    return marts.star_rollup(fact, dim, REGION, MODEL)
 
 
 # ---- contract ------------------------------------------------------------
@@ -463,7 +459,7 @@ def mtbf(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM fact WHERE event_time IS NOT NULL GROUP BY crane_id, date_trunc('hour', event_time)"""
 )
 def crane_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_plain_time(marts.crane_hourly(_fact(spark, sf_dir)), "hour_start"))
+    return _plain_time(marts.crane_hourly(_fact(spark, sf_dir)), "hour_start")
 
 
 @_query(
@@ -480,7 +476,7 @@ def star_join_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM fact JOIN dim ON fact.crane_id = dim.crane_id GROUP BY crane_model"""
 )
 def star_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(marts.star_rollup(_fact(spark, sf_dir), _stored_dim(spark, sf_dir), MODEL))
+    return marts.star_rollup(_fact(spark, sf_dir), _stored_dim(spark, sf_dir), MODEL)
 
 
 @_query(

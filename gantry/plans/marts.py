@@ -14,6 +14,7 @@ from gantry.functions.telemetry import (
     load_critical,
     mtbf_hours,
     operating_hours,
+    steady_avg,
     vibration_critical,
 )
 from gantry.operators.contract import is_valid
@@ -76,7 +77,7 @@ def _health(grouped) -> DataFrame:
     return grouped.agg(
         F.count(F.lit(1)).alias("readings"),
         F.max(LOAD).alias("max_load_kg"),
-        F.avg(VIBRATION).alias("avg_vibration_mm_s"),
+        steady_avg(VIBRATION).alias("avg_vibration_mm_s"),
         F.count_if(critical_anomaly()).alias("anomalies"),
     )
 
