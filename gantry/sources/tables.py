@@ -1,6 +1,6 @@
 """Tables as Parquet folders that are only ever added to.
 
-``<path>/snapshot=<n>/[_event_date=<d>/]part-*``   data, written once
+``<path>/_snapshot=<n>/[_event_date=<d>/]part-*``  data, written once
 ``<path>/_snapshots/<n>.json``                     folders that make up version n
 
 A version becomes visible when its small file appears, after Spark has committed
@@ -25,9 +25,9 @@ from pyspark.sql import types as T
 from gantry.operators.merge import checked_merge, has_unique_keys, quoted
 from gantry.sources.files import folder_names, read_text, write_text_once
 
-# Not a name a telemetry field is likely to have.
+# Not names a telemetry field is likely to have.
 EVENT_DATE = "_event_date"
-_SNAPSHOT = "snapshot"
+_SNAPSHOT = "_snapshot"
 _NULL_DATE = "__HIVE_DEFAULT_PARTITION__"
 
 

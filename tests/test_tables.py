@@ -93,7 +93,7 @@ def test_table_may_feed_its_own_next_version(spark, tmp_path):
 def test_unfinished_write_is_ignored(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert(frame(spark, [("a", "2030-01-01", 1)]), path, "k", day())
-    stray = Path(path) / "snapshot=2" / "_event_date=2030-01-01"
+    stray = Path(path) / "_snapshot=2" / "_event_date=2030-01-01"
     stray.mkdir(parents=True)
     (stray / "part-0.parquet").write_bytes(b"half a file")
     assert bag(read_table(spark, path)) == Counter([("a", "2030-01-01", 1)])
@@ -167,9 +167,27 @@ def test_days_beyond_the_calendar(spark, tmp_path):
 
 def test_odd_column_names(spark, tmp_path):
     path = str(tmp_path / "t")
-    schema = "k string, t string, `a.b` int, event_date string, `x``y` string"
+    schema = "k string, t string, `a.b` int, event_date string, snapshot string, `x``y` string"
     for value in (1, 2):
-        upsert(frame(spark, [("a", "2030-01-01", value, "mine", "z")], schema), path, "k", day())
+        upsert(frame(spark, [("a", "2030-01-01", value, "mine", "too", "z")], schema), path, "k", day())
     assert read_table(spark, path).collect()[0].asDict() == {
-        "k": "a", "t": "2030-01-01", "a.b": 2, "event_date": "mine", "x`y": "z",
+        "k": "a", "t": "2030-01-01", "a.b": 2, "event_date": "mine", "snapshot": "too", "x`y": "z",
     }
+
+
+def test_rebalanced_writes(spark, tmp_path):
+    """One file a day while days are small; a day too big for one task is split."""
+    day_of = F.when(F.col("id") % 3 == 0, "2030-01-01").otherwise(F.concat(F.lit("2030-02-0"), F.col("id") % 9 + 1))
+    rows = spark.range(60_000).select(F.col("id").cast("string").alias("k"), day_of.alias("t"), F.col("id").alias("v"))
+
+    def files(path):
+        upsert(rows, path, "k", day())
+        assert read_table(spark, path).count() == 60_000
+        return {d: len(list((Path(path) / f).glob("part-*"))) for d, f in days(spark, path).items()}
+
+    assert set(files(str(tmp_path / "small")).values()) == {1}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    try:
+        assert files(str(tmp_path / "big"))["2030-01-01"] > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
