@@ -39,6 +39,7 @@ from gantry.sources import sample
 from gantry.sources.landing import read_landing, write_landing
 from gantry.sources.scratch import scratch_path, stored
 from gantry.sources.tables import read_table, upsert
+from gantry.streaming.ingest import merge_appended
 from gantry.streaming.ingest import stream_ingest as run_stream
 
 FIRST_LOAD_ENDS = "2024-01-21"
@@ -283,12 +284,14 @@ def merge_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"WITH {_BATCHES_SQL} {_UPDATED_SQL}")
 def merge_update_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_upsert(_first_load(spark, sf_dir), _second_load(spark, sf_dir), MESSAGE_ID, insert=False)
+    first, second = _first_load(spark, sf_dir), _second_load(spark, sf_dir)
+    return merge_upsert(first, second, MESSAGE_ID, insert=False, unique_keys=True)
 
 
 @_query(f"WITH {_BATCHES_SQL} SELECT * FROM first_load UNION ALL {_INSERTED_SQL}")
 def merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_upsert(_first_load(spark, sf_dir), _second_load(spark, sf_dir), MESSAGE_ID, update=False)
+    first, second = _first_load(spark, sf_dir), _second_load(spark, sf_dir)
+    return merge_upsert(first, second, MESSAGE_ID, update=False, unique_keys=True)
 
 
 @_query(_MERGED_SQL)
@@ -417,6 +420,18 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/table").select(*TELEMETRY.fieldNames(), "source_system")
 
 
+@_query(_MERGED_SQL)
+def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches appended by the stream, then merged: the later row of a message counts."""
+    base = scratch_path(spark)
+    for batch in (_first_load(spark, sf_dir), _second_load(spark, sf_dir)):
+        batch.write.mode("append").json(f"{base}/landing")
+        run_stream(spark, f"{base}/landing", f"{base}/appended", f"{base}/taken").awaitTermination()
+    merge_appended(spark, f"{base}/appended", f"{base}/table", f"{base}/merged").awaitTermination()
+    merged = read_table(spark, f"{base}/table")
+    return merged.select(MESSAGE_ID, CRANE_ID, TIMESTAMP, LOAD, VIBRATION)
+
+
 # ---- reports -------------------------------------------------------------
 
 

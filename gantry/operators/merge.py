@@ -103,13 +103,15 @@ def _broadcastable(df: DataFrame) -> bool:
     return estimate <= limit
 
 
-def _taken_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+def _taken_keys(target: DataFrame, source: DataFrame, key: str, unique: bool) -> DataFrame:
     """Distinct target keys, enough of them to tell which source rows are new.
 
     With a source small enough to broadcast, only those it holds as well: that
     test runs before the shuffle, which then has no more keys than source rows.
     """
-    present = _keyed(target.select(_column(key)), key).distinct()
+    present = _keyed(target.select(_column(key)), key)
+    if not unique:
+        present = present.distinct()
     if not _broadcastable(source):
         return present
     return present.join(_keyed(source.select(_column(key)), key), key, "left_semi")
@@ -135,7 +137,7 @@ def merge_upsert(
 
     Matching source keys must be unique; use :func:`checked_merge` where that is
     not known. ``unique_keys`` says that neither side repeats a key, which allows
-    the faster plan; if it is not so, the rows are the same but hot keys are slow.
+    faster plans; if it is not so, the rows are the same but hot keys are slow.
     """
     source = _conform(source, target, schema_mode)
     columns = target.columns + [c for c in source.columns if c not in target.columns]
@@ -154,7 +156,7 @@ def merge_upsert(
     if insert:
         # Reads the same rows and columns as the join above, so that one shuffle
         # of the source serves both.
-        new = keyed.join(_taken_keys(target, keyed, key), key, "left_anti")
+        new = keyed.join(_taken_keys(target, keyed, key, unique_keys), key, "left_anti")
         merged = merged.union(_padded(new, target, columns))
         merged = merged.union(_padded(_keyless(source, key), target, columns))
     return merged

@@ -76,9 +76,11 @@ def merge_appended(
 def drop_repeats(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
     """A stream without repeats of a message id that arrive within ``delay``.
 
-    State is bounded by the watermark. Messages without an id are no repeats of
-    each other and all pass, as do those without a readable timestamp, which no
-    watermark could ever expire.
+    State is bounded by the watermark, which also means that a message more than
+    ``delay`` behind the newest one is left out: choose it longer than messages can
+    be late, or use :func:`merge_appended`, which has no such limit. Messages
+    without an id are no repeats of each other and all pass, as do those without a
+    readable timestamp, which no watermark could ever expire.
     """
     timed = stream.withColumn(EVENT_TIME, parse_event_time())
     usable = F.col(MESSAGE_ID).isNotNull() & F.col(EVENT_TIME).isNotNull()
