@@ -62,7 +62,7 @@ def only_rows(target, source, key):
     return checked_merge(target, source, key)[0]
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(data=st.data())
 def test_against_model(spark, join_kind, data):
     key = st.one_of(st.none(), st.sampled_from("abcdefgh"))
