@@ -5,8 +5,8 @@ streams) really write and read back, in the shared scratch folder.
 
 The merge queries need two batches of one feed. The first load holds everything
 up to its closing date; the second, which begins ten days earlier, re-sends the
-overlap with corrected loads and goes on to the end. Together they cover every
-event, and updates, inserts and untouched rows all occur.
+overlap with corrected loads and goes on to the end, undated events included.
+Together they cover every event, and updates, inserts and untouched rows all occur.
 """
 
 from __future__ import annotations
@@ -108,7 +108,7 @@ first_load AS (
 ), second_load AS (
   SELECT message_id, crane_id, "timestamp",
     hoist_load_kg + CAST({LOAD_CORRECTION} AS DOUBLE) AS hoist_load_kg, vibration_mm_s, event_type
-  FROM readings WHERE ts >= TIMESTAMP '{SECOND_LOAD_STARTS}'
+  FROM readings WHERE ts >= TIMESTAMP '{SECOND_LOAD_STARTS}' OR ts IS NULL
 )"""
 
 _UPDATED_SQL = """
@@ -174,7 +174,7 @@ def _first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _second_load(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     since = F.col("ts") >= F.lit(SECOND_LOAD_STARTS).cast("timestamp_ntz")
-    resent = sample.readings(spark, sf_dir, since, *extra)
+    resent = sample.readings(spark, sf_dir, since | F.col("ts").isNull(), *extra)
     return resent.withColumn(LOAD, F.col(LOAD) + F.lit(LOAD_CORRECTION))
 
 
@@ -387,7 +387,7 @@ def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing files through all four tables, then crane health from the star schema."""
     paths = LakePaths(scratch_path(spark))
     write_landing(sample.telemetry(spark, sf_dir), paths.landing)
-    run_pipeline(spark, paths.landing, paths)
+    run_pipeline(spark, paths.landing, paths, mode="report")
     fact, dim = read_table(spark, paths.fact), read_table(spark, paths.dim)
     return marts.star_rollup(fact, dim, REGION, MODEL)
 
