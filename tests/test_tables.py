@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gantry.operators.merge import AmbiguousMergeError, MergeSchemaError
+from gantry.sources.files import read_text, write_text_once
 from gantry.sources.tables import latest_snapshot, publish, read_changes, read_table, table_exists, upsert
 from tests.helpers import bag
 
@@ -102,6 +103,15 @@ def test_unfinished_write_is_ignored(spark, tmp_path):
     assert latest_snapshot(spark, path).number == 3
 
 
+def test_version_file_is_never_replaced(spark, tmp_path):
+    path = str(tmp_path / "1.json")
+    write_text_once(spark, path, "first é")
+    with pytest.raises(FileExistsError):
+        write_text_once(spark, path, "second")
+    assert read_text(spark, path) == "first é"
+    assert [p.name for p in tmp_path.glob("*1.json*") if not p.name.endswith(".crc")] == ["1.json"]
+
+
 def test_evolved_table_reads_old_days_with_nulls(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert(frame(spark, [("a", "2030-01-01", 1), ("b", "2030-01-02", 2)]), path, "k", day())
