@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm import chat, mixing, quality, secrets
+from gantry.llm import chat, decontaminate, mixing, quality, secrets
 from gantry.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_report(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+
+
 @_query
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, sf_dir, "documents"))
