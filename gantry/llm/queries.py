@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm import chat, decontaminate, mixing, ngram_join, quality, secrets, suffix_dedup
+from gantry.llm import chat, decontaminate, mixing, ngram_join, quality, secrets, suffix_dedup, toxicity
 from gantry.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +96,11 @@ FROM shares
 """
 
 
+@_query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @_query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_report(read_table(spark, sf_dir, "documents"))
