@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm import chat, decontaminate, mixing, ngram_join, quality, secrets, suffix_dedup, toxicity
+from gantry.llm import chat, decontaminate, lm, mixing, ngram_join, quality, secrets, suffix_dedup, toxicity
 from gantry.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(read_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.language_scores(read_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read_table(spark, sf_dir, "documents"))
