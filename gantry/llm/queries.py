@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm import chat, decontaminate, lm, mixing, ngram_join, quality, secrets, suffix_dedup, toxicity
+from gantry.llm import chat, decontaminate, licenses, lm, mixing, ngram_join, quality, secrets, suffix_dedup, toxicity
 from gantry.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(read_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(
