@@ -81,7 +81,8 @@ def _inverse_demand(share: Column, slope: Column) -> Column:
     """The time t in 0..1 at which t + slope * (t^2 - t) reaches ``share``."""
     share = F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0))
     root = F.sqrt((1 - slope) * (1 - slope) + 4 * slope * share)
-    return F.when(slope == 0, share).otherwise(F.try_divide(root - (1 - slope), 2 * slope))
+    # the addition turns a negative zero into zero
+    return F.when(slope == 0, share).otherwise(F.try_divide(root - (1 - slope), 2 * slope) + 0.0)
 
 
 def training_positions(
@@ -98,8 +99,10 @@ def training_positions(
     ``size``, ``source_size``, ``target``, ``taken`` and ``positions``, an array of the
     training positions (0..1) at which the document is read: none, one for each reading.
     """
-    names = ("size", "source", "key", "bucket", "bucket_size", "before", "end", "mix")
-    size, source, key, bucket, bucket_size, before, end, mix = (free_name(docs, f"mix_{n}") for n in names)
+    names = ("size", "source", "key", "bucket", "bucket_size", "before", "end", "mix", "of_source", "of_bucket")
+    size, source, key, bucket, bucket_size, before, end, mix, of_source, of_bucket = (
+        free_name(docs, f"mix_{n}") for n in names
+    )
     identity = F.concat_ws(
         "\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x1e")) for c in (id_col, text_col)]
     )
@@ -119,15 +122,15 @@ def training_positions(
         most_times,
     )
     goals = buckets.join(sources, F.col(source).eqNullSafe(F.col("source")), "left").select(
-        F.col(source).alias("of_source"),
-        F.col(bucket).alias("of_bucket"),
+        F.col(source).alias(of_source),
+        F.col(bucket).alias(of_bucket),
         before,
         F.struct("source_size", "target", "slope").alias(mix),
     )
     within = Window.partitionBy(source, bucket).orderBy(key)
     running = sized.withColumn(end, F.sum(size).over(within.rowsBetween(Window.unboundedPreceding, 0)))
     placed = running.join(
-        goals, F.col(source).eqNullSafe(F.col("of_source")) & (F.col(bucket) == F.col("of_bucket")), "left"
+        goals, F.col(source).eqNullSafe(F.col(of_source)) & (F.col(bucket) == F.col(of_bucket)), "left"
     )
     goal = F.col(mix)
     stop = F.round(goal["target"]).cast("long")
