@@ -1,0 +1,128 @@
+"""Every operator on awkward rows and on empty tables; defined results, no crash."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from gantry.llm import chat, decontaminate, licenses, lm, mixing, ngram_join, quality, secrets, suffix_dedup, toxicity
+
+from .cases import BASE, documents, no_documents, rows
+
+ITEMS = "item_id long, text string, score double"
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def items(spark):
+    return spark.createDataFrame([(1, BASE, 0.0), (2, None, None), (3, "", 0.0), (4, "one two", 0.0), (None, BASE, 1.0)], ITEMS)
+
+
+def labels(spark):
+    found = [(i, 1, int(i % 5 == 0)) for i in range(18)]
+    return spark.createDataFrame([*found, (None, 1, 1), (2, None, None), (3, 1, 0), (3, 1, 1)], LABELS)
+
+
+PER_DOCUMENT = {
+    "secrets": lambda spark, docs: secrets.find_secrets(docs),
+    "lm": lambda spark, docs: lm.language_scores(docs),
+    "quality": lambda spark, docs: quality.quality_report(docs),
+    "licenses": lambda spark, docs: licenses.license_report(docs),
+    "jaccard": lambda spark, docs: ngram_join.jaccard_components(docs),
+    "mix": lambda spark, docs: mixing.mix_report(docs),
+    "toxicity": lambda spark, docs: toxicity.toxicity_scores(docs, labels(spark)),
+    "suffix": lambda spark, docs: suffix_dedup.removal_report(docs),
+}
+
+
+@pytest.mark.parametrize("name", sorted(PER_DOCUMENT))
+def test_one_row_for_each_document(spark, name):
+    result = PER_DOCUMENT[name](spark, documents(spark)).collect()
+    assert Counter(r.doc_id for r in result) == Counter(r[0] for r in rows())
+    empty = PER_DOCUMENT[name](spark, no_documents(spark))
+    assert empty.collect() == []
+
+
+def test_quality_of_empty_texts(spark):
+    found = [r for r in PER_DOCUMENT["quality"](spark, documents(spark)).collect() if r.doc_id in (0, 1, 2)]
+    assert all((r.n_words, r.word_chars, r.kept) == (0, 0, False) for r in found)
+
+
+def test_empty_sets_link_to_nothing(spark):
+    found = {r.doc_id: r for r in PER_DOCUMENT["jaccard"](spark, documents(spark)).collect() if r.doc_id is not None}
+    assert [found[i].component_id for i in (0, 1, 2)] == [0, 1, 2]
+    assert {found[i].component_id for i in (5, 6, 7, 8)} == {5}
+    assert found[12].component_id == found[13].component_id == 12
+
+
+def test_labels_of_one_kind_give_the_prior(spark):
+    one = labels(spark).withColumn("toxic", F.lit(0))
+    assert {r.score for r in toxicity.toxicity_scores(documents(spark), one).collect()} == {0.0}
+
+
+def test_contamination(spark):
+    docs = documents(spark)
+    found = decontaminate.contamination_report(docs, items(spark)).collect()
+    ids = {r.doc_id for r in found}
+    assert {None, 5, 6, 7, 8} == ids
+    assert {r.item_id for r in found} == {1, None}
+    assert decontaminate.contamination_report(docs, items(spark).limit(0)).collect() == []
+    assert decontaminate.contamination_report(no_documents(spark), items(spark)).collect() == []
+    kept = decontaminate.without_leaks(docs, items(spark))
+    assert kept.columns == docs.columns
+    assert kept.count() == docs.count() - len(ids) - 1  # document 5 is there twice
+
+
+def test_contamination_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 1)
+    found = decontaminate.contamination_report(documents(spark), items(spark)).collect()
+    assert {r.doc_id for r in found} == {None, 5, 6, 7, 8}
+
+
+def test_chats(spark):
+    schema = "conv_id long, turn long, role string, text string, n int, segment string"
+    rows = [
+        (1, 0, "user", "a", 1, "x"),
+        (1, 0, "user", "a", 1, "x"),
+        (1, 1, "assistant", "b", 1, "x"),
+        (2, 0, "user", "a", 1, "x"),
+        (2, 1, "assistant", "b", 1, "x"),
+        (2, 2, None, None, 1, "x"),
+        (3, 0, "user", "a", 1, "x"),
+        (3, 1, "assistant", "b", 1, "x"),
+        (3, 2, None, "", 1, "x"),
+        (4, None, "user", "z", None, None),
+        (5, 0, "user", "a", 1, "x"),
+        (None, 0, "user", "q", 1, "x"),
+        (7, 300, "user", "late", 1, "x"),
+        (7, 2, "user", "early", 1, "x"),
+    ]
+    conversations = spark.createDataFrame(rows, schema)
+    found = {(r.conv_id, r.segment): r.text for r in chat.format_chats(conversations).collect()}
+    assert set(found) == {(2, 0), (3, 0), (4, None), (None, 0), (7, 0), (7, 1)}
+    assert found[2, 0] == "<|user|>\na\n<|end|>\n<|assistant|>\nb\n<|end|>\n<||>\n\n<|end|>\n"
+    assert found[7, 0] + found[7, 1] == "<|user|>\nearly\n<|end|>\n<|user|>\nlate\n<|end|>\n"
+    assert chat.format_chats(conversations.limit(0)).collect() == []
+
+
+def test_stages_keep_columns(spark, tmp_path):
+    items(spark).write.parquet(f"{tmp_path}/benchmark.parquet")
+    for docs in (documents(spark), no_documents(spark)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            result = stage(spark, docs, str(tmp_path))
+            assert result.dtypes == docs.dtypes, name
+            result.collect()
+        mixed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+        assert mixed.columns == [*docs.columns, "position", "words"]
+        mixed.collect()
+
+
+def test_suffix_text(spark):
+    docs = documents(spark)
+    result = suffix_dedup.without_repeats(docs)
+    assert result.dtypes == docs.dtypes
+    texts = {r.doc_id: r.text for r in result.collect()}
+    assert texts[0] is None and texts[1] == "" and texts[3] in ("one", "again")
+    assert texts[13] == " tail" and texts[5] == ""
