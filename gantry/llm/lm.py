@@ -309,12 +309,13 @@ class Scorer:
         starts = np.repeat(begins, later) + STRIDE * (
             1 + np.arange(int(later.sum())) - np.repeat(np.cumsum(later) - later, later)
         )
-        for of_kind, first in ((begins, 0), (starts, WINDOW - STRIDE)):
+        for of_kind, stops, first in ((begins, ends, 0), (starts, np.repeat(ends, later), WINDOW - STRIDE)):
             for i in range(0, len(of_kind), SCORED):
                 place = of_kind[i : i + SCORED, None] + np.arange(WINDOW)
                 found = self.windows(inputs[place], classes[place], first)
-                # later texts overwrite what a window computes beyond its own text
-                logs[place[:, first:].ravel()] = found.ravel()
+                place = place[:, first:]
+                own = place < stops[i : i + SCORED, None]
+                logs[place[own]] = found[own]
         return logs
 
 
