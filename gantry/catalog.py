@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from gantry.functions.telemetry import event_date, parse_event_time
 from gantry.operators.contract import contract_report as report
+from gantry.operators.contract import full_report
 from gantry.operators.merge import ambiguous_keys, merge_upsert
-from gantry.operators.star import enrich_dim, star_join, visible_facts
+from gantry.operators.star import enrich_dim, star_join, visible_cranes, visible_facts
 from gantry.plans import marts
 from gantry.plans.medallion import run_pipeline
 from gantry.plans.stages import to_bronze, to_dim, to_dim_latest, to_fact, to_silver
@@ -56,12 +57,7 @@ def _query(oracle: str, name: str | None = None) -> Callable[[Query], Query]:
     """Register a query, by default under its function's name."""
 
     def register(run: Query) -> Query:
-        def pinned(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # Timestamp text without an offset means UTC.
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return run(spark, sf_dir)
-
-        QUERIES[name or run.__name__] = pinned
+        QUERIES[name or run.__name__] = run
         ORACLES[name or run.__name__] = oracle
         return run
 
@@ -111,6 +107,14 @@ first_load AS (
   FROM readings WHERE ts >= TIMESTAMP '{SECOND_LOAD_STARTS}' OR ts IS NULL
 )"""
 
+#: Every so many events lack their id, time or load.
+_MESSY_SQL = f"""readings AS (SELECT event_id, {_MEASURES_SQL} FROM events), messy AS (
+  SELECT CASE WHEN event_id % 89 <> 0 THEN message_id END AS message_id, crane_id,
+    CASE WHEN event_id % 97 <> 0 THEN "timestamp" END AS "timestamp",
+    CASE WHEN event_id % 83 <> 0 THEN hoist_load_kg END AS hoist_load_kg, vibration_mm_s
+  FROM readings
+)"""
+
 _UPDATED_SQL = """
 SELECT t.message_id,
   CASE WHEN s.message_id IS NOT NULL THEN s.crane_id ELSE t.crane_id END AS crane_id,
@@ -126,8 +130,7 @@ WHERE NOT EXISTS (SELECT 1 FROM first_load t WHERE t.message_id = s.message_id)"
 _MERGED_SQL = f"WITH {_BATCHES_SQL} {_UPDATED_SQL} UNION ALL {_INSERTED_SQL}"
 
 _HEALTH_SQL = """count(*) AS readings, max(hoist_load_kg) AS max_load_kg,
-  CAST(sum(CAST(vibration_mm_s AS DECIMAL(18, 6))) AS DOUBLE) / count(vibration_mm_s)
-    AS avg_vibration_mm_s,
+  round(avg(vibration_mm_s), 6) AS avg_vibration_mm_s,
   count(*) FILTER (WHERE vibration_mm_s > 45 OR hoist_load_kg > 45000) AS anomalies"""
 
 
@@ -178,6 +181,28 @@ def _second_load(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     return resent.withColumn(LOAD, F.col(LOAD) + F.lit(LOAD_CORRECTION))
 
 
+def _run(spark: SparkSession, sf_dir: str) -> LakePaths:
+    """All tables, loaded from landing files."""
+    paths = LakePaths(scratch_path(spark))
+    write_landing(sample.telemetry(spark, sf_dir), paths.landing)
+    run_pipeline(spark, paths.landing, paths, mode="report")
+    return paths
+
+
+def _rounded(health: DataFrame) -> DataFrame:
+    """Averages without the last digits, which depend on the order of adding."""
+    return health.withColumn("avg_vibration_mm_s", F.round("avg_vibration_mm_s", 6))
+
+
+def _messy(spark: SparkSession, sf_dir: str, when=None) -> DataFrame:
+    """Readings some of which lack their id, time or load."""
+    rows = sample.readings(spark, sf_dir, when, "event_id")
+    missing = {MESSAGE_ID: 89, TIMESTAMP: 97, LOAD: 83}
+    return rows.withColumns(
+        {c: F.when(F.col("event_id") % every != 0, F.col(c)) for c, every in missing.items()}
+    ).drop("event_id")
+
+
 def _plain_time(df: DataFrame, column: str = EVENT_TIME) -> DataFrame:
     """An instant as its UTC wall-clock time, the type plain SQL compares."""
     return df.withColumn(column, F.col(column).cast("timestamp_ntz"))
@@ -282,6 +307,36 @@ def merge_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_upsert(first, second, MESSAGE_ID, unique_keys=True)
 
 
+@_query(_MERGED_SQL)
+def merge_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan for batches too large to broadcast."""
+    first, second = _first_load(spark, sf_dir), _second_load(spark, sf_dir)
+    return merge_upsert(first, second, MESSAGE_ID, unique_keys=True, small_source=False)
+
+
+_NULL_MERGE_SQL = f"""WITH {_MESSY_SQL}, first_load AS (SELECT * FROM messy), second_load AS (
+  SELECT message_id, crane_id, "timestamp", hoist_load_kg + CAST(1000 AS DOUBLE) AS hoist_load_kg, vibration_mm_s
+  FROM messy WHERE hoist_load_kg IS NULL OR hoist_load_kg > 10000)
+{_UPDATED_SQL} UNION ALL {_INSERTED_SQL}"""
+
+
+def _null_merge(spark: SparkSession, sf_dir: str, small: bool) -> DataFrame:
+    rows = _messy(spark, sf_dir)
+    source = rows.filter(F.col(LOAD).isNull() | (F.col(LOAD) > 10000.0)).withColumn(LOAD, F.col(LOAD) + 1000.0)
+    return merge_upsert(rows, source, MESSAGE_ID, unique_keys=True, small_source=small)
+
+
+@_query(_NULL_MERGE_SQL)
+def merge_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULL ids on both sides match nothing; a NULL load replaces a value."""
+    return _null_merge(spark, sf_dir, small=True)
+
+
+@_query(_NULL_MERGE_SQL)
+def merge_null_keys_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _null_merge(spark, sf_dir, small=False)
+
+
 @_query(f"WITH {_BATCHES_SQL} {_UPDATED_SQL}")
 def merge_update_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = _first_load(spark, sf_dir), _second_load(spark, sf_dir)
@@ -375,7 +430,10 @@ def dim_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 'dim', count(*) FROM dim"""
 )
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.layer_counts(sample.telemetry(spark, sf_dir))
+    """Counted in the stored tables of a pipeline run."""
+    paths = _run(spark, sf_dir)
+    layers = {"bronze": paths.bronze, "silver": paths.silver, "fact": paths.fact, "dim": paths.dim}
+    return marts.layer_counts({name: read_table(spark, path) for name, path in layers.items()})
 
 
 @_query(
@@ -385,11 +443,51 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing files through all four tables, then crane health from the star schema."""
-    paths = LakePaths(scratch_path(spark))
-    write_landing(sample.telemetry(spark, sf_dir), paths.landing)
-    run_pipeline(spark, paths.landing, paths, mode="report")
+    paths = _run(spark, sf_dir)
     fact, dim = read_table(spark, paths.fact), read_table(spark, paths.dim)
-    return marts.star_rollup(fact, dim, REGION, MODEL)
+    return _rounded(marts.star_rollup(fact, dim, REGION, MODEL))
+
+
+_VALID_SQL = """message_id IS NOT NULL AND crane_id IS NOT NULL
+    AND hoist_load_kg BETWEEN 0 AND 50000 AND vibration_mm_s BETWEEN 0 AND 100"""
+
+
+@_query(
+    f"""WITH dated AS (SELECT event_id, ts, {_MEASURES_SQL} FROM events), messy AS (
+      SELECT ts, CASE WHEN event_id % 89 <> 0 THEN message_id END AS message_id, crane_id,
+        CASE WHEN event_id % 97 <> 0 THEN "timestamp" END AS "timestamp",
+        CASE WHEN event_id % 83 <> 0 THEN hoist_load_kg END AS hoist_load_kg, vibration_mm_s
+      FROM dated
+    ), first_load AS (
+      SELECT * FROM (SELECT message_id, crane_id, "timestamp", hoist_load_kg, vibration_mm_s FROM dated
+                     WHERE ts < TIMESTAMP '{FIRST_LOAD_ENDS}') WHERE {_VALID_SQL}
+    ), second_load AS (
+      SELECT * FROM (SELECT message_id, crane_id, "timestamp",
+                       hoist_load_kg + CAST({LOAD_CORRECTION} AS DOUBLE) AS hoist_load_kg, vibration_mm_s FROM messy
+                     WHERE ts >= TIMESTAMP '{SECOND_LOAD_STARTS}' OR ts IS NULL) WHERE {_VALID_SQL}
+    ), silver AS ({_UPDATED_SQL} UNION ALL {_INSERTED_SQL})
+    SELECT message_id, crane_id, TRY_CAST("timestamp" AS TIMESTAMP) AS event_time, hoist_load_kg, vibration_mm_s,
+      incremental FROM silver CROSS JOIN (VALUES (true), (false)) AS runs(incremental)"""
+)
+def medallion_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact table after a second day: corrections, undated rows, rows without id, a broken line.
+
+    Merging only the days that changed must give the same as merging all.
+    """
+    since = F.col("ts") >= F.lit(SECOND_LOAD_STARTS).cast("timestamp_ntz")
+    second = _messy(spark, sf_dir, since | F.col("ts").isNull())
+    second = second.withColumn(LOAD, F.col(LOAD) + F.lit(LOAD_CORRECTION))
+    base = scratch_path(spark)
+    write_landing(_first_load(spark, sf_dir), f"{base}/day_1")
+    write_landing(second, f"{base}/day_2")
+    spark.createDataFrame([("{broken",)], "value string").write.mode("append").text(f"{base}/day_2")
+    facts = []
+    for incremental in (True, False):
+        paths = LakePaths(f"{base}/{'incremental' if incremental else 'full'}")
+        for day in ("day_1", "day_2"):
+            run_pipeline(spark, f"{base}/{day}", paths, mode="report", incremental=incremental)
+        facts.append(read_table(spark, paths.fact).withColumn("incremental", F.lit(incremental)))
+    return _plain_time(facts[0].union(facts[1]))
 
 
 # ---- contract ------------------------------------------------------------
@@ -407,6 +505,32 @@ def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(sample.readings(spark, sf_dir))
 
 
+@_query(
+    f"""WITH {_MESSY_SQL}, checked AS (SELECT * FROM messy)
+    SELECT * FROM ({_checks_sql('checked')}) WHERE column_name NOT IN ('crane_id', 'hoist_load_kg')
+    UNION ALL SELECT 'crane_id', 'present', CAST(NULL AS BIGINT), count(*) FROM messy
+    UNION ALL SELECT 'hoist_load_kg', 'type double', CAST(NULL AS BIGINT), count(*) FROM messy"""
+)
+def contract_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with NULLs, without the crane, and with the load as text."""
+    rows = _messy(spark, sf_dir).drop(CRANE_ID)
+    return full_report(rows.withColumn(LOAD, F.col(LOAD).cast("string")))
+
+
+@_query(f"WITH {_MESSY_SQL} {_checks_sql('messy')}")
+def reject_counts_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why readings are dropped, among rows with NULL ids, times and measures."""
+    return report(_messy(spark, sf_dir))
+
+
+@_query(
+    f"""WITH {_MESSY_SQL} SELECT * FROM messy WHERE message_id IS NOT NULL AND crane_id IS NOT NULL
+      AND hoist_load_kg BETWEEN 0 AND 50000 AND vibration_mm_s BETWEEN 0 AND 100"""
+)
+def silver_cleanse_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_silver(_messy(spark, sf_dir))
+
+
 # ---- streaming -----------------------------------------------------------
 
 
@@ -474,7 +598,7 @@ def mtbf(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM fact WHERE event_time IS NOT NULL GROUP BY crane_id, date_trunc('hour', event_time)"""
 )
 def crane_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain_time(marts.crane_hourly(_fact(spark, sf_dir)), "hour_start")
+    return _plain_time(_rounded(marts.crane_hourly(_fact(spark, sf_dir))), "hour_start")
 
 
 @_query(
@@ -491,7 +615,7 @@ def star_join_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM fact JOIN dim ON fact.crane_id = dim.crane_id GROUP BY crane_model"""
 )
 def star_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.star_rollup(_fact(spark, sf_dir), _stored_dim(spark, sf_dir), MODEL)
+    return _rounded(marts.star_rollup(_fact(spark, sf_dir), _stored_dim(spark, sf_dir), MODEL))
 
 
 @_query(
@@ -508,3 +632,11 @@ def rls_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = _stored_dim(spark, sf_dir)
     return _plain_time(visible_facts(_fact(spark, sf_dir), dim, grants, REGION_MANAGER))
 
+
+@_query(
+    f"""WITH {_GOLD_SQL} SELECT * FROM dim WHERE operational_region IN (
+      SELECT r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_name = '{REGION_MANAGER}')"""
+)
+def rls_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the same manager sees of the dimension."""
+    return visible_cranes(to_dim(_silver(spark, sf_dir)), sample.region_grants(spark, sf_dir), REGION_MANAGER)

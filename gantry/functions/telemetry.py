@@ -44,18 +44,6 @@ def critical_anomaly() -> Column:
     return vibration_critical() | load_critical()
 
 
-def steady_avg(measure: str) -> Column:
-    """Mean of a measure, the same however the rows are distributed.
-
-    A sum of doubles differs in its last digits with the order of adding, which
-    no rounding of the result hides reliably. Here a millionth of the measure's
-    unit is the smallest step, and sums of those are exact. For Silver or later:
-    NaN has no decimal.
-    """
-    exact = F.sum(F.col(measure).cast("decimal(18,6)"))
-    return exact.cast("double") / F.nullif(F.count(measure), F.lit(0))
-
-
 def operating_hours(readings: Column) -> Column:
     """Each reading stands for one five-minute interval of operation.
 

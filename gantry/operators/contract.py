@@ -160,6 +160,19 @@ def contract_report(df: DataFrame, contract: Contract = TELEMETRY_CONTRACT) -> D
     return counts.select(F.inline(rows))
 
 
+def full_report(df: DataFrame, contract: Contract = TELEMETRY_CONTRACT) -> DataFrame:
+    """:func:`contract_report` with a row for each missing or wrongly typed column, which has no count."""
+    report = contract_report(df, contract)
+    found = [F.struct(F.lit(v.column).alias("column_name"), F.lit(v.check).alias("check_name")) for v in schema_violations(df, contract)]
+    if not found:
+        return report
+    rows = df.agg(F.count(F.lit(1)).alias("rows_checked"))
+    schema = rows.select(F.explode(F.array(*found)).alias("rule"), "rows_checked").select(
+        "rule.column_name", "rule.check_name", F.lit(None).cast("long").alias("failures"), "rows_checked"
+    )
+    return report.unionByName(schema)
+
+
 def enforce(
     df: DataFrame, mode: str = "fail", contract: Contract = TELEMETRY_CONTRACT
 ) -> tuple[DataFrame, list[Violation]]:

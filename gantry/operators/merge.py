@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_SHARE = 1000
 
@@ -34,7 +35,7 @@ class AmbiguousMergeError(Exception):
 
 
 class MergeSchemaError(Exception):
-    """The source lacks a column the target has."""
+    """The source lacks a column of the target, or has values that the target's type cannot hold."""
 
 
 def quoted(name: str) -> str:
@@ -46,8 +47,34 @@ def _column(name: str, side: str | None = None) -> Column:
     return F.col(f"{side}.{quoted(name)}" if side else quoted(name))
 
 
+_WHOLE = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+
+
+def _widened(column: Column, source: T.DataType, target: T.DataType, name: str) -> Column:
+    """A source value in the target's type, if that type holds every value of the source's.
+
+    Integers of 64 bits fit a double column as long as they are exact in it; one that
+    is not stops the job.
+    """
+    if isinstance(source, T.NullType):
+        return column.cast(target)
+    if source in _WHOLE and target in _WHOLE and _WHOLE.index(source) < _WHOLE.index(target):
+        return column.cast(target)
+    if target == T.DoubleType() and (source == T.FloatType() or source in _WHOLE[:3]):
+        return column.cast(target)
+    if target == T.DoubleType() and source == T.LongType():
+        exact = column.isNull() | (F.try_add(column.cast(target), F.lit(0.0)).try_cast(source) == column)
+        inexact = F.raise_error(F.concat(F.lit(f"{name}: no double equals "), column.cast("string")))
+        return F.when(exact, column.cast(target)).otherwise(inexact)
+    if isinstance(source, T.DecimalType) and isinstance(target, T.DecimalType):
+        whole = target.precision - target.scale >= source.precision - source.scale
+        if whole and target.scale >= source.scale:
+            return column.cast(target)
+    raise MergeSchemaError(f"{name}: {source.simpleString()} does not fit {target.simpleString()} of the target")
+
+
 def _conform(source: DataFrame, target: DataFrame, schema_mode: str) -> DataFrame:
-    """The source restricted to the merged columns, cast to the target's types."""
+    """The source restricted to the merged columns, widened to the target's types."""
     if schema_mode not in ("strict", "evolve"):
         raise ValueError(f"unknown schema mode {schema_mode!r}")
     missing = [c for c in target.columns if c not in source.columns]
@@ -59,7 +86,11 @@ def _conform(source: DataFrame, target: DataFrame, schema_mode: str) -> DataFram
     columns = []
     for c in kept:
         same = c not in target.columns or source.schema[c].dataType == target.schema[c].dataType
-        columns.append(_column(c) if same else _column(c).cast(target.schema[c].dataType).alias(c))
+        if same:
+            columns.append(_column(c))
+        else:
+            types = source.schema[c].dataType, target.schema[c].dataType
+            columns.append(_widened(_column(c), *types, c).alias(c))
     return source.select(columns)
 
 
@@ -103,7 +134,7 @@ def _broadcastable(df: DataFrame) -> bool:
     return estimate <= limit
 
 
-def _taken_keys(target: DataFrame, source: DataFrame, key: str, unique: bool) -> DataFrame:
+def _taken_keys(target: DataFrame, source: DataFrame, key: str, unique: bool, small_source: bool) -> DataFrame:
     """Distinct target keys, enough of them to tell which source rows are new.
 
     With a source small enough to broadcast, only those it holds as well: that
@@ -112,7 +143,7 @@ def _taken_keys(target: DataFrame, source: DataFrame, key: str, unique: bool) ->
     present = _keyed(target.select(_column(key)), key)
     if not unique:
         present = present.distinct()
-    if not _broadcastable(source):
+    if not small_source:
         return present
     return present.join(_keyed(source.select(_column(key)), key), key, "left_semi")
 
@@ -125,6 +156,7 @@ def merge_upsert(
     update: bool = True,
     insert: bool = True,
     unique_keys: bool = False,
+    small_source: bool | None = None,
 ) -> DataFrame:
     """The target after merging the source into it.
 
@@ -138,12 +170,16 @@ def merge_upsert(
     Matching source keys must be unique; use :func:`checked_merge` where that is
     not known. ``unique_keys`` says that neither side repeats a key, which allows
     faster plans; if it is not so, the rows are the same but hot keys are slow.
+    ``small_source`` says whether the source can be broadcast; by default Spark's
+    size estimate does. The rows are the same either way.
     """
     source = _conform(source, target, schema_mode)
     columns = target.columns + [c for c in source.columns if c not in target.columns]
     keyed = _keyed(source, key)
 
-    if update and insert and unique_keys and not _broadcastable(source):
+    if small_source is None:
+        small_source = _broadcastable(source)
+    if update and insert and unique_keys and not small_source:
         merged = _joined(_keyed(target, key), keyed, key, columns, "full_outer")
         merged = merged.union(_padded(_keyless(target, key), source, columns))
         return merged.union(_padded(_keyless(source, key), target, columns))
@@ -156,7 +192,7 @@ def merge_upsert(
     if insert:
         # Reads the same rows and columns as the join above, so that one shuffle
         # of the source serves both.
-        new = keyed.join(_taken_keys(target, keyed, key, unique_keys), key, "left_anti")
+        new = keyed.join(_taken_keys(target, keyed, key, unique_keys, small_source), key, "left_anti")
         merged = merged.union(_padded(new, target, columns))
         merged = merged.union(_padded(_keyless(source, key), target, columns))
     return merged

@@ -6,6 +6,8 @@ all readings adds one partial row per task to the shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,30 +16,16 @@ from gantry.functions.telemetry import (
     load_critical,
     mtbf_hours,
     operating_hours,
-    steady_avg,
     vibration_critical,
 )
-from gantry.operators.contract import is_valid
 from gantry.operators.star import star_join
-from gantry.schema import CRANE_ID, DIM_COLUMNS, EVENT_TIME, LOAD, VIBRATION
-
+from gantry.schema import CRANE_ID, EVENT_TIME, LOAD, VIBRATION
 
-def layer_counts(landing: DataFrame) -> DataFrame:
-    """Rows each layer has after loading these landing rows: (layer, row_count).
 
-    One pass: counting per crane attributes gives the dimension rows as well.
-    """
-    per_crane = landing.groupBy(DIM_COLUMNS).agg(
-        F.count(F.lit(1)).alias("raw"), F.count_if(is_valid(landing)).alias("valid")
-    )
-    totals = per_crane.agg(
-        F.coalesce(F.sum("raw"), F.lit(0)).alias("bronze"),
-        F.coalesce(F.sum("valid"), F.lit(0)).alias("silver"),
-        F.count_if(F.col("valid") > 0).alias("dim"),
-    )
-    layers = {"bronze": "bronze", "silver": "silver", "fact": "silver", "dim": "dim"}
-    rows = [F.struct(F.lit(n).alias("layer"), F.col(c).alias("row_count")) for n, c in layers.items()]
-    return totals.select(F.inline(F.array(*rows)))
+def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each layer's table: (layer, row_count)."""
+    counted = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("layer"), "row_count") for name, df in layers.items()]
+    return reduce(DataFrame.union, counted)
 
 
 def anomaly_flags(readings: DataFrame) -> DataFrame:
@@ -77,7 +65,7 @@ def _health(grouped) -> DataFrame:
     return grouped.agg(
         F.count(F.lit(1)).alias("readings"),
         F.max(LOAD).alias("max_load_kg"),
-        steady_avg(VIBRATION).alias("avg_vibration_mm_s"),
+        F.avg(VIBRATION).alias("avg_vibration_mm_s"),
         F.count_if(critical_anomaly()).alias("anomalies"),
     )
 

@@ -37,7 +37,7 @@ def _unseen(spark: SparkSession, source_path: str, target_path: str, incremental
     target, source = latest_snapshot(spark, target_path), latest_snapshot(spark, source_path)
     since = target.consumed.get(source_path) if target and incremental else None
     rows = read_changes(spark, source_path, since)
-    known = {"consumed": {source_path: source.number}, "unique": source.unique_key == MESSAGE_ID}
+    known = {"consumed": {source_path: source.seen()}, "unique": source.unique_key == MESSAGE_ID}
     return rows, known
 
 

@@ -21,7 +21,7 @@ def _crane(key: str):
 
 
 def _vibration() -> Column:
-    return F.get_json_object("props", "$.k").cast("double") * F.lit(1.1) - F.lit(5.0)
+    return F.get_json_object("props", "$.k").try_cast("double") * F.lit(1.1) - F.lit(5.0)
 
 
 def _measurements() -> dict[str, Column]:

@@ -16,6 +16,7 @@ ones. An unsplit table is rewritten whole.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,10 +38,17 @@ class Snapshot:
     schema: T.StructType
     by_date: bool
     folders: list[str]
-    # Versions of upstream tables this one already contains, by path.
-    consumed: dict[str, int]
+    # What this table already contains: [table id, version] of an upstream table by its
+    # path, the last batch of a stream by the query's id.
+    consumed: dict[str, list | int]
     # The key no two rows share, where that is known.
     unique_key: str | None
+    # Made anew when a table is created, also where there has been one before.
+    table: str
+
+    def seen(self) -> list:
+        """What a table that has read this version remembers of it."""
+        return [self.table, self.number]
 
 
 def _load(spark: SparkSession, path: str, number: int) -> Snapshot:
@@ -93,15 +101,17 @@ def read_table(spark: SparkSession, path: str, with_event_date: bool = False) ->
     return df if with_event_date or not snapshot.by_date else df.drop(EVENT_DATE)
 
 
-def read_changes(spark: SparkSession, path: str, since: int | None) -> DataFrame:
-    """Rows of the folders written after version ``since``.
+def read_changes(spark: SparkSession, path: str, since: list | None) -> DataFrame:
+    """Rows of the folders written after ``since``, a version given as :meth:`Snapshot.seen`.
 
-    Every row that differs from version ``since`` is among them, along with
-    unchanged rows of the same days. All rows, if there is no such version.
+    Every row that differs from that version is among them, along with unchanged
+    rows of the same days. All rows, if there is no such version or the table has
+    been created anew since.
     """
     snapshot = _existing(spark, path)
-    listed = f"{since}.json" in folder_names(spark, f"{path}/_snapshots")
-    seen = set(_load(spark, path, since).folders) if listed else set()
+    table, number = since or [None, None]
+    listed = table == snapshot.table and f"{number}.json" in folder_names(spark, f"{path}/_snapshots")
+    seen = set(_load(spark, path, number).folders) if listed else set()
     df = _scan(spark, path, snapshot, [f for f in snapshot.folders if f not in seen])
     return df.drop(EVENT_DATE) if snapshot.by_date else df
 
@@ -133,6 +143,7 @@ def _announce(spark: SparkSession, path: str, snapshot: Snapshot) -> None:
             "folders": snapshot.folders,
             "consumed": snapshot.consumed,
             "unique_key": snapshot.unique_key,
+            "table": snapshot.table,
         }
     )
     write_text_once(spark, f"{path}/_snapshots/{snapshot.number}.json", text)
@@ -142,7 +153,7 @@ def publish(
     df: DataFrame,
     path: str,
     event_date: Column | None = None,
-    consumed: dict[str, int] | None = None,
+    consumed: dict[str, list | int] | None = None,
     key: str | None = None,
     unique: bool = False,
 ) -> None:
@@ -155,7 +166,7 @@ def publish(
     spark = df.sparkSession
     dated = df if event_date is None else df.withColumn(EVENT_DATE, event_date)
     number, folders = _write(dated, path)
-    snapshot = Snapshot(number, df.schema, event_date is not None, folders, consumed or {}, None)
+    snapshot = Snapshot(number, df.schema, event_date is not None, folders, consumed or {}, None, uuid.uuid4().hex)
     if key is not None and (unique or has_unique_keys(_scan(spark, path, snapshot, folders), key)):
         snapshot = replace(snapshot, unique_key=key)
     _announce(spark, path, snapshot)
@@ -195,7 +206,7 @@ def upsert(
     key: str,
     event_date: Column | None = None,
     schema_mode: str = "strict",
-    consumed: dict[str, int] | None = None,
+    consumed: dict[str, list | int] | None = None,
     unique: bool = False,
 ) -> None:
     """Merge a batch into the table at ``path``, or create it from the batch.
@@ -233,5 +244,6 @@ def upsert(
             [f for f in old.folders if f not in touched] + folders,
             {**old.consumed, **(consumed or {})},
             key if still_unique else None,
+            old.table,
         ),
     )

@@ -1,15 +1,17 @@
-"""Landing files as a stream: append to Bronze files, then merge or de-duplicate."""
+"""Landing files as a stream: append to Bronze files, then merge."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from gantry.functions.telemetry import event_date, parse_event_time
 from gantry.operators.merge import latest_per_key
 from gantry.plans.stages import to_bronze
-from gantry.schema import BRONZE, EVENT_TIME, INGESTED_AT, LANDING, MESSAGE_ID
+from gantry.schema import BRONZE, INGESTED_AT, LANDING, MESSAGE_ID
+from gantry.sources.files import read_text
 from gantry.sources.scratch import staged
 from gantry.sources.tables import latest_snapshot, upsert
 
@@ -52,16 +54,19 @@ def merge_appended(
     Appending may repeat a message id, which a merge would refuse, so the latest
     row of each message in the batch is merged. The table remembers the last batch
     it holds: one that is replayed after a crash is not merged twice, which matters
-    for rows without an id. The merge runs in the caller's session, because a
-    streaming query's own session plans without adaptive execution.
+    for rows without an id. Batches are known by the id the checkpoint gives its
+    query, so those of a new checkpoint at an old path are new. The merge runs in the
+    caller's session, because a streaming query's own session plans without adaptive
+    execution.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
+        query = f"stream {json.loads(read_text(spark, f'{checkpoint_path}/metadata'))['id']}"
         table = latest_snapshot(spark, target_path)
-        if table and table.consumed.get(checkpoint_path, -1) >= number:
+        if table and table.consumed.get(query, -1) >= number:
             return
         with staged(latest_per_key(batch, MESSAGE_ID, INGESTED_AT, parse_event_time()), spark) as latest:
-            upsert(latest, target_path, MESSAGE_ID, event_date(), consumed={checkpoint_path: number})
+            upsert(latest, target_path, MESSAGE_ID, event_date(), consumed={query: number})
 
     return (
         spark.readStream.schema(BRONZE)
@@ -71,22 +76,3 @@ def merge_appended(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def drop_repeats(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """A stream without repeats of a message id that arrive within ``delay``.
-
-    State is bounded by the watermark, which also means that a message more than
-    ``delay`` behind the newest one is left out: choose it longer than messages can
-    be late, or use :func:`merge_appended`, which has no such limit. Messages
-    without an id are no repeats of each other and all pass, as do those without a
-    readable timestamp, which no watermark could ever expire.
-    """
-    timed = stream.withColumn(EVENT_TIME, parse_event_time())
-    usable = F.col(MESSAGE_ID).isNotNull() & F.col(EVENT_TIME).isNotNull()
-    deduped = (
-        timed.filter(usable)
-        .withWatermark(EVENT_TIME, delay)
-        .dropDuplicatesWithinWatermark([MESSAGE_ID])
-    )
-    return deduped.unionByName(timed.filter(~usable))

@@ -84,11 +84,18 @@ def test_layer_counts_equal_counting_each_layer(spark):
         "fact": to_fact(silver).count(),
         "dim": to_dim(silver).count(),
     }
-    assert dict(marts.layer_counts(landing).collect()) == expected
-    nothing = dict(marts.layer_counts(landing.limit(0)).collect())
+    layers = {"bronze": landing, "silver": silver, "fact": to_fact(silver), "dim": to_dim(silver)}
+    assert dict(marts.layer_counts(layers).collect()) == expected
+    nothing = dict(marts.layer_counts({name: df.limit(0) for name, df in layers.items()}).collect())
     assert nothing == dict.fromkeys(expected, 0)
 
 
+def test_average_of_small_values(spark):
+    rows = [message("a", vibration=4e-7), message("b", vibration=2e-7)]
+    hourly = marts.crane_hourly(to_fact(frame(spark, rows))).collect()
+    assert [r.avg_vibration_mm_s for r in hourly] == [pytest.approx(3e-7)]
+
+
 def test_latest_attributes(spark):
     rows = [
         message("m1", "A", "2030-05-02T08:00:00Z", model="NEW", region=None),

@@ -1,9 +1,10 @@
 from __future__ import annotations
 
+import shutil
 from collections import Counter
 
 from gantry.sources.tables import read_table
-from gantry.streaming.ingest import drop_repeats, landing_stream, merge_appended, stream_ingest
+from gantry.streaming.ingest import merge_appended, stream_ingest
 from tests.helpers import bag, land, message
 
 
@@ -54,24 +55,12 @@ def test_replayed_batch_is_not_merged_again(spark, tmp_path):
     assert merge(spark, tmp_path) == before
 
 
-def test_repeats_within_the_delay(spark, tmp_path):
-    rows = [
-        message("m1", when="2030-05-01T08:00:00Z"),
-        message("m1", when="2030-05-01T08:05:00Z"),
-        message("m2"),
-        message(None),
-        message(None),
-        message("m3", when="soon"),
-    ]
-    landing = land(tmp_path / "in", rows)
-    query = (
-        drop_repeats(landing_stream(spark, landing))
-        .writeStream.format("memory")
-        .queryName("deduped")
-        .option("checkpointLocation", str(tmp_path / "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    taken = bag(spark.table("deduped"), "message_id")
-    assert taken == Counter({("m1",): 1, ("m2",): 1, (None,): 2, ("m3",): 1})
+def test_new_checkpoint_at_an_old_path(spark, tmp_path):
+    """Its batches count from 0 again but are not those merged before."""
+    landing = land(tmp_path / "in", [message("m1")], name="a.json")
+    run(spark, landing, tmp_path)
+    assert merge(spark, tmp_path) == Counter([("m1", 100.0)])
+    shutil.rmtree(tmp_path / "merged")
+    land(tmp_path / "in", [message("m2")], name="b.json")
+    run(spark, landing, tmp_path)
+    assert merge(spark, tmp_path) == Counter([("m1", 100.0), ("m2", 100.0)])

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import shutil
 from collections import Counter
 from pathlib import Path
 
@@ -125,12 +126,35 @@ def test_evolved_table_reads_old_days_with_nulls(spark, tmp_path):
 def test_changes_since(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert(frame(spark, [("a", "2030-01-01", 1), ("b", "2030-01-02", 2)]), path, "k", day())
-    first = latest_snapshot(spark, path).number
+    first = latest_snapshot(spark, path).seen()
     assert read_changes(spark, path, first).isEmpty()
     upsert(frame(spark, [("c", "2030-01-02", 3)]), path, "k", day())
     assert bag(read_changes(spark, path, first), "k") == Counter([("b",), ("c",)])
     assert read_changes(spark, path, None).count() == 3
-    assert read_changes(spark, path, 99).count() == 3
+    assert read_changes(spark, path, [first[0], 99]).count() == 3
+
+
+def test_changes_of_a_table_created_anew(spark, tmp_path):
+    """Its versions are not those a reader remembers, though they have the same numbers."""
+    path = str(tmp_path / "t")
+    upsert(frame(spark, [("a", "2030-01-01", 1)]), path, "k", day())
+    first = latest_snapshot(spark, path).seen()
+    shutil.rmtree(path)
+    upsert(frame(spark, [("x", "2030-01-01", 1), ("y", "2030-01-01", 2)]), path, "k", day())
+    assert read_changes(spark, path, first).count() == 2
+
+
+def test_values_are_not_cut(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(spark.createDataFrame([("a", 25000)], "k string, v long"), path, "k")
+    with pytest.raises(MergeSchemaError, match="v: double does not fit bigint"):
+        upsert(spark.createDataFrame([("b", 25000.9)], "k string, v double"), path, "k")
+    path = str(tmp_path / "u")
+    upsert(spark.createDataFrame([("a", 0.5)], "k string, v double"), path, "k")
+    upsert(spark.createDataFrame([("b", 25000), ("c", None)], "k string, v long"), path, "k")
+    assert bag(read_table(spark, path)) == Counter([("a", 0.5), ("b", 25000.0), ("c", None)])
+    with pytest.raises(Exception, match="no double equals 9007199254740993"):
+        upsert(spark.createDataFrame([("d", 2**53 + 1)], "k string, v long"), path, "k")
 
 
 def test_split_must_stay_the_same(spark, tmp_path):
