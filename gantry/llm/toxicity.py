@@ -6,7 +6,7 @@ Two gated recurrent layers read a window of words from both sides, attention poo
 states, and a logistic unit scores the window. Every document is cut into overlapping
 windows that cover its whole text; its score is that of its highest window, calibrated.
 
-The network is trained in numpy on the driver, on a bounded sample of labelled documents:
+The network is trained in numpy, in one task, on a bounded sample of labelled documents:
 ``SAMPLE`` of either class, the first by a hash, each of at most ``SAMPLE_BYTES`` bytes.
 Labels are per document, so training picks windows: first those with the words most
 typical of the label (by log-odds in the sample), later those the network scores highest.
@@ -19,6 +19,7 @@ table gives an empty result. Scores depend on the text alone.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -29,13 +30,14 @@ from pyspark.sql import functions as F
 
 from gantry.llm.common import chunks, text_or_empty
 
-SAMPLE = 2500
+SAMPLE = 1200
 SAMPLE_BYTES = 1 << 16
 WINDOW, STRIDE = 48, 36
 INPUTS, HIDDEN = 12, 8
 GRAM_ROWS = 1 << 16
 MIN_WORD_DOCS, MIN_GRAM_DOCS = 5, 8
-EPOCHS, BATCH, RATE = 6, 256, 0.004
+#: Passes over the sample, and steps at least, however small it is.
+EPOCHS, STEPS, BATCH, RATE = 6, 160, 256, 0.004
 #: Fixed by the contract: a document is predicted toxic from this score on.
 CUT = 0.3
 #: Windows scored at a time, and words whose inputs are kept while a task runs.
@@ -301,7 +303,8 @@ def train(texts: list[bytes], toxic: np.ndarray, seed: int = 7) -> Network:
 
     odds = np.r_[0.0, word_odds + 0.3 * np.add.reduceat(gram_odds[rows], edges[:-1]) / np.sqrt(sizes)]
     score = odds[windows].max(axis=1)
-    for epoch in range(EPOCHS):
+    epoch = 0
+    while epoch < EPOCHS or adam.step < STEPS:
         if epoch >= 2:
             gates = gates_of_all()
             score = np.concatenate([net.scores(gates, windows[i : i + SCORED]) for i in range(0, len(windows), SCORED)])
@@ -330,6 +333,7 @@ def train(texts: list[bytes], toxic: np.ndarray, seed: int = 7) -> Network:
             adam.update("table", net.table, d_table)
             for name, value in net.weights.items():
                 adam.update(name, value, grads[name])
+        epoch += 1
     _calibrate(net, gates_of_all(), windows, of_doc, held, toxic)
     return net
 
@@ -400,26 +404,34 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(True))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, size: int) -> tuple[list[bytes], np.ndarray]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """At most ``size`` texts of either label, the first by a hash of id and text."""
     marked = (
         labels.where(F.col(id_col).isNotNull() & F.col("toxic").isNotNull())
         .groupBy(F.col(id_col).alias("labelled"))
-        .agg((F.max("toxic") > 0).alias("toxic"))
+        .agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     )
     usable = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).where(
         ~held_out("id") & (F.octet_length("text") <= SAMPLE_BYTES)
     )
-    rows = usable.join(marked, F.col("id") == F.col("labelled")).select(
-        "text", "toxic", F.xxhash64("id", "text").alias("order")
+    usable = usable.withColumn("hash", F.xxhash64("text"))
+    # texts stay out of the join with the labels; at most twice ``size`` rows are fetched
+    rows = usable.select("id", "hash").distinct().join(marked, F.col("id") == F.col("labelled"))
+    rows = rows.select(F.xxhash64("id", "hash").alias("place"), "id", "hash", "toxic")
+    first = [rows.where(F.col("toxic") == label).orderBy("place", "id", "hash").limit(size) for label in (1, 0)]
+    chosen = F.broadcast(first[0].union(first[1]))
+    return usable.join(chosen, ["id", "hash"]).groupBy("id", "hash", "place", "toxic").agg(
+        F.first("text").cast("binary").alias("text")
     )
-    texts: list[bytes] = []
-    found: list[int] = []
-    for label in (True, False):
-        part = rows.where(F.col("toxic") == label).orderBy("order", "text").limit(size).select("text").collect()
-        texts += [r.text.encode() for r in part]
-        found += [int(label)] * len(part)
-    return texts, np.array(found)
+
+
+def _fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The network and the share of toxic documents, from the whole sample."""
+    rows = sorted(row for frame in batches for row in zip(frame["place"], frame["text"], frame["toxic"]))
+    toxic = np.array([label for _, _, label in rows])
+    net = train([text for _, text, _ in rows], toxic) if len(set(toxic.tolist())) == 2 else None
+    prior = float(toxic.mean()) if len(rows) else 0.0
+    yield pd.DataFrame([(pickle.dumps(net), prior)], columns=["net", "prior"])
 
 
 def toxicity_scores(
@@ -430,14 +442,15 @@ def toxicity_scores(
     sample: int = SAMPLE,
 ) -> DataFrame:
     """One row per document: id, ``held_out``, ``score`` from 0 to 1 and ``predicted``."""
-    texts, found = labelled_sample(docs, labels, id_col, text_col, sample)
-    net = train(texts, found) if 0 < found.sum() < len(found) else None
-    shared = docs.sparkSession.sparkContext.broadcast(net)
-    prior = float(found.mean()) if len(found) else 0.0
+    chosen = labelled_sample(docs, labels, id_col, text_col, sample).coalesce(1)
+    fitted = chosen.mapInPandas(_fitted, "net binary, prior double").first()
+    shared = docs.sparkSession.sparkContext.broadcast(bytes(fitted.net) if fitted else pickle.dumps(None))
+    prior = fitted.prior if fitted else 0.0
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = Scorer(shared.value) if shared.value is not None else None
+        net = pickle.loads(shared.value)
+        scorer = Scorer(net) if net else None
         for series in batches:
             yield pd.Series(scorer(list(series)) if scorer else np.full(len(series), prior))
 
