@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as driver
+from gantry.catalog import QUERIES
 from gantry.operators.contract import contract_report
 from gantry.operators.merge import merge_upsert
 from gantry.plans.stages import to_dim, to_silver
@@ -25,9 +25,9 @@ def telemetry(spark):
     return stored(sample.telemetry(spark, SF_DIR))
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cross_join(spark, name):
-    text = plan(driver.queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     for node in ("Python", "CartesianProduct", "NestedLoopJoin", "Pandas"):
         assert node not in text
 
@@ -82,11 +82,11 @@ def test_large_batch_is_shuffled_once(spark, telemetry):
 
 
 def test_stored_dim_is_broadcast_by_its_size(spark):
-    text = plan(driver.queries()["star_rollup"](spark, SF_DIR))
+    text = plan(QUERIES["star_rollup"](spark, SF_DIR))
     assert "BroadcastHashJoin" in text
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
     try:
-        text = plan(driver.queries()["star_rollup"](spark, SF_DIR))
+        text = plan(QUERIES["star_rollup"](spark, SF_DIR))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in text
