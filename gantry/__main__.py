@@ -16,6 +16,8 @@ def main() -> None:
     parser.add_argument("--landing", help="landing folder (default: <base>/landing_zone)")
     parser.add_argument("--mode", choices=["fail", "report"], default="fail", help="on a broken contract")
     parser.add_argument("--full", action="store_true", help="merge all rows again, not only changed days")
+    parser.add_argument("--infer", action="store_true", help="take the columns from the files")
+    parser.add_argument("--evolve", action="store_true", help="add new columns to the tables")
     args = parser.parse_args()
 
     paths = LakePaths(args.base.rstrip("/"))
@@ -23,7 +25,9 @@ def main() -> None:
         SparkSession.builder.appName("gantry").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     # The session is left to whoever owns it.
-    for v in run_pipeline(spark, args.landing or paths.landing, paths, args.mode, not args.full):
+    schema_mode = "evolve" if args.evolve else "strict"
+    landing = args.landing or paths.landing
+    for v in run_pipeline(spark, landing, paths, args.mode, not args.full, args.infer, schema_mode):
         print(f"contract: {v.column} {v.check} {v.failures}")
 
 

@@ -27,6 +27,7 @@ from gantry.plans.stages import to_bronze, to_dim, to_dim_latest, to_fact, to_si
 from gantry.schema import (
     CRANE_ID,
     EVENT_TIME,
+    EXTRA_FIELDS,
     LOAD,
     MESSAGE_ID,
     MODEL,
@@ -490,6 +491,38 @@ def medallion_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_time(facts[0].union(facts[1]))
 
 
+@_query(
+    f"""WITH {_BATCHES_SQL}, old AS (SELECT * FROM first_load WHERE {_VALID_SQL}),
+    new AS (SELECT * FROM second_load WHERE {_VALID_SQL})
+    SELECT old.message_id, coalesce(new.hoist_load_kg, old.hoist_load_kg) AS hoist_load_kg, new.event_type
+    FROM old LEFT JOIN new ON old.message_id = new.message_id
+    UNION ALL SELECT message_id, hoist_load_kg, event_type FROM new
+    WHERE message_id NOT IN (SELECT message_id FROM old)"""
+)
+def medallion_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after a second batch brought a field the tables did not have."""
+    base = scratch_path(spark)
+    write_landing(_first_load(spark, sf_dir).withColumn(MODEL, F.lit("M")).withColumn(REGION, F.lit("R")), f"{base}/day_1")
+    second = _second_load(spark, sf_dir, "event_type").withColumn(MODEL, F.lit("M")).withColumn(REGION, F.lit("R"))
+    write_landing(second, f"{base}/day_2")
+    paths = LakePaths(f"{base}/lake")
+    for day in ("day_1", "day_2"):
+        run_pipeline(spark, f"{base}/{day}", paths, mode="report", infer=True, schema_mode="evolve")
+    return read_table(spark, paths.silver).select(MESSAGE_ID, LOAD, "event_type")
+
+
+@_query(
+    """SELECT CAST(event_id AS VARCHAR) AS message_id, event_type AS firmware FROM events"""
+)
+def landing_extra_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A field outside the schema, through the landing files and kept beside the known ones."""
+    landing = scratch_path(spark)
+    rows = sample.readings(spark, sf_dir, None, "event_type").withColumnRenamed("event_type", "firmware")
+    write_landing(rows, landing)
+    kept = F.get_json_object(EXTRA_FIELDS, "$.firmware")
+    return to_bronze(read_landing(spark, landing)).select(MESSAGE_ID, kept.alias("firmware"))
+
+
 # ---- contract ------------------------------------------------------------
 
 

@@ -14,9 +14,13 @@ from gantry.sources.scratch import staged
 from gantry.sources.tables import latest_snapshot, read_changes, read_table, table_exists, upsert
 
 
-def ingest_bronze(spark: SparkSession, raw_data_path: str, target_path: str, infer: bool = False) -> None:
+def ingest_bronze(
+    spark: SparkSession, raw_data_path: str, target_path: str, infer: bool = False, schema_mode: str = "strict"
+) -> None:
     """Merge the landing files into Bronze by message id.
 
+    With ``schema_mode="evolve"`` new columns of an inferred batch are added to the table.
+
     An existing table is merged from a staged copy of the batch: the JSON text is
     parsed once, and all rows carry one ingestion instant.
     """
@@ -25,7 +29,7 @@ def ingest_bronze(spark: SparkSession, raw_data_path: str, target_path: str, inf
         upsert(batch, target_path, MESSAGE_ID, event_date())
         return
     with staged(batch) as rows:
-        upsert(rows, target_path, MESSAGE_ID, event_date())
+        upsert(rows, target_path, MESSAGE_ID, event_date(), schema_mode)
 
 
 def _unseen(spark: SparkSession, source_path: str, target_path: str, incremental: bool):
@@ -42,7 +46,12 @@ def _unseen(spark: SparkSession, source_path: str, target_path: str, incremental
 
 
 def cleanse_silver(
-    spark: SparkSession, source_path: str, target_path: str, mode: str = "fail", incremental: bool = False
+    spark: SparkSession,
+    source_path: str,
+    target_path: str,
+    mode: str = "fail",
+    incremental: bool = False,
+    schema_mode: str = "strict",
 ) -> list[Violation]:
     """Merge the valid Bronze rows into Silver; returns the contract findings.
 
@@ -52,7 +61,7 @@ def cleanse_silver(
     """
     bronze, known = _unseen(spark, source_path, target_path, incremental)
     silver, violations = enforce(to_silver(bronze), mode)
-    upsert(silver, target_path, MESSAGE_ID, event_date(), **known)
+    upsert(silver, target_path, MESSAGE_ID, event_date(), schema_mode, **known)
     return violations
 
 
@@ -83,10 +92,16 @@ def build_gold(
 
 
 def run_pipeline(
-    spark: SparkSession, raw_data_path: str, paths: LakePaths, mode: str = "fail", incremental: bool = True
+    spark: SparkSession,
+    raw_data_path: str,
+    paths: LakePaths,
+    mode: str = "fail",
+    incremental: bool = True,
+    infer: bool = False,
+    schema_mode: str = "strict",
 ) -> list[Violation]:
     """Bronze, Silver, Gold in order; returns the contract findings."""
-    ingest_bronze(spark, raw_data_path, paths.bronze)
-    violations = cleanse_silver(spark, paths.bronze, paths.silver, mode, incremental)
+    ingest_bronze(spark, raw_data_path, paths.bronze, infer, schema_mode)
+    violations = cleanse_silver(spark, paths.bronze, paths.silver, mode, incremental, schema_mode)
     build_gold(spark, paths.silver, paths.fact, paths.dim, incremental=incremental)
     return violations

@@ -17,6 +17,7 @@ REGION = "operational_region"
 SOURCE_SYSTEM = "crane_iot_sensors"
 
 CORRUPT_RECORD = "_corrupt_record"
+EXTRA_FIELDS = "_extra_fields"
 INGESTED_AT = "ingestion_timestamp"
 EVENT_TIME = "event_time"
 
@@ -33,8 +34,10 @@ TELEMETRY = T.StructType(
 )
 
 # What a landing file is read as: a malformed or wrongly typed line keeps its
-# raw text next to whatever fields could be read.
-LANDING = T.StructType([*TELEMETRY.fields, T.StructField(CORRUPT_RECORD, T.StringType())])
+# raw text next to whatever fields could be read, and fields not listed here are
+# kept as a JSON object of texts.
+PARSED = T.StructType([*TELEMETRY.fields, T.StructField(CORRUPT_RECORD, T.StringType())])
+LANDING = T.StructType([*PARSED.fields, T.StructField(EXTRA_FIELDS, T.StringType())])
 
 BRONZE = T.StructType(
     [

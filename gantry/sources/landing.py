@@ -3,22 +3,40 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gantry.schema import CORRUPT_RECORD, LANDING
+from gantry.schema import CORRUPT_RECORD, EXTRA_FIELDS, PARSED, TELEMETRY
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Lines of JSON text (column ``value``) as rows of the fixed schema; blank lines are none.
+
+    A field that cannot be read is NULL and the raw line is kept beside it. Fields the
+    schema does not name are kept, as texts, in one JSON object.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_RECORD}
+    known = [F.lit(name) for name in TELEMETRY.fieldNames()]
+    extra = F.map_filter(F.from_json("value", "map<string,string>"), lambda name, _: ~name.isin(*known))
+    rows = lines.where(F.trim(F.col("value")) != "").select(
+        F.from_json("value", PARSED, options).alias("row"), extra.alias("extra")
+    )
+    return rows.select("row.*", F.when(F.size("extra") > 0, F.to_json("extra")).alias(EXTRA_FIELDS))
 
 
 def read_landing(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
     """Landing files as rows.
 
     The fixed schema saves the extra pass that inference makes over all files and
-    keeps a stray text value from turning a measure into a string column. A field
-    that cannot be read is NULL and the raw line is kept beside it. ``infer=True``
-    takes column names and types from the files instead.
+    keeps a stray text value from turning a measure into a string column.
+    ``infer=True`` takes column names and types from the files instead; the column of
+    raw malformed lines is there in either case.
     """
-    reader = spark.read.option("mode", "PERMISSIVE")
     if not infer:
-        reader = reader.schema(LANDING).option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-    return reader.json(path)
+        return parse_lines(spark.read.text(path))
+    rows = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_RECORD).json(path)
+    if CORRUPT_RECORD not in rows.columns:
+        rows = rows.withColumn(CORRUPT_RECORD, F.lit(None).cast("string"))
+    return rows
 
 
 def write_landing(df: DataFrame, path: str) -> None:

@@ -10,18 +10,19 @@ from pyspark.sql.streaming.query import StreamingQuery
 from gantry.functions.telemetry import event_date, parse_event_time
 from gantry.operators.merge import latest_per_key
 from gantry.plans.stages import to_bronze
-from gantry.schema import BRONZE, INGESTED_AT, LANDING, MESSAGE_ID
+from gantry.schema import BRONZE, INGESTED_AT, MESSAGE_ID
 from gantry.sources.files import read_text
+from gantry.sources.landing import parse_lines
 from gantry.sources.scratch import staged
 from gantry.sources.tables import latest_snapshot, upsert
 
 
 def landing_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Landing files as they arrive, malformed lines included."""
-    reader = spark.readStream.schema(LANDING)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path)
+    return parse_lines(reader.text(path))
 
 
 def stream_ingest(

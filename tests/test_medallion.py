@@ -42,7 +42,7 @@ def test_five_readings(spark, paths, tmp_path):
     ingest_bronze(spark, landing, paths.bronze)
     bronze = read_table(spark, paths.bronze)
     assert bronze.count() == 5
-    assert set(bronze.columns) == {*FIELDS, "_corrupt_record", *LINEAGE}
+    assert set(bronze.columns) == {*FIELDS, "_corrupt_record", "_extra_fields", *LINEAGE}
     assert bag(bronze, "source_system") == Counter({("crane_iot_sensors",): 5})
     assert bronze.select("ingestion_timestamp").distinct().count() == 1
 
@@ -143,7 +143,20 @@ def test_landing_types(spark, tmp_path):
     assert dict(read_landing(spark, landing).dtypes)["hoist_load_kg"] == "double"
     inferred = read_landing(spark, landing, infer=True)
     assert dict(inferred.dtypes)["hoist_load_kg"] == "bigint"
-    assert inferred.columns == sorted(FIELDS)
+    assert inferred.columns == [*sorted(FIELDS), "_corrupt_record"]
+
+
+def test_unknown_fields_reach_silver(spark, paths, tmp_path):
+    landing = land(tmp_path / "in", [{**message("m1"), "firmware": "v2", "site": {"dock": 4}}, message("m2")])
+    run_pipeline(spark, landing, paths)
+    kept = {r.message_id: r._extra_fields for r in read_table(spark, paths.silver).collect()}
+    assert kept == {"m1": '{"firmware":"v2","site":"{\\"dock\\":4}"}', "m2": None}
+
+
+def test_inferred_batches_with_and_without_a_broken_line(spark, paths, tmp_path):
+    ingest_bronze(spark, land(tmp_path / "a", [message("m1")], ["{bad json"]), paths.bronze, infer=True)
+    ingest_bronze(spark, land(tmp_path / "b", [message("m2")]), paths.bronze, infer=True)
+    assert read_table(spark, paths.bronze).count() == 3
 
 
 def test_inferred_batch_through_all_layers(spark, paths, tmp_path):
