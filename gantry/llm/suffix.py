@@ -11,6 +11,23 @@ def suffix_ranks(symbols: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     Suffixes that agree on k symbols share a rank (the first place of their group).
     The sequence must end in a symbol that occurs once, so that all suffixes differ.
     """
+    order, levels = _doubled(symbols, 1, keep=True)
+    return order, levels
+
+
+def suffix_order(symbols: np.ndarray) -> np.ndarray:
+    """The suffix array alone; the doubling starts from several symbols packed into one key."""
+    names = np.unique(symbols, return_inverse=True)[1] + 1
+    bits = int(names.max()).bit_length()
+    together = 1
+    while together * 2 * bits <= 62:
+        names = (names << (together * bits)) + np.r_[names[together:], np.zeros(together, np.int64)][: len(names)]
+        together *= 2
+    return _doubled(names, together, keep=False)[0]
+
+
+def _doubled(symbols: np.ndarray, k: int, keep: bool) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Prefix doubling from keys that stand for ``k`` symbols each."""
     n = len(symbols)
     order = np.argsort(symbols, kind="stable")
     ordered = symbols[order]
@@ -19,9 +36,8 @@ def suffix_ranks(symbols: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     sizes = np.diff(np.r_[starts, n])
     rank = np.empty(n, np.int64)
     rank[order] = np.repeat(starts, sizes)
-    levels = [rank.astype(np.int32)]
+    levels = [rank.astype(np.int32)] if keep else []
     open_slots = np.flatnonzero(np.repeat(sizes > 1, sizes))
-    k = 1
     while len(open_slots):
         members = order[open_slots]
         key = rank[members] * (n + 1) + rank[members + k]
@@ -32,7 +48,8 @@ def suffix_ranks(symbols: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         starts = np.flatnonzero(first)
         sizes = np.diff(np.r_[starts, len(key)])
         rank[members] = np.repeat(open_slots[starts], sizes)
-        levels.append(rank.astype(np.int32))
+        if keep:
+            levels.append(rank.astype(np.int32))
         open_slots = open_slots[np.repeat(sizes > 1, sizes)]
         k *= 2
     return order, levels

@@ -34,16 +34,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gantry.llm.common import chunks, mixed, text_or_empty
-from gantry.llm.suffix import covered, suffix_ranks
-from gantry.sources.scratch import stored
+from gantry.llm.suffix import covered, suffix_order
+from gantry.sources.scratch import staged, stored
 
 LENGTH = 200
 GRAM = 32
 #: Most windows in a piece; only periodic text has longer runs.
-MAX_RUN = 512
-GROUP = 8192
-#: Bytes of pieces in one suffix array (more if a single key has more).
-ARRAY_BYTES = 1 << 20
+MAX_RUN = 256
+GROUP = 4096
+#: Bytes of text cut into pieces at a time, and of pieces in one suffix array (more if a
+#: single text or key has more).
+CUT_BYTES, ARRAY_BYTES = 1 << 18, 1 << 19
 
 # ---- pieces --------------------------------------------------------------
 
@@ -79,25 +80,28 @@ def text_pieces(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
         return (np.zeros(0, np.int64),) * 6
     grams = gram_hashes(np.frombuffer(raw, np.uint8))
     width = length - GRAM + 1
-    smallest = sliding_minimum(grams, width)
+    # a place in the low bits makes the least value name the first, or the last, smallest gram;
+    # ties in the bits that remain are settled by the place, alike in equal windows
+    bits = np.uint64(len(raw).bit_length())
+    high = (grams >> bits) << bits
+    numbers = np.arange(len(grams), dtype=np.uint64)
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    leftmost = (sliding_minimum(high | numbers, width) & low).astype(np.int64)
+    rightmost = low - (sliding_minimum(high | (low - numbers), width) & low)
     owner = np.repeat(np.arange(len(texts)), windows)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    key = smallest[begins[owner] + nth]
+    key = grams[leftmost[begins[owner] + nth]]
     starts_run = np.r_[True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])]
     run_start = np.maximum.accumulate(np.where(starts_run, np.arange(len(key)), 0))
     cut = np.flatnonzero((np.arange(len(key)) - run_start) % MAX_RUN == 0)
     count = np.diff(np.r_[cut, len(key)]) + length - 1
     owner, nth = owner[cut], nth[cut]
     place = begins[owner] + nth
-    # the first place of the key's gram in the first window, the last place in the last window
-    of_window = np.lib.stride_tricks.sliding_window_view(grams, width)
-    final = place + count - length
-    leftmost = place + (of_window[place] == key[cut][:, None]).argmax(axis=1)
-    rightmost = final + width - 1 - (of_window[final] == key[cut][:, None])[:, ::-1].argmax(axis=1)
+    twice = leftmost[place] != rightmost[place + count - length].astype(np.int64)
     at = place.tolist()
     view = memoryview(raw)
     hashes = [xxhash.xxh3_64_intdigest(view[a : a + c]) for a, c in zip(at, count.tolist())]
-    return key[cut].view(np.int64), owner, nth, count, np.array(hashes, np.uint64).view(np.int64), leftmost < rightmost
+    return key[cut].view(np.int64), owner, nth, count, np.array(hashes, np.uint64).view(np.int64), twice
 
 
 def _cut_pieces(length: int):
@@ -105,7 +109,7 @@ def _cut_pieces(length: int):
         for frame in batches:
             texts = frame["text"].tolist()
             t1, t2 = frame["t1"].to_numpy(), frame["t2"].to_numpy()
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, CUT_BYTES):
                 key, owner, start, size, digest, twice = text_pieces(texts[a:b], length)
                 columns = {"key": key, "digest": digest, "t1": t1[a + owner], "t2": t2[a + owner]}
                 yield pd.DataFrame(columns | {"start": start, "size": size, "twice": twice.astype(bool)})
@@ -122,10 +126,13 @@ def repeated_starts(symbols: np.ndarray, length: int) -> np.ndarray:
     ``symbols`` ends in a symbol that occurs once.
     """
     n = len(symbols)
-    order, _ = suffix_ranks(symbols)
+    symbols = symbols.astype(np.int32)
+    order = suffix_order(symbols)
     transform = symbols[order - 1]
-    back = np.empty(n, np.int64)  # rank of the suffix one symbol longer to the left
-    back[np.argsort(transform, kind="stable")] = np.arange(n)
+    back = np.empty(n, np.int32)  # rank of the suffix one symbol longer to the left
+    back[np.argsort(transform, kind="stable")] = np.arange(n, dtype=np.int32)
+    first_symbol = symbols[order]
+    table, marked = np.empty(n, np.int32), np.zeros(n, bool)
     found = np.zeros(n + 1, bool)  # boundary before a rank: its common prefix is known
     found[[0, n]] = True
     lower, upper = np.array([0]), np.array([n])
@@ -133,11 +140,20 @@ def repeated_starts(symbols: np.ndarray, length: int) -> np.ndarray:
         if not len(lower):
             break
         sizes = upper - lower
-        interval = np.repeat(np.arange(len(lower)), sizes)
-        ranks = np.arange(len(interval)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + lower[interval]
+        interval = np.repeat(np.arange(len(lower), dtype=np.int32), sizes)
+        ranks = np.arange(len(interval)) + np.repeat(lower - (np.cumsum(sizes) - sizes), sizes)
         to = back[ranks]
-        by_rank = np.argsort(to, kind="stable")
-        to, interval, symbol = to[by_rank], interval[by_rank], transform[ranks[by_rank]]
+        # by rank; many are sorted by marking them in a table of all ranks
+        if 50 * len(to) > n:
+            table[to] = interval
+            marked[to] = True
+            to = np.flatnonzero(marked)
+            interval = table[to]
+            marked[to] = False
+        else:
+            by_rank = np.argsort(to, kind="stable")
+            to, interval = to[by_rank], interval[by_rank]
+        symbol = first_symbol[to]
         first = np.flatnonzero(np.r_[True, (interval[1:] != interval[:-1]) | (symbol[1:] != symbol[:-1])])
         lower = to[first]
         upper = to[np.r_[first[1:], len(to)] - 1] + 1
@@ -152,23 +168,55 @@ def repeated_starts(symbols: np.ndarray, length: int) -> np.ndarray:
     return repeated
 
 
+def promising(raw: bytes, sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of the stretches of joined pieces that can hold repeated strings.
+
+    All grams of a repeated string occur twice, so a piece is cut at grams that do not.
+    """
+    places = np.arange(len(raw))
+    ends = np.repeat(np.cumsum(sizes), sizes)
+    valid = places + GRAM <= ends
+    grams = gram_hashes(np.frombuffer(raw, np.uint8))[valid[: len(raw) - GRAM + 1]]
+    places, ends = places[valid], ends[valid]
+    order = np.argsort(grams)
+    alike = grams[order[1:]] == grams[order[:-1]]
+    twice = np.zeros(len(grams), bool)
+    twice[order[1:]] |= alike
+    twice[order[:-1]] |= alike
+    places, ends = places[twice], ends[twice]
+    first = np.flatnonzero(np.r_[True, (places[1:] != places[:-1] + 1) | (ends[1:] != ends[:-1])][: len(places)])
+    last = np.r_[first[1:], len(places)] - 1
+    begin, stop = places[first], places[last] + GRAM
+    long = stop - begin >= length
+    return begin[long], stop[long]
+
+
 def search_pieces(pieces: list[bytes], length: int) -> Iterator[tuple[int, int, int]]:
     """Piece number and range of bytes of each maximal stretch covered by repeated strings."""
     sizes = np.array([len(p) for p in pieces], np.int64)
-    symbols = np.empty(int(sizes.sum()) + len(pieces), np.int64)
-    ends = np.cumsum(sizes + 1) - 1
+    raw = b"".join(pieces)
+    begin, stop = promising(raw, sizes, length)
+    if not len(begin):
+        return
+    # the stretches one after another, each closed by a symbol of its own
+    extents = stop - begin
+    ends = np.cumsum(extents + 1) - 1
+    symbols = np.empty(int(ends[-1]) + 1, np.int64)
     inside = np.ones(len(symbols), bool)
     inside[ends] = False
-    symbols[inside] = np.frombuffer(b"".join(pieces), np.uint8)
-    symbols[ends] = 256 + np.arange(len(pieces))
+    within = np.arange(int(extents.sum())) - np.repeat(np.cumsum(extents) - extents, extents)
+    symbols[inside] = np.frombuffer(raw, np.uint8)[np.repeat(begin, extents) + within]
+    symbols[ends] = 256 + np.arange(len(ends))
     starts = np.flatnonzero(repeated_starts(symbols, length))
     marked = covered(starts, starts + length, len(symbols)).astype(np.int8)
     change = np.diff(np.r_[0, marked, 0])
-    begin, stop = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
-    piece = np.searchsorted(ends, begin)
-    first = ends - sizes
-    for p, a, b in zip(piece.tolist(), begin.tolist(), stop.tolist()):
-        yield p, a - int(first[p]), b - int(first[p])
+    first, last = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+    stretch = np.searchsorted(ends, first)
+    to_raw = begin[stretch] - (ends - extents)[stretch]
+    piece_ends = np.cumsum(sizes)
+    piece = np.searchsorted(piece_ends, begin[stretch], side="right")
+    to_piece = to_raw - (piece_ends - sizes)[piece]
+    yield from zip(piece.tolist(), (first + to_piece).tolist(), (last + to_piece).tolist())
 
 
 def _search(length: int):
@@ -236,10 +284,9 @@ def _windows(length: int):
 def _with_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in batches:
         rows = []
-        for text, t1, t2, wanted in zip(*(frame[c].tolist() for c in ("text", "t1", "t2", "wanted"))):
-            for piece in wanted:
-                a = piece["start"]
-                rows.append((piece["key"], piece["n"], piece["pieces"], t1, t2, a, text[a : a + piece["size"]]))
+        for text, t1, t2, *pieces in zip(*(frame[c] for c in ("text", "t1", "t2", "key", "n", "pieces", "start", "size"))):
+            for key, n, count, a, size in zip(*pieces):
+                rows.append((key, n, count, t1, t2, a, text[a : a + size]))
         yield pd.DataFrame(rows, columns=["key", "n", "pieces", "t1", "t2", "start", "bytes"])
 
 
@@ -258,24 +305,24 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
     texts = _named(docs, text_col)
-    pieces = stored(
-        texts.where(F.length("text") >= length).mapInPandas(
-            _cut_pieces(length), "key long, digest long, t1 long, t2 long, start long, size long, twice boolean"
-        )
+    cut_up = texts.where(F.length("text") >= length).mapInPandas(
+        _cut_pieces(length), "key long, digest long, t1 long, t2 long, start long, size long, twice boolean"
     )
-    keys = (
-        pieces.groupBy("key")
-        .agg(
-            F.count("*").alias("rows"),
-            F.min("digest").alias("x"),
-            F.max("digest").alias("y"),
-            F.max("twice").alias("twice"),
+    # most pieces are unique; their table goes as soon as the others are found
+    with staged(cut_up) as pieces:
+        keys = (
+            pieces.groupBy("key")
+            .agg(
+                F.count("*").alias("rows"),
+                F.min("digest").alias("x"),
+                F.max("digest").alias("y"),
+                F.max("twice").alias("twice"),
+            )
+            .where((F.col("rows") > 1) | F.col("twice"))
+            # a piece can repeat a window of its own only where its key occurs twice in it
+            .select("key", ((F.col("x") != F.col("y")) | F.col("twice")).alias("mixed"))
         )
-        .where((F.col("rows") > 1) | F.col("twice"))
-        # a piece can repeat a window of its own only where its key occurs twice in it
-        .select("key", ((F.col("x") != F.col("y")) | F.col("twice")).alias("mixed"))
-    )
-    found = stored(pieces.drop("twice").join(keys, "key"))
+        found = stored(pieces.drop("twice").join(keys, "key"))
     strings = stored(
         found.groupBy("key", "digest", "mixed").agg(
             F.count("*").alias("n"), F.min(F.struct("t1", "t2", "start", "size")).alias("one")
@@ -295,7 +342,9 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     copies = texts.join(wanted.select("t1", "t2"), ["t1", "t2"], "left_semi")
     copies = copies.groupBy("t1", "t2").agg(F.first("text").alias("text"))
     cut = stored(
-        copies.join(wanted, ["t1", "t2"]).mapInPandas(
+        copies.join(wanted, ["t1", "t2"])
+        .select("text", "t1", "t2", *[f"wanted.{c}" for c in ("key", "n", "pieces", "start", "size")])
+        .mapInPandas(
             _with_bytes, "key long, n long, pieces long, t1 long, t2 long, start long, bytes binary"
         )
     )
@@ -318,17 +367,16 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
 _RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
 
 
-def _cut_out(text: Column, spans: Column, give_text: bool) -> Column:
+def _cut_out(text: Column, starts: Column, stops: Column, give_text: bool) -> Column:
     @F.pandas_udf(_RESULT)
-    def removed(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, ranges in batches:
+    def removed(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, all_starts, all_stops in batches:
             rows = []
-            for data, found in zip(texts, ranges):
+            for data, begins, ends in zip(texts, all_starts, all_stops):
                 kept, at, removed, runs = [], 0, 0, 0
-                if found is not None and len(found):
-                    begin = stop = -1
+                if begins is not None and len(begins):
                     merged: list[list[int]] = []
-                    for begin, stop in sorted((r["start"], r["stop"]) for r in found):
+                    for begin, stop in sorted(zip(begins.tolist(), ends.tolist())):
                         if merged and begin <= merged[-1][1]:
                             merged[-1][1] = max(merged[-1][1], stop)
                         else:
@@ -343,7 +391,7 @@ def _cut_out(text: Column, spans: Column, give_text: bool) -> Column:
                 rows.append((len(data), removed, runs, hashlib.sha256(rest).hexdigest(), text))
             yield pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return removed(text.cast("binary"), spans)
+    return removed(text.cast("binary"), starts, stops)
 
 
 def _judged(docs: DataFrame, text_col: str, length: int, give_text: bool) -> DataFrame:
@@ -356,7 +404,7 @@ def _judged(docs: DataFrame, text_col: str, length: int, give_text: bool) -> Dat
     )
     keyed = docs.withColumn("__x1", F.xxhash64(text, F.lit(1))).withColumn("__x2", F.xxhash64(text, F.lit(2)))
     joined = keyed.join(spans, (F.col("__x1") == F.col("__t1")) & (F.col("__x2") == F.col("__t2")), "left")
-    return joined.withColumn("__cut", _cut_out(text, F.col("__spans"), give_text))
+    return joined.withColumn("__cut", _cut_out(text, F.col("__spans.start"), F.col("__spans.stop"), give_text))
 
 
 def removal_report(
