@@ -26,10 +26,11 @@ from __future__ import annotations
 
 import base64
 import math
-from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -49,18 +50,18 @@ SMOOTHING = 0.1
 # --------------------------------------
 
 FREQUENT = 1 << 17
-CLASSES = 64
+CLASSES = 32
 #: Weight, in occurrences, of the general frequencies against those in a context.
 BACKOFF = 10.0
 #: Rows of the input embedding: the most frequent subwords; rarer ones share them by number.
 INPUT_ROWS = 4096
 WIDTH, KEY_WIDTH = 16, 8
-WINDOW, STRIDE = 48, 32
-TRAIN_ONE_IN = 24
+WINDOW, STRIDE = 32, 24
+TRAIN_ONE_IN = 50
 SHARD_WINDOWS = 6000
 ROUNDS, BATCH, RATE = 2, 64, 0.01
-#: Windows scored at a time; words and counts held while a task runs.
-SCORED, REMEMBERED, COUNTED = 1024, 300_000, 400_000
+#: Windows scored and bytes of text prepared at a time; words and counts held while a task runs.
+SCORED, CHUNK, REMEMBERED, COUNTED = 1024, 1 << 20, 200_000, 300_000
 
 # ---- subwords ------------------------------------------------------------
 
@@ -77,40 +78,61 @@ def encoder(path: str):
     return _encoders[path]
 
 
-class Subwords(dict):
-    """Subword ids of words with a space before them, kept while a task runs."""
+def encoded_words(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The subwords of all words, and where each word begins and the last one ends.
 
-    def __init__(self, path: str):
-        self.encode = encoder(path).encode_ordinary
+    A space stands before every word and nowhere else, so the subwords with a space tell
+    the words apart, and a word has the same subwords wherever it stands.
+    """
+    text = (b" " + b" ".join(words)).decode(errors="replace") if words else ""
+    ids = encoder(path).encode_to_numpy(text, disallowed_special=()).astype(np.int32)
+    begins, _ = vocabulary_facts(path)
+    return ids, np.r_[np.flatnonzero(begins[ids]), len(ids)]
+
+
+class Subwords:
+    """Subwords of texts; those of words met before are kept while a task runs.
+
+    ``logs`` has a value for some words; :meth:`of` gives those too (NaN: none).
+    """
+
+    def __init__(self, path: str, logs: dict[bytes, float] | None = None):
+        self.path = path
+        self.logs = logs or {}
         #: The free id after the vocabulary stands for the end of a text.
         self.end = encoder(path).max_token_value + 1
         self.empty()
 
     def empty(self) -> None:
-        self.clear()
-        self.flat, self.edges = array("i"), array("q", [0])
-
-    def __missing__(self, word: bytes) -> int:
-        self.flat.extend(self.encode(" " + word.decode(errors="replace")))
-        self.edges.append(len(self.flat))
-        number = self[word] = len(self.edges) - 2
-        return number
-
-    def of(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """The subwords of all texts, each with its end, and where the texts end."""
-        if len(self) > REMEMBERED:
+        self.known: dict[bytes, int] = {}
+        self.flat, self.edges, self.values = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0)
+
+    def of(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The subwords of all texts, each with its end, where the texts end, and the words' logs."""
+        if len(self.known) > REMEMBERED:
             self.empty()
         words = [w for of_text in texts for w in of_text]
-        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        flat, edges = np.array(self.flat, np.int64), np.array(self.edges, np.int64)
-        sizes = (edges[1:] - edges[:-1])[numbers]
+        numbers = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(numbers < 0).tolist()
+        new = list(dict.fromkeys(words[i] for i in missing))
+        if new:
+            ids, edges = encoded_words(self.path, new)
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            self.edges = np.r_[self.edges, edges[1:] + len(self.flat)]
+            self.flat = np.r_[self.flat, ids]
+            found = np.fromiter(map(self.logs.get, new, repeat(math.nan)), np.float64, len(new))
+            self.values = np.r_[self.values, found]
+            numbers[missing] = [self.known[words[i]] for i in missing]
+        sizes = (self.edges[1:] - self.edges[:-1])[numbers]
         word_ends = np.r_[0, np.cumsum(sizes)]
         within = np.arange(word_ends[-1]) - np.repeat(word_ends[:-1], sizes)
-        ids = flat[np.repeat(edges[numbers], sizes) + within] if len(numbers) else np.zeros(0, np.int64)
+        ids = self.flat[np.repeat(self.edges[numbers], sizes) + within].astype(np.int64)
         text_ends = word_ends[np.cumsum([len(t) for t in texts], dtype=np.int64)]
-        return np.insert(ids, text_ends, self.end), text_ends + np.arange(1, len(texts) + 1)
+        ids = np.insert(ids, text_ends, self.end)
+        return ids, text_ends + np.arange(1, len(texts) + 1), self.values[numbers]
 
 
+@cache
 def vocabulary_facts(path: str) -> tuple[np.ndarray, np.ndarray]:
     """For each subword and the end of a text: whether it begins a word, and the context it leaves.
 
@@ -352,10 +374,10 @@ def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _encoded(vocabulary: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary).encode_ordinary
         for frame in batches:
-            ids = [np.array(encode(" " + w.decode(errors="replace")), np.int32).tobytes() for w in frame["word"]]
-            yield pd.DataFrame({"n": frame["n"], "ids": ids})
+            ids, edges = encoded_words(vocabulary, frame["word"].tolist())
+            cut = [ids[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+            yield pd.DataFrame({"n": frame["n"], "ids": cut})
 
     return run
 
@@ -436,8 +458,8 @@ def _training_windows(vocabulary: str, shared):
         subwords = Subwords(vocabulary)
         for frame in batches:
             texts = frame["text"].tolist()
-            for a, b in chunks(texts):
-                ids, ends = subwords.of(_split(texts[a:b]))
+            for a, b in chunks(texts, CHUNK):
+                ids, ends, _ = subwords.of(_split(texts[a:b]))
                 begins = np.r_[0, ends[:-1]]
                 rows = model.inputs(ids, ends)
                 found = [
@@ -492,27 +514,29 @@ def _score(vocabulary: str, shared):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, logs, end_log, end_known = shared.value
         scorer = Scorer(model)
-        subwords = Subwords(vocabulary)
+        subwords = Subwords(vocabulary, logs)
         for frame in batches:
             texts = frame.pop("text").tolist()
-            rows = []
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, CHUNK):
+                rows = []
                 words = _split(texts[a:b])
-                scores = text_scores(scorer, *subwords.of(words)).tolist()
-                for of_text, score in zip(words, scores):
-                    base, known, rare = end_log, end_known, []
-                    for word, n in Counter(of_text).items():
-                        value = logs.get(word)
-                        if value is None:
-                            rare.append((word, n))
-                        else:
-                            base += n * value
-                            known += n
-                    rows.append((len(of_text) + 1, known, base, score, rare))
-            found = pd.DataFrame(
-                rows, columns=["n_tokens", "n_frequent", "base_frequent", "score", "rare"], index=frame.index
-            )
-            yield pd.concat([frame, found], axis=1)
+                ids, ends, found = subwords.of(words)
+                scores = text_scores(scorer, ids, ends).tolist()
+                flat = [w for of_text in words for w in of_text]
+                known = ~np.isnan(found)
+                edges = np.cumsum([0, *map(len, words)])
+                sums = np.r_[0, np.cumsum(np.where(known, found, 0))]
+                counts = np.r_[0, np.cumsum(known)]
+                unknown = np.flatnonzero(~known)
+                places = np.searchsorted(unknown, edges)
+                for i, score in enumerate(scores):
+                    begin, end = edges[i], edges[i + 1]
+                    rare = Counter(flat[j] for j in unknown[places[i] : places[i + 1]])
+                    base = float(sums[end] - sums[begin]) + end_log
+                    rows.append((end - begin + 1, int(counts[end] - counts[begin]) + end_known, base, score, list(rare.items())))
+                names = ["n_tokens", "n_frequent", "base_frequent", "score", "rare"]
+                part = frame.iloc[a:b]
+                yield pd.concat([part, pd.DataFrame(rows, columns=names, index=part.index)], axis=1)
 
     return run
 

@@ -114,7 +114,7 @@ def test_windows_score_each_subword_once():
     """Batched windows against one place at a time, with the context its window has."""
     model = small_model()
     scorer = lm.Scorer(model)
-    found, ends = lm.Subwords(lm.VOCABULARY).of([prose(n).encode().split() for n in (0, 1, 12, 60, 90)])
+    found, ends, _ = lm.Subwords(lm.VOCABULARY).of([prose(n).encode().split() for n in (0, 1, 12, 60, 90)])
     got = scorer(found, ends)
     w = model.weights
     for begin, end in zip([0, *ends[:-1]], ends):
@@ -130,6 +130,18 @@ def test_windows_score_each_subword_once():
             assert got[begin + t] == pytest.approx(want, abs=1e-3)
 
 
+def test_words_have_the_same_subwords_anywhere():
+    encode = lm.encoder(lm.VOCABULARY).encode_ordinary
+    found = [w.encode() for w in "the don't 漢字 été 12ab $$$ a\u00a0b \u00a0x y\u2003 \x1c. caf\u00e9s <|endoftext|>".split(" ")]
+    ids, edges = lm.encoded_words(lm.VOCABULARY, found)
+    assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == [encode(" " + w.decode()) for w in found]
+    subwords = lm.Subwords(lm.VOCABULARY)
+    for _ in range(2):
+        ids, ends, _ = subwords.of([found, [], found[:2]])
+        assert ids.tolist() == [i for t in (found, [], found[:2]) for i in [*(i for w in t for i in encode(" " + w.decode())), subwords.end]]
+        assert len(ends) == 3 and ends[-1] == len(ids)
+
+
 def test_model_is_a_distribution():
     model = small_model()
     for context in (0, 40, lm.CONTEXTS - 1):
@@ -428,7 +440,7 @@ def test_suffix_dedup(spark, texts):
     check_removed([texts[i].encode() for i in ids], rows)
 
 
-@pytest.mark.parametrize(("group", "array"), [(8192, 1 << 19), (3, 2000)])
+@pytest.mark.parametrize(("group", "array"), [(4096, 1 << 19), (3, 2000)])
 def test_suffix_dedup_of_mixed_repeats(spark, monkeypatch, group, array):
     """Passages in different surroundings, periodic texts, copies; with small bounds too."""
     monkeypatch.setattr(suffix_dedup, "GROUP", group)
