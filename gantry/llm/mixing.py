@@ -108,7 +108,8 @@ def training_positions(
     )
     sized = (
         docs.withColumn(size, word_count(F.col(text_col).cast("string")))
-        .withColumn(source, F.col(source_col).cast("string"))
+        # never null, so that windows and joins over it share one partitioning
+        .withColumn(source, F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")))
         .withColumn(key, F.md5(identity))
         .withColumn(bucket, F.substring(F.col(key), 1, BUCKET_DIGITS))
     )
@@ -116,12 +117,13 @@ def training_positions(
     preceding = Window.partitionBy(source).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     buckets = buckets.withColumn(before, F.coalesce(F.sum(bucket_size).over(preceding), F.lit(0)))
     sources = source_targets(
-        buckets.groupBy(F.col(source).alias("source")).agg(F.sum(bucket_size).alias("source_size")),
+        buckets.groupBy(F.nullif(F.col(source), F.lit("")).alias("source")).agg(F.sum(bucket_size).alias("source_size")),
         weights,
         share_percent,
         most_times,
     )
-    goals = buckets.join(sources, F.col(source).eqNullSafe(F.col("source")), "left").select(
+    sources = sources.withColumn("source", F.coalesce("source", F.lit("")))
+    goals = buckets.join(sources, F.col(source) == F.col("source"), "left").select(
         F.col(source).alias(of_source),
         F.col(bucket).alias(of_bucket),
         before,
@@ -130,7 +132,7 @@ def training_positions(
     within = Window.partitionBy(source, bucket).orderBy(key)
     running = sized.withColumn(end, F.sum(size).over(within.rowsBetween(Window.unboundedPreceding, 0)))
     placed = running.join(
-        goals, F.col(source).eqNullSafe(F.col(of_source)) & (F.col(bucket) == F.col(of_bucket)), "left"
+        goals, (F.col(source) == F.col(of_source)) & (F.col(bucket) == F.col(of_bucket)), "left"
     )
     goal = F.col(mix)
     stop = F.round(goal["target"]).cast("long")
