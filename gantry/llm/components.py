@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from gantry.sources.scratch import stored
 
 
+LINKS_PER_TASK = 250_000
+
+
 def _state(links: DataFrame) -> tuple:
     both = F.xxhash64("child", "parent")
     return tuple(links.agg(F.count("*"), F.bit_xor(both), F.sum(F.shiftright(both, 24))).first())
@@ -29,13 +32,13 @@ def components(links: DataFrame) -> DataFrame:
     )
     state = _state(links)
     while state[0]:
-        around = links.select(F.col("child").alias("u"), F.col("parent").alias("v")).union(
-            links.select(F.col("parent").alias("u"), F.col("child").alias("v"))
-        )
+        # tasks by the number of links; a step over few links needs no shuffle at all
+        links = links.coalesce(1 + state[0] // LINKS_PER_TASK)
+        ends = F.array(F.struct(F.col("child").alias("u"), F.col("parent").alias("v")), F.struct(F.col("parent").alias("u"), F.col("child").alias("v")))
+        around = links.select(F.inline(ends))
         least = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # every larger neighbour of a node is linked to the smallest node around
         large = around.where("v > u").join(least, "u").select(F.col("v").alias("child"), F.col("m").alias("parent"))
-        large = large.distinct()
         root = large.groupBy("child").agg(F.min("parent").alias("root"))
         # every smaller neighbour, and the node, is linked to the smallest one
         small = (

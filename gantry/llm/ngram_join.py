@@ -3,7 +3,7 @@
 1. Every document becomes its sorted set of 64-bit shingle hashes. Equal sets are one
    node from here on, whatever their number.
 2. The smallest ``KEYS`` hashes of a set are its keys. Two sets of similarity s share
-   none of them with probability (1 - s) ** KEYS at most, below 1e-24 at 0.75. Sets that
+   none of them with probability (1 - s) ** KEYS at most, below 1e-12 at 0.75. Sets that
    share a key form a tile. Keys of more than ``HOT`` sets (of a passage that very many
    documents quote) are dropped by sets whose other keys are ``COLD_SHARE`` or more of
    their own: two similar sets with a share h of hot shingles still share a cold key but
@@ -14,9 +14,10 @@
    overlap from above. Only pairs that pass are written.
 4. Their sorted hash arrays are intersected exactly.
 
-Within a group of near copies not all pairs are tried: a first round takes each tile's
-stars (a pivot and all that pass with it), the second what passes between different
-components, so no link that could join two components stays untried.
+Within a group of near copies not all pairs are tried: a first round takes stars of each
+tile (a pivot and all that pass with it; up to three pivots for a set), and so do more rounds
+over one set of each component while tiles are split. The last round tries whatever passes
+between different components, so no link that could join two stays untried.
 
 Cases: null or wordless texts have an empty set and link to nothing, not to each other;
 fewer words than a shingle make one shingle; a null id takes part in the links, but the
@@ -26,7 +27,8 @@ table gives an empty result; other columns do not matter.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import ExitStack
 
 import numpy as np
 import pandas as pd
@@ -37,16 +39,19 @@ from pyspark.sql import types as T
 
 from gantry.llm.common import WordHashes, chunks, free_name, mixed, text_or_empty
 from gantry.llm.components import components
-from gantry.sources.scratch import stored
+from gantry.sources.scratch import staged, stored
+
+#: Writes a table and reads it back; the table goes when the join is done.
+Keep = Callable[[DataFrame], DataFrame]
 
 SHINGLE = 5
 #: Links need overlap / union >= 3/4, that is 7 * overlap >= 3 * (sum of sizes).
-KEYS = 40
+KEYS = 20
 HOT = 1000
-COLD_SHARE = 0.7
+COLD_SHARE = 0.85
 #: Most sets on either side of a block of a tile.
 BLOCK = 2048
-MIN_BITS, MAX_BITS = 256, 1 << 16
+MIN_BITS, MAX_BITS = 256, 1 << 18
 
 # ---- sets ----------------------------------------------------------------
 
@@ -73,9 +78,9 @@ def shingle_sets(texts: list[bytes], cache: WordHashes, size: int = SHINGLE) ->
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    """A bitmap of about one bit for each shingle; halves can be folded onto each other."""
+    """A bitmap of about four bits for each shingle; halves can be folded onto each other."""
     bits = MIN_BITS
-    while bits < min(len(hashes), MAX_BITS):
+    while bits < min(4 * len(hashes), MAX_BITS):
         bits *= 2
     marks = np.zeros(bits, bool)
     marks[(hashes & np.uint64(bits - 1)).astype(np.int64)] = True
@@ -164,11 +169,15 @@ def _tiles(star: bool):
             tile = frame["tile"].to_numpy()
             sides = frame["side"].to_numpy(np.int64)
             starts = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
+            used = frame["used"].tolist() if not star else None
             rows = set()
             for a, b in zip(starts, np.r_[starts[1:], len(tile)]):
+                key = int(tile[a].partition(":")[0])
                 for i, j in tile_pairs(n[a:b], bits[a:b], groups[a:b], sides[a:b], star):
-                    one, other = nodes[a + i], nodes[a + j]
-                    rows.add((min(one, other), max(one, other)))
+                    # of all tiles that hold both sets, that of their smallest common key names the pair
+                    if star or min(set(used[a + i]).intersection(used[a + j])) == key:
+                        one, other = nodes[a + i], nodes[a + j]
+                        rows.add((min(one, other), max(one, other)))
             return pd.DataFrame(list(rows), columns=["a", "b"])
 
         rest: pd.DataFrame | None = None
@@ -200,11 +209,11 @@ def _similar(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([linked(x, y) for x, y in zip(a, b)], dtype=bool)
 
 
-def _shared_keys(nodes: DataFrame) -> DataFrame:
+def _shared_keys(nodes: DataFrame, keep: Keep) -> DataFrame:
     """``key``, ``node`` where at least two nodes have the key; hot keys only where needed."""
     entries = nodes.select("node", F.size("keys").alias("n_keys"), F.explode("keys").alias("key"))
     counts = entries.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1")
-    shared = stored(entries.join(counts, "key"))
+    shared = keep(entries.join(counts, "key"))
     hot = F.col("holders") > HOT
     mostly_hot = (
         shared.where(hot)
@@ -218,18 +227,35 @@ def _shared_keys(nodes: DataFrame) -> DataFrame:
     )
 
 
-def _member_columns(members: DataFrame, nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
-    found = members.join(nodes.select("node", "n", "bits"), "node")
+def _open_members(
+    keyed: DataFrame, labels: DataFrame | None, one_each: bool, keep: Keep
+) -> tuple[DataFrame, DataFrame]:
+    """``key``, ``node``, ``component`` and ``n_blocks`` for keys of different components, and those keys.
+
+    With ``one_each`` a key keeps one node of each component.
+    """
     if labels is None:
-        return found.withColumn("component", F.col("node"))
-    labels = labels.select(F.col("child").alias("node"), "parent")
-    return found.join(labels, "node", "left").select(
-        *found.columns, F.coalesce("parent", "node").alias("component")
+        members = keyed.withColumn("component", F.col("node"))
+    else:
+        labels = labels.select(F.col("child").alias("node"), "parent")
+        members = keyed.join(labels, "node", "left").select(
+            "key", "node", F.coalesce("parent", "node").alias("component")
+        )
+        if one_each:
+            members = members.groupBy("key", "component").agg(F.min("node").alias("node"))
+        members = keep(members)
+    counts = members.groupBy("key").agg(
+        F.count("*").alias("members"), F.min("component").alias("x"), F.max("component").alias("y")
     )
+    open_keys = counts.where("x != y").select("key", F.ceil(F.col("members") / BLOCK).alias("n_blocks"))
+    return members.join(open_keys, "key"), open_keys
 
 
-def _run_tiles(members: DataFrame, star: bool) -> DataFrame:
-    """Pairs from members with ``key``, ``n_blocks``, ``node``, ``n``, ``bits``, ``component``."""
+def _run_tiles(members: DataFrame, nodes: DataFrame, star: bool) -> DataFrame:
+    """Pairs of members of :func:`_open_members`; ``nodes`` has sizes, bitmaps and, if not ``star``,
+    the keys in use of each set."""
+    extra = [] if star else ["used"]
+    members = members.join(nodes.select("node", "n", "bits", *extra), "node")
     block = F.pmod(F.xxhash64("node", F.lit(7)), F.col("n_blocks"))
     if star:
         tiled = members.withColumn("block", block).withColumn("other", F.col("block"))
@@ -238,26 +264,23 @@ def _run_tiles(members: DataFrame, star: bool) -> DataFrame:
             "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1))
         )
     name = F.concat_ws(":", "key", F.least("block", "other"), F.greatest("block", "other"))
-    tiled = tiled.select(name.alias("tile"), "n", "node", "bits", "component", F.col("block").alias("side"))
+    tiled = tiled.select(name.alias("tile"), "n", "node", "bits", "component", F.col("block").alias("side"), *extra)
     dealt = tiled.repartition("tile").sortWithinPartitions("tile", "n", "node")
     return dealt.mapInPandas(_tiles(star), "a binary, b binary").distinct()
 
 
-def _with_blocks(members: DataFrame) -> DataFrame:
-    """Members of keys that still join different components, with the number of blocks."""
-    counts = members.groupBy("key").agg(
-        F.count("*").alias("members"), F.min("component").alias("x"), F.max("component").alias("y")
-    )
-    open_keys = counts.where("x != y").select("key", F.ceil(F.col("members") / BLOCK).alias("n_blocks"))
-    return members.join(open_keys, "key")
+def _few_pivots(pairs: DataFrame) -> DataFrame:
+    """At most three of the pairs of each ``b``."""
+    some = F.array_distinct(F.array(F.min("a"), F.max("a"), F.min_by("a", F.xxhash64("a", "b"))))
+    return pairs.groupBy("b").agg(some.alias("some")).select(F.explode("some").alias("a"), "b")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, keep: Keep) -> DataFrame:
     """The pairs whose sets are similar. ``texts``: ``t1``, ``t2``, ``text``."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = nodes.join(ends, "node", "left_semi").select("t1", "t2")
     found = texts.join(wanted, ["t1", "t2"], "left_semi").groupBy("t1", "t2").agg(F.first("text").alias("text"))
-    arrays = stored(found.select("text").mapInPandas(_hash_arrays, "node binary, hashes binary"))
+    arrays = keep(found.select("text").mapInPandas(_hash_arrays, "node binary, hashes binary"))
     left = arrays.select(F.col("node").alias("a"), F.col("hashes").alias("hashes_a"))
     right = arrays.select(F.col("node").alias("b"), F.col("hashes").alias("hashes_b"))
     checked = pairs.join(right, "b").join(left, "a")
@@ -276,56 +299,56 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.xxhash64(text, F.lit(2)).alias("t2"),
         text.cast("binary").alias("text"),
     )
-    id_type = texts.schema["id"].dataType.simpleString()
-    sets = stored(
-        texts.mapInPandas(
-            _set_columns, f"id {id_type}, t1 long, t2 long, n long, node binary, keys array<long>, bits binary"
+    with ExitStack() as scratch:
+        def keep(df: DataFrame) -> DataFrame:
+            return scratch.enter_context(staged(df))
+
+        id_type = texts.schema["id"].dataType.simpleString()
+        sets = keep(
+            texts.mapInPandas(
+                _set_columns, f"id {id_type}, t1 long, t2 long, n long, node binary, keys array<long>, bits binary"
+            )
         )
-    )
-    nodes = stored(
-        sets.where("n > 0")
-        .groupBy("node")
-        .agg(
-            F.first("n").alias("n"),
-            F.first("keys").alias("keys"),
-            F.first("bits").alias("bits"),
-            F.min(F.struct("t1", "t2")).alias("t"),
+        nodes = keep(
+            sets.where("n > 0")
+            .groupBy("node")
+            .agg(
+                F.first("n").alias("n"),
+                F.first("keys").alias("keys"),
+                F.first("bits").alias("bits"),
+                F.min(F.struct("t1", "t2")).alias("t"),
+            )
+            .select("node", "n", "keys", "bits", "t.t1", "t.t2")
         )
-        .select("node", "n", "keys", "bits", "t.t1", "t.t2")
-    )
-    keyed = stored(_shared_keys(nodes))
-    tried = links = labels = None
-    # stars within blocks, then among one member of each component of a tile until tiles
-    # are one block, then everything that passes between different components
-    while True:
-        members = _member_columns(keyed, nodes, labels)
-        if labels is not None:
-            members = members.groupBy("key", "component").agg(F.min_by(F.struct("node", "n", "bits"), "node").alias("m"))
-            members = members.select("key", "component", "m.node", "m.n", "m.bits")
-        members = stored(_with_blocks(members))
-        split = members.where("n_blocks > 1").limit(1).count()
-        pairs = _run_tiles(members, star=True)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs)
-        new = stored(_verified(pairs, nodes, texts))
-        tried = pairs if tried is None else tried.union(pairs)
-        links = new if links is None else links.union(new)
-        progress = new.limit(1).count()
-        labels = components(links)
-        if not split or not progress:
-            break
-    members = stored(_with_blocks(_member_columns(keyed, nodes, labels)))
-    pairs = stored(_run_tiles(members, star=False).join(tried, ["a", "b"], "left_anti"))
-    labels = components(links.union(_verified(pairs, nodes, texts)))
-    root = labels.select(F.col("child").alias("node"), F.col("parent").alias("root"))
-    component = F.when(F.col("n") > 0, F.coalesce("root", "node"))
-    return sets.join(root, "node", "left").select("id", "n", component.alias("component"))
+        keyed = keep(_shared_keys(nodes, keep))
+        tried = links = labels = None
+        while True:
+            # later rounds compare components, by one of their sets in each tile
+            members, open_keys = _open_members(keyed, labels, one_each=True, keep=keep)
+            pairs = _few_pivots(_run_tiles(members, nodes, star=True))
+            if tried is not None:
+                pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            pairs = keep(pairs)
+            new = keep(_verified(pairs, nodes, texts, keep))
+            tried = pairs if tried is None else tried.union(pairs)
+            labels = components(new if links is None else links.union(new))
+            # the stars found so far stand for the links they come from
+            links = labels.select(F.col("child").alias("a"), F.col("parent").alias("b"))
+            split = open_keys.where("n_blocks > 1").limit(1).count()
+            if not split or not new.limit(1).count():
+                break
+        members, _ = _open_members(keyed, labels, one_each=False, keep=keep)
+        used = keyed.groupBy("node").agg(F.collect_list("key").alias("used"))  # KEYS at most
+        pairs = keep(_run_tiles(members, nodes.join(used, "node"), star=False).join(tried, ["a", "b"], "left_anti"))
+        labels = components(links.union(_verified(pairs, nodes, texts, keep)))
+        root = labels.select(F.col("child").alias("node"), F.col("parent").alias("root"))
+        component = F.when(F.col("n") > 0, F.coalesce("root", "node"))
+        return stored(sets.join(root, "node", "left").select("id", "n", component.alias("component")))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, ``n_shingles`` and ``component_id``, the smallest id of its group."""
-    grouped = stored(similar_groups(docs, id_col, text_col))
+    grouped = similar_groups(docs, id_col, text_col)
     smallest = grouped.where("component is not null").groupBy("component").agg(F.min("id").alias("component_id"))
     return grouped.join(smallest, "component", "left").select(
         F.col("id").alias(id_col),
