@@ -7,9 +7,8 @@ those that go on), predicted by one layer of causal self-attention with a learne
 distance, on top of the class frequencies after the last subword. Within its class a
 subword has its frequency, after the last letter if it goes on a word. Classes and
 frequencies are counted over all training text. The weights of the attention are trained
-in numpy on the documents whose hash falls in one of ``TRAIN_ONE_IN`` parts, a number that
-grows with the corpus: shards of windows are trained side by side from common weights, and
-the results are averaged, ``ROUNDS`` times.
+in numpy on windows that hold every subword of every training document: shards of windows
+are trained side by side from common weights, and the results are averaged, ``ROUNDS`` times.
 
 Texts are scored in windows of ``WINDOW`` inputs that overlap by ``WINDOW - STRIDE``;
 each subword is scored once, in the first window that holds it.
@@ -28,7 +27,7 @@ import base64
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cache
 from itertools import repeat
 
@@ -38,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gantry.llm.common import chunks, text_or_empty
-from gantry.sources.scratch import stored
+from gantry.sources.scratch import staged, stored
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Pre-tokenisation of that vocabulary (fixed value).
@@ -50,18 +49,17 @@ SMOOTHING = 0.1
 # --------------------------------------
 
 FREQUENT = 1 << 17
-CLASSES = 32
+CLASSES = 64
 #: Weight, in occurrences, of the general frequencies against those in a context.
 BACKOFF = 10.0
 #: Rows of the input embedding: the most frequent subwords; rarer ones share them by number.
 INPUT_ROWS = 4096
 WIDTH, KEY_WIDTH = 16, 8
-WINDOW, STRIDE = 32, 24
-TRAIN_ONE_IN = 50
+WINDOW, STRIDE = 48, 32
 SHARD_WINDOWS = 6000
 ROUNDS, BATCH, RATE = 2, 64, 0.01
 #: Windows scored and bytes of text prepared at a time; words and counts held while a task runs.
-SCORED, CHUNK, REMEMBERED, COUNTED = 1024, 1 << 20, 200_000, 300_000
+SCORED, CHUNK, REMEMBERED, COUNTED = 512, 1 << 20, 200_000, 300_000
 
 # ---- subwords ------------------------------------------------------------
 
@@ -159,7 +157,7 @@ class Model:
     of_class: np.ndarray  # class of each subword
     begins: np.ndarray  # whether it begins a word
     context: np.ndarray  # the context it leaves for the next
-    within: np.ndarray  # by context and subword, log10 of its probability within its class
+    within: np.ndarray | None  # by context and subword, log10 of its probability within its class
     after: np.ndarray  # by input row and class, log of the class frequency after that row
     weights: dict[str, np.ndarray]
 
@@ -450,60 +448,99 @@ def counted_model(words: DataFrame, n_texts: int, vocabulary: str) -> Model:
     return new_model(counts, in_context, after, begins, context, of_class, row)
 
 
+def _id_type(model: Model) -> type:
+    """Of the subword ids of stored windows."""
+    return np.uint16 if len(model.row) <= 1 << 16 else np.int32
+
+
+def _light(model: Model) -> Model:
+    """Without the largest table, which training does not need; workers keep all they are sent."""
+    return replace(model, within=None)
+
+
 def _training_windows(vocabulary: str, shared):
-    """Windows of input rows and target classes, one after another through each text."""
+    """Windows one after another through each text: the subword before (the end, at a text's
+    start) and the subwords to predict."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = shared.value
+        kind = _id_type(shared.value)
         subwords = Subwords(vocabulary)
         for frame in batches:
             texts = frame["text"].tolist()
             for a, b in chunks(texts, CHUNK):
                 ids, ends, _ = subwords.of(_split(texts[a:b]))
+                # every text ends with the end, so that stands before the next one too
+                ids = np.r_[subwords.end, ids].astype(kind)
                 begins = np.r_[0, ends[:-1]]
-                rows = model.inputs(ids, ends)
                 found = [
-                    (rows[i : min(i + WINDOW, end)], model.of_class[ids[i : min(i + WINDOW, end)]])
+                    ids[i : min(i + WINDOW, end) + 1].tobytes()
                     for begin, end in zip(begins.tolist(), ends.tolist())
                     for i in range(begin, end, WINDOW)
                 ]
-                yield pd.DataFrame(found, columns=["rows", "targets"])
+                yield pd.DataFrame({"ids": found})
+
+    return run
+
+
+def _rows_and_targets(windows: list[bytes], model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Input rows and target classes (-1: none) of stored windows."""
+    kind = _id_type(model)
+    sizes = np.array([len(w) for w in windows]) // np.dtype(kind).itemsize
+    ids = np.zeros((len(windows), WINDOW + 1), np.int64)
+    place = np.arange(WINDOW + 1)
+    ids[place < sizes[:, None]] = np.frombuffer(b"".join(windows), kind)
+    used = place[1:] < sizes[:, None]
+    rows = np.where(used, model.row[ids[:, :-1]], 0)
+    rows[ids[:, 0] == len(model.row) - 1, 0] = 0
+    return rows, np.where(used, model.of_class[ids[:, 1:]], -1)
+
+
+def _train_shards(shared):
+    """Sums of the weights that shards of at most ``SHARD_WINDOWS`` windows end with."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = shared.value
+        total, sums = 0, {name: np.zeros(value.shape) for name, value in model.weights.items()}
+        waiting: list[bytes] = []
+
+        def train(windows: list[bytes]) -> None:
+            for name, value in train_shard(model.weights, model.after, *_rows_and_targets(windows, model)).items():
+                sums[name] += len(windows) * value.astype(np.float64)
+
+        for frame in batches:
+            waiting += frame["ids"].tolist()
+            while len(waiting) >= SHARD_WINDOWS:
+                train(waiting[:SHARD_WINDOWS])
+                total += SHARD_WINDOWS
+                waiting = waiting[SHARD_WINDOWS:]
+        if waiting:
+            train(waiting)
+            total += len(waiting)
+        if total:
+            yield pd.DataFrame([(total, np.concatenate([v.ravel() for v in sums.values()]).tobytes())], columns=["n", "sums"])
 
     return run
 
 
-def _trained(windows: DataFrame, model: Model) -> Model:
+def _trained(windows: DataFrame, n_shards: int, model: Model) -> Model:
     """Rounds of training on shards and averaging, weighted by the windows of a shard."""
-    n_windows = windows.count()
-    if not n_windows:
-        return model
-    spark = windows.sparkSession
-    n_shards = max(1, round(n_windows / SHARD_WINDOWS))
-    # equal windows fall in one shard, but no shard depends on the input's order
-    sharded = windows.withColumn("shard", F.pmod(F.xxhash64("rows", "targets", "nth"), F.lit(n_shards)))
-    sharded = stored(sharded.repartition(n_shards, "shard").sortWithinPartitions("shard", F.xxhash64("nth", "rows")))
-    names = list(model.weights)
-    for _ in range(ROUNDS):
-        shared = spark.sparkContext.broadcast((model.weights, model.after))
-
-        def train(rows: Iterator) -> Iterator[tuple[int, list[np.ndarray]]]:
-            found = [(r.rows, r.targets) for r in rows]
-            if not found:
-                return
-            inputs = np.zeros((len(found), WINDOW), np.int64)
-            targets = np.full((len(found), WINDOW), -1, np.int64)
-            for i, (of_window, classes) in enumerate(found):
-                inputs[i, : len(of_window)] = of_window
-                targets[i, : len(classes)] = classes
-            trained = train_shard(*shared.value, inputs, targets)
-            yield len(found), [len(found) * trained[name].astype(np.float64) for name in names]
-
-        def add(x: tuple, y: tuple) -> tuple:
-            return x[0] + y[0], [a + b for a, b in zip(x[1], y[1])]
-
-        total, sums = sharded.select("rows", "targets").rdd.mapPartitions(train).treeReduce(add)
-        model.weights = {name: (value / total).astype(np.float32) for name, value in zip(names, sums)}
-    return model
+    context = windows.sparkSession.sparkContext
+    within, model = model.within, _light(model)
+    # equal windows fall in one partition only by chance, so many copies do not fill one
+    dealt = F.xxhash64("ids", "nth")
+    sharded = windows.withColumn("nth", F.monotonically_increasing_id()).repartition(n_shards, dealt)
+    with staged(sharded.sortWithinPartitions(dealt).select("ids")) as sharded:
+        for _ in range(ROUNDS):
+            found = sharded.mapInPandas(_train_shards(context.broadcast(model)), "n long, sums binary").rdd
+            sums = found.map(lambda r: (r.n, np.frombuffer(r.sums)))
+            total, flat = sums.treeReduce(lambda x, y: (x[0] + y[0], x[1] + y[1]))
+            edges = np.cumsum([0, *(value.size for value in model.weights.values())])
+            weights = {
+                name: (flat[a:b] / total).astype(np.float32).reshape(value.shape)
+                for (name, value), a, b in zip(model.weights.items(), edges, edges[1:])
+            }
+            model = replace(model, weights=weights)
+    return replace(model, within=within)
 
 
 _SCORED = """id {id}, held_out boolean, n_tokens long, n_frequent long, base_frequent double,
@@ -568,11 +605,11 @@ def language_scores(
 
     words = stored(counts.mapInPandas(_encoded(vocabulary), "n long, ids binary"))
     model = counted_model(words, n_ends, vocabulary)
-    chosen = training.where(F.pmod(F.xxhash64("id", "text"), F.lit(TRAIN_ONE_IN)) == 0).select("text")
-    windows = chosen.mapInPandas(
-        _training_windows(vocabulary, context.broadcast(model)), "rows array<int>, targets array<int>"
-    )
-    model = _trained(stored(windows.withColumn("nth", F.monotonically_increasing_id())), model)
+    if n_ends:
+        windows = training.select("text").mapInPandas(_training_windows(vocabulary, context.broadcast(_light(model))), "ids binary")
+        # as many as whole windows would fill; the last one of each text may be shorter
+        n_subwords = words.agg(F.coalesce(F.sum(F.col("n") * F.octet_length("ids") / 4), F.lit(0.0))).first()[0]
+        model = _trained(windows, max(1, round((n_subwords / WINDOW + n_ends) / SHARD_WINDOWS)), model)
 
     shared = context.broadcast((model, logs, log_of(n_ends), int(n_ends > 0)))
     schema = _SCORED.format(id=texts.schema["id"].dataType.simpleString())
