@@ -10,6 +10,8 @@ The network is trained in numpy, in one task, on a bounded sample of labelled do
 ``SAMPLE`` of either class, the first by a hash, each of at most ``SAMPLE_BYTES`` bytes.
 Labels are per document, so training picks windows: first those with the words most
 typical of the label (by log-odds in the sample), later those the network scores highest.
+The prior is the share of toxic ones among all usable labelled documents, and the
+calibration is shifted by the difference in log-odds between that share and the sample's.
 
 Cases: null, empty and wordless texts have no window and get the score of the prior;
 rows of ``labels`` with nulls are ignored, of several labels the highest counts; without
@@ -77,6 +79,10 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _logit(share: float) -> float:
+    return float(np.log(share / (1 - share)))
+
+
 def window_starts(n_words: int) -> list[int]:
     """First words of the overlapping windows of a text; the last one ends with the text."""
     if not n_words:
@@ -233,8 +239,11 @@ class _Adam:
         value -= rate * mean / (np.sqrt(square) + 1e-8)
 
 
-def train(texts: list[bytes], toxic: np.ndarray, seed: int = 7) -> Network:
-    """A network from whole texts and their labels (0 or 1, both present)."""
+def train(texts: list[bytes], toxic: np.ndarray, seed: int = 7, share: float | None = None) -> Network:
+    """A network from whole texts and their labels (0 or 1, both present).
+
+    ``share`` is that of the toxic ones where the texts were drawn from, if not theirs.
+    """
     rng = np.random.default_rng(seed)
     toxic = toxic.astype(np.float64)
     docs = [plain_words(t) for t in texts]
@@ -335,6 +344,9 @@ def train(texts: list[bytes], toxic: np.ndarray, seed: int = 7) -> Network:
                 adam.update(name, value, grads[name])
         epoch += 1
     _calibrate(net, gates_of_all(), windows, of_doc, held, toxic)
+    if share is not None:
+        net.shift += _logit(share) - _logit(net.prior)
+        net.prior = share
     return net
 
 
@@ -404,8 +416,8 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(True))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """At most ``size`` texts of either label, the first by a hash of id and text."""
+def usable_labels(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Texts that may be trained on, and the distinct ones with a label, without the text."""
     marked = (
         labels.where(F.col(id_col).isNotNull() & F.col("toxic").isNotNull())
         .groupBy(F.col(id_col).alias("labelled"))
@@ -415,23 +427,32 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
         ~held_out("id") & (F.octet_length("text") <= SAMPLE_BYTES)
     )
     usable = usable.withColumn("hash", F.xxhash64("text"))
-    # texts stay out of the join with the labels; at most twice ``size`` rows are fetched
+    # texts stay out of the join with the labels
     rows = usable.select("id", "hash").distinct().join(marked, F.col("id") == F.col("labelled"))
-    rows = rows.select(F.xxhash64("id", "hash").alias("place"), "id", "hash", "toxic")
+    return usable, rows.select(F.xxhash64("id", "hash").alias("place"), "id", "hash", "toxic")
+
+
+def labelled_sample(usable: DataFrame, rows: DataFrame, size: int) -> DataFrame:
+    """At most ``size`` texts of either label, the first by a hash of id and text."""
     first = [rows.where(F.col("toxic") == label).orderBy("place", "id", "hash").limit(size) for label in (1, 0)]
+    # at most twice ``size`` rows are fetched
     chosen = F.broadcast(first[0].union(first[1]))
     return usable.join(chosen, ["id", "hash"]).groupBy("id", "hash", "place", "toxic").agg(
         F.first("text").cast("binary").alias("text")
     )
 
 
-def _fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The network and the share of toxic documents, from the whole sample."""
-    rows = sorted(row for frame in batches for row in zip(frame["place"], frame["text"], frame["toxic"]))
-    toxic = np.array([label for _, _, label in rows])
-    net = train([text for _, text, _ in rows], toxic) if len(set(toxic.tolist())) == 2 else None
-    prior = float(toxic.mean()) if len(rows) else 0.0
-    yield pd.DataFrame([(pickle.dumps(net), prior)], columns=["net", "prior"])
+def _fitted(prior: float):
+    """The network from the whole sample; ``prior`` is the share of toxic documents in all rows."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = sorted(row for frame in batches for row in zip(frame["place"], frame["text"], frame["toxic"]))
+        toxic = np.array([label for _, _, label in rows])
+        both = len(set(toxic.tolist())) == 2
+        net = train([text for _, text, _ in rows], toxic, share=prior) if both else None
+        yield pd.DataFrame([(pickle.dumps(net),)], columns=["net"])
+
+    return run
 
 
 def toxicity_scores(
@@ -442,10 +463,11 @@ def toxicity_scores(
     sample: int = SAMPLE,
 ) -> DataFrame:
     """One row per document: id, ``held_out``, ``score`` from 0 to 1 and ``predicted``."""
-    chosen = labelled_sample(docs, labels, id_col, text_col, sample).coalesce(1)
-    fitted = chosen.mapInPandas(_fitted, "net binary, prior double").first()
+    usable, rows = usable_labels(docs, labels, id_col, text_col)
+    prior = rows.agg(F.coalesce(F.avg("toxic"), F.lit(0.0))).first()[0]
+    chosen = labelled_sample(usable, rows, sample).coalesce(1)
+    fitted = chosen.mapInPandas(_fitted(prior), "net binary").first()
     shared = docs.sparkSession.sparkContext.broadcast(bytes(fitted.net) if fitted else pickle.dumps(None))
-    prior = fitted.prior if fitted else 0.0
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections import Counter
 from types import SimpleNamespace
@@ -9,7 +10,7 @@ from types import SimpleNamespace
 import numpy as np
 import pandas as pd
 
-from gantry.llm import lm
+from gantry.llm import lm, toxicity
 
 from .cases import prose
 from .test_brute_force import small_model
@@ -47,3 +48,25 @@ def test_shards_take_all_windows():
     got = np.frombuffer(result["sums"][0]) / 3
     assert result["n"][0] == 3
     np.testing.assert_allclose(got, np.concatenate([v.ravel() for v in want.values()]), atol=1e-5)
+
+
+def test_toxicity_prior_does_not_depend_on_the_sample(spark):
+    rng = random.Random(8)
+    docs = [(i, f"{prose(15, rng)} {'vile grot ' * (i % 10 == 0)}{prose(15, rng)}") for i in range(600)]
+    docs.append((1000, None))
+    found = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(600)], "doc_id long, toxic int")
+    used = [i for i in range(600) if zlib.crc32(str(i).encode()) % 4 != 2]
+    share = sum(i % 10 == 0 for i in used) / len(used)
+    result = toxicity.toxicity_scores(spark.createDataFrame(docs, "doc_id long, text string"), found, sample=40).collect()
+    (empty,) = [r for r in result if r.doc_id == 1000]
+    assert abs(empty.score - share) < 1e-9
+    assert empty.predicted == 0
+
+
+def test_toxicity_calibration_follows_the_share():
+    rng = random.Random(9)
+    texts = [f"{prose(20, rng)} {'vile grot' * (i % 2)}".encode() for i in range(80)]
+    toxic = np.arange(80) % 2
+    same, rare = toxicity.train(texts, toxic), toxicity.train(texts, toxic, share=0.1)
+    assert (same.prior, rare.prior) == (0.5, 0.1)
+    assert abs(same.shift - rare.shift - np.log(9)) < 1e-6
