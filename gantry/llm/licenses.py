@@ -1,15 +1,19 @@
 """Licence scan: a trained paragraph classifier whose findings are checked against templates.
 
-A paragraph is a line with a word. Its features are the word uni- and bigrams that occur
+A paragraph is a line with a word. Notices are also looked for across lines: the lines up
+to the next empty one, without comment marks around them, are joined and read in stretches
+of ``STRETCH`` words that overlap by half, so every notice lies whole in one; what is found
+there is reported at the line where it begins. The features of a paragraph or stretch are the word uni- and bigrams that occur
 in it, out of those of the notices below and the most frequent ones of the corpus sample.
 A softmax regression with a class for each licence family and one for other text is
 trained in numpy on the driver: on damaged and embedded copies of the notices, and on
 paragraphs of ``SAMPLE_DOCS`` documents, the first by a hash, each of at most
 ``SAMPLE_BYTES`` bytes. A temperature fitted on left-out examples calibrates it.
 
-A family is reported if its probability is the highest of the families, licence text as a
-whole is at least as likely as ``ACCEPT``, and one of the family's notices is found in the
-paragraph to ``SIMILARITY`` of its bigrams. Text that fails the comparison but is licence
+A family is reported if licence text as a whole is at least as likely as ``ACCEPT``, and one
+of the family's notices is found in the paragraph to ``SIMILARITY`` of its bigrams. Families
+other than the most probable one also need half of the bigrams that no other family has
+(the notices of some differ in a word only). A paragraph can have several families. Text that fails the comparison but is licence
 text to ``ACCEPT_UNKNOWN`` is reported as ``unknown``.
 
 Cases: null, empty and wordless texts have no paragraphs; equal rows give equal results;
@@ -34,7 +38,9 @@ SAMPLE_DOCS, SAMPLE_BYTES, SAMPLE_PARAGRAPHS = 400, 1 << 16, 3000
 COMMON_GRAMS = 600
 COPIES = 24
 ACCEPT, ACCEPT_UNKNOWN = 0.5, 0.9
-SIMILARITY = 0.7
+SIMILARITY, OWN_SIMILARITY = 0.7, 0.5
+#: Words of a stretch of joined lines; half of it holds the longest notice.
+STRETCH = 64
 
 # ---- fixed values: public licence notices, by family ----
 NOTICES: dict[str, list[str]] = {
@@ -110,6 +116,48 @@ def paragraphs(text: bytes) -> list[list[bytes]]:
     return [words for line in text.split(b"\n") if (words := line.lower().split())]
 
 
+#: Words of comment marks only, at the ends of a line.
+_MARKS = b"/*#;%-!<>|\"'"
+
+
+def unmarked(line: list[bytes]) -> list[bytes]:
+    """The words of a line without comment marks around them."""
+    a, b = 0, len(line)
+    while a < b and not line[a].strip(_MARKS):
+        a += 1
+    while a < b and not line[b - 1].strip(_MARKS):
+        b -= 1
+    return line[a:b]
+
+
+def stretches(text: bytes) -> list[tuple[list[bytes], list[int]]]:
+    """Words of joined lines, each with the number of its paragraph, where lines are joined."""
+    found: list[tuple[list[bytes], list[int]]] = []
+    words: list[bytes] = []
+    places: list[int] = []
+
+    def close() -> None:
+        if places and places[0] != places[-1]:
+            for at in range(0, max(1, len(words) - STRETCH // 2), STRETCH // 2):
+                of = places[at : at + STRETCH]
+                if of[0] != of[-1]:
+                    found.append((words[at : at + STRETCH], of))
+        words.clear()
+        places.clear()
+
+    place = -1
+    for line in text.split(b"\n"):
+        whole = line.lower().split()
+        place += bool(whole)
+        inner = unmarked(whole)
+        if not inner:
+            close()
+        words += inner
+        places += [place] * len(inner)
+    close()
+    return found
+
+
 def bigrams(words: list[bytes]) -> set[tuple[bytes, ...]]:
     return set(zip(words, words[1:])) or {tuple(words)}
 
@@ -120,6 +168,7 @@ class Classifier:
     pairs: np.ndarray  # sorted first * len(words) + second
     weights: np.ndarray  # of words, then pairs, then the constant; by class
     notices: list[list[set]]
+    own: list[set]  # bigrams of each family's notices that no other family's have
 
     def logits(self, ids: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
         """Class scores of ``n`` paragraphs from their words in order (-1: no feature)."""
@@ -140,11 +189,18 @@ class Classifier:
             out[owners[first]] += np.add.reduceat(self.weights[features], first, axis=0)
         return out
 
-    def family(self, words: list[bytes], best: int) -> tuple[str, float]:
-        """The family if one of its notices is in the paragraph, and how much of it."""
+    def families(self, words: list[bytes], best: int) -> dict[str, set]:
+        """The families whose notices are in the paragraph, each with those of its bigrams."""
         here = bigrams(words)
-        similarity = max(len(notice & here) / len(notice) for notice in self.notices[best])
-        return FAMILIES[best] if similarity >= SIMILARITY else "unknown", similarity
+        found = {}
+        for family, notices in enumerate(self.notices):
+            similar = [n for n in notices if len(n & here) >= SIMILARITY * len(n)]
+            if family != best:
+                own = self.own[family]
+                similar = [n for n in similar if n & own and len(n & own & here) >= OWN_SIMILARITY * len(n & own)]
+            if similar:
+                found[FAMILIES[family]] = set.union(*similar) & here
+        return found
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -179,7 +235,10 @@ def train(others: list[list[bytes]], seed: int = 5) -> Classifier:
                 examples.append(([*before, *kept, *after], family))
     labels = np.array([label for _, label in examples])
     size = len(vocabulary) + len(coded) + 1
-    model = Classifier(vocabulary, coded, np.eye(size, dtype=np.float32), [[bigrams(w) for w in f] for f in notices])
+    of_notices = [[bigrams(w) for w in f] for f in notices]
+    of_family = [set.union(*f) for f in of_notices]
+    own = [mine.difference(*(f for f in of_family if f is not mine)) for mine in of_family]
+    model = Classifier(vocabulary, coded, np.eye(size, dtype=np.float32), of_notices, own)
     ids, owner = numbered([p for p, _ in examples], vocabulary)
     x = model.logits(ids, owner, len(examples))  # with unit weights: the features themselves
     held = rng.random(len(labels)) < 0.2
@@ -222,23 +281,39 @@ def scan(texts: list[bytes], model: Classifier, numbers: _Numbers) -> list[tuple
     for a, b in chunks(texts):
         if len(numbers) > 500_000:
             numbers.clear()
-        found = [paragraphs(t) for t in texts[a:b]]
-        counts = [len(p) for p in found]
-        flat = [p for of_text in found for p in of_text]
-        words = [w for p in flat for w in p]
+        units: list[tuple[int, list[bytes], list[int]]] = []
+        counts = []
+        for i, text in enumerate(texts[a:b]):
+            found = paragraphs(text)
+            counts.append(len(found))
+            units += [(i, words, [place]) for place, words in enumerate(found)]
+            units += [(i, words, places) for words, places in stretches(text)]
+        words = [w for _, of_unit, _ in units for w in of_unit]
         ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-        owner = np.repeat(np.arange(len(flat)), [len(p) for p in flat])
-        chance = _softmax(model.logits(ids, owner, len(flat)))
+        owner = np.repeat(np.arange(len(units)), [len(u[1]) for u in units])
+        chance = _softmax(model.logits(ids, owner, len(units)))
         licence = 1 - chance[:, _OTHER]
-        begins = np.cumsum([0, *counts])
-        here: list[list[tuple[int, str, float]]] = [[] for _ in counts]
-        for p in np.flatnonzero(licence >= ACCEPT).tolist():
-            text = int(np.searchsorted(begins, p, side="right")) - 1
-            plain = [w.strip(_EDGES) or w for w in flat[p]]
-            family, _ = model.family(plain, int(chance[p, :_OTHER].argmax()))
-            if family != "unknown" or licence[p] >= ACCEPT_UNKNOWN:
-                here[text].append((p - int(begins[text]), family, float(licence[p])))
-        results += list(zip(counts, here))
+        named: list[dict[tuple[int, str], float]] = [{} for _ in counts]
+        unknown: list[dict[int, float]] = [{} for _ in counts]
+        covered: list[set[int]] = [set() for _ in counts]
+        for u in np.flatnonzero(licence >= ACCEPT).tolist():
+            text, of_unit, places = units[u]
+            plain = [w.strip(_EDGES) or w for w in of_unit]
+            families = model.families(plain, int(chance[u, :_OTHER].argmax()))
+            joined = len(places) > 1
+            for family, shared in families.items():
+                # pairs of the notice, by line; a line's own findings come first and are not repeated
+                at = [k for k, pair in enumerate(zip(plain, plain[1:])) if pair in shared] or [0]
+                lines = {places[k] for k in at} | {places[k + 1] for k in at} if joined else {places[0]}
+                if not joined or not any((line, family) in named[text] for line in lines):
+                    key = (min(lines), family)
+                    named[text][key] = max(named[text].get(key, 0.0), float(licence[u]))
+                covered[text] |= lines
+            if not families and not joined and licence[u] >= ACCEPT_UNKNOWN:
+                unknown[text][places[0]] = float(licence[u])
+        for count, of_named, of_unknown, known in zip(counts, named, unknown, covered):
+            rest = [(place, "unknown", p) for place, p in of_unknown.items() if place not in known]
+            results.append((count, sorted([(place, family, p) for (place, family), p in of_named.items()] + rest)))
     return results
 
 
@@ -268,7 +343,8 @@ def license_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 named = sorted({family for _, family, _ in found if family != "unknown"})
                 listed = ",".join(f"{place}:{family}:{chance:.3f}" for place, family, chance in found)
                 unknown = sum(family == "unknown" for _, family, _ in found)
-                rows.append((count, len(found) - unknown, unknown, ",".join(named), listed))
+                licensed = len({place for place, family, _ in found if family != "unknown"})
+                rows.append((count, licensed, unknown, ",".join(named), listed))
             yield pd.DataFrame(rows, columns=["n_paragraphs", "n_licensed", "n_unknown", "families", "findings"])
 
     found = docs.select(F.col(id_col), report(text_or_empty(text_col).cast("binary")).alias("found"))
