@@ -2,7 +2,10 @@
 
 Natural words are few tokens of a public vocabulary; random strings are many. A run
 of 20 or more key characters with a low ratio of characters to tokens is reported,
-unless it has the form of a known digest or identifier.
+unless it has the form of a known digest or identifier. Of a run that as a whole has a
+high ratio, such as a path with a key at its end, every stretch between ``/ _ - = +`` is
+judged, and those of low ratio are reported; digests, identifiers and numbers in the run
+end a stretch.
 
 Cases: a null text is an empty one and has no spans; equal rows give equal results;
 an empty table gives an empty table; other columns are left out of the result.
@@ -50,6 +53,18 @@ _KNOWN = re.compile(
     re.VERBOSE,
 )
 
+#: The same within a run.
+_KNOWN_PART = re.compile(
+    r"""(?<![A-Za-z0-9])(?:
+        sha(?:256|384|512)-[A-Za-z0-9+/]{40,}=*
+        |[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}
+        |[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128}
+        |[0-9]{2,}
+    )(?![A-Za-z0-9])""",
+    re.VERBOSE,
+)
+_PIECE = re.compile(r"[A-Za-z0-9]+|[/_=+-]")
+
 Span = tuple[int, str, int]
 
 
@@ -80,19 +95,65 @@ def pattern_spans(text: str) -> list[Span]:
     return found
 
 
+def costly_stretches(run: str, encode, max_chars_per_token: float) -> list[tuple[int, int]]:
+    """Where a run has stretches of whole pieces that are costly in tokens; they do not overlap."""
+    found: list[tuple[int, int]] = []
+    begin = 0
+    for known in [*_KNOWN_PART.finditer(run), None]:
+        end = known.start() if known else len(run)
+        if end - begin >= MIN_LENGTH:
+            pieces = [(m.start(), m.end()) for m in _PIECE.finditer(run, begin, end)]
+            found += _costly(run, pieces, encode, max_chars_per_token)
+        begin = known.end() if known else end
+    return found
+
+
+def _costly(run: str, pieces: list[tuple[int, int]], encode, max_chars_per_token: float) -> list[tuple[int, int]]:
+    # a stretch has at most so many characters a token if its gains add up to 0 or more; what
+    # stands between words is a token of its own in any text, so it counts for neither side
+    gains = [max_chars_per_token * len(encode(run[a:b])) - (b - a) if run[a].isalnum() else 0.0 for a, b in pieces]
+    totals = [0.0]
+    for gain in gains:
+        totals.append(totals[-1] + gain)
+    found: list[tuple[int, int]] = []
+    waiting = [(0, len(pieces))]
+    while waiting:
+        low, high = waiting.pop()
+        # the stretch of the highest gain among those long enough: its best begin for each end
+        best, lowest, first = None, None, low
+        for last in range(low, high):
+            while first <= last and pieces[last][1] - pieces[first][0] >= MIN_LENGTH:
+                if run[pieces[first][0]].isalnum() and (lowest is None or totals[first] < totals[lowest]):
+                    lowest = first
+                first += 1
+            if lowest is not None and run[pieces[last][0]] not in "/_-+":
+                gain = totals[last + 1] - totals[lowest]
+                if gain >= 0 and (best is None or gain > best[0]):
+                    best = (gain, lowest, last + 1)
+        if best:
+            _, a, b = best
+            stretch = run[pieces[a][0] : pieces[b - 1][1]]
+            if any(c.isalpha() for c in stretch):
+                found.append((pieces[a][0], pieces[b - 1][1]))
+            waiting += [(low, a), (b, high)]
+    return sorted(found)
+
+
 def random_spans(text: str, encode, max_chars_per_token: float, taken: list[Span]) -> list[Span]:
-    """Runs that are costly in tokens, outside the spans already found."""
+    """Runs, or stretches of them, that are costly in tokens, outside the spans already found."""
     found: list[Span] = []
     for m in _RUN.finditer(text):
         run = m[0]
-        letters = sum(c.isalpha() for c in run)
-        mixed_case = any(c.isupper() for c in run[1:]) and any(c.islower() for c in run)
-        if not letters or not (mixed_case or letters < len(run)) or _KNOWN.fullmatch(run):
-            continue
-        if len(run) / len(encode(run)) > max_chars_per_token:
+        if not any(c.isalpha() for c in run) or _KNOWN.fullmatch(run):
             continue
-        if all(m.end() <= start or end <= m.start() for start, _, end in taken):
-            found.append((m.start(), "random", m.end()))
+        if len(run) / len(encode(run)) <= max_chars_per_token:
+            parts = [(0, len(run))]
+        else:
+            parts = costly_stretches(run, encode, max_chars_per_token)
+        for a, b in parts:
+            a, b = m.start() + a, m.start() + b
+            if all(b <= start or end <= a for start, _, end in taken):
+                found.append((a, "random", b))
     return found
 
 
