@@ -10,6 +10,8 @@ question's three-word shingles and of the answer's words must occur in it.
 
 The index is built for a block of items at a time, at most ``BLOCK_ITEMS`` items or
 ``BLOCK_BYTES`` of text, and only such a block is broadcast; more items mean more passes.
+Document frequencies, the number of parts and their mean length are those of all items,
+counted once in Spark, so scores do not depend on which items share a block.
 
 Cases: null and empty texts have no words and match nothing; items of fewer than
 ``MIN_ITEM_WORDS`` words are too short to be recognised and match nothing; equal items
@@ -64,26 +66,47 @@ class Item:
     answer: set[bytes]
 
 
+@dataclass
+class Statistics:
+    """Of the parts of all items: their number, their mean length, and how many hold a word."""
+
+    parts: int
+    mean_length: float
+    holders: dict[bytes, int]
+
+
+def item_words(text: bytes, answer_text: bytes | None) -> tuple[list[bytes], list[bytes], list[bytes]]:
+    """All words of an item, those of its question and those of its answer."""
+    words = normal_words(text)
+    if answer_text is None:
+        cut = len(words) - max(3, len(words) // 4)
+        return words, words[: max(cut, 0)] or words, words[max(cut, 0) :]
+    answer = normal_words(answer_text)
+    return words + answer, words, answer
+
+
+def parts_of(words: list[bytes]) -> list[list[bytes]]:
+    if len(words) < MIN_ITEM_WORDS:
+        return []
+    return [words[at : at + CELL] for at in range(0, len(words), CELL)]
+
+
 class Index:
-    """Postings of one block of items. A part is an item or, of a long one, a stretch."""
+    """Postings of one block of items. A part is an item or, of a long one, a stretch.
 
-    def __init__(self, items: list[tuple[bytes, bytes | None]]):
+    Without ``statistics`` those of the block are used.
+    """
+
+    def __init__(self, items: list[tuple[bytes, bytes | None]], statistics: Statistics | None = None):
         self.items: list[Item] = []
         self.part_item: list[int] = []
         parts: list[list[bytes]] = []
         for number, (text, answer_text) in enumerate(items):
-            words = normal_words(text)
-            if answer_text is None:
-                cut = len(words) - max(3, len(words) // 4)
-                question, answer = words[: max(cut, 0)] or words, words[max(cut, 0) :]
-            else:
-                question, answer = words, normal_words(answer_text)
-                words = words + answer
+            words, question, answer = item_words(text, answer_text)
             self.items.append(Item(shingles(question), set(answer)))
-            if len(words) >= MIN_ITEM_WORDS:
-                for at in range(0, len(words), CELL):
-                    parts.append(words[at : at + CELL])
-                    self.part_item.append(number)
+            own = parts_of(words)
+            parts += own
+            self.part_item += [number] * len(own)
         self.terms: dict[bytes, int] = {}
         triples: dict[tuple[int, int], int] = {}
         for part, words in enumerate(parts):
@@ -93,21 +116,33 @@ class Index:
         n, n_terms = len(parts), len(self.terms)
         term, part, count = (np.array(x, np.int64) for x in zip(*((t, p, c) for (t, p), c in sorted(triples.items())))) if triples else (np.zeros(0, np.int64),) * 3
         length = np.array([len(p) for p in parts], np.float64)
-        holders = np.bincount(term, minlength=n_terms)
-        idf = np.log1p((n - holders + 0.5) / (holders + 0.5))
-        norm = K1 * (1 - LENGTH_WEIGHT + LENGTH_WEIGHT * length / max(length.mean() if n else 1.0, 1.0))
+        if statistics:
+            holders = np.array([statistics.holders[t] for t in self.terms], np.int64)
+            n_parts, mean = statistics.parts, statistics.mean_length
+        else:
+            holders = np.bincount(term, minlength=n_terms)
+            n_parts, mean = n, length.mean() if n else 1.0
+        idf = np.log1p((n_parts - holders + 0.5) / (holders + 0.5))
+        norm = K1 * (1 - LENGTH_WEIGHT + LENGTH_WEIGHT * length / max(mean, 1.0))
         weight = idf[term] * count * (K1 + 1) / (count + norm[part])
         own = np.bincount(part, weight, minlength=n)
         self.weight = (weight / own[part]).astype(np.float32) if n else weight.astype(np.float32)
         self.part = part
         self.start = np.searchsorted(term, np.arange(n_terms + 1))
         self.n_bounds = -(-n // BOUND_PARTS)
-        self.bounds = np.zeros((n_terms, self.n_bounds), np.float32)
-        np.maximum.at(self.bounds, (term, part // BOUND_PARTS), self.weight)
-        self.list_bound = self.bounds.max(axis=1) if self.n_bounds else np.zeros(n_terms, np.float32)
+        # one bound for each block of parts that a list has entries in, by block
+        blocks, place = np.unique(part // BOUND_PARTS * max(n_terms, 1) + term, return_inverse=True)
+        self.bound_block, self.bound_term = np.divmod(blocks, max(n_terms, 1))
+        self.bound = np.zeros(len(blocks), np.float32)
+        np.maximum.at(self.bound, place, self.weight)
+        self.list_bound = np.zeros(n_terms, np.float32)
+        np.maximum.at(self.list_bound, term, self.weight)
         # for the cursors, which go entry by entry
         self.parts, self.weights, self.starts = part.tolist(), self.weight.tolist(), self.start.tolist()
-        self.block_bounds, self.list_bounds = self.bounds.tolist(), self.list_bound.tolist()
+        self.list_bounds = self.list_bound.tolist()
+        self.block_bounds: list[dict[int, float]] = [{} for _ in range(n_terms)]
+        for t, block, bound in zip(self.bound_term.tolist(), self.bound_block.tolist(), self.bound.tolist()):
+            self.block_bounds[t][block] = bound
 
     def search(self, terms: list[int], threshold: float) -> Iterator[tuple[int, float]]:
         """Block-max WAND: parts that score at least ``threshold`` for a set of terms."""
@@ -127,7 +162,7 @@ class Index:
             while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == at:
                 pivot += 1
             group = at // BOUND_PARTS
-            if sum(self.block_bounds[c[3]][group] for c in cursors[: pivot + 1]) < threshold:
+            if sum(self.block_bounds[c[3]].get(group, 0.0) for c in cursors[: pivot + 1]) < threshold:
                 # nothing in this block of parts before the next list joins in
                 to = (group + 1) * BOUND_PARTS
                 if pivot + 1 < len(cursors):
@@ -181,8 +216,12 @@ class Index:
         slack = threshold * (1 - 1e-5)
         open_passages = per_passage(totals[edges[1:]] - totals[edges[:-1]]) >= slack
         for at in range(0, self.n_bounds, 16):
-            totals = np.zeros((len(terms) + 1, min(16, self.n_bounds - at)))
-            np.cumsum(self.bounds[terms, at : at + 16], axis=0, out=totals[1:])
+            width = min(16, self.n_bounds - at)
+            a, b = np.searchsorted(self.bound_block, (at, at + width))
+            bounds = np.zeros((len(self.terms), width), np.float32)
+            bounds[self.bound_term[a:b], self.bound_block[a:b] - at] = self.bound[a:b]
+            totals = np.zeros((len(terms) + 1, width))
+            np.cumsum(bounds[terms], axis=0, out=totals[1:])
             by_block = per_passage(totals[edges[1:]] - totals[edges[:-1]])
             hits = (by_block >= slack) & open_passages[:, None]
             if at == 0:
@@ -256,12 +295,38 @@ def _matches(text: Column, index: Index, ids: list, id_type: T.DataType, limits:
     return find(text.cast("binary"))
 
 
+def _texts(text_col: str, answer_col: str | None) -> tuple[Column, Column]:
+    answer = F.col(answer_col).cast("string").cast("binary") if answer_col else F.lit(None).cast("binary")
+    return text_or_empty(text_col).cast("binary").alias("text"), answer.alias("answer")
+
+
+def _part_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For each part its length and its distinct words."""
+    for frame in batches:
+        parts = [p for text, answer in zip(frame["text"], frame["answer"]) for p in parts_of(item_words(text, answer)[0])]
+        if parts:
+            yield pd.DataFrame({"length": [len(p) for p in parts], "words": [list(set(p)) for p in parts]})
+
+
+def _statistics(items: DataFrame, text_col: str, answer_col: str | None):
+    """The statistics of all items, for the words of a block."""
+    spark = items.sparkSession
+    parts = items.select(*_texts(text_col, answer_col)).mapInPandas(_part_words, "length long, words array<binary>")
+    n_parts, mean = parts.agg(F.count("*"), F.coalesce(F.avg("length"), F.lit(1.0))).first()
+    holders = stored(parts.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")))
+
+    def of(block: list[tuple[bytes, bytes | None]]) -> Statistics:
+        words = {w for text, answer in block for w in item_words(text, answer)[0]}
+        asked = spark.createDataFrame([(bytearray(w),) for w in words], "word binary")
+        found = holders.join(asked, "word", "left_semi").collect()
+        return Statistics(n_parts, mean, {bytes(r.word): r.n for r in found})
+
+    return of
+
+
 def _blocks(items: DataFrame, item_col: str, text_col: str, answer_col: str | None) -> Iterator[tuple[list, list]]:
     """Items in blocks of bounded size, streamed to the driver partition by partition."""
-    answer = F.col(answer_col).cast("string").cast("binary") if answer_col else F.lit(None).cast("binary")
-    rows = items.select(
-        F.col(item_col), text_or_empty(text_col).cast("binary"), answer
-    ).toLocalIterator()
+    rows = items.select(F.col(item_col), *_texts(text_col, answer_col)).toLocalIterator()
     ids: list = []
     block: list[tuple[bytes, bytes | None]] = []
     size = 0
@@ -297,12 +362,13 @@ def leaked_items(
     limits = (threshold, question_overlap, answer_overlap)
     judged = docs
     columns = []
+    statistics = _statistics(items, item_text_col, answer_col)
     for ids, block in _blocks(items, item_col, item_text_col, answer_col):
         if columns:
             judged = stored(judged)
         columns.append(free_name(judged, found))
         judged = judged.withColumn(
-            columns[-1], _matches(text_or_empty(text_col), Index(block), ids, id_type, limits, spark.sparkContext)
+            columns[-1], _matches(text_or_empty(text_col), Index(block, statistics(block)), ids, id_type, limits, spark.sparkContext)
         )
     if not columns:
         return docs.withColumn(found, F.lit(None).cast(T.ArrayType(_match_type(id_type)))), found
