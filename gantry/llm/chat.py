@@ -7,9 +7,11 @@ conversation, and among equal conversations all but the one with the smallest id
 What remains is rendered.
 
 A prefix hash is the exclusive-or of two 64-bit hashes of (turn, role, text) over the
-turns so far, so it is summed per block of turns first and then within each block:
-no conversation has to fit in a task. The rendered text comes in segments of
-``SEGMENT_TURNS`` turns for the same reason; usual conversations have one.
+turns so far, so it is summed per turn number, then per block of numbers and then within
+each block, over its numbers and not its rows: for the prefixes no conversation has to fit
+in a task, however many rows share a number. The rendered text comes in segments of
+``SEGMENT_TURNS`` turn numbers, each of which one task puts together; usual conversations
+have one.
 
 Cases: null and empty texts and roles are kept as such (rendered empty, but distinct
 from each other when compared); repeated rows count once; rows with the same turn but
@@ -32,21 +34,21 @@ def _hashes() -> list[Column]:
     return [F.xxhash64(F.lit(seed), *parts) for seed in (0, 1)]
 
 
-def turn_prefixes(turns: DataFrame) -> DataFrame:
-    """Distinct turns with the number of turns so far and the hashes of the prefix they end.
+def _segment() -> Column:
+    return F.floor(F.col("turn") / SEGMENT_TURNS).cast("long").alias("segment")
 
-    Rows of equal turn number end the same prefix.
-    """
+
+def turn_prefixes(turns: DataFrame) -> DataFrame:
+    """The turn numbers of distinct turns, each with the number of turns so far and the
+    hashes of the prefix that its turns end."""
     first, second = _hashes()
-    rows = turns.distinct().select(
-        "*",
-        F.floor(F.col("turn") / SEGMENT_TURNS).cast("long").alias("segment"),
-        first.alias("h1"),
-        second.alias("h2"),
+    rows = turns.distinct().select("conv_id", "turn", _segment(), first.alias("h1"), second.alias("h2"))
+    numbers = rows.groupBy("conv_id", "segment", "turn").agg(
+        F.count("*").alias("n"), F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2")
     )
     in_order = F.col("segment").asc_nulls_last()
-    blocks = rows.groupBy("conv_id", "segment").agg(
-        F.count("*").alias("n"), F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2")
+    blocks = numbers.groupBy("conv_id", "segment").agg(
+        F.sum("n").alias("n"), F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2")
     )
     earlier = Window.partitionBy("conv_id").orderBy(in_order).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("conv_id")
@@ -60,9 +62,9 @@ def turn_prefixes(turns: DataFrame) -> DataFrame:
         *[total(c).over(whole).alias(f"{c}_all") for c, total in (("n", F.sum), ("h1", F.bit_xor), ("h2", F.bit_xor))],
     )
     so_far = Window.partitionBy("conv_id", "segment").orderBy(F.col("turn").asc_nulls_last())
-    running = rows.withColumns(
+    running = numbers.withColumns(
         {
-            "n": F.count("*").over(so_far),
+            "n": F.sum("n").over(so_far),
             "h1": F.bit_xor("h1").over(so_far),
             "h2": F.bit_xor("h2").over(so_far),
         }
@@ -74,8 +76,6 @@ def turn_prefixes(turns: DataFrame) -> DataFrame:
         "conv_id",
         "segment",
         "turn",
-        "role",
-        "text",
         (F.col("n") + F.col("n_before")).alias("n"),
         F.col("h1").bitwiseXOR(F.col("h1_before")).alias("h1"),
         F.col("h2").bitwiseXOR(F.col("h2_before")).alias("h2"),
@@ -108,9 +108,9 @@ def maximal_conversations(
         .select(F.col("n").alias("n_all"), F.col("h1").alias("h1_all"), F.col("h2").alias("h2_all"))
         .distinct()
     )
-    maximal = kept.join(longer, whole, "left_anti").select("kept_id")
-    return prefixes.join(maximal, F.col("conv_id").eqNullSafe(F.col("kept_id")), "left_semi").select(
-        "conv_id", "segment", "turn", "role", "text", F.col("n_all").alias("n_turns")
+    maximal = kept.join(longer, whole, "left_anti").select("kept_id", F.col("n_all").alias("n_turns"))
+    return turns.distinct().join(maximal, F.col("conv_id").eqNullSafe(F.col("kept_id"))).select(
+        "conv_id", _segment(), "turn", "role", "text", "n_turns"
     )
 
 

@@ -1,0 +1,21 @@
+"""A conversation with many rows for each turn number, or without turn numbers."""
+
+from __future__ import annotations
+
+from gantry.llm import chat
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def test_prefixes_are_by_turn_number(spark):
+    rows = [(None, i % 8, "user", f"text {i}") for i in range(800)]
+    rows += [(1, None, "user", f"text {i}") for i in range(300)]
+    rows += [(2, 0, "user", "a"), (3, 0, "user", "a"), (3, 1, "user", "b")]
+    turns = spark.createDataFrame([*rows, *rows[:50]], SCHEMA)
+    found = {(r.conv_id, r.turn): (r.n, r.n_all) for r in chat.turn_prefixes(turns).collect()}
+    assert len(found) == chat.turn_prefixes(turns).count() == 8 + 1 + 1 + 2
+    assert [found[None, t] for t in range(8)] == [(100 * (t + 1), 800) for t in range(8)]
+    assert found[1, None] == (300, 300)
+    kept = chat.format_chats(turns).collect()
+    assert {(r.conv_id, r.segment, r.n_turns) for r in kept} == {(None, 0, 800), (1, None, 300), (3, 0, 2)}
+    assert {r.conv_id: r.text.count("<|user|>") for r in kept} == {None: 800, 1: 300, 3: 2}
