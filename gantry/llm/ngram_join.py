@@ -3,11 +3,11 @@
 1. Every document becomes its sorted set of 64-bit shingle hashes. Equal sets are one
    node from here on, whatever their number.
 2. The smallest ``KEYS`` hashes of a set are its keys. Two sets of similarity s share
-   none of them with probability (1 - s) ** KEYS at most, below 1e-12 at 0.75. Sets that
+   none of them with probability (1 - s) ** KEYS at most, below 1e-24 at 0.75. Sets that
    share a key form a tile. Keys of more than ``HOT`` sets (of a passage that very many
    documents quote) are dropped by sets whose other keys are ``COLD_SHARE`` or more of
    their own: two similar sets with a share h of hot shingles still share a cold key but
-   for a probability of (0.25 + h) ** KEYS.
+   for a probability of (0.25 + h) ** KEYS, 4.1e-11 at h = 1 - ``COLD_SHARE``.
 3. A tile is sorted by size, so each set is compared with a band of sizes only, and
    split into blocks of bounded size. Comparing means counting the bits in which two
    hashed bitmaps differ: each is a shingle that only one set has, which bounds the
@@ -46,9 +46,9 @@ Keep = Callable[[DataFrame], DataFrame]
 
 SHINGLE = 5
 #: Links need overlap / union >= 3/4, that is 7 * overlap >= 3 * (sum of sizes).
-KEYS = 20
+KEYS = 40
 HOT = 1000
-COLD_SHARE = 0.85
+COLD_SHARE = 0.7
 #: Most sets on either side of a block of a tile.
 BLOCK = 2048
 MIN_BITS, MAX_BITS = 256, 1 << 18

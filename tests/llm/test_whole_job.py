@@ -10,7 +10,7 @@ from types import SimpleNamespace
 import numpy as np
 import pandas as pd
 
-from gantry.llm import lm, toxicity
+from gantry.llm import lm, ngram_join, toxicity
 
 from .cases import prose
 from .test_brute_force import small_model
@@ -70,3 +70,9 @@ def test_toxicity_calibration_follows_the_share():
     same, rare = toxicity.train(texts, toxic), toxicity.train(texts, toxic, share=0.1)
     assert (same.prior, rare.prior) == (0.5, 0.1)
     assert abs(same.shift - rare.shift - np.log(9)) < 1e-6
+
+
+def test_links_are_lost_with_a_negligible_probability():
+    """Of sets of similarity 0.75 that drop hot keys, at the share of hot shingles where that begins."""
+    assert (0.25 + 1 - ngram_join.COLD_SHARE) ** ngram_join.KEYS < 1e-10
+    assert 0.25**ngram_join.KEYS < 1e-23
