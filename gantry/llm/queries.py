@@ -10,7 +10,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm import chat, decontaminate, licenses, lm, mixing, ngram_join, quality, secrets, suffix_dedup, toxicity
+from gantry.llm import (
+    chat,
+    decontaminate,
+    exact_dedup,
+    licenses,
+    lm,
+    mixing,
+    ngram_join,
+    phrases,
+    quality,
+    secrets,
+    suffix_dedup,
+    toxicity,
+    whitening,
+)
 from gantry.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,3 +158,72 @@ WITH turns AS (
 SELECT l.conv_id, l.segment, m.n_turns, string_agg(l.line, '' ORDER BY l.turn, l.role, l.text) AS text
 FROM lines l JOIN maximal m USING (conv_id) GROUP BY l.conv_id, l.segment, m.n_turns
 """
+
+
+_LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@_query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.copies_report(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_exact_dedup"] = f"""
+WITH normalised AS (SELECT doc_id, {_LOWER_SQL} AS body FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY body ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(body) AS text_sha256
+FROM normalised WINDOW same AS (PARTITION BY body)
+"""
+
+
+@_query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_collocations"] = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array({_LOWER_SQL}, '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), sized AS (
+    SELECT lang, w, unnest([1, 2, 3, 4]) AS size FROM worded
+), grams AS (
+    SELECT lang, size, w, unnest(range(1, len(w) - size + 2)) AS i FROM sized WHERE len(w) >= size
+), counted AS (
+    SELECT lang, size, w[i:i + size - 1] AS words, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30
+), totals AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang
+), cuts AS (
+    SELECT lang, size, words, f AS a, unnest(range(1, size)) AS k FROM counted WHERE size > 1
+), scored AS (
+    SELECT c.lang, c.size, c.words, c.a, c.k, x.f AS l, y.f AS r,
+           CAST(CAST(2000000 AS HUGEINT) * c.a // (CAST(x.f AS HUGEINT) + y.f) AS BIGINT) AS score
+    FROM cuts c JOIN counted x ON x.lang = c.lang AND x.words = c.words[1:c.k]
+    JOIN counted y ON y.lang = c.lang AND y.words = c.words[c.k + 1:c.size]
+), worst AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+), inner_sizes AS (
+    SELECT lang, size, words, f, unnest(range(2, size)) AS inner_size FROM counted WHERE size > 2
+), inside AS (
+    SELECT lang, words, inner_size, f, unnest(range(1, size - inner_size + 2)) AS i FROM inner_sizes
+), contained AS (
+    SELECT lang, words[i:i + inner_size - 1] AS words, max(f) AS within FROM inside GROUP BY ALL
+), free AS (
+    SELECT w.* FROM worst w LEFT JOIN contained c ON c.lang = w.lang AND c.words = w.words
+    WHERE c.within IS NULL OR 100 * c.within < 80 * w.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+    SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, score,
+           row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(words, ' ')) AS rank
+    FROM free
+) JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@_query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_vectors(read_table(spark, sf_dir, "embeddings"))
