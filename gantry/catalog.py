@@ -11,16 +11,19 @@ Together they cover every event, and updates, inserts and untouched rows all occ
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gantry.functions.telemetry import event_date, parse_event_time
+from gantry.operators.asof import as_of
+from gantry.operators.contract import ContractViolation, Watch, enforce, full_report
 from gantry.operators.contract import contract_report as report
-from gantry.operators.contract import full_report
 from gantry.operators.merge import ambiguous_keys, merge_upsert
-from gantry.operators.star import enrich_dim, star_join, visible_cranes, visible_facts
+from gantry.operators.star import calendar, enrich_dim, on_days, star_join, visible_cranes, visible_facts
 from gantry.plans import marts
 from gantry.plans.medallion import run_pipeline
 from gantry.plans.stages import to_bronze, to_dim, to_dim_latest, to_fact, to_silver
@@ -38,9 +41,11 @@ from gantry.schema import (
     LakePaths,
 )
 from gantry.sources import sample
+from gantry.sources.bucketed import upsert_bucketed
 from gantry.sources.landing import read_landing, write_landing
 from gantry.sources.scratch import scratch_path, stored
-from gantry.sources.tables import read_table, upsert
+from gantry.sources.tables import EVENT_DATE, read_table, upsert
+from gantry.streaming import timed
 from gantry.streaming.ingest import merge_appended
 from gantry.streaming.ingest import stream_ingest as run_stream
 
@@ -390,6 +395,38 @@ def merge_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_upsert(target, source, MESSAGE_ID, schema_mode="evolve", unique_keys=True)
 
 
+@_query(
+    f"""WITH {_BATCHES_SQL}
+    SELECT t.message_id,
+      CASE WHEN s.message_id IS NOT NULL THEN s.hoist_load_kg ELSE t.hoist_load_kg END AS hoist_load_kg,
+      t.vibration_mm_s, s.event_type, s.crane_id
+    FROM first_load t LEFT JOIN second_load s ON t.message_id = s.message_id
+    UNION ALL
+    SELECT message_id, hoist_load_kg, CAST(NULL AS DOUBLE), event_type, crane_id FROM second_load s
+    WHERE NOT EXISTS (SELECT 1 FROM first_load t WHERE t.message_id = s.message_id)"""
+)
+def merge_evolve_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures in a struct: the second batch's lacks the vibration and has gained a kind and a nested origin."""
+    target = _first_load(spark, sf_dir).select(MESSAGE_ID, F.struct(LOAD, VIBRATION).alias("reading"))
+    origin = F.struct(CRANE_ID).alias("origin")
+    source = _second_load(spark, sf_dir, "event_type").select(
+        MESSAGE_ID, F.struct(F.col("event_type"), F.col(LOAD), origin).alias("reading")
+    )
+    merged = merge_upsert(target, source, MESSAGE_ID, schema_mode="evolve", unique_keys=True)
+    parts = [f"reading.{c}" for c in (LOAD, VIBRATION, "event_type", f"origin.{CRANE_ID}")]
+    return merged.select(MESSAGE_ID, *parts)
+
+
+@_query(_MERGED_SQL)
+def merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Into a table bucketed by message id: created, merged, and merged once more with the same batch."""
+    name, path = f"telemetry_{uuid.uuid4().hex}", scratch_path(spark)
+    second = _second_load(spark, sf_dir)
+    for batch in (_first_load(spark, sf_dir), second, second):
+        upsert_bucketed(batch, name, path, MESSAGE_ID, buckets=8, unique=True)
+    return spark.table(name)
+
+
 # ---- layers --------------------------------------------------------------
 
 
@@ -523,6 +560,34 @@ def landing_extra_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_bronze(read_landing(spark, landing)).select(MESSAGE_ID, kept.alias("firmware"))
 
 
+@_query("""SELECT CAST(event_id AS VARCHAR) AS message_id, event_id AS firmware, value > 25 AS heavy FROM events""")
+def landing_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types taken from the files: a whole number, a truth value and a nested object."""
+    landing = scratch_path(spark)
+    events = sample.table(spark, sf_dir, "events")
+    write_landing(
+        events.select(
+            F.col("event_id").cast("string").alias(MESSAGE_ID),
+            F.col("event_id").alias("firmware"),
+            F.struct((F.col("value") > 25).alias("heavy")).alias("state"),
+        ),
+        landing,
+    )
+    return read_landing(spark, landing, infer=True).select(MESSAGE_ID, "firmware", "state.heavy")
+
+
+@_query(f"WITH {_GOLD_SQL} SELECT * FROM dim")
+def dim_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension after two days, the second of which reads the changed days of Silver only."""
+    rows = sample.telemetry(spark, sf_dir)
+    first = F.col(TIMESTAMP) < F.lit(FIRST_LOAD_ENDS)
+    paths = LakePaths(scratch_path(spark))
+    for day, when in enumerate((first, ~first | F.col(TIMESTAMP).isNull())):
+        write_landing(rows.filter(when), f"{paths.base}/day_{day}")
+        run_pipeline(spark, f"{paths.base}/day_{day}", paths, mode="report")
+    return read_table(spark, paths.dim)
+
+
 # ---- contract ------------------------------------------------------------
 
 
@@ -564,6 +629,26 @@ def silver_cleanse_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_silver(_messy(spark, sf_dir))
 
 
+@_query(f"WITH {_SILVER_SQL} {_checks_sql('silver')}")
+def contract_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same findings as the report, counted while the rows are written."""
+    watch = Watch(to_silver(sample.readings(spark, sf_dir)), mode="report")
+    stored(watch.rows)
+    schema = "column_name string, check_name string, failures long, rows_checked long"
+    return spark.createDataFrame(watch.report(), schema)
+
+
+@_query(f"WITH {_MESSY_SQL} SELECT column_name, check_name, failures FROM ({_checks_sql('messy')}) WHERE failures > 0")
+def contract_refusal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eager validation: what the refusal of a batch that breaks the contract says."""
+    found = []
+    try:
+        enforce(_messy(spark, sf_dir), mode="fail")
+    except ContractViolation as refusal:
+        found = [(v.column, v.check, v.failures) for v in refusal.violations]
+    return spark.createDataFrame(found, "column_name string, check_name string, failures long")
+
+
 # ---- streaming -----------------------------------------------------------
 
 
@@ -589,6 +674,100 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select(MESSAGE_ID, CRANE_ID, TIMESTAMP, LOAD, VIBRATION)
 
 
+DELAY_DAYS = 5
+
+#: Three landings: the two batches, then all events once more, every seventh under a new id.
+_FEED_SQL = f"""{_BATCHES_SQL}, feed AS (
+  SELECT 1 AS landed, message_id, crane_id, "timestamp", hoist_load_kg, vibration_mm_s FROM first_load
+  UNION ALL SELECT 2, message_id, crane_id, "timestamp", hoist_load_kg, vibration_mm_s FROM second_load
+  UNION ALL SELECT 3, CASE WHEN CAST(message_id AS BIGINT) % 7 = 0 THEN 'again-' || message_id ELSE message_id END,
+    crane_id, "timestamp", hoist_load_kg + CAST(2000 AS DOUBLE), vibration_mm_s FROM readings
+), marks AS (
+  SELECT landed + 1 AS landed, max(date_trunc('millisecond', CAST("timestamp" AS TIMESTAMP))) - INTERVAL {DELAY_DAYS} DAY AS mark
+  FROM (SELECT f.landed AS row_landed, n.landed, "timestamp" FROM feed f JOIN (VALUES (1), (2)) n(landed) ON f.landed <= n.landed)
+  GROUP BY landed
+), judged AS (
+  SELECT feed.*, mark IS NOT NULL AND CAST("timestamp" AS TIMESTAMP) <= mark AS late
+  FROM feed LEFT JOIN marks ON feed.landed = marks.landed
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY landed) AS copy FROM judged
+  WHERE late IS DISTINCT FROM true AND "timestamp" IS NOT NULL
+)"""
+
+
+def _distinct_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[timed.StreamCounts]]:
+    base = scratch_path(spark)
+    again = sample.readings(spark, sf_dir).withColumn(LOAD, F.col(LOAD) + F.lit(2000.0))
+    renamed = F.when(F.col(MESSAGE_ID).cast("long") % 7 == 0, F.concat(F.lit("again-"), MESSAGE_ID)).otherwise(F.col(MESSAGE_ID))
+    counts = []
+    for batch in (_first_load(spark, sf_dir), _second_load(spark, sf_dir), again.withColumn(MESSAGE_ID, renamed)):
+        batch.write.mode("append").json(f"{base}/landing")
+        query = timed.stream_distinct(spark, f"{base}/landing", f"{base}/table", f"{base}/checkpoint", f"{DELAY_DAYS} days")
+        query.awaitTermination()
+        counts.append(timed.stream_counts(query))
+    return spark.read.parquet(f"{base}/table"), counts
+
+
+@_query(
+    f"""WITH {_FEED_SQL}
+    SELECT message_id, crane_id, "timestamp", hoist_load_kg, vibration_mm_s FROM numbered WHERE copy = 1
+    UNION ALL SELECT message_id, crane_id, "timestamp", hoist_load_kg, vibration_mm_s FROM feed WHERE "timestamp" IS NULL"""
+)
+def stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each message once, over three runs of one query; what comes too late is left out."""
+    rows, _ = _distinct_stream(spark, sf_dir)
+    return rows.select(MESSAGE_ID, CRANE_ID, TIMESTAMP, LOAD, VIBRATION)
+
+
+@_query(
+    f"""WITH {_FEED_SQL}
+    SELECT landed, count(*) AS row_count, count(*) FILTER (WHERE late) AS late,
+      count(*) FILTER (WHERE copy > 1) AS repeated
+    FROM (SELECT landed, late, 1 AS copy FROM judged WHERE late OR "timestamp" IS NULL
+          UNION ALL SELECT landed, late, copy FROM numbered) GROUP BY landed"""
+)
+def stream_distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the three runs counted: rows taken, rows too late, repeats."""
+    _, counts = _distinct_stream(spark, sf_dir)
+    rows = [(run, c.rows, c.late, c.repeated) for run, c in enumerate(counts, 1)]
+    return spark.createDataFrame(rows, "landed int, row_count long, late long, repeated long")
+
+
+#: A second landing that is older than the first, and a third with the rest.
+_HOURS_SQL = f"""{_GOLD_SQL}, feed AS (
+  SELECT *, CASE
+    WHEN CAST(message_id AS BIGINT) % 3 = 0 AND event_time >= TIMESTAMP '{SECOND_LOAD_STARTS}'
+      AND event_time < TIMESTAMP '{FIRST_LOAD_ENDS}' THEN 1
+    WHEN CAST(message_id AS BIGINT) % 3 = 1 AND event_time < TIMESTAMP '{FIRST_LOAD_ENDS}' THEN 2 ELSE 3 END AS landed
+  FROM fact
+), marks AS (
+  SELECT n.landed, max(date_trunc('millisecond', event_time)) - INTERVAL {DELAY_DAYS} DAY AS mark
+  FROM feed JOIN (VALUES (2), (3), (4)) n(landed) ON feed.landed < n.landed GROUP BY n.landed
+), timely AS (
+  SELECT feed.*, date_trunc('hour', event_time) AS hour_start FROM feed LEFT JOIN marks ON feed.landed = marks.landed
+  WHERE event_time IS NOT NULL AND (mark IS NULL OR date_trunc('hour', event_time) + INTERVAL 1 HOUR > mark)
+)"""
+
+
+@_query(
+    f"""WITH {_HOURS_SQL} SELECT crane_id, hour_start, {_HEALTH_SQL} FROM timely
+    WHERE hour_start + INTERVAL 1 HOUR <= (SELECT mark FROM marks WHERE landed = 4) GROUP BY crane_id, hour_start"""
+)
+def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours that three runs have closed; the second landing is older than the first."""
+    base = scratch_path(spark)
+    rows, number = sample.telemetry(spark, sf_dir), F.col(MESSAGE_ID).cast("long") % 3
+    old = F.col(TIMESTAMP) < F.lit(FIRST_LOAD_ENDS)
+    first = (number == 0) & old & (F.col(TIMESTAMP) >= F.lit(SECOND_LOAD_STARTS))
+    second = (number == 1) & old
+    landed = F.when(first, 1).when(second, 2).otherwise(3)
+    for run in (1, 2, 3):
+        rows.where(landed == run).write.mode("append").json(f"{base}/landing")
+        args = (f"{base}/landing", f"{base}/hours", f"{base}/checkpoint", f"{DELAY_DAYS} days")
+        timed.stream_hourly(spark, *args).awaitTermination()
+    return _plain_time(_rounded(spark.read.parquet(f"{base}/hours")), "hour_start")
+
+
 # ---- reports -------------------------------------------------------------
 
 
@@ -673,3 +852,98 @@ def rls_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rls_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the same manager sees of the dimension."""
     return visible_cranes(to_dim(_silver(spark, sf_dir)), sample.region_grants(spark, sf_dir), REGION_MANAGER)
+
+
+ZONE_MANAGERS = ("NATION_6", "NATION_7", "NATION_8", "NATION_10")
+
+
+@_query(
+    f"""WITH RECURSIVE {_GOLD_SQL}, parents AS (
+      SELECT r_name AS child, 'ZONE_' || CAST(r_regionkey % 2 AS VARCHAR) AS parent FROM region
+      UNION SELECT 'ZONE_' || CAST(r_regionkey % 2 AS VARCHAR), 'WORLD' FROM region UNION SELECT 'WORLD', 'ZONE_0'
+    ), reach AS (
+      SELECT n_name AS user_name, CASE n_nationkey % 3 WHEN 0 THEN 'WORLD'
+        WHEN 1 THEN 'ZONE_' || CAST(n_regionkey % 2 AS VARCHAR) ELSE r_name END AS place
+      FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_name IN {ZONE_MANAGERS}
+      UNION SELECT user_name, child FROM parents JOIN reach ON parent = place
+    ) SELECT DISTINCT user_name, fact.* FROM fact JOIN dim ON fact.crane_id = dim.crane_id
+      JOIN reach ON operational_region = place"""
+)
+def rls_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What managers see whose grants are the world, zones or a region: all below, cycles or not."""
+    grants, parents = sample.zone_grants(spark, sf_dir), sample.region_parents(spark, sf_dir)
+    fact, dim = _fact(spark, sf_dir), _stored_dim(spark, sf_dir)
+    seen = [visible_facts(fact, dim, grants, u, parents).withColumn("user_name", F.lit(u)) for u in ZONE_MANAGERS]
+    return _plain_time(reduce(DataFrame.union, seen))
+
+
+@_query(
+    f"""WITH {_GOLD_SQL}
+    SELECT operational_region, crane_model, dim.crane_id,
+      GROUPING(operational_region, crane_model, dim.crane_id) AS grouped_by, {_HEALTH_SQL}
+    FROM fact JOIN dim ON fact.crane_id = dim.crane_id GROUP BY CUBE (operational_region, crane_model, dim.crane_id)"""
+)
+def star_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every roll-up of region, model and crane at once."""
+    return _rounded(marts.star_cube(_fact(spark, sf_dir), _stored_dim(spark, sf_dir)))
+
+
+@_query(
+    f"""WITH {_GOLD_SQL}
+    SELECT fact.*, CAST(weekofyear(event_time) AS INTEGER) AS iso_week FROM fact WHERE isodow(event_time) >= 6"""
+)
+def weekend_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings on the weekends of the calendar; only those days of the stored fact table are read."""
+    path = scratch_path(spark)
+    upsert(_fact(spark, sf_dir), path, MESSAGE_ID, F.to_date(EVENT_TIME))
+    dated = read_table(spark, path, with_event_date=True)
+    days = stored(calendar(spark, "2024-01-01", "2024-12-31")).where("iso_weekday >= 6")
+    weekend = on_days(dated, EVENT_DATE, days)
+    return _plain_time(weekend.select(MESSAGE_ID, CRANE_ID, EVENT_TIME, LOAD, VIBRATION, "iso_week"))
+
+
+@_query(
+    f"""WITH {_GOLD_SQL}, history AS (
+      SELECT 'CRN-' || CAST(user_id AS VARCHAR) AS crane_id, ts AS serviced_at, event_id AS service_id
+      FROM events WHERE event_type = 'signup')
+    SELECT message_id, fact.crane_id, event_time, serviced_at, service_id
+    FROM fact ASOF LEFT JOIN history ON fact.crane_id = history.crane_id AND fact.event_time >= history.serviced_at"""
+)
+def fact_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each reading with the crane's service that was the latest at its time."""
+    facts = _fact(spark, sf_dir).select(MESSAGE_ID, CRANE_ID, EVENT_TIME)
+    joined = as_of(facts, sample.service_history(spark, sf_dir), CRANE_ID, EVENT_TIME, "serviced_at")
+    return _plain_time(_plain_time(joined), "serviced_at")
+
+
+EPISODE_GAP = "1 day"
+
+_EPISODES_SQL = f"""{_GOLD_SQL}, critical AS (
+  SELECT *, CASE WHEN event_time - lag(event_time) OVER w <= INTERVAL '{EPISODE_GAP}' THEN 0 ELSE 1 END AS begins
+  FROM fact WHERE (vibration_mm_s > 45 OR hoist_load_kg > 45000) AND event_time IS NOT NULL
+  WINDOW w AS (PARTITION BY crane_id ORDER BY event_time)
+), numbered AS (
+  SELECT *, CAST(sum(begins) OVER (PARTITION BY crane_id ORDER BY event_time) AS BIGINT) AS episode FROM critical
+), episodes AS (
+  SELECT crane_id, episode, min(event_time) AS started, max(event_time) AS ended, count(*) AS readings,
+    max(hoist_load_kg) AS max_load_kg, max(vibration_mm_s) AS max_vibration_mm_s
+  FROM numbered GROUP BY crane_id, episode
+)"""
+
+
+@_query(f"WITH {_EPISODES_SQL} SELECT * FROM episodes")
+def alarm_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of critical readings with at most a day between them."""
+    return _plain_time(_plain_time(marts.alarm_episodes(_fact(spark, sf_dir), EPISODE_GAP), "started"), "ended")
+
+
+@_query(
+    f"""WITH {_EPISODES_SQL}, counted AS (
+      SELECT fact.crane_id, count(*) AS readings, any_value(coalesce(n, 0)) AS episodes
+      FROM fact LEFT JOIN (SELECT crane_id, count(*) AS n FROM episodes GROUP BY crane_id) e ON fact.crane_id = e.crane_id
+      GROUP BY fact.crane_id)
+    SELECT *, readings * CAST(5 AS DOUBLE) / CAST(60 AS DOUBLE) AS operating_hours,
+      readings * CAST(5 AS DOUBLE) / CAST(60 AS DOUBLE) / nullif(episodes, 0) AS mtbf_hours FROM counted"""
+)
+def mtbf_by_episode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.mtbf_by_episode(_fact(spark, sf_dir), EPISODE_GAP)

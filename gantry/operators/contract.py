@@ -1,7 +1,8 @@
 """Declarative data contract: one rule list gives the filter and the report.
 
 All value rules of a batch are counted in a single aggregate, so checking costs
-one pass over the columns the contract names, however many rules there are.
+one pass over the columns the contract names, however many rules there are. A batch
+that is written anyway is checked on its way (:class:`Watch`), without a pass of its own.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -134,18 +135,26 @@ def schema_violations(df: DataFrame, contract: Contract = TELEMETRY_CONTRACT) ->
     return found
 
 
+def _usable_checks(df: DataFrame, contract: Contract) -> list[Check]:
+    """The value rules on columns that are there and of their type."""
+    unusable = {v.column for v in schema_violations(df, contract)}
+    return [c for c in contract.checks if c.column not in unusable]
+
+
+def _counts(checks: list[Check]) -> list[Column]:
+    """All rows, and for each rule those that break it."""
+    failures = [F.count_if(c.failed(F.col(c.column))).alias(f"f{i}") for i, c in enumerate(checks)]
+    return [F.count(F.lit(1)).alias("rows_checked"), *failures]
+
+
 def contract_report(df: DataFrame, contract: Contract = TELEMETRY_CONTRACT) -> DataFrame:
     """One row per value rule: (column_name, check_name, failures, rows_checked).
 
     Rules on a missing or wrongly typed column are left out; those columns are
     reported by :func:`schema_violations`.
     """
-    unusable = {v.column for v in schema_violations(df, contract)}
-    checks = [c for c in contract.checks if c.column not in unusable]
-    counts = df.agg(
-        F.count(F.lit(1)).alias("rows_checked"),
-        *(F.count_if(c.failed(F.col(c.column))).alias(f"f{i}") for i, c in enumerate(checks)),
-    )
+    checks = _usable_checks(df, contract)
+    counts = df.agg(*_counts(checks))
     rows = F.array(
         *(
             F.struct(
@@ -193,3 +202,40 @@ def enforce(
     if found and mode == "fail":
         raise ContractViolation(found)
     return df, found
+
+
+class Watch:
+    """Checks a batch while some other job reads it, by observed metrics of that job.
+
+    Use ``rows`` in place of the batch in exactly one write, then ask :meth:`findings` or
+    :meth:`accept`: the batch is read once. A missing or wrongly typed column is known at
+    once; in mode ``fail`` it is refused here, before any job. A task that is run again after
+    an executor was lost counts its rows again, so counts can then be too high; a rule that
+    no row breaks is never reported, and one that is broken always is.
+    """
+
+    def __init__(self, df: DataFrame, mode: str = "fail", contract: Contract = TELEMETRY_CONTRACT):
+        if mode not in ("fail", "report"):
+            raise ValueError(f"unknown contract mode {mode!r}")
+        self.mode = mode
+        self.schema = schema_violations(df, contract)
+        if self.schema and mode == "fail":
+            raise ContractViolation(self.schema)
+        self._checks = _usable_checks(df, contract)
+        self._seen = Observation()
+        self.rows = df.observe(self._seen, *_counts(self._checks))
+
+    def report(self) -> list[tuple[str, str, int, int]]:
+        """As :func:`contract_report`, once the rows have been written."""
+        seen = self._seen.get
+        rows = seen.get("rows_checked", 0)
+        return [(c.column, c.kind, seen.get(f"f{i}", 0), rows) for i, c in enumerate(self._checks)]
+
+    def findings(self) -> list[Violation]:
+        broken = [Violation(column, check, failures) for column, check, failures, _ in self.report() if failures]
+        return [*self.schema, *broken]
+
+    def accept(self) -> None:
+        """Raise :class:`ContractViolation` in mode ``fail`` if the rows break a rule."""
+        if self.mode == "fail" and (found := self.findings()):
+            raise ContractViolation(found)

@@ -73,8 +73,67 @@ def _widened(column: Column, source: T.DataType, target: T.DataType, name: str)
     raise MergeSchemaError(f"{name}: {source.simpleString()} does not fit {target.simpleString()} of the target")
 
 
+def merged_type(target: T.DataType, source: T.DataType, name: str) -> T.DataType:
+    """The type that holds both: structs take the fields of both sides, at any depth.
+
+    Fields go by name, the target's first. Other types must be the target's, or fit into it.
+    """
+    if isinstance(target, T.StructType) and isinstance(source, T.StructType):
+        fields = []
+        for f in target.fields:
+            kind = merged_type(f.dataType, source[f.name].dataType, f"{name}.{f.name}") if f.name in source.names else f.dataType
+            fields.append(T.StructField(f.name, kind))
+        return T.StructType(fields + [T.StructField(f.name, f.dataType) for f in source.fields if f.name not in target.names])
+    if isinstance(target, T.ArrayType) and isinstance(source, T.ArrayType):
+        return T.ArrayType(merged_type(target.elementType, source.elementType, f"{name}.element"))
+    if isinstance(target, T.MapType) and isinstance(source, T.MapType) and target.keyType == source.keyType:
+        return T.MapType(target.keyType, merged_type(target.valueType, source.valueType, f"{name}.value"))
+    if isinstance(target, T.NullType):
+        return source
+    if source != target:
+        _widened(F.lit(None), source, target, name)  # refuses what does not fit
+    return target
+
+
+def fitted(column: Column, kind: T.DataType, wanted: T.DataType, name: str) -> Column:
+    """A value of one type as a value of a type that :func:`merged_type` made of it; new fields are NULL."""
+    if kind.simpleString() == wanted.simpleString():
+        return column
+    if isinstance(wanted, T.StructType) and isinstance(kind, T.StructType):
+        parts = [
+            fitted(column.getField(f.name), kind[f.name].dataType, f.dataType, f"{name}.{f.name}").alias(f.name)
+            if f.name in kind.names
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in wanted.fields
+        ]
+        return F.when(column.isNotNull(), F.struct(*parts))
+    if isinstance(wanted, T.ArrayType) and isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda e: fitted(e, kind.elementType, wanted.elementType, f"{name}.element"))
+    if isinstance(wanted, T.MapType) and isinstance(kind, T.MapType):
+        return F.transform_values(column, lambda _, v: fitted(v, kind.valueType, wanted.valueType, f"{name}.value"))
+    return _widened(column, kind, wanted, name)
+
+
+def _updated(old: Column, new: Column, was: T.DataType, kind: T.DataType, wanted: T.DataType, name: str) -> Column:
+    """The value of a matched row: the source's, and the target's for fields the source does not have."""
+    if isinstance(wanted, T.StructType) and isinstance(kind, T.StructType) and isinstance(was, T.StructType):
+        parts = []
+        for f in wanted.fields:
+            inner = f"{name}.{f.name}"
+            if f.name not in kind.names:
+                value = fitted(old.getField(f.name), was[f.name].dataType, f.dataType, inner)
+            elif f.name not in was.names:
+                value = fitted(new.getField(f.name), kind[f.name].dataType, f.dataType, inner)
+            else:
+                types = was[f.name].dataType, kind[f.name].dataType, f.dataType
+                value = _updated(old.getField(f.name), new.getField(f.name), *types, inner)
+            parts.append(value.alias(f.name))
+        return F.when(new.isNotNull(), F.struct(*parts))
+    return fitted(new, kind, wanted, name)
+
+
 def _conform(source: DataFrame, target: DataFrame, schema_mode: str) -> DataFrame:
-    """The source restricted to the merged columns, widened to the target's types."""
+    """The source restricted to the merged columns; where columns do not nest, in the target's types."""
     if schema_mode not in ("strict", "evolve"):
         raise ValueError(f"unknown schema mode {schema_mode!r}")
     missing = [c for c in target.columns if c not in source.columns]
@@ -85,19 +144,32 @@ def _conform(source: DataFrame, target: DataFrame, schema_mode: str) -> DataFram
         kept += [c for c in source.columns if c not in target.columns]
     columns = []
     for c in kept:
-        same = c not in target.columns or source.schema[c].dataType == target.schema[c].dataType
-        if same:
+        kind = source.schema[c].dataType
+        wanted = target.schema[c].dataType if c in target.columns else kind
+        nested = isinstance(wanted, (T.StructType, T.ArrayType, T.MapType))
+        if kind.simpleString() == wanted.simpleString() or (nested and schema_mode == "evolve"):
             columns.append(_column(c))
         else:
-            types = source.schema[c].dataType, target.schema[c].dataType
-            columns.append(_widened(_column(c), *types, c).alias(c))
+            columns.append(_widened(_column(c), kind, wanted, c).alias(c))
     return source.select(columns)
 
 
-def _padded(df: DataFrame, other: DataFrame, columns: list[str]) -> DataFrame:
-    """The given columns, NULL where only the other side has one."""
+def _merged_types(target: DataFrame, source: DataFrame, columns: list[str]) -> dict[str, T.DataType]:
+    """The type of each merged column, from the two sides that have it."""
+    found = {}
+    for c in columns:
+        kinds = [df.schema[c].dataType for df in (target, source) if c in df.columns]
+        found[c] = kinds[0] if len(kinds) == 1 else merged_type(*kinds, c)
+    return found
+
+
+def _padded(df: DataFrame, other: DataFrame, columns: list[str], types: dict[str, T.DataType]) -> DataFrame:
+    """The given columns in their merged types, NULL where only the other side has one."""
     return df.select(
-        [_column(c) if c in df.columns else F.lit(None).cast(other.schema[c].dataType).alias(c) for c in columns]
+        [
+            fitted(_column(c), df.schema[c].dataType, types[c], c).alias(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c)
+            for c in columns
+        ]
     )
 
 
@@ -109,7 +181,9 @@ def _keyless(df: DataFrame, key: str) -> DataFrame:
     return df.filter(_column(key).isNull())
 
 
-def _joined(target: DataFrame, source: DataFrame, key: str, columns: list[str], how: str) -> DataFrame:
+def _joined(
+    target: DataFrame, source: DataFrame, key: str, columns: list[str], how: str, types: dict[str, T.DataType]
+) -> DataFrame:
     """Target joined to source, each row with its merged values."""
     matched = _column(key, "s").isNotNull()
     picked = []
@@ -121,7 +195,9 @@ def _joined(target: DataFrame, source: DataFrame, key: str, columns: list[str],
         else:
             # By match and not by coalesce: a NULL in the source overwrites a
             # value in the target.
-            value = F.when(matched, _column(c, "s")).otherwise(_column(c, "t"))
+            was, kind = target.schema[c].dataType, source.schema[c].dataType
+            new = _updated(_column(c, "t"), _column(c, "s"), was, kind, types[c], c)
+            value = F.when(matched, new).otherwise(fitted(_column(c, "t"), was, types[c], c))
         picked.append(value.alias(c))
     equal = _column(key, "t") == _column(key, "s")
     return target.alias("t").join(source.alias("s"), equal, how).select(picked)
@@ -163,7 +239,8 @@ def merge_upsert(
     ``strict``: the source must have every target column, extra source columns
     are ignored. ``evolve``: the result has the columns of both; a matched row
     keeps its target value where the source has no such column, and rows from
-    the side that lacks a column hold NULL there.
+    the side that lacks a column hold NULL there. The same holds for the fields of
+    structs, at any depth; elements of arrays and values of maps are replaced whole.
 
     ``update`` and ``insert`` switch the two clauses off one by one.
 
@@ -175,26 +252,27 @@ def merge_upsert(
     """
     source = _conform(source, target, schema_mode)
     columns = target.columns + [c for c in source.columns if c not in target.columns]
+    types = _merged_types(target, source, columns)
     keyed = _keyed(source, key)
 
     if small_source is None:
         small_source = _broadcastable(source)
     if update and insert and unique_keys and not small_source:
-        merged = _joined(_keyed(target, key), keyed, key, columns, "full_outer")
-        merged = merged.union(_padded(_keyless(target, key), source, columns))
-        return merged.union(_padded(_keyless(source, key), target, columns))
+        merged = _joined(_keyed(target, key), keyed, key, columns, "full_outer", types)
+        merged = merged.union(_padded(_keyless(target, key), source, columns, types))
+        return merged.union(_padded(_keyless(source, key), target, columns, types))
 
     if update:
-        merged = _joined(_keyed(target, key), keyed, key, columns, "left")
-        merged = merged.union(_padded(_keyless(target, key), source, columns))
+        merged = _joined(_keyed(target, key), keyed, key, columns, "left", types)
+        merged = merged.union(_padded(_keyless(target, key), source, columns, types))
     else:
-        merged = _padded(target, source, columns)
+        merged = _padded(target, source, columns, types)
     if insert:
         # Reads the same rows and columns as the join above, so that one shuffle
         # of the source serves both.
         new = keyed.join(_taken_keys(target, keyed, key, unique_keys, small_source), key, "left_anti")
-        merged = merged.union(_padded(new, target, columns))
-        merged = merged.union(_padded(_keyless(source, key), target, columns))
+        merged = merged.union(_padded(new, target, columns, types))
+        merged = merged.union(_padded(_keyless(source, key), target, columns, types))
     return merged
 
 
@@ -239,6 +317,7 @@ def checked_merge(
     schema_mode: str = "strict",
     target_unique: bool = False,
     source_unique: bool = False,
+    small_source: bool | None = None,
 ) -> tuple[DataFrame, bool]:
     """:func:`merge_upsert` for a source whose keys may repeat.
 
@@ -249,15 +328,17 @@ def checked_merge(
     of being gathered in one task of a join.
     """
     if source_unique or has_unique_keys(source, key):
-        return merge_upsert(target, source, key, schema_mode, unique_keys=target_unique), target_unique
+        merged = merge_upsert(target, source, key, schema_mode, unique_keys=target_unique, small_source=small_source)
+        return merged, target_unique
     examples = ambiguous_keys(target, source, key).limit(5).collect()
     if examples:
         shown = ", ".join(f"{r[key]} ({r['copies']} rows)" for r in examples)
         raise AmbiguousMergeError(f"several source rows for one {key}: {shown}")
     rest, hot_rows = split_hot(source, key)
-    merged = merge_upsert(target, rest, key, schema_mode)
+    merged = merge_upsert(target, rest, key, schema_mode, small_source=small_source)
     if hot_rows is not None:
-        merged = merged.union(_padded(_conform(hot_rows, target, schema_mode), target, merged.columns))
+        types = {f.name: f.dataType for f in merged.schema}
+        merged = merged.union(_padded(_conform(hot_rows, target, schema_mode), target, merged.columns, types))
     return merged, False
 
 

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gantry.functions.telemetry import event_date
-from gantry.operators.contract import Violation, enforce
+from gantry.operators.contract import Violation, Watch
 from gantry.plans.stages import to_bronze, to_dim, to_dim_latest, to_fact, to_silver
-from gantry.schema import CRANE_ID, EVENT_TIME, MESSAGE_ID, LakePaths
+from gantry.schema import CRANE_ID, DIM_COLUMNS, EVENT_TIME, MESSAGE_ID, LakePaths
 from gantry.sources.landing import read_landing
 from gantry.sources.scratch import staged
-from gantry.sources.tables import latest_snapshot, read_changes, read_table, table_exists, upsert
+from gantry.sources.tables import latest_snapshot, publish, read_changes, read_table, table_exists, upsert
 
 
 def ingest_bronze(
@@ -55,14 +55,22 @@ def cleanse_silver(
 ) -> list[Violation]:
     """Merge the valid Bronze rows into Silver; returns the contract findings.
 
-    ``mode="fail"`` stops before anything is written if the batch breaks the
+    ``mode="fail"`` stops before the table changes if the batch breaks the
     contract, ``"report"`` goes on. ``incremental`` merges only the days of Bronze
     that changed since the last merge; rows of other days are in Silver already.
+
+    Bronze is read once: the rules are counted while the valid rows are written, to the
+    new table or to the scratch copy that is then merged.
     """
     bronze, known = _unseen(spark, source_path, target_path, incremental)
-    silver, violations = enforce(to_silver(bronze), mode)
-    upsert(silver, target_path, MESSAGE_ID, event_date(), schema_mode, **known)
-    return violations
+    watch = Watch(to_silver(bronze), mode)
+    if table_exists(spark, target_path):
+        with staged(watch.rows) as rows:
+            watch.accept()
+            upsert(rows, target_path, MESSAGE_ID, event_date(), schema_mode, **known)
+    else:
+        publish(watch.rows, target_path, event_date(), key=MESSAGE_ID, accept=watch.accept, **known)
+    return watch.findings()
 
 
 def build_gold(
@@ -75,22 +83,43 @@ def build_gold(
 ) -> None:
     """Merge Silver into the crane dimension and the telemetry fact table.
 
-    The dimension always comes from all of Silver (three columns, combined before
-    the shuffle). A crane with conflicting attributes makes its merge ambiguous
-    and fails it, unless ``latest_wins`` takes those of the latest reading.
+    A crane with conflicting attributes makes its merge ambiguous and fails it, unless
+    ``latest_wins`` takes those of the latest reading, for which all of Silver is read
+    (three columns and the time). ``incremental`` reads the days that changed.
     """
     silver = read_table(spark, source_path)
-    dim = to_dim_latest(silver) if latest_wins else to_dim(silver)
-    if table_exists(spark, dim_path):
-        with staged(dim) as rows:
-            upsert(rows, dim_path, CRANE_ID)
-    else:
-        upsert(dim, dim_path, CRANE_ID)
-
     changed, known = _unseen(spark, source_path, fact_path, incremental)
+    if not table_exists(spark, dim_path):
+        publish(to_dim_latest(silver) if latest_wins else to_dim(silver), dim_path, key=CRANE_ID, unique=latest_wins)
+    elif latest_wins or not incremental:
+        with staged(to_dim_latest(silver) if latest_wins else to_dim(silver)) as rows:
+            upsert(rows, dim_path, CRANE_ID, unique=latest_wins)
+    else:
+        _refresh_dim(spark, silver, changed, dim_path)
     upsert(to_fact(changed), fact_path, MESSAGE_ID, F.to_date(EVENT_TIME), **known)
 
 
+def _refresh_dim(spark: SparkSession, silver: DataFrame, changed: DataFrame, dim_path: str) -> None:
+    """Merge the cranes of changed days into the dimension.
+
+    A crane new to it has all its readings in the changed days. One with other attributes
+    than the dimension's may still have those on days that did not change, so its attributes
+    come from all of Silver, and are refused if they conflict; other cranes are not looked up
+    there, and without any such crane Silver is not read at all.
+    """
+    dim = read_table(spark, dim_path)
+    with staged(to_dim(changed)) as now:
+        both = dim.join(now, CRANE_ID, "left_semi").select(DIM_COLUMNS).union(now).distinct()
+        differing = both.groupBy(CRANE_ID).count().where("count > 1").select(CRANE_ID)
+        source = now.join(dim, CRANE_ID, "left_anti")
+        if not differing.isEmpty():
+            again = to_dim(silver.join(differing, CRANE_ID, "left_semi"))
+            source = source.join(differing, CRANE_ID, "left_anti").unionByName(again)
+        with staged(source) as rows:
+            if not rows.isEmpty():
+                upsert(rows, dim_path, CRANE_ID)
+
+
 def run_pipeline(
     spark: SparkSession,
     raw_data_path: str,

@@ -2,41 +2,107 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gantry.schema import CORRUPT_RECORD, EXTRA_FIELDS, PARSED, TELEMETRY
+from gantry.sources.scratch import stored
+
+
+_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_RECORD}
+_DOC = "_doc"
+
+
+def _parsed(lines: DataFrame) -> DataFrame:
+    """Each line that is not blank (``value``) and what it says, as a variant; NULL if it is no JSON."""
+    written = lines.where(F.trim(F.col("value")) != "")
+    return written.select("value", F.try_parse_json("value").alias(_DOC))
+
+
+def _field(field: T.StructField) -> tuple[Column, Column | None]:
+    """A known field of the variant, and whether a value is there that is not of its type.
+
+    Any value reads as text. A number is taken from a JSON number alone: a variant would
+    also cast ``true`` to 1.0.
+    """
+    path = f"$.{field.name}"
+    if isinstance(field.dataType, T.StringType):
+        return F.try_variant_get(_DOC, path, "string"), None
+    kind = F.schema_of_variant(F.try_variant_get(_DOC, path, "variant"))
+    value = F.when(kind.rlike("^(BIGINT|DOUBLE|DECIMAL)"), F.try_variant_get(_DOC, path, field.dataType.simpleString()))
+    return value, value.isNull() & kind.isNotNull() & (kind != "VOID")
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Lines of JSON text (column ``value``) as rows of the fixed schema; blank lines are none.
 
-    A field that cannot be read is NULL and the raw line is kept beside it. Fields the
-    schema does not name are kept, as texts, in one JSON object.
+    A line is parsed once, into a variant, from which the known fields are taken by name and
+    type. A field that cannot be read is NULL and the raw line is kept beside it. Fields the
+    schema does not name are kept, as texts, in one JSON object. What a variant refuses
+    (broken lines, ``NaN``, repeated names) goes through the lenient JSON reader.
     """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_RECORD}
-    known = [F.lit(name) for name in TELEMETRY.fieldNames()]
-    extra = F.map_filter(F.from_json("value", "map<string,string>"), lambda name, _: ~name.isin(*known))
-    rows = lines.where(F.trim(F.col("value")) != "").select(
-        F.from_json("value", PARSED, options).alias("row"), extra.alias("extra")
+    fields = {f.name: _field(f) for f in TELEMETRY.fields}
+    members = F.expr(f"try_cast({_DOC} AS MAP<STRING, VARIANT>)")
+    wrong = reduce(or_, [w for _, w in fields.values() if w is not None], members.isNull())
+    known = [F.lit(name) for name in fields]
+    extra = F.transform_values(F.map_filter(members, lambda name, _: ~name.isin(*known)), lambda _, v: v.cast("string"))
+    row = F.struct(
+        *(value.alias(name) for name, (value, _) in fields.items()),
+        F.when(wrong, F.col("value")).alias(CORRUPT_RECORD),
+        F.when(F.size(extra) > 0, F.to_json(extra)).alias(EXTRA_FIELDS),
     )
-    return rows.select("row.*", F.when(F.size("extra") > 0, F.to_json("extra")).alias(EXTRA_FIELDS))
+    texts = F.map_filter(F.from_json("value", "map<string,string>"), lambda name, _: ~name.isin(*known))
+    lenient = F.from_json("value", PARSED, _OPTIONS).withField(EXTRA_FIELDS, F.when(F.size(texts) > 0, F.to_json(texts)))
+    rows = _parsed(lines).select(F.when(F.col(_DOC).isNull(), lenient).otherwise(row).alias("row"))
+    return rows.select("row.*")
+
+
+def _inferred(kind: T.DataType) -> T.DataType:
+    """A column type from one that a variant's values have in common.
+
+    Decimals are doubles, as JSON has one kind of number; what has no type, or several, is text.
+    """
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _inferred(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_inferred(kind.elementType))
+    if isinstance(kind, T.DecimalType):
+        return T.DoubleType()
+    return T.StringType() if isinstance(kind, (T.NullType, T.VariantType)) else kind
+
+
+def _read_inferred(lines: DataFrame) -> DataFrame:
+    """Lines as rows whose names and types all lines together decide.
+
+    The text is parsed once, into a stored table of variants; their schemas are merged by an
+    aggregate that combines before the shuffle.
+    """
+    docs = stored(_parsed(lines))
+    objects = F.when(F.expr(f"try_cast({_DOC} AS MAP<STRING, VARIANT>)").isNotNull(), F.col(_DOC))
+    merged = docs.agg(F.schema_of_variant_agg(objects).alias("schema")).first().schema or ""
+    if not merged.startswith("OBJECT<"):
+        return docs.select(F.col("value").alias(CORRUPT_RECORD))
+    found = T._parse_datatype_string(re.sub(r"\bOBJECT<", "STRUCT<", merged))
+    row = F.try_variant_get(_DOC, "$", _inferred(found).simpleString())
+    rows = docs.select(row.alias("row"), F.when(objects.isNull(), F.col("value")).alias(CORRUPT_RECORD))
+    return rows.select("row.*", CORRUPT_RECORD)
 
 
 def read_landing(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
     """Landing files as rows.
 
-    The fixed schema saves the extra pass that inference makes over all files and
+    The fixed schema saves the extra pass that inference makes over all lines and
     keeps a stray text value from turning a measure into a string column.
     ``infer=True`` takes column names and types from the files instead; the column of
     raw malformed lines is there in either case.
     """
-    if not infer:
-        return parse_lines(spark.read.text(path))
-    rows = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_RECORD).json(path)
-    if CORRUPT_RECORD not in rows.columns:
-        rows = rows.withColumn(CORRUPT_RECORD, F.lit(None).cast("string"))
-    return rows
+    lines = spark.read.text(path)
+    return _read_inferred(lines) if infer else parse_lines(lines)
 
 
 def write_landing(df: DataFrame, path: str) -> None:

@@ -108,3 +108,32 @@ def crane_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 def region_grants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each nation's manager may see the region the nation is in."""
     return regions(spark, sf_dir).select(F.col("n_name").alias("user_name"), F.col("r_name").alias(REGION))
+
+
+def region_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions below zones, zones below the world, which is, by mistake, below one of them again."""
+    zones = table(spark, sf_dir, "region").select("r_name", _zone("r_regionkey").alias("zone"))
+    below_zone = zones.select(F.col("r_name").alias("child"), F.col("zone").alias("parent"))
+    below_world = zones.select(F.col("zone").alias("child"), F.lit("WORLD").alias("parent")).distinct()
+    mistake = zones.select(F.lit("WORLD").alias("child"), F.lit("ZONE_0").alias("parent")).distinct()
+    return below_zone.union(below_world).union(mistake)
+
+
+def _zone(key: str) -> Column:
+    return F.concat(F.lit("ZONE_"), (F.col(key) % 2).cast("string"))
+
+
+def zone_grants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each nation's manager may see the world, the zone of its region, or the region, in turn."""
+    turn = F.col("n_nationkey") % 3
+    place = F.when(turn == 0, "WORLD").when(turn == 1, _zone("n_regionkey")).otherwise(F.col("r_name"))
+    return regions(spark, sf_dir).select(F.col("n_name").alias("user_name"), place.alias(REGION))
+
+
+def service_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Services of cranes: every sign-up event is one, valid until the crane's next."""
+    return table(spark, sf_dir, "events").where(F.col("event_type") == "signup").select(
+        _crane("user_id").alias(CRANE_ID),
+        F.col("ts").cast("timestamp").alias("serviced_at"),
+        F.col("event_id").alias("service_id"),
+    )

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -156,16 +157,20 @@ def publish(
     consumed: dict[str, list | int] | None = None,
     key: str | None = None,
     unique: bool = False,
+    accept: Callable[[], None] | None = None,
 ) -> None:
     """Make ``df`` the next version of the table, whole.
 
     ``event_date`` splits the table by that day. Merges are faster on a table known
     to have no repeats of its ``key``; unless ``unique`` says so, the written rows
-    are checked for that, reading nothing but the key.
+    are checked for that, reading nothing but the key. ``accept`` is called when the rows
+    are written and before they are announced; if it raises, there is no new version.
     """
     spark = df.sparkSession
     dated = df if event_date is None else df.withColumn(EVENT_DATE, event_date)
     number, folders = _write(dated, path)
+    if accept:
+        accept()
     snapshot = Snapshot(number, df.schema, event_date is not None, folders, consumed or {}, None, uuid.uuid4().hex)
     if key is not None and (unique or has_unique_keys(_scan(spark, path, snapshot, folders), key)):
         snapshot = replace(snapshot, unique_key=key)

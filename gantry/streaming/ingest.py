@@ -25,26 +25,33 @@ def landing_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
     return parse_lines(reader.text(path))
 
 
+def appended(stream: DataFrame, target_path: str, checkpoint_path: str, every: str | None = None) -> StreamingQuery:
+    """Append a stream to Parquet files: what there is now, or a micro-batch ``every`` so often."""
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        stream.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint_path)
+        .trigger(**trigger)
+        .start(target_path)
+    )
+
+
 def stream_ingest(
     spark: SparkSession,
     raw_data_path: str,
     target_path: str,
     checkpoint_path: str,
     max_files_per_trigger: int | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Append all landing files not taken yet, then stop.
+    """Append all landing files not taken yet, then stop; with ``every``, go on as files arrive.
 
     The checkpoint remembers which files were taken and the file sink commits
     each micro-batch once, so running it again adds nothing.
     """
-    return (
-        to_bronze(landing_stream(spark, raw_data_path, max_files_per_trigger))
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint_path)
-        .trigger(availableNow=True)
-        .start(target_path)
-    )
+    rows = to_bronze(landing_stream(spark, raw_data_path, max_files_per_trigger))
+    return appended(rows, target_path, checkpoint_path, every)
 
 
 def merge_appended(
