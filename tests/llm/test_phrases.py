@@ -1,0 +1,143 @@
+"""Phrase collocations against plain counting."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from gantry.llm import phrases
+
+from .cases import documents, no_documents
+
+
+def pieces(text: str | None) -> list[list[str]]:
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return [re.findall(r"[^\x20\x09]+", p) for p in re.split(r"[.,;:!?\x0A-\x0D]", lowered)]
+
+
+def counted(table, least):
+    f, n = Counter(), Counter()
+    for text, lang in table:
+        lang = "und" if lang is None else lang
+        for words in pieces(text):
+            n[lang] += len(words)
+            for size in range(1, 5):
+                for i in range(len(words) - size + 1):
+                    f[lang, tuple(words[i : i + size])] += 1
+    return {k: v for k, v in f.items() if v >= least}, n
+
+
+def expected(table, least, best):
+    f, n = counted(table, least)
+    around = defaultdict(int)
+    for (lang, words), count in f.items():
+        for size in range(2, len(words)):
+            for i in range(len(words) - size + 1):
+                key = lang, words[i : i + size]
+                around[key] = max(around[key], count)
+    found = defaultdict(list)
+    for (lang, words), a in f.items():
+        if len(words) < 2 or (around[lang, words] and 100 * around[lang, words] >= 80 * a):
+            continue
+        cuts = []
+        for k in range(1, len(words)):
+            left, right = f[lang, words[:k]], f[lang, words[k:]]
+            cuts.append((2_000_000 * a // (left + right), k, left, right))
+        score, _, left, right = min(cuts)
+        found[lang].append((-score, -a, " ".join(words).encode(), left, right))
+    out = set()
+    for lang, rows in found.items():
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(rows)[:best], 1):
+            out.add((lang, rank, phrase.decode(), -a, left, right, n[lang], -score))
+    return out
+
+
+def mined(df, least=30, best=2000):
+    return {tuple(r) for r in phrases.collocations(df, least=least, best=best).collect()}
+
+
+def corpus(seed=5):
+    rng = random.Random(seed)
+    vocabulary = ["new", "york", "City", "été", "a b", "x-y", "the", "of", "　", "state", "zz", "漢字"]
+    table = []
+    for i in range(300):
+        words = []
+        for _ in range(rng.randint(0, 40)):
+            words += rng.choice([["New", "York", "city"], ["the", "state", "of"], [rng.choice(vocabulary)]])
+            words += rng.choice([[], [], [], [","], ["."], ["\t"], ["\n"], ["\u0085"]])
+        table.append((" ".join(words), rng.choice(["en", "en", "fr", None, "und", ""])))
+    return [*table, (None, "en"), ("", None), ("...,,", "xx"), *table[:20]]
+
+
+@pytest.mark.parametrize("places", [1 << 20, 64])
+def test_against_counting(spark, monkeypatch, places):
+    """Also with chunks far shorter than a text, so that sequences cross their ends."""
+    monkeypatch.setattr(phrases, "CHUNK_PLACES", places)
+    monkeypatch.setattr(phrases, "SHARD_GRAMS", 500)
+    table = corpus()
+    df = spark.createDataFrame(table, "text string, lang string").repartition(3)
+    assert mined(df) == expected(table, 30, 2000)
+    assert mined(df, least=5, best=20) == expected(table, 5, 20)
+
+
+def test_clashing_fingerprints_change_no_count(spark, monkeypatch):
+    """Fingerprints of eight bits: nearly everything clashes, within chunks and between them."""
+    exact = phrases.Grams.of_length
+
+    def few(self, n):
+        begin, prints = exact(self, n)
+        return begin, prints % np.uint64(256) * np.uint64(0x100000001)
+
+    monkeypatch.setattr(phrases.Grams, "of_length", few)
+    table = corpus(6)[:60]
+    frame = phrases.pd.DataFrame({"lang": ["und" if t[1] is None else t[1] for t in table], "text": [(t[0] or "").encode() for t in table]})
+    chunks = phrases.pd.concat(list(phrases._chunks(iter([frame]))), ignore_index=True)
+    chunks["chunk"] = range(len(chunks))
+    blocks = phrases.pd.concat(list(phrases._blocks(3)(iter([chunks]))), ignore_index=True)
+    answers = phrases.pd.concat([phrases._answers(2)(g) for _, g in blocks.groupby("shard")], ignore_index=True)
+    found = Counter()
+    for i in range(len(chunks)):
+        rows = phrases._materialised(3)((i,), chunks[chunks["chunk"] == i], answers[answers["chunk"] == i])
+        for r in rows.itertuples():
+            found[r.lang, tuple(r.phrase.decode().split(" "))] += r.f
+    f, _ = counted(table, 2)
+    assert {k: v for k, v in found.items() if v >= 2} == f
+
+
+def test_fingerprints_are_those_of_the_sequence():
+    """One subtraction and one multiplication give the hash of the sequence alone."""
+    rng = np.random.default_rng(1)
+    hashes = rng.integers(0, 1 << 63, 500).astype(np.uint64)
+    sums, undo = phrases.prefix_polynomials(hashes)
+    for n in (1, 3, 4):
+        for i in (0, 7, 400, 500 - n):
+            alone = sum(int(h) * pow(int(phrases._BASE), k, 1 << 64) for k, h in enumerate(hashes[i : i + n])) % (1 << 64)
+            begin = np.array([i])
+            assert int(((sums[begin + n] - sums[begin]) * undo[begin])[0]) == alone
+
+
+def test_scores_beyond_64_bits(spark):
+    huge = 9_000_000_000_000_000_000
+    table = [("en", 1, "a", huge), ("en", 1, "b", huge - 1), ("en", 2, "a b", huge - 2)]
+    df = spark.createDataFrame(table, "lang string, n_words int, phrase string, f long")
+    (row,) = phrases.cut_scores(df).collect()
+    assert row.score == 2_000_000 * (huge - 2) // (2 * huge - 1)
+
+
+def test_awkward_rows(spark):
+    df = documents(spark)
+    table = [(r.text, r.lang) for r in df.collect()]
+    assert mined(df, least=2) == expected(table, 2, 2000)
+    assert mined(no_documents(spark)) == set()
+    assert mined(df.limit(1)) == set()
+
+
+def test_a_long_text(spark):
+    text = "one two three " * 400_000  # five megabytes without a break
+    df = spark.createDataFrame([(text, "en")], "text string, lang string")
+    found = mined(df, best=3)
+    assert found == expected([(text, "en")], 30, 3)
