@@ -50,6 +50,8 @@ NO_LANGUAGE = "und"
 #: Places (words and piece marks) of a chunk, and sequences that a shard is to answer for.
 CHUNK_PLACES = 1 << 20
 SHARD_GRAMS = 4_000_000
+#: Parts of a language that are ranked by themselves before all of it is.
+RANKED_PARTS = 64
 
 _BREAK = b"."
 _PIECES = bytes.maketrans(b",;:!?\n\v\f\r", _BREAK * 9)
@@ -299,8 +301,13 @@ def collocations(
     free = F.col("within").isNull() | (
         F.col("within").cast("decimal(19, 0)") * 100 < F.col("a").cast("decimal(19, 0)") * CONTAINED_PERCENT
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.where(free).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    # a language may hold most phrases, so the best of each part of it come first
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANKED_PARTS))
+    first = Window.partitionBy("lang", "part").orderBy(*order)
+    ranked = scored.where(free).withColumn("part", part).withColumn("rank", F.row_number().over(first))
+    ranked = ranked.where(F.col("rank") <= best)
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= best)
     return ranked.join(words, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )
