@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import base64
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -76,16 +77,38 @@ def encoder(path: str):
     return _encoders[path]
 
 
+#: White space other than the plain space. The pre-tokeniser takes a run of it and of spaces together.
+_OTHER_SPACE = re.compile(r"[^\S ]")
+
+
 def encoded_words(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The subwords of all words, and where each word begins and the last one ends.
 
-    A space stands before every word and nowhere else, so the subwords with a space tell
-    the words apart, and a word has the same subwords wherever it stands.
+    A space stands before every word, so a word has the same subwords wherever it stands, and
+    the subwords with a space tell the words apart. Words with white space of another kind,
+    such as no-break spaces, would run together and are encoded one by one.
     """
     text = (b" " + b" ".join(words)).decode(errors="replace") if words else ""
+    if _OTHER_SPACE.search(text):
+        return _encoded_apart(path, [w.decode(errors="replace") for w in words])
     ids = encoder(path).encode_to_numpy(text, disallowed_special=()).astype(np.int32)
     begins, _ = vocabulary_facts(path)
-    return ids, np.r_[np.flatnonzero(begins[ids]), len(ids)]
+    edges = np.r_[np.flatnonzero(begins[ids]), len(ids)]
+    assert len(edges) == len(words) + 1
+    return ids, edges
+
+
+def _encoded_apart(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`encoded_words` where some words hold other white space."""
+    odd = np.array([_OTHER_SPACE.search(w) is not None for w in words])
+    alone = [encoder(path).encode_ordinary(" " + words[i]) for i in np.flatnonzero(odd)]
+    ids, edges = encoded_words(path, [words[i].encode() for i in np.flatnonzero(~odd)])
+    sizes = np.zeros(len(words), np.int64)
+    sizes[odd], sizes[~odd] = [len(a) for a in alone], np.diff(edges)
+    of_odd = np.repeat(odd, sizes)
+    out = np.empty(len(of_odd), np.int32)
+    out[of_odd], out[~of_odd] = np.concatenate([np.array(a, np.int32) for a in alone]), ids
+    return out, np.r_[0, np.cumsum(sizes)]
 
 
 class Subwords:
