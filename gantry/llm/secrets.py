@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -139,9 +140,23 @@ def _costly(run: str, pieces: list[tuple[int, int]], encode, max_chars_per_token
     return sorted(found)
 
 
+def _merged(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Begins and ends of the ranges that spans sorted by start cover together."""
+    begins: list[int] = []
+    ends: list[int] = []
+    for start, _, end in spans:
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            begins.append(start)
+            ends.append(end)
+    return begins, ends
+
+
 def random_spans(text: str, encode, max_chars_per_token: float, taken: list[Span]) -> list[Span]:
     """Runs, or stretches of them, that are costly in tokens, outside the spans already found."""
     found: list[Span] = []
+    begins, ends = _merged(taken)
     for m in _RUN.finditer(text):
         run = m[0]
         if not any(c.isalpha() for c in run) or _KNOWN.fullmatch(run):
@@ -152,7 +167,8 @@ def random_spans(text: str, encode, max_chars_per_token: float, taken: list[Span
             parts = costly_stretches(run, encode, max_chars_per_token)
         for a, b in parts:
             a, b = m.start() + a, m.start() + b
-            if all(b <= start or end <= a for start, _, end in taken):
+            before = bisect_left(begins, b) - 1  # the last one that begins before this ends
+            if before < 0 or ends[before] <= a:
                 found.append((a, "random", b))
     return found
 
