@@ -29,12 +29,14 @@ MAX_REPEATED_PERCENT = 20
 SYMBOLS = b"#*$%&|<>"
 # --------------------------------------
 
-#: Repeats of at least so many words count as covered.
-MIN_REPEAT = 5
-#: Largest share of the code points in words that repeats may cover.
-MAX_COVERED = 0.2
-#: Longest repeat, in words, that a good document may have.
-MAX_LONGEST = 60
+#: Repeats of at least so many words count as covered: fewer than the fixed rule's window, so
+#: that words and phrases said over and over count, which leave no window of five twice.
+MIN_REPEAT = 3
+#: Largest share of the code points in words that repeats may cover. Clean prose of any length
+#: stays below 0.25, as short repeats by chance are few.
+MAX_COVERED = 0.3
+#: Longest repeat, in words, that a good document may have, however long it is.
+MAX_LONGEST = 30
 
 _RESULT = """n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long,
              base_failed boolean, covered_share double, longest_repeat long, kept boolean"""
