@@ -70,3 +70,15 @@ def free_name(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted += "_"
     return wanted
+
+
+def lowest_by_hash(rows: DataFrame, hash_col: str, size: int) -> DataFrame:
+    """The ``size`` rows with the smallest values of a 64-bit hash, for rows of different hashes.
+
+    Only hashes below a cut are sorted. The cut follows from the number of rows, so that about
+    twice ``size`` are below it: what is gathered does not grow with the rows or their partitions.
+    """
+    n = rows.count()
+    if n > 4 * size:
+        rows = rows.where(F.col(hash_col) < -(1 << 63) + (1 << 64) * 2 * size // n)
+    return rows.orderBy(hash_col).limit(size)

@@ -5,16 +5,17 @@ to the next empty one, without comment marks around them, are joined and read in
 of ``STRETCH`` words that overlap by half, so every notice lies whole in one; what is found
 there is reported at the line where it begins. The features of a paragraph or stretch are the word uni- and bigrams that occur
 in it, out of those of the notices below and the most frequent ones of the corpus sample.
-A softmax regression with a class for each licence family and one for other text is
-trained in numpy on the driver: on damaged and embedded copies of the notices, and on
-paragraphs of ``SAMPLE_DOCS`` documents, the first by a hash, each of at most
-``SAMPLE_BYTES`` bytes. A temperature fitted on left-out examples calibrates it.
+A softmax regression with a class for each licence family, one for licence text of no such
+family and one for other text is trained in numpy on the driver: on damaged and embedded copies
+of notices, and on paragraphs of ``SAMPLE_DOCS`` different texts, the first by a hash, each of at
+most ``SAMPLE_BYTES`` bytes. A temperature fitted on left-out examples calibrates it.
 
 A family is reported if licence text as a whole is at least as likely as ``ACCEPT``, and one
 of the family's notices is found in the paragraph to ``SIMILARITY`` of its bigrams. Families
 other than the most probable one also need half of the bigrams that no other family has
-(the notices of some differ in a word only). A paragraph can have several families. Text that fails the comparison but is licence
-text to ``ACCEPT_UNKNOWN`` is reported as ``unknown``.
+(the notices of some differ in a word only). A notice of fewer than ``SHORT_NOTICE`` words has to
+end a line. A paragraph can have several families. A line or stretch that fails the comparison
+but is licence text to ``ACCEPT_UNKNOWN``, of that class or of a family, is reported as ``unknown``.
 
 Cases: null, empty and wordless texts have no paragraphs; equal rows give equal results;
 an empty table gives an empty result; other columns do not matter.
@@ -31,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gantry.llm.common import chunks, text_or_empty
+from gantry.llm.common import chunks, lowest_by_hash, text_or_empty
 
 SAMPLE_DOCS, SAMPLE_BYTES, SAMPLE_PARAGRAPHS = 400, 1 << 16, 3000
 #: Frequent n-grams of the sample that are features besides those of the notices.
@@ -102,8 +103,33 @@ NOTICES: dict[str, list[str]] = {
 }
 # ---------------------------------------------------------
 
+# ---- fixed values: public licence notices of none of these families ----
+UNKNOWN_NOTICES = [
+    "This software is provided as-is, without any express or implied warranty. In no event will the authors be held "
+    "liable for any damages arising from the use of this software.",
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+    "alter it and redistribute it freely, subject to the following restrictions.",
+    "Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, "
+    "and without a written agreement is hereby granted, provided that the above copyright notice and this paragraph "
+    "appear in all copies.",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+    "The contents of this file are subject to the terms of the Common Development and Distribution License.",
+    "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    "This package is licensed under the terms of the Artistic License 2.0.",
+    "Licensed under the Open Software License, version 3.0.",
+    "Licensed under the Academic Free License, version 3.0 or later; you may use this work under its terms.",
+    "Distributed under the terms of the PostgreSQL License. See the accompanying file COPYING or a copy on the web.",
+    "This license governs use of the accompanying software. If you use the software, you accept this license.",
+    "SPDX-License-Identifier: EPL-2.0",
+    "SPDX-License-Identifier: Zlib",
+]
+# --------------------------------------------------------------------------
+
 FAMILIES = sorted(NOTICES)
-_OTHER = len(FAMILIES)
+_UNKNOWN = len(FAMILIES)
+_OTHER = _UNKNOWN + 1
+#: Notices of fewer words have to end a line: their words also stand inside other sentences.
+SHORT_NOTICE = 4
 _EDGES = bytes(set(range(0x21, 0x7F)) - set(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
 
 
@@ -169,6 +195,7 @@ class Classifier:
     weights: np.ndarray  # of words, then pairs, then the constant; by class
     notices: list[list[set]]
     own: list[set]  # bigrams of each family's notices that no other family's have
+    short: dict[frozenset, tuple[bytes, ...]]  # words of the short ones among the notices
 
     def logits(self, ids: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
         """Class scores of ``n`` paragraphs from their words in order (-1: no feature)."""
@@ -189,12 +216,19 @@ class Classifier:
             out[owners[first]] += np.add.reduceat(self.weights[features], first, axis=0)
         return out
 
-    def families(self, words: list[bytes], best: int) -> dict[str, set]:
-        """The families whose notices are in the paragraph, each with those of its bigrams."""
+    def _ends_a_line(self, notice: set, words: list[bytes], ends: list[int]) -> bool:
+        wanted = self.short.get(frozenset(notice))
+        return wanted is None or any(tuple(words[max(0, e - len(wanted)) : e]) == wanted for e in ends)
+
+    def families(self, words: list[bytes], best: int, ends: list[int]) -> dict[str, set]:
+        """The families whose notices are in the paragraph, each with those of its bigrams.
+
+        ``ends``: the numbers of words up to the end of each line.
+        """
         here = bigrams(words)
         found = {}
         for family, notices in enumerate(self.notices):
-            similar = [n for n in notices if len(n & here) >= SIMILARITY * len(n)]
+            similar = [n for n in notices if len(n & here) >= SIMILARITY * len(n) and self._ends_a_line(n, words, ends)]
             if family != best:
                 own = self.own[family]
                 similar = [n for n in similar if n & own and len(n & own & here) >= OWN_SIMILARITY * len(n & own)]
@@ -212,21 +246,23 @@ def train(others: list[list[bytes]], seed: int = 5) -> Classifier:
     """A classifier from the notices and other paragraphs, as words."""
     rng = np.random.default_rng(seed)
     notices = [[plain_words(n.encode()) for n in NOTICES[f]] for f in FAMILIES]
-    known = [bigrams(words) for of_family in notices for words in of_family]
+    foreign = [plain_words(n.encode()) for n in UNKNOWN_NOTICES]
+    known = [bigrams(words) for of_family in [*notices, foreign] for words in of_family]
     # paragraphs that hold a notice are no examples of other text
     others = [p for p in others if all(len(bigrams(p) & k) < 0.5 * len(k) for k in known)]
-    notice_words = {w for of_family in notices for words in of_family for w in words}
+    classes = [*notices, foreign]
+    notice_words = {w for of_class in classes for words in of_class for w in words}
     common = Counter(w for p in others for w in set(p)).most_common(COMMON_GRAMS)
     vocabulary = {w: i for i, w in enumerate(sorted(notice_words | {w for w, _ in common}))}
     pair_counts = Counter(pair for p in others for pair in set(zip(p, p[1:])) if pair[0] in vocabulary and pair[1] in vocabulary)
-    pairs = {pair for of_family in notices for words in of_family for pair in zip(words, words[1:])}
+    pairs = {pair for of_class in classes for words in of_class for pair in zip(words, words[1:])}
     pairs |= {pair for pair, _ in pair_counts.most_common(COMMON_GRAMS)}
     coded = np.array(sorted(vocabulary[a] * len(vocabulary) + vocabulary[b] for a, b in pairs), np.int64)
 
     filler = [w for p in others for w in p] or [b"text"]
     examples: list[tuple[list[bytes], int]] = [(p, _OTHER) for p in others]
-    for family, of_family in enumerate(notices):
-        for words in of_family:
+    for family, of_class in enumerate(classes):
+        for words in of_class:
             for copy in range(COPIES):
                 kept = [w for w in words if copy == 0 or rng.random() > 0.08] or words
                 around = [int(x) for x in rng.integers(0, 40, 2)] if copy % 2 else [0, 0]
@@ -238,7 +274,8 @@ def train(others: list[list[bytes]], seed: int = 5) -> Classifier:
     of_notices = [[bigrams(w) for w in f] for f in notices]
     of_family = [set.union(*f) for f in of_notices]
     own = [mine.difference(*(f for f in of_family if f is not mine)) for mine in of_family]
-    model = Classifier(vocabulary, coded, np.eye(size, dtype=np.float32), of_notices, own)
+    short = {frozenset(bigrams(w)): tuple(w) for f in notices for w in f if len(w) < SHORT_NOTICE}
+    model = Classifier(vocabulary, coded, np.eye(size, dtype=np.float32), of_notices, own, short)
     ids, owner = numbered([p for p, _ in examples], vocabulary)
     x = model.logits(ids, owner, len(examples))  # with unit weights: the features themselves
     held = rng.random(len(labels)) < 0.2
@@ -294,13 +331,14 @@ def scan(texts: list[bytes], model: Classifier, numbers: _Numbers) -> list[tuple
         chance = _softmax(model.logits(ids, owner, len(units)))
         licence = 1 - chance[:, _OTHER]
         named: list[dict[tuple[int, str], float]] = [{} for _ in counts]
-        unknown: list[dict[int, float]] = [{} for _ in counts]
+        unknown: list[list[tuple[float, set[int]]]] = [[] for _ in counts]
         covered: list[set[int]] = [set() for _ in counts]
         for u in np.flatnonzero(licence >= ACCEPT).tolist():
             text, of_unit, places = units[u]
             plain = [w.strip(_EDGES) or w for w in of_unit]
-            families = model.families(plain, int(chance[u, :_OTHER].argmax()))
             joined = len(places) > 1
+            ends = [k + 1 for k in range(len(plain) - 1) if joined and places[k] != places[k + 1]] + [len(plain)]
+            families = model.families(plain, int(chance[u, :_UNKNOWN].argmax()), ends)
             for family, shared in families.items():
                 # pairs of the notice, by line; a line's own findings come first and are not repeated
                 at = [k for k, pair in enumerate(zip(plain, plain[1:])) if pair in shared] or [0]
@@ -309,10 +347,15 @@ def scan(texts: list[bytes], model: Classifier, numbers: _Numbers) -> list[tuple
                     key = (min(lines), family)
                     named[text][key] = max(named[text].get(key, 0.0), float(licence[u]))
                 covered[text] |= lines
-            if not families and not joined and licence[u] >= ACCEPT_UNKNOWN:
-                unknown[text][places[0]] = float(licence[u])
+            if not families and licence[u] >= ACCEPT_UNKNOWN:
+                unknown[text].append((float(licence[u]), set(places)))
         for count, of_named, of_unknown, known in zip(counts, named, unknown, covered):
-            rest = [(place, "unknown", p) for place, p in of_unknown.items() if place not in known]
+            rest = []
+            # a line's own findings come first; lines told once are not told again
+            for p, lines in of_unknown:
+                if not lines & known:
+                    rest.append((min(lines), "unknown", p))
+                    known = known | lines
             results.append((count, sorted([(place, family, p) for (place, family), p in of_named.items()] + rest)))
     return results
 
@@ -320,17 +363,26 @@ def scan(texts: list[bytes], model: Classifier, numbers: _Numbers) -> list[tuple
 _RESULT = "n_paragraphs long, n_licensed long, n_unknown long, families string, findings string"
 
 
+def sample_texts(docs: DataFrame, id_col: str, text_col: str) -> list[bytes]:
+    """At most ``SAMPLE_DOCS`` different texts of at most ``SAMPLE_BYTES`` bytes, in the order of a hash.
+
+    The hashes are chosen without the texts; of the copies of a chosen one, those of the smallest
+    id send theirs.
+    """
+    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    texts = texts.where(F.octet_length("text") <= SAMPLE_BYTES).withColumn("hash", F.xxhash64("text"))
+    one_of_each = texts.groupBy("hash").agg(F.min("id").alias("first"))
+    chosen = F.broadcast(lowest_by_hash(one_of_each, "hash", SAMPLE_DOCS).withColumnRenamed("hash", "chosen"))
+    same = (F.col("hash") == F.col("chosen")) & F.col("id").eqNullSafe(F.col("first"))
+    found = texts.join(chosen, same).groupBy("hash").agg(F.first("text").alias("text"))
+    return [r.text.encode() for r in sorted(found.collect())]
+
+
 def license_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: paragraphs, licensed and unknown ones, the families found (sorted,
     comma-joined) and all findings (paragraph:family:probability, comma-joined)."""
-    chosen = (
-        docs.select(text_or_empty(text_col).alias("text"))
-        .where(F.octet_length("text") <= SAMPLE_BYTES)
-        .orderBy(F.xxhash64("text"), "text")
-        .limit(SAMPLE_DOCS)
-        .collect()
-    )
-    others = [[w.strip(_EDGES) or w for w in p] for r in chosen for p in paragraphs(r.text.encode())]
+    chosen = sample_texts(docs, id_col, text_col)
+    others = [[w.strip(_EDGES) or w for w in p] for t in chosen for p in paragraphs(t)]
     shared = docs.sparkSession.sparkContext.broadcast(train(others[:: max(1, len(others) // SAMPLE_PARAGRAPHS)]))
 
     @F.pandas_udf(_RESULT)
