@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gantry.llm.common import chunks, mixed, text_or_empty
+from gantry.llm.common import chunks, free_name, mixed, text_or_empty
 from gantry.llm.suffix import covered, suffix_order
 from gantry.sources.scratch import staged, stored
 
@@ -46,6 +47,9 @@ GROUP = 4096
 #: single text or key has more).
 CUT_BYTES, ARRAY_BYTES = 1 << 18, 1 << 19
 
+#: Low bits of a hash that give way to a place in the chunk; no text has more than 2 ** 31 bytes.
+PLACE_BITS = np.uint64(32)
+
 # ---- pieces --------------------------------------------------------------
 
 
@@ -81,8 +85,9 @@ def text_pieces(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     grams = gram_hashes(np.frombuffer(raw, np.uint8))
     width = length - GRAM + 1
     # a place in the low bits makes the least value name the first, or the last, smallest gram;
-    # ties in the bits that remain are settled by the place, alike in equal windows
-    bits = np.uint64(len(raw).bit_length())
+    # ties in the bits that remain are settled by the place, alike in equal windows, whatever
+    # the chunk they are in: the number of bits is the same for all chunks
+    bits = PLACE_BITS
     high = (grams >> bits) << bits
     numbers = np.arange(len(grams), dtype=np.uint64)
     low = (np.uint64(1) << bits) - np.uint64(1)
@@ -367,6 +372,18 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
 _RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
 
 
+@dataclass(frozen=True)
+class _Names:
+    """Columns added to a table, under names that it does not have."""
+
+    x1: str
+    x2: str
+    t1: str
+    t2: str
+    spans: str
+    cut: str
+
+
 def _cut_out(text: Column, starts: Column, stops: Column, give_text: bool) -> Column:
     @F.pandas_udf(_RESULT)
     def removed(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -394,26 +411,28 @@ def _cut_out(text: Column, starts: Column, stops: Column, give_text: bool) -> Co
     return removed(text.cast("binary"), starts, stops)
 
 
-def _judged(docs: DataFrame, text_col: str, length: int, give_text: bool) -> DataFrame:
-    """``docs`` with a column ``__cut`` of results."""
+def _judged(docs: DataFrame, text_col: str, length: int, give_text: bool) -> tuple[DataFrame, str]:
+    """``docs`` with a column of results, and that column's name."""
     text = text_or_empty(text_col)
+    names = _Names(*(free_name(docs, f"__{n}") for n in ("x1", "x2", "t1", "t2", "spans", "cut")))
     spans = (
         repeated_spans(docs, text_col, length)
-        .groupBy(F.col("t1").alias("__t1"), F.col("t2").alias("__t2"))
-        .agg(F.collect_list(F.struct("start", "stop")).alias("__spans"))
+        .groupBy(F.col("t1").alias(names.t1), F.col("t2").alias(names.t2))
+        .agg(F.collect_list(F.struct("start", "stop")).alias(names.spans))
     )
-    keyed = docs.withColumn("__x1", F.xxhash64(text, F.lit(1))).withColumn("__x2", F.xxhash64(text, F.lit(2)))
-    joined = keyed.join(spans, (F.col("__x1") == F.col("__t1")) & (F.col("__x2") == F.col("__t2")), "left")
-    return joined.withColumn("__cut", _cut_out(text, F.col("__spans.start"), F.col("__spans.stop"), give_text))
+    keyed = docs.withColumn(names.x1, F.xxhash64(text, F.lit(1))).withColumn(names.x2, F.xxhash64(text, F.lit(2)))
+    same = (F.col(names.x1) == F.col(names.t1)) & (F.col(names.x2) == F.col(names.t2))
+    found = F.col(names.spans)
+    return keyed.join(spans, same, "left").withColumn(names.cut, _cut_out(text, found["start"], found["stop"], give_text)), names.cut
 
 
 def removal_report(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH
 ) -> DataFrame:
     """One row per document: bytes, bytes and runs removed, and the SHA-256 of what remains."""
-    judged = _judged(docs.select(id_col, text_col), text_col, length, give_text=False)
+    judged, cut = _judged(docs.select(id_col, text_col), text_col, length, give_text=False)
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    return judged.select(id_col, *[F.col(f"__cut.{n}").alias(n) for n in names])
+    return judged.select(id_col, *[F.col(cut)[n].alias(n) for n in names])
 
 
 def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> DataFrame:
@@ -422,6 +441,6 @@ def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGT
     A cut inside a code point leaves a replacement character. A text without repeats,
     null included, stays as it is.
     """
-    judged = _judged(docs, text_col, length, give_text=True)
-    text = F.when(F.col("__cut.n_removed") > 0, F.col("__cut.kept")).otherwise(F.col(text_col))
+    judged, cut = _judged(docs, text_col, length, give_text=True)
+    text = F.when(F.col(cut)["n_removed"] > 0, F.col(cut)["kept"]).otherwise(F.col(text_col))
     return judged.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
