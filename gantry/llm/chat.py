@@ -13,6 +13,9 @@ in a task, however many rows share a number. The rendered text comes in segments
 ``SEGMENT_TURNS`` turn numbers, each of which one task puts together; usual conversations
 have one.
 
+A prefix of a conversation ends with a turn number and has all rows of the numbers up to it:
+rows that share a number are one step, whatever their order.
+
 Cases: null and empty texts and roles are kept as such (rendered empty, but distinct
 from each other when compared); repeated rows count once; rows with the same turn but
 different content are all kept, sorted by role and text; a null conversation id is a

@@ -141,13 +141,17 @@ WITH turns AS (
 ), lines AS (
     SELECT *, CAST(floor(turn / 256) AS BIGINT) AS segment,
            '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10) || '<|end|>' || chr(10) AS line,
-           concat_ws(chr(30), CAST(turn AS VARCHAR), coalesce('=' || role, ''), coalesce('=' || text, '')) AS content
+           concat_ws(chr(30), coalesce('=' || CAST(turn AS VARCHAR), ''), coalesce('=' || role, ''), coalesce('=' || text, '')) AS content
     FROM turns
+), numbers AS (
+    -- a prefix takes all rows of a turn number, or none
+    SELECT conv_id, turn, count(*) AS rows, string_agg(content, chr(29) ORDER BY content) AS content
+    FROM lines GROUP BY conv_id, turn
 ), prefixes AS (
-    SELECT conv_id, count(*) OVER w AS n, md5(string_agg(content, chr(29)) OVER w) AS fingerprint,
-           count(*) OVER (PARTITION BY conv_id) AS n_turns
-    FROM lines
-    WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)
+    SELECT conv_id, CAST(sum(rows) OVER w AS BIGINT) AS n, md5(string_agg(content, chr(29)) OVER w) AS fingerprint,
+           CAST(sum(rows) OVER (PARTITION BY conv_id) AS BIGINT) AS n_turns
+    FROM numbers
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS LAST ROWS UNBOUNDED PRECEDING)
 ), whole AS (
     SELECT min(conv_id) AS conv_id, n_turns, fingerprint FROM prefixes WHERE n = n_turns GROUP BY n_turns, fingerprint
 ), maximal AS (
@@ -155,8 +159,8 @@ WITH turns AS (
     WHERE NOT EXISTS (SELECT 1 FROM prefixes p
                       WHERE p.n = whole.n_turns AND p.fingerprint = whole.fingerprint AND p.n < p.n_turns)
 )
-SELECT l.conv_id, l.segment, m.n_turns, string_agg(l.line, '' ORDER BY l.turn, l.role, l.text) AS text
-FROM lines l JOIN maximal m USING (conv_id) GROUP BY l.conv_id, l.segment, m.n_turns
+SELECT l.conv_id, l.segment, m.n_turns, string_agg(l.line, '' ORDER BY l.turn NULLS LAST, l.role NULLS FIRST, l.text NULLS FIRST) AS text
+FROM lines l JOIN maximal m ON l.conv_id IS NOT DISTINCT FROM m.conv_id GROUP BY l.conv_id, l.segment, m.n_turns
 """
 
 
