@@ -6,6 +6,8 @@ combines before the shuffle. The links of every step are written to the shared f
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,14 +22,16 @@ def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.bit_xor(both), F.sum(F.shiftright(both, 24))).first())
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, keep: Callable[[DataFrame], DataFrame] = stored) -> DataFrame:
     """``child``, ``parent`` for links ``a``, ``b``: the smallest node of each node's component.
 
+    ``keep`` writes the links of a step and reads them back.
+
     The smallest nodes themselves, and nodes without links, have no row. Null ends and
     links of a node with itself are ignored; repeated links do not matter.
     """
     a, b = F.col("a"), F.col("b")
-    links = stored(
+    links = keep(
         links.where(a != b).select(F.greatest(a, b).alias("child"), F.least(a, b).alias("parent")).distinct()
     )
     state = _state(links)
@@ -47,7 +51,7 @@ def components(links: DataFrame) -> DataFrame:
             .where(F.col("child") != F.col("parent"))
             .distinct()
         )
-        links, before = stored(small), state
+        links, before = keep(small), state
         state = _state(links)
         if state == before:
             break

@@ -14,10 +14,15 @@
    overlap from above. Only pairs that pass are written.
 4. Their sorted hash arrays are intersected exactly.
 
-Within a group of near copies not all pairs are tried: a first round takes stars of each
-tile (a pivot and all that pass with it; up to three pivots for a set), and so do more rounds
-over one set of each component while tiles are split. The last round tries whatever passes
-between different components, so no link that could join two stays untried.
+Within a group of near copies not all pairs are tried. A first round takes stars: in each
+block a pivot and all that pass with it, up to three pivots for a set. From then on only sets
+of different components are compared, and links are kept as links of components. A second
+round writes, for every set, the ``NEAREST`` of its candidates by the bitmaps. Whoever had more
+of them is compared once more, with all others of whom that is true and that are still in
+another component. So every pair that passes the bitmaps is tried, or its sets were linked
+before. In a key of several blocks the sets of its largest component stay in their own block;
+the others visit all blocks. More rounds over one set of each component come before that while
+the visits are many.
 
 Cases: null or wordless texts have an empty set and link to nothing, not to each other;
 fewer words than a shingle make one shingle; a null id takes part in the links, but the
@@ -33,7 +38,7 @@ from contextlib import ExitStack
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,8 +54,12 @@ SHINGLE = 5
 KEYS = 40
 HOT = 1000
 COLD_SHARE = 0.7
-#: Most sets on either side of a block of a tile.
+#: Most sets at home in a block of a tile.
 BLOCK = 2048
+#: Candidates of a set, by the bitmaps, that one tile writes in the second round.
+NEAREST = 3
+#: Rounds over one set of each component go on while visits are more than so many times the sets.
+VISITS = 2
 MIN_BITS, MAX_BITS = 256, 1 << 18
 
 # ---- sets ----------------------------------------------------------------
@@ -119,15 +128,25 @@ def _fold(bits: bytes, size: int) -> bytes:
     return array.tobytes()
 
 
-def tile_pairs(n: np.ndarray, bits: list[bytes], groups: np.ndarray, sides: np.ndarray, star: bool) -> list[tuple[int, int]]:
-    """Pairs of a tile, sorted by size, that the bitmaps do not rule out.
+def tile_pairs(
+    n: np.ndarray, bits: list[bytes], groups: np.ndarray, visits: np.ndarray, star: bool
+) -> list[tuple[int, int]]:
+    """The pairs of :func:`bounded_pairs`."""
+    one, other, _ = bounded_pairs(n, bits, groups, visits.astype(bool), star)
+    return list(zip(one.tolist(), other.tolist()))
 
-    Only sets of different ``groups`` are compared, and with ``sides`` of two kinds only
-    across them. With ``star`` a set that passed with an earlier pivot is not compared again.
+
+def bounded_pairs(
+    n: np.ndarray, bits: list[bytes], groups: np.ndarray, visits: np.ndarray, star: bool
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a tile, sorted by size, that the bitmaps do not rule out, and the share of shingles
+    in which they differ at least.
+
+    Only sets of different ``groups`` are compared, and no two visitors. With ``star`` a set that
+    passed with an earlier pivot is not compared again.
     """
     count = len(n)
-    found: list[tuple[int, int]] = []
-    two_sides = len(set(sides.tolist())) > 1
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     last = np.searchsorted(n, n * 4 // 3, side="right")
     absorbed = np.zeros(count, bool)
     folded: dict[int, np.ndarray] = {}
@@ -135,9 +154,7 @@ def tile_pairs(n: np.ndarray, bits: list[bytes], groups: np.ndarray, sides: np.n
         if star and absorbed[p]:
             continue
         q = np.arange(p + 1, last[p])
-        q = q[groups[q] != groups[p]]
-        if two_sides:
-            q = q[sides[q] != sides[p]]
+        q = q[(groups[q] != groups[p]) & ~(visits[q] & visits[p])]
         if star:
             q = q[~absorbed[q]]
         if not len(q):
@@ -155,30 +172,73 @@ def tile_pairs(n: np.ndarray, bits: list[bytes], groups: np.ndarray, sides: np.n
                 folded[size] = np.frombuffer(b"".join(fits), np.uint64).reshape(count, -1)
             table = folded[size]
             differ = np.bitwise_count(table[q] ^ table[p]).sum(axis=1, dtype=np.int64)
-        passed = q[7 * differ <= n[p] + n[q]]
-        absorbed[passed] = True
-        found += [(p, int(j)) for j in passed]
-    return found
+        passed = 7 * differ <= n[p] + n[q]
+        q, differ = q[passed], differ[passed]
+        absorbed[q] = True
+        found.append((np.full(len(q), p), q, differ / (n[p] + n[q])))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    return tuple(np.concatenate(part) for part in zip(*found))
+
+
+def own_pairs(key: int, used: list[np.ndarray], one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Which pairs of sets that have ``key`` share no smaller one, from the keys of each set."""
+    sizes = [len(u) for u in used]
+    keys, owner = np.concatenate(used), np.repeat(np.arange(len(used)), sizes)
+    smaller = keys < key
+    _, which, holders = np.unique(keys[smaller], return_inverse=True, return_counts=True)
+    common = holders >= 2
+    column = (np.cumsum(common) - 1)[which][common[which]]
+    marks = np.zeros((len(used), int(common.sum()) // 64 + 1), np.uint64)
+    bit = np.uint64(1) << (column % 64).astype(np.uint64)
+    np.bitwise_or.at(marks, (owner[smaller][common[which]], column // 64), bit)
+    step = max(1, (1 << 20) // marks.shape[1])
+    parts = [(marks[one[i : i + step]] & marks[other[i : i + step]]).any(axis=1) for i in range(0, len(one), step)]
+    return ~np.concatenate(parts) if parts else np.zeros(0, bool)
+
+
+def nearest(one: np.ndarray, other: np.ndarray, differ: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs are among the ``NEAREST`` of either set, and which of ``count`` sets have more pairs."""
+    sets = np.concatenate([one, other])
+    order = np.lexsort((np.tile(np.arange(len(one)), 2), np.tile(differ, 2), sets))
+    ordered = sets[order]
+    starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    place = np.arange(len(ordered)) - np.repeat(starts, np.diff(np.r_[starts, len(ordered)]))
+    kept = np.zeros(len(one), bool)
+    kept[order[place < NEAREST] % len(one)] = True
+    more = np.zeros(count, bool)
+    more[ordered[place >= NEAREST]] = True
+    return kept, more
+
+
+def _tiles(star: bool, few: bool):
+    """Pairs of sets, the smaller node first, and for ``few`` whether each of them has more."""
 
-
-def _tiles(star: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def pairs(frame: pd.DataFrame) -> pd.DataFrame:
             n, bits, nodes = frame["n"].to_numpy(np.int64), frame["bits"].tolist(), frame["node"].tolist()
             groups = pd.factorize(frame["component"])[0]
             tile = frame["tile"].to_numpy()
-            sides = frame["side"].to_numpy(np.int64)
+            visits = frame["visits"].to_numpy(bool)
             starts = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
             used = frame["used"].tolist() if not star else None
             rows = set()
             for a, b in zip(starts, np.r_[starts[1:], len(tile)]):
-                key = int(tile[a].partition(":")[0])
-                for i, j in tile_pairs(n[a:b], bits[a:b], groups[a:b], sides[a:b], star):
-                    # of all tiles that hold both sets, that of their smallest common key names the pair
-                    if star or min(set(used[a + i]).intersection(used[a + j])) == key:
-                        one, other = nodes[a + i], nodes[a + j]
-                        rows.add((min(one, other), max(one, other)))
-            return pd.DataFrame(list(rows), columns=["a", "b"])
+                one, other, differ = bounded_pairs(n[a:b], bits[a:b], groups[a:b], visits[a:b], star)
+                if not len(one):
+                    continue
+                if not star:
+                    # of all tiles that hold both sets, those of their smallest common key name the pair
+                    named = own_pairs(int(tile[a].partition(":")[0]), used[a:b], one, other)
+                    one, other, differ = one[named], other[named], differ[named]
+                more = np.zeros(b - a, bool)
+                if few and len(one):
+                    kept, more = nearest(one, other, differ, b - a)
+                    one, other = one[kept], other[kept]
+                for i, j in zip(one.tolist(), other.tolist()):
+                    x, y = (i, j) if nodes[a + i] < nodes[a + j] else (j, i)
+                    rows.add((nodes[a + x], nodes[a + y], bool(more[x]), bool(more[y])))
+            return pd.DataFrame(list(rows), columns=["a", "b", "more_a", "more_b"])
 
         rest: pd.DataFrame | None = None
         for frame in batches:
@@ -210,10 +270,10 @@ def _similar(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def _shared_keys(nodes: DataFrame, keep: Keep) -> DataFrame:
-    """``key``, ``node`` where at least two nodes have the key; hot keys only where needed."""
+    """``key``, ``node``, ``n_blocks`` where at least two nodes have the key; hot keys only where needed."""
     entries = nodes.select("node", F.size("keys").alias("n_keys"), F.explode("keys").alias("key"))
     counts = entries.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1")
-    shared = keep(entries.join(counts, "key"))
+    shared = keep(entries.join(counts, "key").withColumn("n_blocks", F.ceil(F.col("holders") / BLOCK)))
     hot = F.col("holders") > HOT
     mostly_hot = (
         shared.where(hot)
@@ -222,51 +282,68 @@ def _shared_keys(nodes: DataFrame, keep: Keep) -> DataFrame:
         .where(F.col("n_hot") > (1 - COLD_SHARE) * F.col("n_keys"))
         .select("node")
     )
-    return shared.where(~hot).select("key", "node").union(
-        shared.where(hot).join(mostly_hot, "node", "left_semi").select("key", "node")
-    )
+    names = ["key", "node", "n_blocks"]
+    return shared.where(~hot).select(names).union(shared.where(hot).join(mostly_hot, "node", "left_semi").select(names))
 
 
-def _open_members(
-    keyed: DataFrame, labels: DataFrame | None, one_each: bool, keep: Keep
-) -> tuple[DataFrame, DataFrame]:
-    """``key``, ``node``, ``component`` and ``n_blocks`` for keys of different components, and those keys.
+def _block() -> Column:
+    return F.pmod(F.xxhash64("node", F.lit(7)), F.col("n_blocks"))
 
-    With ``one_each`` a key keeps one node of each component.
-    """
-    if labels is None:
-        members = keyed.withColumn("component", F.col("node"))
-    else:
-        labels = labels.select(F.col("child").alias("node"), "parent")
-        members = keyed.join(labels, "node", "left").select(
-            "key", "node", F.coalesce("parent", "node").alias("component")
-        )
-        if one_each:
-            members = members.groupBy("key", "component").agg(F.min("node").alias("node"))
-        members = keep(members)
-    counts = members.groupBy("key").agg(
-        F.count("*").alias("members"), F.min("component").alias("x"), F.max("component").alias("y")
+
+def _first_members(keyed: DataFrame) -> DataFrame:
+    """Every set at home in its block, each a component of its own."""
+    return keyed.select("key", "node", F.col("node").alias("component"), _block().alias("block"), F.lit(False).alias("visits"))
+
+
+def _in_components(keyed: DataFrame, labels: DataFrame) -> DataFrame:
+    """``key``, ``node``, ``component``."""
+    named = labels.select(F.col("child").alias("node"), "parent")
+    return keyed.select("key", "node").join(named, "node", "left").select("key", "node", F.coalesce("parent", "node").alias("component"))
+
+
+def _open_keys(members: DataFrame) -> DataFrame:
+    """Keys of more than one component, with their ``n_blocks``, the largest component and the visits."""
+    sizes = members.groupBy("key", "component").agg(F.count("*").alias("size"))
+    keys = sizes.groupBy("key").agg(
+        F.sum("size").alias("sets"), F.count("*").alias("components"), F.max(F.struct("size", "component")).alias("top")
+    )
+    blocks = F.ceil(F.col("sets") / BLOCK)
+    return keys.where("components > 1").select(
+        "key",
+        "sets",
+        blocks.alias("n_blocks"),
+        F.col("top.component").alias("largest"),
+        ((blocks - 1) * (F.col("sets") - F.col("top.size"))).alias("visits"),
     )
-    open_keys = counts.where("x != y").select("key", F.ceil(F.col("members") / BLOCK).alias("n_blocks"))
-    return members.join(open_keys, "key"), open_keys
 
 
-def _run_tiles(members: DataFrame, nodes: DataFrame, star: bool) -> DataFrame:
-    """Pairs of members of :func:`_open_members`; ``nodes`` has sizes, bitmaps and, if not ``star``,
-    the keys in use of each set."""
+def _one_of_each(members: DataFrame) -> DataFrame:
+    """One set of each component of a key, at home in its block."""
+    one = members.groupBy("key", "component").agg(F.min("node").alias("node"))
+    keys = one.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
+    blocks = keys.select("key", F.ceil(F.col("sets") / BLOCK).alias("n_blocks"))
+    return one.join(blocks, "key").select("key", "node", "component", _block().alias("block"), F.lit(False).alias("visits"))
+
+
+def _dealt(members: DataFrame, keys: DataFrame) -> DataFrame:
+    """Sets of open keys in their own blocks and, but for the largest component's, in all others."""
+    joined = members.join(keys.select("key", "n_blocks", "largest"), "key").withColumn("home", _block())
+    everywhere = F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)
+    blocks = F.when(F.col("component") == F.col("largest"), F.array("home")).otherwise(everywhere)
+    dealt = joined.select("key", "node", "component", "home", F.explode(blocks).alias("block"))
+    return dealt.withColumn("visits", F.col("block") != F.col("home")).drop("home")
+
+
+def _run_tiles(members: DataFrame, nodes: DataFrame, star: bool = False, few: bool = False) -> DataFrame:
+    """Pairs of ``members``, repeated if ``star``; ``nodes`` has sizes, bitmaps and, if not ``star``, the keys in use of each set."""
     extra = [] if star else ["used"]
     members = members.join(nodes.select("node", "n", "bits", *extra), "node")
-    block = F.pmod(F.xxhash64("node", F.lit(7)), F.col("n_blocks"))
-    if star:
-        tiled = members.withColumn("block", block).withColumn("other", F.col("block"))
-    else:
-        tiled = members.withColumn("block", block).withColumn(
-            "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1))
-        )
-    name = F.concat_ws(":", "key", F.least("block", "other"), F.greatest("block", "other"))
-    tiled = tiled.select(name.alias("tile"), "n", "node", "bits", "component", F.col("block").alias("side"), *extra)
+    tiled = members.withColumn("tile", F.concat_ws(":", "key", "block")).drop("key", "block")
     dealt = tiled.repartition("tile").sortWithinPartitions("tile", "n", "node")
-    return dealt.mapInPandas(_tiles(star), "a binary, b binary").distinct()
+    pairs = dealt.mapInPandas(_tiles(star, few), "a binary, b binary, more_a boolean, more_b boolean")
+    if star:
+        return pairs
+    return pairs.groupBy("a", "b").agg(F.max("more_a").alias("more_a"), F.max("more_b").alias("more_b"))
 
 
 def _few_pivots(pairs: DataFrame) -> DataFrame:
@@ -275,12 +352,32 @@ def _few_pivots(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("b").agg(some.alias("some")).select(F.explode("some").alias("a"), "b")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, keep: Keep) -> DataFrame:
+def _linked(labels: DataFrame | None, links: DataFrame, keep: Keep) -> DataFrame:
+    """``child``, ``parent`` (a component's name) for all sets with links, after more links.
+
+    Links become links of components first, each once, so what is left of a group that is
+    known already is small.
+    """
+    if labels is None:
+        return components(links, keep)
+    for end in ("a", "b"):
+        names = labels.select(F.col("child").alias(end), F.col("parent").alias(f"of_{end}"))
+        links = links.join(names, end, "left").withColumn(end, F.coalesce(f"of_{end}", end)).drop(f"of_{end}")
+    roots = components(links.distinct(), keep)
+    renamed = roots.select(F.col("child").alias("parent"), F.col("parent").alias("root"))
+    moved = labels.join(renamed, "parent", "left").select("child", F.coalesce("root", "parent").alias("parent"))
+    return keep(moved.union(roots))
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose sets are similar. ``texts``: ``t1``, ``t2``, ``text``."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = nodes.join(ends, "node", "left_semi").select("t1", "t2")
-    found = texts.join(wanted, ["t1", "t2"], "left_semi").groupBy("t1", "t2").agg(F.first("text").alias("text"))
-    arrays = keep(found.select("text").mapInPandas(_hash_arrays, "node binary, hashes binary"))
+    pairs = pairs.select("a", "b")
+    ends = pairs.select("a").union(pairs.select("b")).withColumnRenamed("a", "node").distinct()
+    wanted = nodes.join(ends, "node", "left_semi").select("t1", "t2", F.col("id").alias("of_id"))
+    # of equal texts that of the smallest id moves, and as hashes
+    same = (F.col("id").eqNullSafe(F.col("of_id"))) & (texts["t1"] == wanted["t1"]) & (texts["t2"] == wanted["t2"])
+    found = texts.join(wanted, same, "left_semi").select("text").mapInPandas(_hash_arrays, "node binary, hashes binary")
+    arrays = found.groupBy("node").agg(F.first("hashes").alias("hashes"))
     left = arrays.select(F.col("node").alias("a"), F.col("hashes").alias("hashes_a"))
     right = arrays.select(F.col("node").alias("b"), F.col("hashes").alias("hashes_b"))
     checked = pairs.join(right, "b").join(left, "a")
@@ -316,31 +413,34 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 F.first("n").alias("n"),
                 F.first("keys").alias("keys"),
                 F.first("bits").alias("bits"),
-                F.min(F.struct("t1", "t2")).alias("t"),
+                F.min(F.struct("t1", "t2", "id")).alias("t"),
             )
-            .select("node", "n", "keys", "bits", "t.t1", "t.t2")
+            .select("node", "n", "keys", "bits", "t.t1", "t.t2", "t.id")
         )
         keyed = keep(_shared_keys(nodes, keep))
-        tried = links = labels = None
+        pairs = keep(_few_pivots(_run_tiles(_first_members(keyed), nodes, star=True)))
+        labels = _linked(None, _verified(pairs, nodes, texts), keep)
         while True:
-            # later rounds compare components, by one of their sets in each tile
-            members, open_keys = _open_members(keyed, labels, one_each=True, keep=keep)
-            pairs = _few_pivots(_run_tiles(members, nodes, star=True))
-            if tried is not None:
-                pairs = pairs.join(tried, ["a", "b"], "left_anti")
-            pairs = keep(pairs)
-            new = keep(_verified(pairs, nodes, texts, keep))
-            tried = pairs if tried is None else tried.union(pairs)
-            labels = components(new if links is None else links.union(new))
-            # the stars found so far stand for the links they come from
-            links = labels.select(F.col("child").alias("a"), F.col("parent").alias("b"))
-            split = open_keys.where("n_blocks > 1").limit(1).count()
-            if not split or not new.limit(1).count():
+            members = keep(_in_components(keyed, labels))
+            keys = keep(_open_keys(members))
+            at_home, visits = keys.agg(F.sum("sets"), F.sum("visits")).first()
+            if not at_home or visits <= VISITS * at_home:
+                break
+            pairs = keep(_few_pivots(_run_tiles(_one_of_each(members), nodes, star=True)))
+            new = keep(_verified(pairs, nodes, texts))
+            labels = _linked(labels, new, keep)
+            if new.isEmpty():
                 break
-        members, _ = _open_members(keyed, labels, one_each=False, keep=keep)
-        used = keyed.groupBy("node").agg(F.collect_list("key").alias("used"))  # KEYS at most
-        pairs = keep(_run_tiles(members, nodes.join(used, "node"), star=False).join(tried, ["a", "b"], "left_anti"))
-        labels = components(links.union(_verified(pairs, nodes, texts, keep)))
+        used = nodes.join(keyed.groupBy("node").agg(F.collect_list("key").alias("used")), "node")  # KEYS at most
+        pairs = keep(_run_tiles(_dealt(members, keys), used, few=True))
+        labels = _linked(labels, _verified(pairs, nodes, texts), keep)
+        ends = [F.struct(F.col(end).alias("node"), F.col(f"more_{end}").alias("more")) for end in ("a", "b")]
+        crowded = pairs.select(F.inline(F.array(*ends))).where("more").select("node").distinct()
+        crowded = keep(keyed.join(crowded, "node", "left_semi"))
+        if not crowded.isEmpty():
+            members = keep(_in_components(crowded, labels))
+            pairs = keep(_run_tiles(_dealt(members, _open_keys(members)), used))
+            labels = _linked(labels, _verified(pairs, nodes, texts), keep)
         root = labels.select(F.col("child").alias("node"), F.col("parent").alias("root"))
         component = F.when(F.col("n") > 0, F.coalesce("root", "node"))
         return stored(sets.join(root, "node", "left").select("id", "n", component.alias("component")))

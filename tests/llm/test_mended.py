@@ -186,3 +186,67 @@ def test_chats_equal_their_sql_on_awkward_rows(spark):
     found = Counter((r.conv_id, r.segment, r.n_turns, r.text) for r in chat.format_chats(df).collect())
     assert found == expected
     assert {c for c, *_ in found} == {1, 3, 4, 6, 7, 8, None}
+
+
+# ---- n-gram Jaccard join
+
+
+def test_pairs_of_a_crowd_are_all_tried_or_linked(spark, monkeypatch):
+    """Chains of sets near the limit, with tiny blocks, one candidate a round and many visits."""
+    from gantry.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "BLOCK", 7)
+    monkeypatch.setattr(ngram_join, "NEAREST", 1)
+    for visits in (0, 10**9):
+        monkeypatch.setattr(ngram_join, "VISITS", visits)
+        rng = random.Random(13)
+        texts = []
+        for _ in range(4):
+            words = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+            for _ in range(30):  # each differs from the one before by a few words, and from others by more
+                for _ in range(rng.randint(1, 3)):
+                    words[rng.randrange(60)] = f"w{rng.randrange(10**6)}"
+                texts.append(" ".join(words))
+        texts += texts[:9]
+        rng.shuffle(texts)
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+        found = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(df).collect()}
+        sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+        parent = list(range(len(texts)))
+
+        def root(i):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        for i in range(len(texts)):
+            for j in range(i):
+                if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                    x, y = sorted((root(i), root(j)))
+                    parent[y] = x
+        assert found == {i: root(i) for i in range(len(texts))}
+
+
+def test_nearest_pairs_flag_what_they_leave_out():
+    from gantry.llm.ngram_join import NEAREST, nearest
+
+    rng = np.random.default_rng(4)
+    one, other = np.triu_indices(12, 1)
+    differ = rng.random(len(one))
+    kept, more = nearest(one, other, differ, 12)
+    for i, j, d, k in zip(one, other, differ, kept):
+        ranks = [np.sum(differ[(one == s) | (other == s)] < d) for s in (i, j)]
+        assert k == (min(ranks) < NEAREST)
+        assert k or (more[i] and more[j])
+
+
+def test_pairs_are_named_by_their_smallest_common_key():
+    from gantry.llm.ngram_join import own_pairs
+
+    rng = np.random.default_rng(6)
+    used = [rng.choice(np.arange(-90, 90), rng.integers(1, 25), replace=False) for _ in range(30)]
+    one, other = np.triu_indices(30, 1)
+    for key in (-90, 0, 37, 89):
+        held = [np.unique(np.r_[u, key]) for u in used]
+        want = [min(set(held[i]) & set(held[j])) == key for i, j in zip(one, other)]
+        assert own_pairs(key, held, one, other).tolist() == want
