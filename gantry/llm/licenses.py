@@ -197,8 +197,8 @@ class Classifier:
     own: list[set]  # bigrams of each family's notices that no other family's have
     short: dict[frozenset, tuple[bytes, ...]]  # words of the short ones among the notices
 
-    def logits(self, ids: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-        """Class scores of ``n`` paragraphs from their words in order (-1: no feature)."""
+    def features(self, ids: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Paragraphs and their features, each pair once, from the words in order (-1: no feature)."""
         known = ids >= 0
         found = [(owner[known], ids[known])]
         if len(self.pairs) and len(ids) > 1:
@@ -209,7 +209,11 @@ class Classifier:
             found.append((owner[1:][both][hit], len(self.words) + place[hit]))
         size = len(self.weights)
         features = np.unique(np.concatenate([o * size + f for o, f in found]))
-        owners, features = np.divmod(features, size)
+        return np.divmod(features, size)
+
+    def logits(self, ids: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+        """Class scores of ``n`` paragraphs from their words in order."""
+        owners, features = self.features(ids, owner)
         out = np.repeat(self.weights[-1:], n, axis=0)
         if len(owners):
             first = np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]])
@@ -275,9 +279,10 @@ def train(others: list[list[bytes]], seed: int = 5) -> Classifier:
     of_family = [set.union(*f) for f in of_notices]
     own = [mine.difference(*(f for f in of_family if f is not mine)) for mine in of_family]
     short = {frozenset(bigrams(w)): tuple(w) for f in notices for w in f if len(w) < SHORT_NOTICE}
-    model = Classifier(vocabulary, coded, np.eye(size, dtype=np.float32), of_notices, own, short)
-    ids, owner = numbered([p for p, _ in examples], vocabulary)
-    x = model.logits(ids, owner, len(examples))  # with unit weights: the features themselves
+    model = Classifier(vocabulary, coded, np.zeros((size, _OTHER + 1), np.float32), of_notices, own, short)
+    x = np.zeros((len(examples), size), np.float32)
+    x[model.features(*numbered([p for p, _ in examples], vocabulary))] = 1
+    x[:, -1] = 1
     held = rng.random(len(labels)) < 0.2
     wanted = np.eye(_OTHER + 1, dtype=np.float32)[labels]
     balance = 1 / np.bincount(labels, minlength=_OTHER + 1)[labels].astype(np.float32)
