@@ -15,7 +15,12 @@ from gantry.sources.tables import latest_snapshot, publish, read_changes, read_t
 
 
 def ingest_bronze(
-    spark: SparkSession, raw_data_path: str, target_path: str, infer: bool = False, schema_mode: str = "strict"
+    spark: SparkSession,
+    raw_data_path: str,
+    target_path: str,
+    infer: bool = False,
+    schema_mode: str = "strict",
+    moves_within: int | None = None,
 ) -> None:
     """Merge the landing files into Bronze by message id.
 
@@ -29,7 +34,7 @@ def ingest_bronze(
         upsert(batch, target_path, MESSAGE_ID, event_date())
         return
     with staged(batch) as rows:
-        upsert(rows, target_path, MESSAGE_ID, event_date(), schema_mode)
+        upsert(rows, target_path, MESSAGE_ID, event_date(), schema_mode, moves_within=moves_within)
 
 
 def _unseen(spark: SparkSession, source_path: str, target_path: str, incremental: bool):
@@ -52,6 +57,7 @@ def cleanse_silver(
     mode: str = "fail",
     incremental: bool = False,
     schema_mode: str = "strict",
+    moves_within: int | None = None,
 ) -> list[Violation]:
     """Merge the valid Bronze rows into Silver; returns the contract findings.
 
@@ -67,7 +73,7 @@ def cleanse_silver(
     if table_exists(spark, target_path):
         with staged(watch.rows) as rows:
             watch.accept()
-            upsert(rows, target_path, MESSAGE_ID, event_date(), schema_mode, **known)
+            upsert(rows, target_path, MESSAGE_ID, event_date(), schema_mode, moves_within=moves_within, **known)
     else:
         publish(watch.rows, target_path, event_date(), key=MESSAGE_ID, accept=watch.accept, **known)
     return watch.findings()
@@ -80,6 +86,7 @@ def build_gold(
     dim_path: str,
     latest_wins: bool = False,
     incremental: bool = False,
+    moves_within: int | None = None,
 ) -> None:
     """Merge Silver into the crane dimension and the telemetry fact table.
 
@@ -96,7 +103,7 @@ def build_gold(
             upsert(rows, dim_path, CRANE_ID, unique=latest_wins)
     else:
         _refresh_dim(spark, silver, changed, dim_path)
-    upsert(to_fact(changed), fact_path, MESSAGE_ID, F.to_date(EVENT_TIME), **known)
+    upsert(to_fact(changed), fact_path, MESSAGE_ID, F.to_date(EVENT_TIME), moves_within=moves_within, **known)
 
 
 def _refresh_dim(spark: SparkSession, silver: DataFrame, changed: DataFrame, dim_path: str) -> None:
@@ -128,9 +135,14 @@ def run_pipeline(
     incremental: bool = True,
     infer: bool = False,
     schema_mode: str = "strict",
+    moves_within: int | None = None,
 ) -> list[Violation]:
-    """Bronze, Silver, Gold in order; returns the contract findings."""
-    ingest_bronze(spark, raw_data_path, paths.bronze, infer, schema_mode)
-    violations = cleanse_silver(spark, paths.bronze, paths.silver, mode, incremental, schema_mode)
-    build_gold(spark, paths.silver, paths.fact, paths.dim, incremental=incremental)
+    """Bronze, Silver, Gold in order; returns the contract findings.
+
+    ``moves_within``: the days by which a correction moves a reading at most, if that is known
+    (:func:`~gantry.sources.tables.upsert`).
+    """
+    ingest_bronze(spark, raw_data_path, paths.bronze, infer, schema_mode, moves_within)
+    violations = cleanse_silver(spark, paths.bronze, paths.silver, mode, incremental, schema_mode, moves_within)
+    build_gold(spark, paths.silver, paths.fact, paths.dim, incremental=incremental, moves_within=moves_within)
     return violations

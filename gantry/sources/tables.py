@@ -15,6 +15,8 @@ ones. An unsplit table is rewritten whole.
 
 from __future__ import annotations
 
+import bisect
+import datetime
 import json
 import uuid
 from collections.abc import Callable
@@ -39,9 +41,8 @@ class Snapshot:
     schema: T.StructType
     by_date: bool
     folders: list[str]
-    # What this table already contains: [table id, version] of an upstream table by its
-    # path, the last batch of a stream by the query's id.
-    consumed: dict[str, list | int]
+    # What this table already contains: [table id, version] of an upstream table by its path.
+    consumed: dict[str, list]
     # The key no two rows share, where that is known.
     unique_key: str | None
     # Made anew when a table is created, also where there has been one before.
@@ -154,7 +155,7 @@ def publish(
     df: DataFrame,
     path: str,
     event_date: Column | None = None,
-    consumed: dict[str, list | int] | None = None,
+    consumed: dict[str, list] | None = None,
     key: str | None = None,
     unique: bool = False,
     accept: Callable[[], None] | None = None,
@@ -187,16 +188,38 @@ def _days(rows: DataFrame) -> set[str]:
     return {f"{EVENT_DATE}={_NULL_DATE if r.day is None else r.day}" for r in found}
 
 
-def _touched(spark: SparkSession, path: str, old: Snapshot, source: DataFrame, key: str) -> set[str]:
+def _near(folders: list[str], days: set[str], within: int) -> list[str]:
+    """The folders of days up to ``within`` days before or after one of ``days``, and of no day."""
+
+    def number(name: str) -> int | None:
+        day = name.rsplit("=", 1)[1]
+        return None if day == _NULL_DATE else (datetime.date.fromisoformat(day) - datetime.date(1, 1, 1)).days
+
+    dated = sorted(n for n in map(number, days) if n is not None)
+
+    def is_near(folder: str) -> bool:
+        n = number(folder)
+        at = bisect.bisect_left(dated, n - within) if n is not None else 0
+        return n is None or (at < len(dated) and dated[at] <= n + within)
+
+    return [f for f in folders if is_near(f)]
+
+
+def _touched(
+    spark: SparkSession, path: str, old: Snapshot, source: DataFrame, key: str, moves_within: int | None
+) -> set[str]:
     """The folders a merge has to rewrite.
 
     Those of the source's days, and those of target rows the source matches on
     other days: a corrected timestamp moves a row, and its old day must be
-    rewritten too. For the latter only the key and the day are read.
+    rewritten too. For the latter only the key and the day are read, of all days, or, where
+    rows move by ``moves_within`` days at most, of those near a day of the source.
     """
     days = _days(source)
     touched = {f for f in old.folders if f.rsplit("/", 1)[1] in days}
     others = [f for f in old.folders if f not in touched]
+    if moves_within is not None:
+        others = _near(others, days, moves_within)
     if others:
         keys = source.select(quoted(key)).distinct()
         elsewhere = _scan(spark, path, old, others).select(quoted(key), EVENT_DATE)
@@ -211,14 +234,18 @@ def upsert(
     key: str,
     event_date: Column | None = None,
     schema_mode: str = "strict",
-    consumed: dict[str, list | int] | None = None,
+    consumed: dict[str, list] | None = None,
     unique: bool = False,
+    moves_within: int | None = None,
 ) -> None:
     """Merge a batch into the table at ``path``, or create it from the batch.
 
     Creating does not de-duplicate. ``event_date`` is the day expression of a
     table split by day, and must be given on every call for such a table. ``unique``
-    says that the batch repeats no key, which saves checking it. The batch is read
+    says that the batch repeats no key, which saves checking it. ``moves_within`` promises that
+    a correction moves a row by that many days at most and takes no row's date away, so the
+    keys of days further off are not read: a merge then costs what it touches, however long
+    the history. The batch is read
     several times; give a :func:`~gantry.sources.scratch.staged`
     one if computing it is expensive or not repeatable.
     """
@@ -233,7 +260,7 @@ def upsert(
     batch, touched = df, set(old.folders)
     if old.by_date:
         batch = df.withColumn(EVENT_DATE, event_date)
-        touched = _touched(spark, path, old, batch, key)
+        touched = _touched(spark, path, old, batch, key, moves_within)
     # Every target row a source key matches is in the touched folders, so the check
     # for ambiguous keys misses nothing by looking only there.
     target = _scan(spark, path, old, sorted(touched))

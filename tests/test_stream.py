@@ -64,3 +64,16 @@ def test_new_checkpoint_at_an_old_path(spark, tmp_path):
     land(tmp_path / "in", [message("m2")], name="b.json")
     run(spark, landing, tmp_path)
     assert merge(spark, tmp_path) == Counter([("m1", 100.0), ("m2", 100.0)])
+
+
+def test_rows_without_id_survive_a_replay_once(spark, tmp_path):
+    """The same bad line twice in a file and again in a later one: three rows, however often merged."""
+    landing = land(tmp_path / "in", [message("m1")], ["{bad json", "{bad json"], name="a.json")
+    run(spark, landing, tmp_path)
+    merge(spark, tmp_path)
+    land(tmp_path / "in", [message("m2")], ["{bad json"], name="b.json")
+    run(spark, landing, tmp_path)
+    expected = Counter({("m1", 100.0): 1, ("m2", 100.0): 1, (None, None): 3})
+    assert merge(spark, tmp_path) == expected
+    shutil.rmtree(tmp_path / "merged")  # everything is taken once more
+    assert merge(spark, tmp_path) == expected

@@ -225,3 +225,42 @@ def test_rebalanced_writes(spark, tmp_path):
         assert files(str(tmp_path / "big"))["2030-01-01"] > 1
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def read_days(monkeypatch):
+    """The days whose keys a merge reads to find moved rows."""
+    from gantry.sources import tables
+
+    seen, scan = [], tables._scan
+
+    def spy(spark, path, snapshot, folders):
+        seen.append(sorted(f.split("_event_date=")[1] for f in folders))
+        return scan(spark, path, snapshot, folders)
+
+    monkeypatch.setattr(tables, "_scan", spy)
+    return seen
+
+
+def test_moves_within_bounds_what_is_read(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    rows = [(f"k{d}", f"2030-01-{d:02}", d) for d in range(1, 29)] + [("u", None, 0)]
+    upsert(frame(spark, rows), path, "k", day())
+    seen = read_days(monkeypatch)
+    # one row moves by two days, one gets a date, one is new
+    batch = [("k10", "2030-01-12", 100), ("u", "2030-01-11", 101), ("n", "2030-01-11", 102)]
+    upsert(frame(spark, batch), path, "k", day(), moves_within=2)
+    searched = seen[0]
+    assert searched == [f"2030-01-{d:02}" for d in (9, 10, 13, 14)] + ["__HIVE_DEFAULT_PARTITION__"]
+    kept = [r for r in rows if r[0] not in ("k10", "u")]
+    assert bag(read_table(spark, path)) == Counter(kept + batch)
+
+
+def test_moves_within_finds_all_that_moved_less(spark, tmp_path):
+    bounded, whole = str(tmp_path / "bounded"), str(tmp_path / "whole")
+    rows = [(f"k{i}", f"2030-03-{1 + i % 28:02}", i) for i in range(80)]
+    batch = [(f"k{i}", f"2030-03-{1 + (i + 2) % 28:02}" if i % 28 < 26 else f"2030-03-{1 + i % 28:02}", -i) for i in range(0, 80, 3)]
+    for path, bound in ((bounded, 2), (whole, None)):
+        upsert(frame(spark, rows), path, "k", day())
+        upsert(frame(spark, batch), path, "k", day(), moves_within=bound)
+    assert bag(read_table(spark, bounded)) == bag(read_table(spark, whole))
+    assert read_table(spark, bounded).count() == 80
