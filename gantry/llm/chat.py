@@ -10,8 +10,8 @@ A prefix hash is the exclusive-or of two 64-bit hashes of (turn, role, text) ove
 turns so far, so it is summed per turn number, then per block of numbers and then within
 each block, over its numbers and not its rows: for the prefixes no conversation has to fit
 in a task, however many rows share a number. The rendered text comes in segments of
-``SEGMENT_TURNS`` turn numbers, each of which one task puts together; usual conversations
-have one.
+``SEGMENT_TURNS`` turn numbers, and those in pieces of ``PIECE_ROWS`` rows, each of which one
+task puts together; usual conversations are one piece of one segment.
 
 A prefix of a conversation ends with a turn number and has all rows of the numbers up to it:
 rows that share a number are one step, whatever their order.
@@ -28,8 +28,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gantry.sources.scratch import stored
+
 #: Turns in a block of the prefix hash, and in a segment of the rendered text.
 SEGMENT_TURNS = 256
+#: Rows of a segment that are put together in one text.
+PIECE_ROWS = 4096
 
 
 def _hashes() -> list[Column]:
@@ -117,13 +121,39 @@ def maximal_conversations(
     )
 
 
+def _pieces(turns: DataFrame) -> DataFrame:
+    """``turns`` with the number ``piece`` of each ``PIECE_ROWS`` rows of a segment, in their order.
+
+    Segments of at most so many rows are one piece. The rows of larger ones are sorted by range,
+    so that a segment is spread over many tasks, and numbered from the counts of the ranges.
+    """
+    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in ("conv_id", "segment")]
+    counts = turns.groupBy("conv_id", "segment").agg(F.count("*").alias("rows")).where(F.col("rows") > PIECE_ROWS)
+    crowded = stored(counts.select(F.col("conv_id").alias("of_conv_id"), F.col("segment").alias("of_segment")))
+    if crowded.isEmpty():
+        return turns.withColumn("piece", F.lit(0).cast("long"))
+    usual = turns.join(crowded, same[0] & same[1], "left_anti").withColumn("piece", F.lit(0).cast("long"))
+    in_order = ["conv_id", "segment", F.col("turn").asc_nulls_last(), "role", "text"]
+    ranged = turns.join(crowded, same[0] & same[1], "left_semi").repartitionByRange(*in_order).sortWithinPartitions(*in_order)
+    numbered = stored(ranged.select("*", F.spark_partition_id().alias("range"), F.monotonically_increasing_id().alias("nth")))
+    ranges = numbered.groupBy("conv_id", "segment", "range").agg(F.count("*").alias("rows"), F.min("nth").alias("first"))
+    before = Window.partitionBy("conv_id", "segment").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(
+        *[F.col(c).alias(f"of_{c}") for c in ("conv_id", "segment", "range")],
+        (F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("first")).alias("shift"),
+    )
+    placed = numbered.join(ranges, same[0] & same[1] & (F.col("range") == F.col("of_range")))
+    piece = F.floor((F.col("nth") + F.col("shift")) / PIECE_ROWS).cast("long")
+    return usual.unionByName(placed.select(*turns.columns, piece.alias("piece")))
+
+
 def format_chats(conversations: DataFrame, **columns) -> DataFrame:
-    """Rendered maximal conversations: conv_id, segment, n_turns and text.
+    """Rendered maximal conversations: conv_id, segment, piece, n_turns and text.
 
-    Segments of a conversation, joined in order, are its training text: for each turn a
-    line ``<|role|>``, the text and a line ``<|end|>``.
+    Pieces and segments of a conversation, joined in order, are its training text: for each turn
+    a line ``<|role|>``, the text and a line ``<|end|>``.
     """
-    turns = maximal_conversations(conversations, **columns)
+    turns = _pieces(stored(maximal_conversations(conversations, **columns)))
     line = F.concat(
         F.lit("<|"),
         F.coalesce(F.col("role").cast("string"), F.lit("")),
@@ -133,7 +163,7 @@ def format_chats(conversations: DataFrame, **columns) -> DataFrame:
     )
     first = F.struct(F.col("turn").isNull().alias("a"), F.col("turn"), "role", F.col("text").alias("t"), line.alias("line"))
     return (
-        turns.groupBy("conv_id", "segment", "n_turns")
+        turns.groupBy("conv_id", "segment", "piece", "n_turns")
         .agg(F.array_sort(F.collect_list(first)).alias("lines"))
-        .select("conv_id", "segment", "n_turns", F.array_join(F.col("lines.line"), "").alias("text"))
+        .select("conv_id", "segment", "piece", "n_turns", F.array_join(F.col("lines.line"), "").alias("text"))
     )

@@ -9,7 +9,8 @@ over the lists. Items retrieved for a document are then verified: enough of the
 question's three-word shingles and of the answer's words must occur in it.
 
 The index is built for a block of items at a time, at most ``BLOCK_ITEMS`` items or
-``BLOCK_BYTES`` of text, and only such a block is broadcast; more items mean more passes.
+``BLOCK_BYTES`` of question and answer, and each block is a broadcast of its own. Documents are
+read once: a task takes each batch of them through the blocks, one at a time in memory.
 Document frequencies, the number of parts and their mean length are those of all items,
 counted once in Spark, so scores do not depend on which items share a block.
 
@@ -24,7 +25,6 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -268,7 +268,7 @@ def find_items(texts: list[bytes], index: Index, lookup: _Terms, limits: tuple[f
             for number, score in sorted(items.items()):
                 item = index.items[number]
                 question = len(item.question & here) / max(1, len(item.question))
-                answer = len(item.answer & words_here) / max(1, len(item.answer))
+                answer = len(item.answer & words_here) / len(item.answer) if item.answer else 1.0
                 if question >= question_overlap and answer >= answer_overlap:
                     found[a + i].append((number, score, question, answer))
     return found
@@ -279,20 +279,32 @@ def _match_type(id_type: T.DataType) -> T.StructType:
     return T.StructType([T.StructField("item_id", id_type), *[T.StructField(n, T.DoubleType()) for n in numbers]])
 
 
-def _matches(text: Column, index: Index, ids: list, id_type: T.DataType, limits: tuple, context) -> Column:
-    shared = context.broadcast((index, ids))
+def _matches(text: Column, blocks: list, id_type: T.DataType, limits: tuple) -> Column:
+    """The items found in a text. ``blocks``: broadcast (index, ids) of each block of items.
+
+    A task takes each batch of documents through all blocks and holds one block at a time.
+    """
     match = _match_type(id_type)
 
     @F.pandas_udf(T.ArrayType(match))
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index, ids = shared.value
-        lookup = _Terms(index)
         names = match.names
+        known: dict[int, _Terms] = {}
         for series in batches:
-            found = find_items(list(series), index, lookup, limits)
-            yield pd.Series([[dict(zip(names, (ids[n], *rest))) for n, *rest in rows] for rows in found], dtype=object)
-
-    return find(text.cast("binary"))
+            texts = list(series)
+            found: list[list[dict]] = [[] for _ in texts]
+            for number, shared in enumerate(blocks):
+                index, ids = shared.value
+                lookup = known.setdefault(number, _Terms(index))
+                for of_text, rows in zip(found, find_items(texts, index, lookup, limits)):
+                    of_text += [dict(zip(names, (ids[n], *rest))) for n, *rest in rows]
+                if len(blocks) > 1:
+                    del index, ids, lookup, known[number]
+                    vars(shared).pop("_value", None)  # read again from the worker's disk for the next batch
+            yield pd.Series(found, dtype=object)
+
+    # else Spark would look through a text again for each use of the result
+    return find.asNondeterministic()(text.cast("binary"))
 
 
 def _texts(text_col: str, answer_col: str | None) -> tuple[Column, Column]:
@@ -331,12 +343,13 @@ def _blocks(items: DataFrame, item_col: str, text_col: str, answer_col: str | No
     block: list[tuple[bytes, bytes | None]] = []
     size = 0
     for item_id, text, answer_text in rows:
-        if block and (len(block) >= BLOCK_ITEMS or size + len(text) > BLOCK_BYTES):
+        own = len(text) + len(answer_text or b"")
+        if block and (len(block) >= BLOCK_ITEMS or size + own > BLOCK_BYTES):
             yield ids, block
             ids, block, size = [], [], 0
         ids.append(item_id)
         block.append((bytes(text), None if answer_text is None else bytes(answer_text)))
-        size += len(text)
+        size += own
     if block:
         yield ids, block
 
@@ -354,27 +367,21 @@ def leaked_items(
 ) -> tuple[DataFrame, str]:
     """All rows and columns of ``docs`` with an array of the items found, and that column's name.
 
-    Without ``answer_col`` the last quarter of an item's words counts as its answer.
+    Without ``answer_col``, and where it is null, the last quarter of an item's words counts as its
+    answer. An empty answer asks for nothing, so the question decides.
     """
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     found = free_name(docs, "leaks")
     id_type = items.schema[item_col].dataType
-    limits = (threshold, question_overlap, answer_overlap)
-    judged = docs
-    columns = []
     statistics = _statistics(items, item_text_col, answer_col)
-    for ids, block in _blocks(items, item_col, item_text_col, answer_col):
-        if columns:
-            judged = stored(judged)
-        columns.append(free_name(judged, found))
-        judged = judged.withColumn(
-            columns[-1], _matches(text_or_empty(text_col), Index(block, statistics(block)), ids, id_type, limits, spark.sparkContext)
-        )
-    if not columns:
+    blocks = [
+        context.broadcast((Index(block, statistics(block)), ids))
+        for ids, block in _blocks(items, item_col, item_text_col, answer_col)
+    ]
+    if not blocks:
         return docs.withColumn(found, F.lit(None).cast(T.ArrayType(_match_type(id_type)))), found
-    together = reduce(lambda a, b: F.concat(a, b), map(F.col, columns))
-    whole = free_name(judged, "all_leaks")
-    return judged.withColumn(whole, together).drop(*columns), whole
+    limits = (threshold, question_overlap, answer_overlap)
+    return docs.withColumn(found, _matches(text_or_empty(text_col), blocks, id_type, limits)), found
 
 
 def contamination_report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

@@ -159,8 +159,10 @@ WITH turns AS (
     WHERE NOT EXISTS (SELECT 1 FROM prefixes p
                       WHERE p.n = whole.n_turns AND p.fingerprint = whole.fingerprint AND p.n < p.n_turns)
 )
-SELECT l.conv_id, l.segment, m.n_turns, string_agg(l.line, '' ORDER BY l.turn NULLS LAST, l.role NULLS FIRST, l.text NULLS FIRST) AS text
-FROM lines l JOIN maximal m ON l.conv_id IS NOT DISTINCT FROM m.conv_id GROUP BY l.conv_id, l.segment, m.n_turns
+SELECT l.conv_id, l.segment, CAST(l.nth // 4096 AS BIGINT) AS piece, m.n_turns, string_agg(l.line, '' ORDER BY l.nth) AS text
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, segment
+                                   ORDER BY turn NULLS LAST, role NULLS FIRST, text NULLS FIRST) - 1 AS nth FROM lines) l
+JOIN maximal m ON l.conv_id IS NOT DISTINCT FROM m.conv_id GROUP BY ALL
 """
 
 

@@ -183,7 +183,7 @@ def test_chats_equal_their_sql_on_awkward_rows(spark):
     con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
     con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
     expected = Counter(con.execute(ORACLES["op10_chat_format"]).fetchall())
-    found = Counter((r.conv_id, r.segment, r.n_turns, r.text) for r in chat.format_chats(df).collect())
+    found = Counter(map(tuple, chat.format_chats(df).collect()))
     assert found == expected
     assert {c for c, *_ in found} == {1, 3, 4, 6, 7, 8, None}
 
@@ -250,3 +250,70 @@ def test_pairs_are_named_by_their_smallest_common_key():
         held = [np.unique(np.r_[u, key]) for u in used]
         want = [min(set(held[i]) & set(held[j])) == key for i, j in zip(one, other)]
         assert own_pairs(key, held, one, other).tolist() == want
+
+
+@pytest.mark.parametrize("partitions", ["2", "9"])
+def test_crowded_segments_come_in_pieces(spark, monkeypatch, partitions):
+    """A null conversation and one whose rows have no turn hold most rows."""
+    monkeypatch.setattr(chat, "PIECE_ROWS", 50)
+    rng = random.Random(14)
+    rows = [(None, rng.randrange(300), rng.choice(["u", None]), f"t{i}") for i in range(400)]
+    rows += [(1, None, rng.choice("ab"), rng.choice([None, f"t{i}"])) for i in range(220)]
+    rows += [(i, t, "u", f"x{i}{t}") for i in range(2, 20) for t in range(5)] + [(30, 0, "u", f"y{i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    expected = Counter(con.execute(ORACLES["op10_chat_format"].replace("4096", "50")).fetchall())
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        found = Counter(map(tuple, chat.format_chats(df).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found == expected
+    assert max(r[2] for r in found) >= 4 and all(r[4].count("<|end|>") <= 50 for r in found)
+
+
+# ---- benchmark decontamination
+
+
+def test_answers(spark):
+    from gantry.llm import decontaminate
+
+    rng = random.Random(15)
+    question = prose(20, rng)
+    items = [(1, question, "forty two"), (2, question, ""), (3, question, None), (4, question, "not there at all")]
+    bench = spark.createDataFrame(items, "item_id long, text string, answer string")
+    docs = [(1, prose(30, rng) + " " + question + " forty two " + prose(30, rng)), (2, prose(30, rng) + " " + question), (3, prose(60, rng))]
+    found = decontaminate.contamination_report(spark.createDataFrame(docs, "doc_id long, text string"), bench, answer_col="answer")
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(1, 1), (1, 2), (1, 3), (2, 2), (2, 3)}
+
+
+def test_documents_are_read_once_for_all_blocks(spark, monkeypatch):
+    from gantry.llm import decontaminate
+
+    rng = random.Random(16)
+    texts = [prose(30, rng) for _ in range(24)]
+    bench = spark.createDataFrame([(i, t, "") for i, t in enumerate(texts)], "item_id long, text string, answer string")
+    docs = spark.createDataFrame([(i, prose(10, rng) + " " + t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    whole = decontaminate.contamination_report(docs, bench).collect()
+    blocks = []
+    cut = decontaminate._blocks
+
+    def counted(*args):
+        for ids, block in cut(*args):
+            blocks.append(len(block))
+            yield ids, block
+
+    monkeypatch.setattr(decontaminate, "_blocks", counted)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 900)
+    in_blocks = decontaminate.contamination_report(docs, bench)
+    assert sorted(map(tuple, in_blocks.collect())) == sorted(map(tuple, whole)) and len(whole) >= 24
+    assert len(blocks) > 4 and sum(blocks) == 24
+    plan = in_blocks._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert plan.count("ArrowEvalPython") == 1
+    with_answers = bench.withColumn("answer", decontaminate.F.repeat(decontaminate.F.lit("long "), 100))
+    blocks.clear()
+    decontaminate.contamination_report(docs, with_answers, answer_col="answer").collect()
+    assert len(blocks) == 24  # answers count
