@@ -128,28 +128,25 @@ class Grams:
         """Places at which a sequence of ``n`` words begins, and its fingerprints."""
         last = len(self.places) - n + 1
         if last <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            return np.zeros(0, np.int32), np.zeros(0, np.uint64)
         whole = np.ones(last, bool)
         for k in range(n):
             whole &= self.places[k : k + last] > 0
-        begin = np.flatnonzero(whole[: self.own])
+        begin = np.flatnonzero(whole[: self.own]).astype(np.int32)
         polynomial = (self.sums[begin + n] - self.sums[begin]) * self.undo[begin]
         return begin, mixed(polynomial ^ (self.seed + np.uint64(n)))
 
     def all_lengths(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places, lengths and fingerprints of all sequences."""
         found = [self.of_length(n) for n in range(1, LONGEST + 1)]
-        lengths = np.repeat(np.arange(1, LONGEST + 1), [len(b) for b, _ in found])
+        lengths = np.repeat(np.arange(1, LONGEST + 1, dtype=np.int8), [len(b) for b, _ in found])
         return np.concatenate([b for b, _ in found]), lengths, np.concatenate([f for _, f in found])
 
 
-def _sharded(prints: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct (shard, value) of fingerprints as one number, their counts, and the
-    place of each fingerprint among them."""
+def _sharded(prints: np.ndarray, shards: int) -> np.ndarray:
+    """The shard and value of each fingerprint as one number."""
     # the shard comes from the lower half, the value that stands for the fingerprint is the upper
-    joint = ((prints & np.uint64(0xFFFFFFFF)) % np.uint64(shards)) << np.uint64(32) | prints >> np.uint64(32)
-    distinct, which, counts = np.unique(joint, return_inverse=True, return_counts=True)
-    return distinct, counts, which
+    return ((prints & np.uint64(0xFFFFFFFF)) % np.uint64(shards)) << np.uint64(32) | prints >> np.uint64(32)
 
 
 def _shard_bounds(distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +161,8 @@ def _blocks(shards: int):
         for frame in batches:
             for row in frame.itertuples():
                 _, _, prints = Grams(row.lang, row.own, row.words, row.places).all_lengths()
-                distinct, counts, _ = _sharded(prints, shards)
+                distinct, counts = np.unique(_sharded(prints, shards), return_counts=True)
+                del prints
                 names, ends = _shard_bounds(distinct)
                 values = (distinct & np.uint64(0xFFFFFFFF)).astype(np.uint32)
                 rows = []
@@ -211,7 +209,7 @@ def _materialised(shards: int):
         for row in chunk.itertuples():  # one
             grams = Grams(row.lang, row.own, row.words, row.places)
             begin, lengths, prints = grams.all_lengths()
-            distinct, _, which = _sharded(prints, shards)
+            distinct, which = np.unique(_sharded(prints, shards), return_inverse=True)
             often = np.zeros(len(distinct), bool)
             found, ends = _shard_bounds(distinct)
             at = {int(s): (a, b) for s, a, b in zip(found, ends[:-1], ends[1:])}
