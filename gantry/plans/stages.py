@@ -40,16 +40,12 @@ def to_dim(silver: DataFrame) -> DataFrame:
 def to_dim_latest(silver: DataFrame) -> DataFrame:
     """One row per crane, attributes of its latest reading (ties: largest id).
 
-    The latest time of each crane comes from a hash aggregate over two columns; only
-    readings of that time, usually one, are compared by id. A crane without a readable
-    time has them all compared.
+    One scan and one shuffle of a row per crane and task: the maximum is taken before the
+    shuffle, over each task's rows sorted by crane, a sort that can spill.
     """
-    timed = silver.select(*DIM_COLUMNS, MESSAGE_ID, parse_event_time().alias(EVENT_TIME))
-    latest = timed.groupBy(F.col(CRANE_ID).alias("of_crane")).agg(F.max(EVENT_TIME).alias("latest"))
-    same = F.col(CRANE_ID).eqNullSafe(F.col("of_crane")) & F.col(EVENT_TIME).eqNullSafe(F.col("latest"))
     attributes = F.struct(*(c for c in DIM_COLUMNS if c != CRANE_ID)).alias("attributes")
-    last = F.max(F.struct(F.col(MESSAGE_ID), attributes)).alias("last")
-    return timed.join(latest, same).groupBy(CRANE_ID).agg(last).select(CRANE_ID, "last.attributes.*")
+    last = F.max(F.struct(parse_event_time(), F.col(MESSAGE_ID), attributes)).alias("last")
+    return silver.groupBy(CRANE_ID).agg(last).select(CRANE_ID, "last.attributes.*")
 
 
 def to_fact(silver: DataFrame) -> DataFrame:

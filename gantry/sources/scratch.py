@@ -33,7 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
     global _local_folder
     if _local_folder is None:

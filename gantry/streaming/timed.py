@@ -98,7 +98,8 @@ def stream_counts(query: StreamingQuery) -> StreamCounts:
     aggregate finds late are counted after they are combined: one for each crane, hour and task.
     """
     progress = query.recentProgress
-    kept = int(query._jsq.sparkSession().conf().get("spark.sql.streaming.numRecentProgressUpdates", "100")) if hasattr(query, "_jsq") else 100
+    session = SparkSession.getActiveSession()
+    kept = int(session.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100")) if session else 100
     if len(progress) >= kept:
         raise ValueError(f"more than the last {kept} micro-batches are not known any more")
     state = [s for p in progress for s in p.stateOperators]
