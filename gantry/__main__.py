@@ -18,6 +18,7 @@ def main() -> None:
     parser.add_argument("--full", action="store_true", help="merge all rows again, not only changed days")
     parser.add_argument("--infer", action="store_true", help="take the columns from the files")
     parser.add_argument("--evolve", action="store_true", help="add new columns to the tables")
+    parser.add_argument("--moves-within", type=int, metavar="DAYS", help="days that a correction moves a reading by at most")
     args = parser.parse_args()
 
     paths = LakePaths(args.base.rstrip("/"))
@@ -27,7 +28,9 @@ def main() -> None:
     # The session is left to whoever owns it.
     schema_mode = "evolve" if args.evolve else "strict"
     landing = args.landing or paths.landing
-    for v in run_pipeline(spark, landing, paths, args.mode, not args.full, args.infer, schema_mode):
+    for v in run_pipeline(
+        spark, landing, paths, args.mode, not args.full, args.infer, schema_mode, args.moves_within
+    ):
         print(f"contract: {v.column} {v.check} {v.failures}")
 
 

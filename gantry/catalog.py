@@ -26,7 +26,7 @@ from gantry.operators.merge import ambiguous_keys, merge_upsert
 from gantry.operators.star import calendar, enrich_dim, on_days, star_join, visible_cranes, visible_facts
 from gantry.plans import marts
 from gantry.plans.medallion import run_pipeline
-from gantry.plans.stages import to_bronze, to_dim, to_dim_latest, to_fact, to_silver
+from gantry.plans.stages import to_bronze, to_dim, to_dim_history, to_dim_latest, to_fact, to_silver
 from gantry.schema import (
     CRANE_ID,
     EVENT_TIME,
@@ -916,6 +916,40 @@ def fact_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_time(_plain_time(joined), "serviced_at")
 
 
+_HISTORY_SQL = """raw AS (
+  SELECT CAST(event_id AS VARCHAR) AS message_id, 'CRN-' || CAST(user_id AS VARCHAR) AS crane_id, ts, event_type FROM events
+), last_at AS (
+  SELECT crane_id, ts, event_type FROM raw WHERE ts IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY crane_id, ts ORDER BY message_id DESC) = 1
+), versions AS (
+  SELECT crane_id, event_type AS crane_model, ts AS valid_from FROM last_at
+  WINDOW w AS (PARTITION BY crane_id ORDER BY ts)
+  QUALIFY row_number() OVER w = 1 OR lag(event_type) OVER w IS DISTINCT FROM event_type
+)"""
+
+
+@_query(
+    f"""WITH {_HISTORY_SQL} SELECT *, CAST(NULL AS VARCHAR) AS operational_region,
+      lead(valid_from) OVER (PARTITION BY crane_id ORDER BY valid_from) AS valid_to FROM versions"""
+)
+def dim_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All versions of each crane's attributes, with their validity."""
+    return _plain_time(_plain_time(to_dim_history(sample.telemetry_by_kind(spark, sf_dir)), "valid_from"), "valid_to")
+
+
+@_query(
+    f"""WITH {_HISTORY_SQL}
+    SELECT message_id, raw.crane_id, ts AS event_time, crane_model, valid_from
+    FROM raw ASOF LEFT JOIN versions ON raw.crane_id = versions.crane_id AND raw.ts >= versions.valid_from"""
+)
+def star_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each reading with its crane's attributes as they were at its time."""
+    readings = sample.telemetry_by_kind(spark, sf_dir)
+    facts = to_fact(readings).select(MESSAGE_ID, CRANE_ID, EVENT_TIME)
+    history = to_dim_history(readings).select(CRANE_ID, MODEL, "valid_from")
+    return _plain_time(_plain_time(as_of(facts, history, CRANE_ID, EVENT_TIME, "valid_from")), "valid_from")
+
+
 EPISODE_GAP = "1 day"
 
 _EPISODES_SQL = f"""{_GOLD_SQL}, critical AS (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gantry.functions.telemetry import parse_event_time
@@ -48,6 +48,33 @@ def to_dim_latest(silver: DataFrame) -> DataFrame:
     return silver.groupBy(CRANE_ID).agg(last).select(CRANE_ID, "last.attributes.*")
 
 
+def to_dim_history(silver: DataFrame, slice_unit: str = "day") -> DataFrame:
+    """The versions of each crane's attributes, with ``valid_from`` and ``valid_to`` (NULL: still valid).
+
+    A version begins with the first dated reading that differs from the one before; of readings
+    at the same time the one of the largest id counts. Readings are compared within slices of a
+    crane's time (a unit of ``date_trunc``) first, so that a crane that sends most of them is
+    spread over many tasks; what is left to compare is a row for each slice and each change.
+    """
+    attributes = F.struct(*(c for c in DIM_COLUMNS if c != CRANE_ID)).alias("attributes")
+    timed = silver.select(CRANE_ID, attributes, MESSAGE_ID, parse_event_time().alias("valid_from")).where(
+        F.col("valid_from").isNotNull()
+    )
+    sliced = timed.withColumn("slice", F.date_trunc(slice_unit, "valid_from"))
+    within = Window.partitionBy(CRANE_ID, "slice").orderBy("valid_from", MESSAGE_ID)
+    last = sliced.withColumn("next", F.lead("valid_from").over(within)).where(
+        F.col("next").isNull() | (F.col("next") > F.col("valid_from"))
+    )
+    overall = Window.partitionBy(CRANE_ID).orderBy("valid_from")
+    changes = last
+    for window in (within, overall):
+        before = F.lag(F.struct("attributes")).over(window)  # in a struct: NULL only for the first
+        changes = changes.withColumn("before", before).where(~F.col("before").eqNullSafe(F.struct("attributes")))
+    return changes.select(
+        CRANE_ID, "attributes.*", "valid_from", F.lead("valid_from").over(overall).alias("valid_to")
+    )
+
+
 def to_fact(silver: DataFrame) -> DataFrame:
     """One row per reading, its text timestamp read as an instant."""
     return silver.select(

@@ -14,7 +14,7 @@ from gantry.operators.merge import MergeSchemaError, merge_upsert
 from gantry.operators.star import calendar, on_days, reachable, visible_cranes
 from gantry.plans import marts
 from gantry.plans.medallion import cleanse_silver
-from gantry.plans.stages import to_bronze, to_fact
+from gantry.plans.stages import to_bronze, to_dim_history, to_fact
 from gantry.schema import TELEMETRY
 from gantry.sources.scratch import stored
 from gantry.sources.tables import publish, read_table, table_exists, upsert
@@ -61,6 +61,34 @@ def test_episodes_are_merged_within_slices_first(spark):
     assert "slice" in plan[deepest : deepest + 80]
 
 
+# ---- history
+
+
+@pytest.mark.parametrize("unit", ["hour", "day", "year"])
+def test_versions_of_a_crane(spark, unit):
+    rows = [
+        message("1", "A", "2030-05-01T08:00:00Z", model="X", region=None),
+        message("2", "A", "2030-05-01T09:00:00Z", model="X", region=None),
+        message("3", "A", "2030-05-02T08:00:00Z", model="X", region=None),  # the same on another day
+        message("4", "A", "2030-05-02T09:00:00Z", model="Y", region=None),  # gone at once
+        message("5", "A", "2030-05-02T09:00:00Z", model="X", region=None),
+        message("6", "A", "2030-05-03T09:00:00Z", model="X", region="R"),
+        message("7", "A", "2030-05-05T09:00:00Z", model="X", region=None),
+        message("8", "B", "2030-05-05T09:00:00Z", model=None, region=None),
+        message("9", "B", "soon", model="Z", region="Z"),
+    ]
+    found = to_dim_history(frame(spark, rows), unit)
+    at = lambda d, h: datetime(2030, 5, d, h)
+    assert Counter(map(tuple, found.collect())) == Counter(
+        [
+            ("A", "X", None, at(1, 8), at(3, 9)),
+            ("A", "X", "R", at(3, 9), at(5, 9)),
+            ("A", "X", None, at(5, 9), None),
+            ("B", None, None, at(5, 9), None),
+        ]
+    )
+
+
 # ---- cube, calendar
 
 
