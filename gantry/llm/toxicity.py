@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gantry.llm.common import chunks, text_or_empty
+from gantry.llm.common import chunks, lowest_by_hash, text_or_empty
 
 SAMPLE = 1200
 SAMPLE_BYTES = 1 << 16
@@ -433,8 +433,11 @@ def usable_labels(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
 
 def labelled_sample(usable: DataFrame, rows: DataFrame, size: int) -> DataFrame:
-    """At most ``size`` texts of either label, the first by a hash of id and text."""
-    first = [rows.where(F.col("toxic") == label).orderBy("place", "id", "hash").limit(size) for label in (1, 0)]
+    """At most ``size`` texts of either label, the first by a hash of id and text.
+
+    Only rows below a cut are sorted, so no task gets ``size`` rows from every partition.
+    """
+    first = [lowest_by_hash(rows.where(F.col("toxic") == label), "place", size) for label in (1, 0)]
     # at most twice ``size`` rows are fetched
     chosen = F.broadcast(first[0].union(first[1]))
     return usable.join(chosen, ["id", "hash"]).groupBy("id", "hash", "place", "toxic").agg(
