@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from functools import reduce
-from operator import or_
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from gantry.schema import CORRUPT_RECORD, EXTRA_FIELDS, PARSED, TELEMETRY
 from gantry.sources.scratch import stored
 
-
 _OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_RECORD}
 _DOC = "_doc"
 
@@ -24,42 +23,35 @@ def _parsed(lines: DataFrame) -> DataFrame:
     return written.select("value", F.try_parse_json("value").alias(_DOC))
 
 
-def _field(field: T.StructField) -> tuple[Column, Column | None]:
-    """A known field of the variant, and whether a value is there that is not of its type.
+def _may_hold_more(row: Column) -> Column:
+    """False where a line surely has no fields but the known ones in ``row``.
 
-    Any value reads as text. A number is taken from a JSON number alone: a variant would
-    also cast ``true`` to 1.0.
+    Every field has a quote and a colon after its name, with nothing between them unless the
+    line has white space there; so if there are as many of these as known values, no other
+    field is there. All other lines are looked into.
     """
-    path = f"$.{field.name}"
-    if isinstance(field.dataType, T.StringType):
-        return F.try_variant_get(_DOC, path, "string"), None
-    kind = F.schema_of_variant(F.try_variant_get(_DOC, path, "variant"))
-    value = F.when(kind.rlike("^(BIGINT|DOUBLE|DECIMAL)"), F.try_variant_get(_DOC, path, field.dataType.simpleString()))
-    return value, value.isNull() & kind.isNotNull() & (kind != "VOID")
+    line = F.col("value")
+    twice_the_names = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('":')))
+    known = reduce(add, [row[name].isNotNull().cast("int") for name in TELEMETRY.fieldNames()])
+    spaced = F.contains(line, F.lit('" ')) | F.contains(line, F.lit('"\t'))
+    return row.isNull() | (twice_the_names != known * 2) | spaced
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Lines of JSON text (column ``value``) as rows of the fixed schema; blank lines are none.
 
-    A line is parsed once, into a variant, from which the known fields are taken by name and
-    type. A field that cannot be read is NULL and the raw line is kept beside it. Fields the
-    schema does not name are kept, as texts, in one JSON object. What a variant refuses
-    (broken lines, ``NaN``, repeated names) goes through the lenient JSON reader.
+    A field that cannot be read is NULL and the raw line is kept beside it. Fields the schema
+    does not name are kept, as texts, in one JSON object. Only lines that may have any are
+    parsed for them, into a variant; what a variant refuses (``NaN``, repeated names) is read
+    leniently.
     """
-    fields = {f.name: _field(f) for f in TELEMETRY.fields}
-    members = F.expr(f"try_cast({_DOC} AS MAP<STRING, VARIANT>)")
-    wrong = reduce(or_, [w for _, w in fields.values() if w is not None], members.isNull())
-    known = [F.lit(name) for name in fields]
-    extra = F.transform_values(F.map_filter(members, lambda name, _: ~name.isin(*known)), lambda _, v: v.cast("string"))
-    row = F.struct(
-        *(value.alias(name) for name, (value, _) in fields.items()),
-        F.when(wrong, F.col("value")).alias(CORRUPT_RECORD),
-        F.when(F.size(extra) > 0, F.to_json(extra)).alias(EXTRA_FIELDS),
-    )
-    texts = F.map_filter(F.from_json("value", "map<string,string>"), lambda name, _: ~name.isin(*known))
-    lenient = F.from_json("value", PARSED, _OPTIONS).withField(EXTRA_FIELDS, F.when(F.size(texts) > 0, F.to_json(texts)))
-    rows = _parsed(lines).select(F.when(F.col(_DOC).isNull(), lenient).otherwise(row).alias("row"))
-    return rows.select("row.*")
+    names = TELEMETRY.fieldNames()
+    rows = lines.where(F.trim(F.col("value")) != "").select("value", F.from_json("value", PARSED, _OPTIONS).alias("row"))
+    members = F.expr("try_cast(try_parse_json(value) AS MAP<STRING, VARIANT>)")
+    texts = F.coalesce(F.transform_values(members, lambda _, v: v.cast("string")), F.from_json("value", "map<string,string>"))
+    extra = F.when(_may_hold_more(F.col("row")), F.map_filter(texts, lambda name, _: ~name.isin(*names)))
+    found = rows.select("row.*", extra.alias("extra"))
+    return found.select(*PARSED.fieldNames(), F.when(F.size("extra") > 0, F.to_json("extra")).alias(EXTRA_FIELDS))
 
 
 def _inferred(kind: T.DataType) -> T.DataType:

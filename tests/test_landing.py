@@ -58,10 +58,33 @@ def test_what_a_variant_refuses_is_read_leniently(spark):
     assert twice.crane_id == "b"
 
 
+@pytest.mark.parametrize(
+    "line, extra",
+    [
+        ('{"message_id":"m","x":1}', {"x": "1"}),
+        ('{"x" : 1, "message_id":"m"}', {"x": "1"}),
+        ('{"x"\t:1,"message_id":"m"}', {"x": "1"}),
+        ('{"message_id":"m","crane_id":null,"x":null}', {"x": None}),
+        ('{"message_id":"a\\":b","x":"\\":"}', {"x": '":'}),
+        ('{"message_id":"m","n":{"crane_id":[1,{"y":2}]}}', {"n": '{"crane_id":[1,{"y":2}]}'}),
+        ('{"message_id":"m","crane_id":"c"}', None),
+        ('{"message_id":"has \\" : in it"}', None),
+        ("{}", None),
+    ],
+)
+def test_unknown_fields(spark, line, extra):
+    (row,) = parsed(spark, line)
+    assert (row._extra_fields and json.loads(row._extra_fields)) == extra
+    assert row._corrupt_record is None
+
+
 def test_one_parse(spark):
+    """Of the three ways to read a line only one is taken unless the line may hold unknown fields."""
     lines = spark.createDataFrame([("{}",)], "value string")
     plan = parse_lines(lines)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson") == 1
+    guarded = plan[plan.index("CASE WHEN ((") :]
+    assert plan.count("from_json") == 2 and guarded.count("from_json") == 2 and "parseJson" in guarded
 
 
 def test_inferred_types_merge(spark, tmp_path):
