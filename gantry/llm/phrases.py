@@ -48,7 +48,7 @@ NO_LANGUAGE = "und"
 # --------------------------------------
 
 #: Places (words and piece marks) of a chunk, and sequences that a shard is to answer for.
-CHUNK_PLACES = 1 << 19
+CHUNK_PLACES = 1 << 18
 SHARD_GRAMS = 4_000_000
 #: Parts of a language that are ranked by themselves before all of it is.
 RANKED_PARTS = 64
