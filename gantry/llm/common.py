@@ -8,6 +8,7 @@ exactly (and touch ASCII letters only), so texts are handled as UTF-8 bytes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
@@ -19,11 +20,31 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a Python worker takes apart at a time.
 CHUNK_BYTES = 2 << 20
 
+#: Rows that a Python worker is sent at a time, where rows may be long.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Python workers get at most ``BATCH_ROWS`` rows at a time from plans run in the ``with`` block.
+
+    A batch is held several times over, by the JVM and by the worker, so Spark's 10,000 rows of
+    whole texts or hash arrays take hundreds of megabytes. A smaller setting of the user's stays.
+    """
+    before = spark.conf.get(_BATCH_SETTING)
+    if not 0 < int(before) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_SETTING, before)
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

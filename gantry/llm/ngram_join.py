@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gantry.llm.common import WordHashes, chunks, free_name, mixed, text_or_empty
+from gantry.llm.common import WordHashes, chunks, free_name, mixed, small_batches, text_or_empty
 from gantry.llm.components import components
 from gantry.sources.scratch import staged, stored
 
@@ -240,18 +240,17 @@ def _tiles(star: bool, few: bool):
                     rows.add((nodes[a + x], nodes[a + y], bool(more[x]), bool(more[y])))
             return pd.DataFrame(list(rows), columns=["a", "b", "more_a", "more_b"])
 
-        rest: pd.DataFrame | None = None
+        waiting: list[pd.DataFrame] = []  # of one tile, which may go on in the next batch
         for frame in batches:
             if not len(frame):
                 continue
-            frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            # the last tile may go on in the next batch
             cut = int(np.argmax(frame["tile"].to_numpy() == frame["tile"].iloc[-1]))
-            rest = frame.iloc[cut:]
-            if cut:
-                yield pairs(frame.iloc[:cut])
-        if rest is not None:
-            yield pairs(rest)
+            if cut or (waiting and waiting[0]["tile"].iloc[0] != frame["tile"].iloc[0]):
+                yield pairs(pd.concat([*waiting, frame.iloc[:cut]], ignore_index=True))
+                waiting = []
+            waiting.append(frame.iloc[cut:])
+        if waiting:
+            yield pairs(pd.concat(waiting, ignore_index=True))
 
     return run
 
@@ -396,7 +395,7 @@ def similar_groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.xxhash64(text, F.lit(2)).alias("t2"),
         text.cast("binary").alias("text"),
     )
-    with ExitStack() as scratch:
+    with small_batches(docs.sparkSession), ExitStack() as scratch:
         def keep(df: DataFrame) -> DataFrame:
             return scratch.enter_context(staged(df))
 
