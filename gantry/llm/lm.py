@@ -30,7 +30,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import cache
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pandas as pd
@@ -111,6 +111,14 @@ def _encoded_apart(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]
     return out, np.r_[0, np.cumsum(sizes)]
 
 
+class _Numbers(dict):
+    """Numbers of words in the order they are met."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Subwords:
     """Subwords of texts; those of words met before are kept while a task runs.
 
@@ -125,7 +133,7 @@ class Subwords:
         self.empty()
 
     def empty(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = _Numbers()
         self.flat, self.edges, self.values = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0)
 
     def of(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,17 +141,15 @@ class Subwords:
         if len(self.known) > REMEMBERED:
             self.empty()
         words = [w for of_text in texts for w in of_text]
-        numbers = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(numbers < 0).tolist()
-        new = list(dict.fromkeys(words[i] for i in missing))
-        if new:
+        n_known = len(self.known)
+        numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        if len(self.known) > n_known:
+            new = list(islice(self.known, n_known, None))
             ids, edges = encoded_words(self.path, new)
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
             self.edges = np.r_[self.edges, edges[1:] + len(self.flat)]
             self.flat = np.r_[self.flat, ids]
             found = np.fromiter(map(self.logs.get, new, repeat(math.nan)), np.float64, len(new))
             self.values = np.r_[self.values, found]
-            numbers[missing] = [self.known[words[i]] for i in missing]
         sizes = (self.edges[1:] - self.edges[:-1])[numbers]
         word_ends = np.r_[0, np.cumsum(sizes)]
         within = np.arange(word_ends[-1]) - np.repeat(word_ends[:-1], sizes)
@@ -245,68 +251,186 @@ def _bias(weights: dict) -> np.ndarray:
     return np.where(_DISTANCE >= 0, weights["r"][np.maximum(_DISTANCE, 0)], np.float32(-1e9)).astype(np.float32)
 
 
-def _sum_by(places: np.ndarray, values: np.ndarray, into: np.ndarray) -> None:
-    order = np.argsort(places, kind="stable")
-    ordered = places[order]
-    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    into[ordered[first]] += np.add.reduceat(values[order], first, axis=0)
+#: Classes are filled up to a multiple of this with classes that never occur; products are much faster so.
+LANES = 16
+#: Scores up to here have exponentials that neither overflow nor vanish, nor do sums of them.
+SAFE = 60.0
+
+
+def _filled_up(values: np.ndarray, fill: float) -> np.ndarray:
+    """The columns of classes, and columns of ``fill`` up to a multiple of ``LANES``."""
+    out = np.full((len(values), -(-values.shape[1] // LANES) * LANES), fill, values.dtype)
+    out[:, : values.shape[1]] = values
+    return out
+
+
+class Parameters:
+    """Weights, or something for each of them, as one array ``flat`` with views of its parts.
+
+    Queries, keys and values are columns of one matrix; classes are filled up.
+    """
+
+    def __init__(self, weights: dict):
+        projections = np.concatenate([weights[name] for name in ("Wq", "Wk", "Wv")], axis=1)
+        parts = [weights["E"], projections, weights["r"], _filled_up(weights["Wo"], 0)]
+        self.shapes, self.n_classes = [p.shape for p in parts], weights["Wo"].shape[1]
+        self._view(np.concatenate([p.ravel() for p in parts]))
+
+    def _view(self, flat: np.ndarray) -> None:
+        self.flat = flat
+        edges = np.cumsum([0, *(math.prod(shape) for shape in self.shapes)]).tolist()
+        parts = [flat[a:b].reshape(shape) for shape, a, b in zip(self.shapes, edges, edges[1:])]
+        self.rows, self.projections, self.bias, self.out = parts
+
+    def zeros(self) -> Parameters:
+        other = object.__new__(Parameters)
+        other.shapes, other.n_classes = self.shapes, self.n_classes
+        other._view(np.zeros_like(self.flat))
+        return other
+
+    def weights(self) -> dict:
+        q, k, v = np.split(self.projections, [KEY_WIDTH, 2 * KEY_WIDTH], axis=1)
+        return {"E": self.rows, "Wq": q, "Wk": k, "Wv": v, "r": self.bias, "Wo": self.out[:, : self.n_classes]}
+
+
+_PROJECTED = 2 * KEY_WIDTH + WIDTH
+_SCALE = np.repeat(np.float32([1 / math.sqrt(KEY_WIDTH), 1]), [KEY_WIDTH, KEY_WIDTH + WIDTH])
+_AT_DISTANCE = np.maximum(_DISTANCE, 0).ravel()
+
+
+def _joined(y: np.ndarray) -> np.ndarray:
+    """The windows of a batch one below the other."""
+    return y.reshape(-1, y.shape[-1])
+
+
+class Batch:
+    """Log loss of batches of ``n`` windows and its gradients, in arrays that are made once.
+
+    Softmaxes stay unnormalised: a column of ones gives their sums, by which the narrow
+    sides of products are divided. ``after`` has as many columns as classes filled up.
+    """
+
+    def __init__(self, n: int, n_classes: int, kind: np.dtype):
+        new = lambda *shape: np.empty((n, WINDOW, *shape), kind)
+        self.x, self.pooled, self.h, self.dx, self.wide = (new(WIDTH) for _ in range(5))
+        self.projected, self.d_projected = np.ones((n, WINDOW, _PROJECTED + 8), kind), new(_PROJECTED)
+        self.s, self.ds, self.sums, self.dz = new(WINDOW), new(WINDOW), new(WIDTH + 1), new(WIDTH + 1)
+        self.after, self.p = (np.empty((n * WINDOW, n_classes), kind) for _ in range(2))
+        self.ones = np.ones(n_classes, kind)
+
+    def gradients(
+        self, w: Parameters, after: np.ndarray, rows: np.ndarray, targets: np.ndarray, into: Parameters
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Puts the gradients into zeros or earlier ones. Gives the places with a target and the
+        probability of each target."""
+        x, h, s, p = self.x, self.h, self.s, self.p
+        np.take(w.rows, rows, axis=0, out=x, mode="clip")
+        scale = _SCALE.astype(x.dtype)
+        projections = w.projections * scale
+        np.matmul(_joined(x), projections, out=_joined(self.projected)[:, :_PROJECTED])
+        q, k = self.projected[:, :, :KEY_WIDTH], self.projected[:, :, KEY_WIDTH : 2 * KEY_WIDTH]
+        v_and_one = self.projected[:, :, 2 * KEY_WIDTH : _PROJECTED + 1]
+
+        np.matmul(q, k.transpose(0, 2, 1), out=s)
+        largest = max(s.max(), -s.min()) + np.abs(w.bias).max()
+        s += _bias({"r": w.bias}).astype(x.dtype, copy=False)
+        if not largest < SAFE:
+            s -= s.max(axis=2, keepdims=True)
+        np.exp(s, out=s)
+        np.matmul(s, v_and_one, out=self.sums)
+        inverse = 1 / self.sums[:, :, WIDTH:]
+        np.multiply(self.sums[:, :, :WIDTH], inverse, out=self.pooled)
+        np.tanh(np.add(x, self.pooled, out=h), out=h)
+
+        places, targets = rows.ravel(), targets.ravel()
+        of_h, dx, wide = _joined(h), _joined(self.dx), _joined(self.wide)
+        np.matmul(of_h, w.out, out=p)
+        used = targets >= 0
+        targets = np.where(used, targets, 0)
+        p += np.take(after, places, axis=0, out=self.after, mode="clip")
+        # tanh is below 1, which bounds what the attention adds
+        if not np.abs(w.out).sum(axis=0).max() < SAFE:
+            p -= p.max(axis=1, keepdims=True)
+        np.exp(p, out=p)
+        total = p @ self.ones
+        at = np.arange(0, p.size, p.shape[1]) + targets
+        right = p.ravel()[at]
+        p.ravel()[at] = right - total
+        weight = (used / (total * max(1, int(used.sum())))).astype(x.dtype)[:, None]
+        np.matmul(np.multiply(of_h, weight, out=wide).T, p, out=into.out)
+        np.matmul(p, w.out.T, out=dx)
+        dx *= weight
+        np.multiply(h, h, out=h)
+        np.subtract(1, h, out=h)
+        dx *= of_h
+
+        dz, ds, d = self.dz, self.ds, self.d_projected
+        np.multiply(self.dx, inverse, out=dz[:, :, :WIDTH])
+        np.einsum("ijk,ijk->ij", dz[:, :, :WIDTH], self.pooled, out=dz[:, :, WIDTH])
+        np.negative(dz[:, :, WIDTH], out=dz[:, :, WIDTH])
+        np.matmul(dz, v_and_one.transpose(0, 2, 1), out=ds)
+        ds *= s
+        np.matmul(ds, k, out=d[:, :, :KEY_WIDTH])
+        np.matmul(ds.transpose(0, 2, 1), q, out=d[:, :, KEY_WIDTH : 2 * KEY_WIDTH])
+        np.matmul(s.transpose(0, 2, 1), dz[:, :, :WIDTH], out=d[:, :, 2 * KEY_WIDTH :])
+        into.bias[:] = np.bincount(_AT_DISTANCE, ds.sum(axis=0).ravel(), minlength=WINDOW)
+        np.matmul(_joined(x).T, _joined(d), out=into.projections)
+        into.projections *= scale
+        dx += np.matmul(_joined(d), projections.T, out=wide)
+
+        order = np.argsort(places, kind="stable")
+        ordered = places[order]
+        first = np.concatenate([[0], 1 + np.flatnonzero(ordered[1:] != ordered[:-1])])
+        into.rows[:] = 0
+        into.rows[ordered[first]] = np.add.reduceat(np.take(dx, order, axis=0, out=wide, mode="clip"), first, axis=0)
+        return used, right / total
 
 
 def step(weights: dict, after: np.ndarray, rows: np.ndarray, targets: np.ndarray) -> tuple[float, dict]:
     """Mean log loss of the target classes (-1: none) of a batch of windows, and its gradients."""
-    w = weights
-    used = targets >= 0
-    total = max(1, int(used.sum()))
-    x = w["E"][rows]
-    q, k, v = x @ w["Wq"], x @ w["Wk"], x @ w["Wv"]
-    scale = np.float32(1 / math.sqrt(KEY_WIDTH))
-    s = np.matmul(q, k.transpose(0, 2, 1)) * scale + _bias(w)
-    s = np.exp(s - s.max(axis=2, keepdims=True))
-    a = s / s.sum(axis=2, keepdims=True)
-    h = np.tanh(x + np.matmul(a, v))
-    logits = h @ w["Wo"] + after[rows]
-    logits -= logits.max(axis=2, keepdims=True)
-    p = np.exp(logits)
-    p /= p.sum(axis=2, keepdims=True)
-    right = np.where(used, targets, 0)[:, :, None]
-    loss = -np.log(np.take_along_axis(p, right, 2)[:, :, 0] + 1e-30)[used].sum() / total
-    d = p
-    np.put_along_axis(d, right, np.take_along_axis(p, right, 2) - 1, 2)
-    d *= used[:, :, None] / np.float32(total)
-    dz = (d @ w["Wo"].T) * (1 - h * h)
-    da = np.matmul(dz, v.transpose(0, 2, 1))
-    dv = np.matmul(a.transpose(0, 2, 1), dz)
-    ds = a * (da - (a * da).sum(axis=2, keepdims=True))
-    dq, dk = np.matmul(ds, k) * scale, np.matmul(ds.transpose(0, 2, 1), q) * scale
-    dx = dz + dq @ w["Wq"].T + dk @ w["Wk"].T + dv @ w["Wv"].T
-    flat = lambda y: y.reshape(-1, y.shape[-1])
-    grads = {
-        "Wq": flat(x).T @ flat(dq),
-        "Wk": flat(x).T @ flat(dk),
-        "Wv": flat(x).T @ flat(dv),
-        "Wo": flat(h).T @ flat(d),
-        "r": np.bincount(np.maximum(_DISTANCE, 0).ravel(), (ds.sum(axis=0) * (_DISTANCE >= 0)).ravel(), minlength=WINDOW),
-        "E": np.zeros_like(w["E"]),
-    }
-    _sum_by(rows.ravel(), flat(dx), grads["E"])
-    return float(loss), grads
+    w = Parameters(weights)
+    grads = w.zeros()
+    batch = Batch(len(rows), w.out.shape[1], w.flat.dtype)
+    after = _filled_up(after, -1e9).astype(w.flat.dtype, copy=False)
+    used, p = batch.gradients(w, after, rows, targets, grads)
+    return float(-np.log(p[used] + 1e-30).sum() / max(1, int(used.sum()))), grads.weights()
 
 
 def train_shard(weights: dict, after: np.ndarray, rows: np.ndarray, targets: np.ndarray) -> dict:
-    """Weights after one pass of Adam over the windows of a shard."""
-    w = {name: value.copy() for name, value in weights.items()}
-    state = {name: (np.zeros_like(value), np.zeros_like(value)) for name, value in w.items()}
+    """Weights after one pass of Adam over the windows of a shard.
+
+    Input rows that the shard has not keep their weights, so only the others are worked on.
+    """
+    met = np.unique(rows)
+    # numbers of two bytes are sorted by radix
+    number = np.zeros(len(weights["E"]), np.min_scalar_type(len(met)))
+    number[met] = np.arange(len(met))
+    rows, after = number[rows], _filled_up(after[met], -1e9)
+    w = Parameters({**weights, "E": weights["E"][met]})
+    grads, mean, square, change = w.zeros(), np.zeros_like(w.flat), np.zeros_like(w.flat), np.empty_like(w.flat)
     n_steps = -(-len(rows) // BATCH)
+    batch = None
     for t in range(1, n_steps + 1):
         part = slice((t - 1) * BATCH, t * BATCH)
-        _, grads = step(w, after, rows[part], targets[part])
+        if batch is None or len(rows[part]) < BATCH:
+            batch = Batch(len(rows[part]), w.out.shape[1], w.flat.dtype)
+        batch.gradients(w, after, rows[part], targets[part], grads)
         rate = RATE * (1 - 0.9 * (t - 1) / n_steps) * math.sqrt(1 - 0.99**t) / (1 - 0.9**t)
-        for name, value in w.items():
-            mean, square = state[name]
-            mean += 0.1 * (grads[name] - mean)
-            square += 0.01 * (grads[name] ** 2 - square)
-            value -= (rate * mean / (np.sqrt(square) + 1e-8)).astype(np.float32)
-    return w
+        np.subtract(grads.flat, mean, out=change)
+        change *= 0.1
+        mean += change
+        np.multiply(grads.flat, grads.flat, out=change)
+        change -= square
+        change *= 0.01
+        square += change
+        np.sqrt(square, out=change)
+        change += 1e-8
+        np.divide(mean, change, out=change)
+        change *= rate
+        w.flat -= change
+    every = weights["E"].copy()
+    every[met] = w.rows
+    return {**w.weights(), "E": every}
 
 
 class Scorer:
